@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import mixing, packing, sharding, tokens
+from docmeter.llm import language_id, mixing, packing, quality_rules, sharding, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_nnls": packing.op1_pack_nnls,
         "op4_jump_shards": sharding.op4_jump_shards,
+        "op6_quality_votes": quality_rules.op6_quality_votes,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op8_count_tokens": tokens.op8_count_tokens,
+        "op9_language_id": language_id.op9_language_id,
     }
 
 
