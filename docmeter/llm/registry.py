@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import language_id, line_crf, mixing, packing, quality_rules, sharding, tokens
+from docmeter.llm import language_id, line_crf, mixing, packing, quality_rules, sharding, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_nnls": packing.op1_pack_nnls,
+        "op2_warc_index": warc.op2_warc_index,
         "op3_line_crf": line_crf.op3_line_crf,
         "op4_jump_shards": sharding.op4_jump_shards,
         "op6_quality_votes": quality_rules.op6_quality_votes,
