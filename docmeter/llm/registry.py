@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import language_id, line_crf, mixing, packing, quality_rules, sharding, tokens, warc
+from docmeter.llm import embedding_join, language_id, line_crf, mixing, packing, quality_rules, sharding, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc_index": warc.op2_warc_index,
         "op3_line_crf": line_crf.op3_line_crf,
         "op4_jump_shards": sharding.op4_jump_shards,
+        "op5_subspace_join": embedding_join.op5_subspace_join,
         "op6_quality_votes": quality_rules.op6_quality_votes,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op8_count_tokens": tokens.op8_count_tokens,
