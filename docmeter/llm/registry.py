@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import embedding_join, language_id, line_crf, mixing, packing, quality_rules, sharding, tokens, warc
+from docmeter.llm import embedding_join, jaccard_join, language_id, line_crf, mixing, packing, quality_rules, sharding, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_mix_sources": mixing.op7_mix_sources,
         "op8_count_tokens": tokens.op8_count_tokens,
         "op9_language_id": language_id.op9_language_id,
+        "op10_jaccard_skip": jaccard_join.op10_jaccard_skip,
     }
 
 
