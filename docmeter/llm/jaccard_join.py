@@ -16,12 +16,17 @@ Index lists hold (class, size, position), sorted by size. Two kinds of skipping:
   they are one component. Only classes of the list that are still apart after
   that are paired, and where one component is left the list is skipped whole.
 
-Candidates are verified exactly on their whole sets. Components need no other
-pairs: a skipped pair is in one component already.
-
-Texts are read in three passes: sizes, digests and counts; index lists; sets of
-candidates (picked by a Bloom filter of bounded size, whose errors only send a
-set too many). Postings move as packed arrays, not as rows.
+Candidates first compare sketches, counts of shingles in ``SKETCH`` ranges of
+hashes: the sum of their differences is at most the sets' symmetric difference,
+so pairs that it puts below the threshold go. The rest are verified exactly on their
+whole sets. Components need no other pairs: a skipped pair is in one component
+already.
+
+Texts are read in three passes: sizes, digests, sketches and counts; index lists;
+sets of candidates (picked by a Bloom filter of bounded size, whose errors only
+send a set too many). Postings move as packed arrays, not as rows. Counting sends
+on what a task finds at least twice, so a shingle in more sets than there are
+tasks is always found; one that is missed costs candidates, not links.
 
 Defined results: null or empty texts and texts without words have the empty set
 and link with nothing. Rows with a null id take part; the component is the
@@ -49,6 +54,9 @@ MOST_FREQUENT = 1 << 20
 BATCH_BYTES = 1 << 20
 POSTINGS_A_BUCKET = 1_500_000
 BLOOM_BITS = 1 << 25
+SKETCH = 256
+#: Tokens that a counting task holds at most before it sends what it has.
+COUNT_BLOCK = 6_000_000
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
 COUNTED = 0.4
 #: One for each word of a shingle.
@@ -126,61 +134,70 @@ class _New:
 
 
 def set_sizes(docs: DataFrame, percent: int) -> DataFrame:
-    """Rows of two kinds: id, n, digest of every row; bucket -1 and up with packed shingles to count."""
+    """Rows of two kinds: row, id, n, digest, sketch of every row; bucket and shingles found twice or more in a task."""
     buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = _New()
-        names = ["id", "n", "digest", "bucket", "packed"]
+        names = ["row", "id", "n", "digest", "sketch", "bucket", "packed", "times"]
         held: list[np.ndarray] = []
 
         def packed() -> Iterator[pa.RecordBatch]:
             if held:
-                tokens = np.concatenate(held)
+                tokens = np.sort(np.concatenate(held))
                 held.clear()
-                found = [(b, x[0]) for b, x in _packed(_bucket(tokens, buckets), [tokens])]
+                starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+                times = np.diff(np.concatenate([starts, [len(tokens)]])).astype(np.int32)
+                tokens, times = tokens[starts[times > 1]], times[times > 1]
+                found = list(_packed(_bucket(tokens, buckets), [tokens, times])) if len(tokens) else []
                 none = pa.nulls(len(found), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(found), pa.binary()), pa.array([b for b, _ in found], pa.int32()), pa.array([x[0] for _, x in found], pa.binary()), pa.array([x[1] for _, x in found], pa.binary())], names=names)
 
         size = 0
-        for batch in sliced(batches, 1, BATCH_BYTES):
-            sets = shingle_sets(batch.column(1))
+        for batch in sliced(batches, 2, BATCH_BYTES):
+            sets = shingle_sets(batch.column(2))
             ds = [digest(s) for s in sets]
-            none = [None] * len(sets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(ds, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names=names)
+            none = pa.nulls(len(sets), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(ds, pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.int32()), none, none], names=names)
             for d, s in zip(ds, sets, strict=True):
                 if len(s) and new(d):
                     held.append(s[: int(len(s) * max(COUNTED, 1.2 * (1 - percent / 100))) + 1])
                     size += len(held[-1])
-            if size > 1_000_000:
+            if size > COUNT_BLOCK:
                 yield from packed()
                 size = 0
         yield from packed()
 
-    return docs.mapInArrow(run, "id long, n long, digest long, bucket int, packed binary")
+    return docs.mapInArrow(run, "row long, id long, n long, digest long, sketch binary, bucket int, packed binary, times binary")
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """How many of the set's hashes fall into each of SKETCH ranges, 255 at most."""
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
 
 
 def frequent_shingles(packed: DataFrame, most: int = MOST_FREQUENT, above: int = LONG) -> np.ndarray:
     """Sorted hashes of the most frequent of the counted shingles: those in more than ``above`` sets, at most ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
             if parts:
-                tokens, n = np.unique(np.concatenate(parts), return_counts=True)
+                tokens, at = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
                 often = n > above
                 yield pa.RecordBatch.from_arrays([pa.array(tokens[often].astype(np.int64)), pa.array(n[often])], names=["shingle", "n"])
 
         bucket, parts = None, []
         for batch in batches:
-            for b, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, b in enumerate(batch.column(0).to_pylist()):
                 if b != bucket:
                     yield from counted(parts)
                     bucket, parts = b, []
-                parts.append(np.frombuffer(x.as_py(), np.uint64))
+                parts.append((np.frombuffer(batch.column(1)[i].as_py(), np.uint64), np.frombuffer(batch.column(2)[i].as_py(), np.int32)))
         yield from counted(parts)
 
     n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = packed.select("bucket", "packed").repartition(n, "bucket").sortWithinPartitions("bucket")
+    dealt = packed.select("bucket", "packed", "times").repartition(n, "bucket").sortWithinPartitions("bucket")
     rows = dealt.mapInArrow(run, "shingle long, n long").orderBy(F.desc("n"), "shingle").limit(most).collect()
     return np.sort(np.array([r[0] for r in rows], np.int64).astype(np.uint64))
 
@@ -205,8 +222,8 @@ def index_postings(docs: DataFrame, frequent: np.ndarray, buckets: int, percent:
             found = list(_packed(_bucket(tokens, buckets), [tokens, ids, sizes, places]))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), *[pa.array([x[k] for _, x in found], pa.binary()) for k in range(4)]], names=["bucket", "shingles", "ids", "sizes", "places"])
 
-        for batch in sliced(batches, 1, BATCH_BYTES):
-            for s in shingle_sets(batch.column(1)):
+        for batch in sliced(batches, 2, BATCH_BYTES):
+            for s in shingle_sets(batch.column(2)):
                 if not len(s) or not new(d := digest(s)):
                     continue
                 p = prefix_length(len(s), percent)
@@ -334,60 +351,71 @@ def pairs_still_apart(lists: DataFrame, parts: DataFrame, percent: int) -> DataF
     return rows.mapInArrow(apart, "a long, b long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) that their sketches don't rule out, with the row that stands for each: ra, rb."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 5000):
+                batch = whole.slice(start, 5000)
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for k in (4, 5))
+                apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+                sizes = batch.column(6).to_numpy() + batch.column(7).to_numpy()
+                yield batch.select([0, 1, 2, 3]).filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
+
+    wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
+    known = first.where("bucket is null").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min("row").alias("r"), F.min("sketch").alias("s"), F.min("n").alias("n"))
+    known = written(known, "sketches")
+    both = pairs.join(known.select(F.col("digest").alias("a"), F.col("r").alias("ra"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
+    both = both.join(known.select(F.col("digest").alias("b"), F.col("r").alias("rb"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
+    return both.select("a", "b", "ra", "rb", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, ra long, rb long")
+
+
+def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Of the candidate pairs (a, b) those whose whole sets reach the threshold."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("d")).unionByName(pairs.select(F.col("b").alias("d"))).distinct()
+    near = written(alike(pairs, first, percent), "pairs-alike")
+    wanted = near.select(F.col("ra").alias("r")).unionByName(near.select(F.col("rb").alias("r"))).distinct()
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BLOOM_BITS, bool)
         for batch in batches:
             for at in _bloom(batch.column(0).to_numpy()):
                 bits[at] = True
-        for k in range(0, BLOOM_BITS, BLOOM_BITS // 16):
-            part = bits[k : k + BLOOM_BITS // 16]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.packbits(part).tobytes()], pa.binary())], names=["at", "bits"])
+        step = BLOOM_BITS // 16
+        for k in range(0, BLOOM_BITS, step):
+            if bits[k : k + step].any():
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.packbits(bits[k : k + step]).tobytes()], pa.binary())], names=["at", "bits"])
 
-    bloom = np.zeros(BLOOM_BITS, bool)
-    # at most 16 pieces of BLOOM_BITS / 128 bytes from each of 8 tasks
-    for at, piece in wanted.repartition(8, "d").mapInArrow(marks, "at long, bits binary").collect():
-        bloom[at : at + BLOOM_BITS // 16] |= np.unpackbits(np.frombuffer(bytes(piece), np.uint8)).astype(bool)
-    packed = spark.sparkContext.broadcast(np.packbits(bloom))  # BLOOM_BITS / 8 bytes whatever the input
+    bloom = np.zeros(BLOOM_BITS // 8, np.uint8)
+    # 16 pieces of BLOOM_BITS / 128 bytes from each of 8 tasks at most
+    for at, piece in wanted.repartition(8, F.pmod(F.hash("r"), F.lit(8))).mapInArrow(marks, "at long, bits binary").toLocalIterator():
+        bloom[at // 8 : at // 8 + len(piece)] |= np.frombuffer(bytes(piece), np.uint8)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, bits = _New(), packed.value
-        for batch in sliced(batches, 1, BATCH_BYTES):
-            ds, found = [], []
-            for s in shingle_sets(batch.column(1)):
-                d = digest(s)
-                if len(s) and all(bits[at >> 3] >> (7 - (at & 7)) & 1 for at in (int(x[0]) for x in _bloom(np.array([d])))) and new(d):
-                    ds.append(d)
-                    found.append(s.tobytes())
-            if ds:
-                yield pa.RecordBatch.from_arrays([pa.array(ds, pa.int64()), pa.array(found, pa.binary())], names=["d", "s"])
+        for batch in sliced(batches, 2, BATCH_BYTES):
+            hit = np.ones(batch.num_rows, bool)
+            for at in _bloom(batch.column(0).to_numpy()):
+                hit &= (bloom[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            if hit.any():
+                chosen = batch.filter(pa.array(hit))
+                yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array([s.tobytes() for s in shingle_sets(chosen.column(2))], pa.binary())], names=["r", "s"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             hit = []
-            last, x = None, None
             for i in range(batch.num_rows):
-                if a[i] != last:
-                    last, x = a[i], np.frombuffer(batch.column(2)[i].as_py(), np.uint64)
-                y = np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
+                x, y = (np.frombuffer(batch.column(k)[i].as_py(), np.uint64) for k in (2, 3))
                 at = np.searchsorted(x, y)
                 common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     hit.append(i)
-            if hit:
-                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in hit], pa.int64()), pa.array([b[i] for i in hit], pa.int64())], names=["a", "b"])
+            yield batch.select([0, 1]).take(pa.array(hit, pa.int64()))
 
-    one = docs.mapInArrow(sets, "d long, s binary").groupBy("d").agg(F.first("s").alias("s"))
-    one = written(one.join(wanted, "d", "left_semi"), "sets")
-    near = pairs.join(one.select(F.col("d").alias("b"), F.col("s").alias("sb")), "b")
-    near = near.join(one.select(F.col("d").alias("a"), F.col("s").alias("sa")), "a").select("a", "b", "sa", "sb")
-    return near.mapInArrow(compared, "a long, b long")
+    # a row's key may occur twice (repeated ids): the same set then, or a pair of one class, so extra rows only repeat a link
+    whole = written(docs.mapInArrow(sets, "r long, s binary").join(wanted, "r", "left_semi"), "sets")
+    near = near.join(whole.select(F.col("r").alias("rb"), F.col("s").alias("sb")), "rb")
+    near = near.join(whole.select(F.col("r").alias("ra"), F.col("s").alias("sa")), "ra").select("a", "b", "sa", "sb")
+    return near.mapInArrow(compared, "a long, b long").distinct()
 
 
 def _bloom(d: np.ndarray) -> list[np.ndarray]:
@@ -398,22 +426,21 @@ def _bloom(d: np.ndarray) -> list[np.ndarray]:
 def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, long: int = LONG) -> DataFrame:
     """One row a row of ``df``: id, n_shingles, component_id."""
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    docs = docs.select(F.xxhash64("id", "text").alias("row"), "id", "text")
     first = written(set_sizes(docs, percent), "set-sizes")
     frequent = frequent_shingles(first.where("bucket is not null"), above=long)
     rows = first.where("bucket is null").select("id", "n", "digest")
     shingles = rows.agg(F.sum("n")).first()[0] or 0
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, int(shingles * (1 - percent / 100) / POSTINGS_A_BUCKET) + 1)
+    buckets = int(shingles * (1 - percent / 100) / POSTINGS_A_BUCKET) + 1
     found = written(candidate_lists(index_postings(docs, frequent, buckets, percent), buckets, percent, long), "candidates")
     pairs = written(found.where("a is not null").select("a", "b").distinct(), "pairs")
-    links = written(verified(docs, pairs, percent), "links")
-    parts = connected_components(links)
+    parts = connected_components(verified(docs, first, pairs, percent))
     lists = found.where("token is not null")
     if not lists.isEmpty():
         more = written(pairs_still_apart(lists, parts, percent).join(pairs, ["a", "b"], "left_anti"), "pairs-apart")
         if not more.isEmpty():
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            parts = connected_components(stars.unionByName(verified(docs, more, percent)))
+            parts = connected_components(stars.unionByName(verified(docs, first, more, percent)))
     named = rows.join(parts, rows["digest"] == parts["node"], "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("part"))
     least = named.where("part is not null").groupBy("part").agg(F.min("id").alias("component_id"))
     out = named.join(least, "part", "left")
