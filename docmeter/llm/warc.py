@@ -2,7 +2,8 @@
 
 Writing: one record a row, through Spark's own text writer and committer, so any
 file system will do. Record separators are the writer's line separator, which
-makes each part file a plain uncompressed WARC file. Of records with equal
+makes each part file a WARC file; it is compressed as a whole by gzip unless told
+otherwise, and offsets in the index count its uncompressed bytes. Of records with equal
 payloads of at least ``least_bytes`` the one with the largest id is a response,
 the others are revisits of it without payload.
 
@@ -21,6 +22,7 @@ columns are used, so other columns never clash.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from base64 import b32encode
@@ -90,12 +92,12 @@ def records(rows: DataFrame, key: str, url: str, captured: Column | None = None)
     return rows.withColumn("_body", body).select(F.concat(*fields).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", captured: Column | None = None, least_bytes: int = 0) -> None:
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", captured: Column | None = None, least_bytes: int = 0, compression: str = "gzip") -> None:
     """Writes WARC files under ``path``."""
     sizes = pages.select((F.coalesce(F.octet_length(payload), F.lit(0)) + 700).cast("long").alias("n")).agg(F.avg("n"), F.max("n")).first()
     mean, largest = sizes[0] or 1, sizes[1] or 1
     per_file = max(1, min(int(FILE_BYTES / mean), MOST_FILE_BYTES // largest))
-    records(with_revisits(pages, key, payload, least_bytes), key, url, captured).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).text(path)
+    records(with_revisits(pages, key, payload, least_bytes), key, url, captured).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
 
 
 def url_key(url: str) -> str:
@@ -151,7 +153,9 @@ def sorted_runs(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 archive = batch.column(0)[i].as_py().rsplit("/", 1)[-1]
-                found = sorted((capture(archive, *r) for r in parse_archive(batch.column(1)[i].as_py())), key=lambda e: e[0].encode())
+                data = batch.column(1)[i].as_py()
+                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                found = sorted((capture(archive, *r) for r in parse_archive(data)), key=lambda e: e[0].encode())
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), _KINDS, strict=True)], names=_NAMES)
 
