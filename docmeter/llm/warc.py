@@ -254,4 +254,4 @@ def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
     merged = merge_runs(sorted_runs(spark, path))
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "archive", "offset", "length", "range_no", "place")
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "timestamp")
