@@ -1 +1 @@
-
+"""Operators over records, evaluations, texts, pages and ordered nodes."""
