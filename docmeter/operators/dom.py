@@ -273,7 +273,7 @@ def linked_image_alts(root: Node) -> list[str]:
     done = []
     for a in root.all("a"):
         img = a.first("img")
-        if img is not None and not img.get("alt").strip() and not a.get("aria-label"):
+        if img is not None and not img.get("alt").strip():
             img.attrs["alt"] = a.inner_text() or _label_from(a.get("href"))
             done.append("linked_img_alt")
     return done

@@ -21,7 +21,7 @@ def heading_skips(headings: DataFrame, key: str, order: str, level: str, root: s
     jump = F.col(level) > F.col("previous") + 1
     kind = F.when(jump, "skip")
     if root == "warn":
-        kind = F.when(F.col("previous").isNull() & (F.col(level) != 1), "first_not_1").when(jump, "skip")
+        kind = F.when((F.row_number().over(by) == 1) & (F.col(level) != 1), "first_not_1").when(jump, "skip")
     return rows.withColumn("finding", kind).where("finding is not null")
 
 

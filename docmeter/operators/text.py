@@ -202,7 +202,7 @@ def heading_class(line: Column) -> Column:
 
 def json_in(text: Column) -> Column:
     """The JSON text inside a reply: fences stripped, else from the first bracket to the last; null if it doesn't parse."""
-    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1)
+    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)\s*```", 1)
     bare = F.regexp_extract(text, r"(?s)(\{.*\}|\[.*\])", 1)
-    found = F.when(fenced != "", F.trim(fenced)).otherwise(bare)
+    found = F.when(fenced != "", fenced).otherwise(bare)
     return F.when(F.try_parse_json(found).isNotNull() & (found != ""), found)

@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, bad: str = "reject") -> tuple[DataFrame, DataFrame]:
+def read_jsonl(spark: SparkSession, path: str, schema: str, bad: str = "reject") -> tuple[DataFrame, DataFrame]:
     """(rows, rejected). bad: ``drop`` skips malformed lines, ``reject`` returns them with file and text, ``raise`` fails."""
     if bad == "raise":
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path), spark.createDataFrame([], "file string, line string")
-    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    fields = T.StructType.fromDDL(schema).fields
+    full = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
     rows = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_name").alias("file"))
     parsed = rows.where(F.trim("value") != "").select("file", "value", F.from_json("value", full, {"mode": "PERMISSIVE"}).alias("r"))
     broken = F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()
-    good = parsed.where(~broken).select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+    good = parsed.where(~broken).select(*[F.col("r").getField(f.name).alias(f.name) for f in fields])
     rejected = parsed.where(broken).select("file", F.col("value").alias("line"))
     return good, rejected.limit(0) if bad == "drop" else rejected
 
 
-def read_jsonl_in_order(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_jsonl_in_order(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows with file, block and line ordinals, so that the last line of a key can win."""
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     parsed = rows.select("file", "block", "line", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"))

@@ -46,7 +46,7 @@ def compare(spark):
         d = d[sorted(d.columns)]
 
         def plain(v):
-            if v is None or v != v:
+            if pd.isna(v):
                 return None
             if isinstance(v, bool) or type(v).__name__ == "bool_":
                 return bool(v)
