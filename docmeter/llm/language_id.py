@@ -31,9 +31,13 @@ BUCKETS = 1 << 14
 DIMENSION = 16
 TRAIN_ROWS = 3000
 EPOCHS = 3
+#: Few rows are gone through more often, up to so many steps.
+LEAST_STEPS = 300
 BATCH_BYTES = 1 << 20
 #: Share of rightly predicted calibration rows that the threshold may reject.
 REJECTED_RIGHT = 0.001
+#: The threshold is at most this: mixed texts, near one half, are languages still.
+MOST_THRESHOLD = 0.4
 _LETTER = re.compile(r"[^\W\d_]")
 _CLEAN = np.where(SPACE_BYTE, np.uint8(32), LOWER_BYTE)
 
@@ -114,7 +118,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     e = rng.normal(0, 1 / DIMENSION, (BUCKETS, DIMENSION))
     w = np.zeros((DIMENSION, len(languages)))
     size, steps = 16, 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, min(60, LEAST_STEPS * size // max(1, len(fit))))):
         for k in range(0, len(fit), size):
             batch = fit[k : k + size]
             ids = np.concatenate([rows[i][1] for i in batch])
@@ -142,7 +146,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     model.temperature = float(min(losses)[1])
     p = model.probabilities(logits)
     right = np.sort(p.max(1)[p.argmax(1) == y[check]])
-    model.threshold = float(min(0.5, right[int(REJECTED_RIGHT * len(right))])) if len(right) else 0.0
+    model.threshold = float(min(MOST_THRESHOLD, right[int(REJECTED_RIGHT * len(right))])) if len(right) else 0.0
     return model
 
 
