@@ -13,8 +13,12 @@ Index lists hold (class, size, position), sorted by size. Two kinds of skipping:
   and of that only partners whose positions leave enough shingles to share;
 * in a list longer than ``LONG``, each block first meets its anchor only. Classes
   that link with the anchor, or with what links with it, take over its answer:
-  they are one component. Only classes of the list that are still apart after
-  that are paired, and where one component is left the list is skipped whole.
+  they are one component, and a list of one component is skipped whole. Classes
+  of mixed lists whose positions and sketches (below) allow a link form families;
+  of such pairs a task passes on a spanning forest only. A family is cut into tiles
+  by size and, where a component is large, by component; a task gets two tiles'
+  whole sets, computes all their intersections at once and emits a spanning forest
+  of the links. Two tiles of one component, or of sizes too far apart, never meet.
 
 Candidates first compare sketches, counts of shingles in ``SKETCH`` ranges of
 hashes: the sum of their differences is at most the sets' symmetric difference,
@@ -55,6 +59,8 @@ BATCH_BYTES = 1 << 20
 POSTINGS_A_BUCKET = 1_500_000
 BLOOM_BITS = 1 << 25
 SKETCH = 256
+#: Sets in a tile at most, and shingles.
+TILE, TILE_SHINGLES = 500, 1_000_000
 #: Tokens that a counting task holds at most before it sends what it has.
 COUNT_BLOCK = 6_000_000
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
@@ -272,9 +278,10 @@ def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int)
                 at = s
                 while at < s + n:  # blocks of sizes that an anchor reaches
                     end = at + int(np.searchsorted(sizes[at : s + n], sizes[at] * 100 // percent, side="right"))
-                    i = np.arange(at + 1, end)
-                    i = i[possible(sizes[at], sizes[i], places[at], places[i], percent)]
-                    pairs.append((np.full(len(i), ids[at]), ids[i]))
+                    anchor = at + int(mix64(ids[at:end].view(np.uint64)).argmin())  # mostly the same in all lists of a group
+                    i = np.delete(np.arange(at, end), anchor - at)
+                    i = i[possible(sizes[anchor], sizes[i], places[anchor], places[i], percent)]
+                    pairs.append((np.full(len(i), ids[anchor]), ids[i]))
                     at = end
                 none = pa.nulls(1, pa.int64())
                 part = slice(s, s + n)
@@ -299,8 +306,39 @@ def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int)
     return dealt.mapInArrow(run, "a long, b long, token long, ids binary, sizes binary, places binary")
 
 
-def pairs_still_apart(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of long lists whose classes are in different components."""
+def sketches_far(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches prove that sets of these sizes together are below the threshold."""
+    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * apart > (100 - percent) * sizes
+
+
+def sketches_far(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches prove that sets of these sizes together are below the threshold."""
+    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * apart > (100 - percent) * sizes
+
+
+class Forest:
+    """Union-find over numbers; join tells whether an edge was new."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.parent[x] = y
+        return x != y
+
+
+def mixed_families(lists: DataFrame, first: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Classes of long lists that may link across components: id, size, part, family."""
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,25 +348,42 @@ def pairs_still_apart(lists: DataFrame, parts: DataFrame, percent: int) -> DataF
                     cut = slice(s, s + 10_000)
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0)[i].as_py(), len(ids[cut]))), *[pa.array(x[cut]) for x in (ids, sizes, places)]], names=["token", "id", "size", "place"])
 
-    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.uint64)  # pairs compared lately: a group's lists are much alike
+        forest = Forest()
+
+        def compared(ids: np.ndarray, sizes: np.ndarray, marks: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal seen
+            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+            keys = mix64(a.view(np.uint64) * np.uint64(3)) ^ b.view(np.uint64)
+            new = np.ones(len(keys), bool) if not len(seen) else seen[np.minimum(np.searchsorted(seen, keys), len(seen) - 1)] != keys
+            i, j, a, b, keys = i[new], j[new], a[new], b[new], keys[new]
+            if not len(keys):
+                return
+            seen = np.sort(np.concatenate([seen, keys])) if len(seen) < 4_000_000 else np.sort(keys)
+            for k in range(0, len(i), 8192):
+                u, v = i[k : k + 8192], j[k : k + 8192]
+                found = np.flatnonzero(~sketches_far(marks[u], marks[v], sizes[u] + sizes[v], percent)) + k
+                edges = [e for e in zip(a[found].tolist(), b[found].tolist(), strict=True) if forest.join(*e)]
+                if edges:
+                    yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
+
         def searched(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(rows)
             ids, sizes, places, part = (whole.column(k).to_numpy() for k in (1, 2, 3, 4))
-            if (part == part[0]).all():
-                return
-            out, held = [], 0
+            marks = np.frombuffer(b"".join(whole.column(5).to_pylist()), np.uint8).reshape(-1, SKETCH)
+            left, right, held = [], [], 0
+            ends = np.searchsorted(sizes, sizes * 100 // percent, side="right")
             for i in range(len(ids)):
-                end = i + 1 + int(np.searchsorted(sizes[i + 1 :], sizes[i] * 100 // percent, side="right"))
-                j = np.arange(i + 1, end)
+                j = np.arange(i + 1, ends[i])
                 j = j[part[j] != part[i]]
                 j = j[possible(sizes[i], sizes[j], places[i], places[j], percent)]
-                if len(j):
-                    out.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], 1))
-                    held += len(j)
-                if held > 100_000 or (held and i == len(ids) - 1):
-                    both = np.concatenate(out)
-                    yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
-                    out, held = [], 0
+                left.append(np.full(len(j), i))
+                right.append(j)
+                held += len(j)
+                if held > 500_000 or (held and i == len(ids) - 1):
+                    yield from compared(ids, sizes, marks, np.concatenate(left), np.concatenate(right))
+                    left, right, held = [], [], 0
 
         token, rows = None, []
         for batch in batches:
@@ -347,8 +402,94 @@ def pairs_still_apart(lists: DataFrame, parts: DataFrame, percent: int) -> DataF
 
     rows = lists.select("token", "ids", "sizes", "places").mapInArrow(opened, "token long, id long, size long, place long")
     rows = rows.join(parts, rows["id"] == parts["node"], "left").select("token", "id", "size", "place", F.coalesce("component", "id").alias("part"))
-    rows = rows.repartition("token").sortWithinPartitions("token", "size", "id")
-    return rows.mapInArrow(apart, "a long, b long").distinct()
+    rows = written(rows, "long-lists")
+    mixed = rows.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
+    rows = rows.join(mixed, "token", "left_semi")
+    known = first.where("bucket is null").join(rows.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi").groupBy(F.col("digest").alias("id")).agg(F.min("sketch").alias("sketch"))
+    rows = rows.join(known, "id").select("token", "id", "size", "place", "part", "sketch").repartition("token").sortWithinPartitions("token", "size", "id")
+    families = connected_components(rows.mapInArrow(near, "a long, b long"))
+    members = first.where("bucket is null").join(families, F.col("digest") == families["node"]).groupBy(F.col("digest").alias("id")).agg(F.min("row").alias("row"), F.min("n").alias("size"), F.min("component").alias("family"))
+    return members.join(parts, members["id"] == parts["node"], "left").select("id", "row", "size", F.coalesce(parts["component"], "id").alias("part"), "family")
+
+
+def tiles_of(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(members with their tile, pairs of tiles that must meet as left, right).
+
+    A tile is family, size step, component if it fills a tile there (else null) and
+    a hash; two sets that link are at most one size step apart.
+    """
+    step = F.floor(F.round(F.log(F.col("size").cast("double")) / float(np.log(100 / percent)), 9)).cast("int")
+    rows = members.withColumn("step", step)
+    full = F.greatest(F.lit(2), F.least(F.lit(TILE), F.floor(F.lit(TILE_SHINGLES) / F.col("size")).cast("int")))
+    sizes = rows.groupBy("family", "step", "part").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")).withColumn("own", F.when(F.col("n") >= full, F.col("part")))
+    groups = sizes.groupBy("family", "step", "own").agg(F.sum("n").alias("n"), F.max("size").alias("size")).withColumn("t", F.ceil(F.col("n") / full).cast("int"))
+    rows = rows.join(sizes.select("family", "step", "part", "own"), ["family", "step", "part"])
+    g = groups.select(F.col("family").alias("f"), F.col("step").alias("s"), F.col("own").alias("o"), "t")
+    rows = rows.join(g, (rows["family"] == g["f"]) & (rows["step"] == g["s"]) & rows["own"].eqNullSafe(g["o"])).drop("f", "s", "o")
+    name = lambda h: F.xxhash64("family", "step", F.coalesce("own", F.lit(0)), F.col("own").isNull(), h)
+    rows = rows.withColumn("tile", name(F.pmod(F.xxhash64("id"), F.col("t")).cast("int"))).select("id", "part", "tile")
+    tiles = groups.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("t") - 1))).withColumn("tile", name(F.col("h").cast("int"))).select("family", "step", "own", "tile")
+    other = tiles.select("family", F.col("step").alias("step2"), F.col("own").alias("own2"), F.col("tile").alias("right"))
+    meet = tiles.withColumn("step2", F.explode(F.array(F.col("step"), F.col("step") + 1))).join(other, ["family", "step2"])
+    meet = meet.where((F.col("step") < F.col("step2")) | (F.col("tile") <= F.col("right"))).where("own is null or own2 is null or own <> own2")
+    return rows, meet.select(F.col("tile").alias("left"), "right")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sets on the left with sets on the right."""
+    n, m = len(left), len(right)
+    tokens, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    of = np.repeat(np.arange(n + m), [len(x) for x in (*left, *right)])
+    split = int(sum(len(x) for x in left))
+    both = np.zeros(len(tokens), bool)
+    both[at[:split]] = True
+    shared = np.zeros(len(tokens), bool)
+    shared[at[split:]] = True
+    shared &= both
+    place = np.cumsum(shared) - 1
+    out = np.zeros((n, m), np.float32)
+    use = shared[at]
+    column, row = place[at[use]], of[use]
+    for k in range(0, int(shared.sum()), 4096):
+        here = (column >= k) & (column < k + 4096)
+        x = np.zeros((n + m, 4096), np.float32)
+        x[row[here], column[here] - k] = 1
+        out += x[:n] @ x[n:].T
+    return out.astype(np.int64)
+
+
+def tile_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, enough of them to join what any link joins. members: id, part, row, ...; sets: r, s."""
+    rows, meet = tiles_of(members, percent)
+    rows, meet = written(rows, "tiles"), written(meet, "tile-pairs")
+    sides = meet.select("left", "right", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("right").alias("tile")))).alias("x")).select("left", "right", "x.*")
+    work = rows.join(sides, "tile").join(members.select("id", "row"), "id").join(sets, F.col("row") == F.col("r"))
+    work = work.select(F.xxhash64("left", "right").alias("task"), "side", "id", "part", "s").repartition("task").sortWithinPartitions("task", "side")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked(held: list[list]) -> Iterator[pa.RecordBatch]:
+            left, right = ([h for h in held if h[0] == side] for side in (0, 1))
+            if not left or not right:
+                return
+            common = common_counts([h[3] for h in left], [h[3] for h in right])
+            sizes = np.array([len(h[3]) for h in left])[:, None] + np.array([len(h[3]) for h in right])[None, :]
+            pa_, pb = (np.array([h[2] for h in side]) for side in (left, right))
+            u, v = np.nonzero((100 * common >= percent * (sizes - common)) & (pa_[:, None] != pb[None, :]))
+            forest = Forest()
+            edges = [(left[i][1], right[j][1]) for i, j in zip(u.tolist(), v.tolist(), strict=True) if forest.join(left[i][2], right[j][2])]
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
+
+        task, held = None, []
+        for batch in batches:
+            for t, side, i, part, s in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
+                if t != task:
+                    yield from linked(held)
+                    task, held = t, []
+                held.append([side, i, part, np.frombuffer(s, np.uint64)])
+        yield from linked(held)
+
+    return work.mapInArrow(compared, "a long, b long").distinct()
 
 
 def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
@@ -358,10 +499,9 @@ def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 5000):
                 batch = whole.slice(start, 5000)
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for k in (4, 5))
-                apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
-                sizes = batch.column(6).to_numpy() + batch.column(7).to_numpy()
-                yield batch.select([0, 1, 2, 3]).filter(pa.array((100 + percent) * apart <= (100 - percent) * sizes))
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH) for k in (4, 5))
+                far = sketches_far(x, y, batch.column(6).to_numpy() + batch.column(7).to_numpy(), percent)
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(~far))
 
     wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     known = first.where("bucket is null").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min("row").alias("r"), F.min("sketch").alias("s"), F.min("n").alias("n"))
@@ -371,10 +511,8 @@ def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ra", "rb", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, ra long, rb long")
 
 
-def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b) those whose whole sets reach the threshold."""
-    near = written(alike(pairs, first, percent), "pairs-alike")
-    wanted = near.select(F.col("ra").alias("r")).unionByName(near.select(F.col("rb").alias("r"))).distinct()
+def whole_sets(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """r, s: the sets of the rows named in ``wanted`` (r), written; texts that a Bloom filter leaves out aren't worked on."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BLOOM_BITS, bool)
@@ -400,6 +538,15 @@ def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int)
                 chosen = batch.filter(pa.array(hit))
                 yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array([s.tobytes() for s in shingle_sets(chosen.column(2))], pa.binary())], names=["r", "s"])
 
+    # a row's key may occur twice (repeated rows): that only repeats comparisons
+    return written(docs.mapInArrow(sets, "r long, s binary").join(wanted, "r", "left_semi"), name)
+
+
+def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Of the candidate pairs (a, b) those whose whole sets reach the threshold."""
+    near = written(alike(pairs, first, percent), "pairs-alike")
+    whole = whole_sets(docs, near.select(F.col("ra").alias("r")).unionByName(near.select(F.col("rb").alias("r"))).distinct(), "sets")
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = []
@@ -411,8 +558,6 @@ def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int)
                     hit.append(i)
             yield batch.select([0, 1]).take(pa.array(hit, pa.int64()))
 
-    # a row's key may occur twice (repeated ids): the same set then, or a pair of one class, so extra rows only repeat a link
-    whole = written(docs.mapInArrow(sets, "r long, s binary").join(wanted, "r", "left_semi"), "sets")
     near = near.join(whole.select(F.col("r").alias("rb"), F.col("s").alias("sb")), "rb")
     near = near.join(whole.select(F.col("r").alias("ra"), F.col("s").alias("sa")), "ra").select("a", "b", "sa", "sb")
     return near.mapInArrow(compared, "a long, b long").distinct()
@@ -437,10 +582,11 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", p
     parts = connected_components(verified(docs, first, pairs, percent))
     lists = found.where("token is not null")
     if not lists.isEmpty():
-        more = written(pairs_still_apart(lists, parts, percent).join(pairs, ["a", "b"], "left_anti"), "pairs-apart")
-        if not more.isEmpty():
+        members = written(mixed_families(lists, first, parts, percent), "families")
+        if not members.isEmpty():
+            more = tile_links(members, whole_sets(docs, members.select(F.col("row").alias("r")), "family-sets"), percent)
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            parts = connected_components(stars.unionByName(verified(docs, first, more, percent)))
+            parts = connected_components(stars.unionByName(more))
     named = rows.join(parts, rows["digest"] == parts["node"], "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("part"))
     least = named.where("part is not null").groupBy("part").agg(F.min("id").alias("component_id"))
     out = named.join(least, "part", "left")
