@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmeter.functions import color
 from docmeter.operators import evaluation as ev
-from docmeter.operators import html, records, structure, text
+from docmeter.operators import html, records, routing, structure, text
 from docmeter.plans.derived import CALIBRATIONS, EXPERIMENTS, JOBS, calibrations, experiments, jobs, scores, table
 from docmeter.streaming import events as st
 
@@ -509,3 +509,52 @@ def set_operations(spark, sf):
 def pivot_sizes(spark, sf):
     size = F.when(F.col("p_size") < 10, "small").when(F.col("p_size") < 30, "medium").otherwise("large")
     return table(spark, sf, "part").withColumn("s", size).groupBy("p_type").pivot("s", ["small", "medium", "large"]).count().na.fill(0)
+
+
+# Routing
+
+
+@query("""select p_partkey, case when c = '7.1-1' or starts_with(c, '7.1-1.') or c = '7.2-3' or starts_with(c, '7.2-3.') then 'deterministic' else 'judgement' end route from
+(select p_partkey, concat('7.', p_partkey % 3, '-', p_size % 12, case when p_partkey % 5 = 0 then '.2' else '' end) c from part)""")
+def violation_routing(spark, sf):
+    k = F.col("p_partkey")
+    clause = F.concat(F.lit("7."), (k % 3).cast("string"), F.lit("-"), (F.col("p_size") % 12).cast("string"), F.when(k % 5 == 0, ".2").otherwise(""))
+    raw = F.when(k % 2 == 0, F.concat(F.lit("ISO 14289-1:2014-"), clause)).otherwise(F.concat(F.lit("clause/"), clause))
+    return routing.routed(table(spark, sf, "part").select(k, raw.alias("rule_id")), ["7.1-1", "7.2-3"]).select("p_partkey", "route")
+
+
+@query("select p_partkey, case when p_size > 45 then 'pages' when p_retailprice > 1400 then 'size' end reason from part")
+def oversize_routing(spark, sf):
+    reason = routing.oversize(F.col("p_size"), F.col("p_retailprice") * 1024 * 1024, 45, 1400)
+    return table(spark, sf, "part").select("p_partkey", reason.alias("reason"))
+
+
+@query(f"""with {EXPERIMENTS}, v as (select harness_id h, avg(cast(passed as int)) c, sum(cast(violations_after > violations_before as int)) e, avg(elapsed_seconds) s from experiments group by 1)
+select a.h a, b.h b, case when round(a.c, 6) - round(b.c, 6) > 0.01 then 'a:conformance' when round(a.c, 6) - round(b.c, 6) < -0.01 then 'b:conformance' when a.e < b.e then 'a:edits' when a.e > b.e then 'b:edits' when a.s - b.s < -5 then 'a:seconds' when a.s - b.s > 5 then 'b:seconds' else 'none' end better from v a join v b on b.h = a.h + 1""")
+def variant_head_to_head(spark, sf):
+    v = experiments(spark, sf).groupBy("harness_id").agg(F.round(F.avg(F.col("passed").cast("int")), 6).alias("c"), F.count_if(F.col("violations_after") > F.col("violations_before")).alias("e"), F.avg("elapsed_seconds").alias("s"))
+    a = v.select(F.col("harness_id").alias("a"), F.col("c").alias("a_conformance"), F.col("e").alias("a_edits"), F.col("s").alias("a_seconds"))
+    b = v.select((F.col("harness_id") - 1).alias("a"), F.col("harness_id").alias("b"), F.col("c").alias("b_conformance"), F.col("e").alias("b_edits"), F.col("s").alias("b_seconds"))
+    return routing.head_to_head(a.join(b, "a")).select("a", "b", "better")
+
+
+@query("""with c as (select l_orderkey doc_id, sum(cast(l_returnflag = 'R' as int)) failed, sum(cast(l_returnflag = 'R' and l_linenumber not in (1, 2) as int)) blocking from lineitem group by 1),
+f as (select o_orderkey doc_id, o_orderkey % 17 <> 0 openable, o_orderstatus = 'F' passed, o_custkey % 4 reader, o_orderkey % 3 <> 0 fonts, o_orderkey % 11 = 0 tools, o_orderkey % 5 % 2 warnings from orders)
+select doc_id, coalesce(failed, 0) failed, coalesce(blocking, 0) blocking, case when not openable then 'not' when passed and warnings = 0 then 'conformant' when coalesce(blocking, 0) = 0 and reader = 0 and fonts and not tools then 'conformant'
+when warnings > 0 then 'partially' when fonts and coalesce(failed, 0) <= 3 and reader <= 2 then 'partially' else 'not' end conformance from f left join c using (doc_id)""")
+def conformance_verdict(spark, sf):
+    rule = F.when(F.col("l_linenumber") == 1, "doc-bookmarks").when(F.col("l_linenumber") == 2, "page-tab-order").otherwise("alt-figures")
+    checks = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), rule.alias("rule_id"), F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Passed").alias("status"))
+    k = F.col("o_orderkey")
+    facts = table(spark, sf, "orders").select(
+        k.alias("doc_id"), (k % 17 != 0).alias("openable"), (F.col("o_orderstatus") == "F").alias("passed"), (F.col("o_custkey") % 4).alias("reader_errors"),
+        (k % 3 != 0).alias("fonts_only"), (k % 11 == 0).alias("tools_failed"), (k % 5 % 2).alias("warnings"),
+    )
+    return routing.conformance(checks, facts)
+
+
+@query("""with s as (select conv_id, turn, lower(trim(regexp_replace(coalesce(left(text, 6), ''), '\\s+', ' ', 'g'))) t, role <> 'system' p from conversations), o as (select *, case when not p then 'missing_placeholder' when t = '' then 'empty_title' end own from s),
+c as (select *, count(case when own is null then 1 end) over (partition by conv_id, t) n from o) select conv_id doc_id, turn slide, coalesce(own, case when n > 1 then 'repeated_title' end) issue from c""")
+def slide_titles(spark, sf):
+    s = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("slide"), F.substring("text", 1, 6).alias("title"), (F.col("role") != "system").alias("has_placeholder"))
+    return routing.slide_titles(s).select("doc_id", "slide", "issue")

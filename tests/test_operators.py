@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmeter import schemas
 from docmeter.functions import color
-from docmeter.operators import dom, evaluation, html, records, structure, text
+from docmeter.operators import dom, evaluation, html, records, routing, structure, text
 from docmeter.sources import files
 from docmeter.streaming import events
 
@@ -209,3 +209,20 @@ def test_pages_without_parsing(spark):
     assert got[1].missing_doctype and got[1].missing_lang and got[1].images_without_alt == 1 and got[2].missing_title
     assert not any(getattr(got[3], c) for c in ("missing_doctype", "missing_lang", "missing_title", "missing_viewport", "missing_main", "missing_nav", "missing_skip_link", "images_without_alt"))
     assert html.elements(df).where("page_id = 1 and tag = 'td'").count() == 2
+
+
+def test_routing_predicates(spark):
+    df = spark.createDataFrame([(["7.21.3", ""], True), (["7.21.3", "7.1"], False), ([""], False), ([], False)], "ids array<string>, want boolean")
+    assert all(r.want == r.got for r in df.select("want", routing.only_font_clauses(F.col("ids")).alias("got")).collect())
+    rules = spark.createDataFrame([("7.1-1", "7.1-1", True), ("7.1-1.2", "7.1-1", True), ("7.1-11", "7.1-1", False)], "r string, c string, want boolean")
+    assert all(r.want == r.got for r in rules.select("want", routing.under_rule(F.col("r"), F.col("c")).alias("got")).collect())
+    same = "Growth was 12.5% " * 6
+    texts = [(same, same, True), (same, same[:40], False), (same, same.replace("12.5", "125 "), False), ("", "x", True), (None, None, True), ("abcdefghij" * 5, "abcdefghij" * 4 + "zzzzzzzzzz", False)]
+    assert all(r.want == r.got for r in spark.createDataFrame(texts, "a string, b string, want boolean").select("want", routing.text_intact(F.col("a"), F.col("b")).alias("got")).collect())
+    sets = spark.createDataFrame([(["a", "b"], ["a"], True), (["a"], ["a"], False), (["a"], ["b"], False)], "x array<string>, y array<string>, want boolean")
+    assert all(r.want == r.got for r in sets.select("want", routing.smaller_violations(F.col("x"), F.col("y")).alias("got")).collect())
+    pages = spark.createDataFrame([(0, 0, 0.0, "blank"), (1, 3, 0.0, "near_blank"), (0, 0, 0.2, None), (2, 50, 0.0, None)], "b int, c int, i double, want string")
+    assert all(r.want == r.got for r in pages.select("want", routing.page_skip(F.col("b"), F.col("c"), F.col("i")).alias("got")).collect())
+    looks = [("single_column", False, False, 9, 0, 0.9, True, False), ("single_column", True, False, 0, 9, 0.0, False, True), ("hero_cover", False, False, 6, 3, 0.0, False, True), ("other", False, False, 8, 2, 0.0, False, True), ("other", False, False, 0, 9, 0.4, True, True), ("other", False, False, 0, 9, 0.4, False, False)]
+    df = spark.createDataFrame(looks, "layout_class string, requires_rebuild boolean, structure_warning boolean, visual_blocks int, text_nodes int, image_coverage double, small_text boolean, want boolean")
+    assert all(r.want == r.got for r in df.select("want", routing.needs_second_reading(df).alias("got")).collect())
