@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmeter.llm import jaccard_join, language_id, mixing, packing, quality_rules
-from docmeter.llm.common import bucket_crc, scratch_path, table
+from docmeter.llm.common import bucket_crc, scratch_path, small, table, written
 from docmeter.llm.tokens import tokenizer_path
 
 
@@ -25,15 +25,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base or that the voting rules hold for bad go."""
-    return quality_rules.judge_quality(docs).where("kept").select(*docs.columns)
+    return quality_rules.keep_good(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that five-word shingles link, the document with the smallest id stays; of repeated ids, one row."""
-    known = jaccard_join.jaccard_components(docs)
-    kept = known.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    first = docs.join(kept, "doc_id", "left_semi")
-    return first.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    known = written(jaccard_join.jaccard_components(docs).where("id is not null"), "components")
+    gone = known.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct()
+    stay = docs.join(small(gone), "doc_id", "left_anti")
+    twice = known.groupBy(F.col("id").alias("doc_id")).count().where("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return stay
+    once = stay.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return stay.join(small(twice), "doc_id", "left_anti").unionByName(once)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

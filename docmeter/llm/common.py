@@ -82,6 +82,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of narrow keys that may be broadcast; more go through a shuffle join.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The (written) rows with a broadcast hint if a count finds at most ``most``, else without."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that each holds about ``most_bytes`` of the column's data (one row at least)."""
     for batch in batches:

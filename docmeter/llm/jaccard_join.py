@@ -20,9 +20,10 @@ Index lists hold (class, size, position), sorted by size. Two kinds of skipping:
   whole sets, computes all their intersections at once and emits a spanning forest
   of the links. Two tiles of one component, or of sizes too far apart, never meet.
 
-Candidates first compare sketches, counts of shingles in ``SKETCH`` ranges of
-hashes: the sum of their differences is at most the sets' symmetric difference,
-so pairs that it puts below the threshold go. The rest are verified exactly on their
+Candidates first compare sketches, a bit for each of two to four times as many ranges
+of hashes as the set has shingles: whether an odd number of them lies there. The
+bits that differ are at most the sets' symmetric difference, so pairs that they put
+below the threshold go. The rest are verified exactly on their
 whole sets. Components need no other pairs: a skipped pair is in one component
 already.
 
@@ -48,8 +49,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmeter.llm.arrays import LOWER_BYTE, flat, mix64, span_hashes, words
-from docmeter.llm.common import sliced, table, written
-from docmeter.llm.components import connected_components
+from docmeter.llm.common import sliced, small, table, written
+from docmeter.llm.components import Forest, connected_components
 
 WORDS = 5
 PERCENT = 75
@@ -58,9 +59,10 @@ MOST_FREQUENT = 1 << 20
 BATCH_BYTES = 1 << 20
 POSTINGS_A_BUCKET = 1_500_000
 BLOOM_BITS = 1 << 25
-SKETCH = 256
 #: Sets in a tile at most, and shingles.
-TILE, TILE_SHINGLES = 500, 1_000_000
+TILE, TILE_SHINGLES = 500, 2_000_000
+#: Sets in a family of candidate pairs up to which all of it is compared.
+BIG = 4000
 #: Tokens that a counting task holds at most before it sends what it has.
 COUNT_BLOCK = 6_000_000
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
@@ -178,8 +180,39 @@ def set_sizes(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """How many of the set's hashes fall into each of SKETCH ranges, 255 at most."""
-    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    """Parity of the number of hashes in each of a power of two of ranges, packed."""
+    bits = max(6, (2 * len(s) - 1).bit_length() if len(s) else 0)
+    return np.packbits(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1).tobytes()
+
+
+class Sketches:
+    """Sketches to be compared with one another, folded to a common number of ranges."""
+
+    def __init__(self, packed: list[bytes]):
+        self.length = np.array([len(x) for x in packed], np.int64)
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in np.unique(self.length).tolist():
+            place = np.full(len(packed), -1)
+            own, wide = np.flatnonzero(self.length == n), np.flatnonzero(self.length == 2 * n)
+            rows = [np.frombuffer(b"".join(packed[i] for i in own), np.uint8).reshape(-1, n)]
+            if len(wide):
+                bits = np.unpackbits(np.frombuffer(b"".join(packed[i] for i in wide), np.uint8)).reshape(-1, 2)
+                rows.append(np.packbits(bits[:, 0] ^ bits[:, 1]).reshape(-1, n))
+            place[np.concatenate([own, wide])] = np.arange(len(own) + len(wide))
+            self.levels[n] = place, np.concatenate(rows)
+
+    def far(self, i: np.ndarray, j: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+        """Whether sketches prove that pairs (i, j) of these sizes together are below the threshold."""
+        out = np.ones(len(i), bool)  # lengths that differ by more than a factor of 2: sizes too far apart
+        level = np.minimum(self.length[i], self.length[j])
+        near = np.maximum(self.length[i], self.length[j]) <= 2 * level
+        for n, (place, rows) in self.levels.items():
+            at = np.flatnonzero(near & (level == n))
+            for k in range(0, len(at), max(1, 4_000_000 // n)):
+                part = at[k : k + max(1, 4_000_000 // n)]
+                apart = np.bitwise_count(rows[place[i[part]]] ^ rows[place[j[part]]]).sum(axis=1, dtype=np.int64)
+                out[part] = (100 + percent) * apart > (100 - percent) * sizes[part]
+        return out
 
 
 def frequent_shingles(packed: DataFrame, most: int = MOST_FREQUENT, above: int = LONG) -> np.ndarray:
@@ -306,37 +339,6 @@ def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int)
     return dealt.mapInArrow(run, "a long, b long, token long, ids binary, sizes binary, places binary")
 
 
-def sketches_far(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches prove that sets of these sizes together are below the threshold."""
-    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1, dtype=np.int64)
-    return (100 + percent) * apart > (100 - percent) * sizes
-
-
-def sketches_far(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches prove that sets of these sizes together are below the threshold."""
-    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1, dtype=np.int64)
-    return (100 + percent) * apart > (100 - percent) * sizes
-
-
-class Forest:
-    """Union-find over numbers; join tells whether an edge was new."""
-
-    def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        parent = self.parent
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.parent[x] = y
-        return x != y
-
-
 def mixed_families(lists: DataFrame, first: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Classes of long lists that may link across components: id, size, part, family."""
 
@@ -352,7 +354,7 @@ def mixed_families(lists: DataFrame, first: DataFrame, parts: DataFrame, percent
         seen = np.zeros(0, np.uint64)  # pairs compared lately: a group's lists are much alike
         forest = Forest()
 
-        def compared(ids: np.ndarray, sizes: np.ndarray, marks: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def compared(ids: np.ndarray, sizes: np.ndarray, marks: Sketches, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
             nonlocal seen
             a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
             keys = mix64(a.view(np.uint64) * np.uint64(3)) ^ b.view(np.uint64)
@@ -361,17 +363,15 @@ def mixed_families(lists: DataFrame, first: DataFrame, parts: DataFrame, percent
             if not len(keys):
                 return
             seen = np.sort(np.concatenate([seen, keys])) if len(seen) < 4_000_000 else np.sort(keys)
-            for k in range(0, len(i), 8192):
-                u, v = i[k : k + 8192], j[k : k + 8192]
-                found = np.flatnonzero(~sketches_far(marks[u], marks[v], sizes[u] + sizes[v], percent)) + k
-                edges = [e for e in zip(a[found].tolist(), b[found].tolist(), strict=True) if forest.join(*e)]
-                if edges:
-                    yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
+            found = np.flatnonzero(~marks.far(i, j, sizes[i] + sizes[j], percent))
+            edges = [e for e in zip(a[found].tolist(), b[found].tolist(), strict=True) if forest.join(*e)]
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
 
         def searched(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(rows)
             ids, sizes, places, part = (whole.column(k).to_numpy() for k in (1, 2, 3, 4))
-            marks = np.frombuffer(b"".join(whole.column(5).to_pylist()), np.uint8).reshape(-1, SKETCH)
+            marks = Sketches(whole.column(5).to_pylist())
             left, right, held = [], [], 0
             ends = np.searchsorted(sizes, sizes * 100 // percent, side="right")
             for i in range(len(ids)):
@@ -452,27 +452,31 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     column, row = place[at[use]], of[use]
     for k in range(0, int(shared.sum()), 4096):
         here = (column >= k) & (column < k + 4096)
-        x = np.zeros((n + m, 4096), np.float32)
+        x = np.zeros((n + m, min(4096, int(shared.sum()) - k)), np.float32)
         x[row[here], column[here] - k] = 1
         out += x[:n] @ x[n:].T
     return out.astype(np.int64)
 
 
-def tile_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components, enough of them to join what any link joins. members: id, part, row, ...; sets: r, s."""
+def tile_links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between parts, enough of them to join what any link joins. members: id, row, size, part, family."""
     rows, meet = tiles_of(members, percent)
     rows, meet = written(rows, "tiles"), written(meet, "tile-pairs")
-    sides = meet.select("left", "right", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("right").alias("tile")))).alias("x")).select("left", "right", "x.*")
-    work = rows.join(sides, "tile").join(members.select("id", "row"), "id").join(sets, F.col("row") == F.col("r"))
-    work = work.select(F.xxhash64("left", "right").alias("task"), "side", "id", "part", "s").repartition("task").sortWithinPartitions("task", "side")
+    task = F.xxhash64("left", "right").alias("task")
+    both = meet.where("left = right").select(F.col("left").alias("tile"), task, F.lit(2).alias("side"))
+    sides = both.unionByName(meet.where("left <> right").select(F.col("left").alias("tile"), task, F.lit(0).alias("side")))
+    sides = sides.unionByName(meet.where("left <> right").select(F.col("right").alias("tile"), task, F.lit(1).alias("side")))
+    places = written(rows.join(sides, "tile").join(members.select("id", F.col("row").alias("r"), "size"), "id").select("r", "task", "side", "id", "part", "size"), "places")
+    work = whole_sets(docs, members.select(F.col("row").alias("r"))).join(small(places), "r")
+    work = work.select("task", "side", "id", "part", "size", "s").repartition("task").sortWithinPartitions("task", "side", "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(held: list[list]) -> Iterator[pa.RecordBatch]:
-            left, right = ([h for h in held if h[0] == side] for side in (0, 1))
+        def linked(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            left, right = [h for h in held if h[0] != 1], [h for h in held if h[0] != 0]
             if not left or not right:
                 return
-            common = common_counts([h[3] for h in left], [h[3] for h in right])
-            sizes = np.array([len(h[3]) for h in left])[:, None] + np.array([len(h[3]) for h in right])[None, :]
+            common = common_counts([h[4] for h in left], [h[4] for h in right])
+            sizes = np.array([h[3] for h in left])[:, None] + np.array([h[3] for h in right])[None, :]
             pa_, pb = (np.array([h[2] for h in side]) for side in (left, right))
             u, v = np.nonzero((100 * common >= percent * (sizes - common)) & (pa_[:, None] != pb[None, :]))
             forest = Forest()
@@ -480,39 +484,53 @@ def tile_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
 
-        task, held = None, []
+        task, held, last = None, [], None
         for batch in batches:
-            for t, side, i, part, s in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
+            for t, side, i, part, size, s in zip(*[batch.column(k).to_pylist() for k in range(6)], strict=True):
                 if t != task:
                     yield from linked(held)
-                    task, held = t, []
-                held.append([side, i, part, np.frombuffer(s, np.uint64)])
+                    task, held, last = t, [], None
+                if (side, i) != last:  # repeated rows send a set twice
+                    held.append((side, i, part, size, unpacked(s)))
+                last = (side, i)
         yield from linked(held)
 
     return work.mapInArrow(compared, "a long, b long").distinct()
 
 
 def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) that their sketches don't rule out, with the row that stands for each: ra, rb."""
+    """Candidate pairs (a, b) that their sketches don't rule out, with the row that stands for each (ra, rb) and the sizes (na, nb)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 5000):
                 batch = whole.slice(start, 5000)
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH) for k in (4, 5))
-                far = sketches_far(x, y, batch.column(6).to_numpy() + batch.column(7).to_numpy(), percent)
-                yield batch.select([0, 1, 2, 3]).filter(pa.array(~far))
+                n = batch.num_rows
+                marks = Sketches(batch.column(4).to_pylist() + batch.column(5).to_pylist())
+                far = marks.far(np.arange(n), np.arange(n, 2 * n), batch.column(6).to_numpy() + batch.column(7).to_numpy(), percent)
+                yield batch.select([0, 1, 2, 3, 6, 7]).filter(pa.array(~far))
 
     wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     known = first.where("bucket is null").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min("row").alias("r"), F.min("sketch").alias("s"), F.min("n").alias("n"))
     known = written(known, "sketches")
     both = pairs.join(known.select(F.col("digest").alias("a"), F.col("r").alias("ra"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
     both = both.join(known.select(F.col("digest").alias("b"), F.col("r").alias("rb"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
-    return both.select("a", "b", "ra", "rb", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, ra long, rb long")
+    return both.select("a", "b", "ra", "rb", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, ra long, rb long, na long, nb long")
+
+
+def packed48(s: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash. Two sets of n and m shingles share one more than they should in n m / 2^48 cases."""
+    return s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    """r, s: the sets of the rows named in ``wanted`` (r), written; texts that a Bloom filter leaves out aren't worked on."""
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """r, s: packed sets of the rows named in ``wanted`` (r) and of few others: texts that a Bloom filter leaves out aren't worked on."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BLOOM_BITS, bool)
@@ -536,22 +554,37 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
                 hit &= (bloom[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
             if hit.any():
                 chosen = batch.filter(pa.array(hit))
-                yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array([s.tobytes() for s in shingle_sets(chosen.column(2))], pa.binary())], names=["r", "s"])
+                yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array([packed48(s) for s in shingle_sets(chosen.column(2))], pa.binary())], names=["r", "s"])
 
-    # a row's key may occur twice (repeated rows): that only repeats comparisons
-    return written(docs.mapInArrow(sets, "r long, s binary").join(wanted, "r", "left_semi"), name)
+    return docs.mapInArrow(sets, "r long, s binary")
 
 
 def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b) those whose whole sets reach the threshold."""
+    """Links (a, b) among candidate pairs, at least as many as join what any link of them joins.
+
+    Pairs form families; small ones are compared in tiles, where a set is sent
+    about once. Pairs of families above ``BIG`` sets (an anchor's star) are compared one by one.
+    """
     near = written(alike(pairs, first, percent), "pairs-alike")
-    whole = whole_sets(docs, near.select(F.col("ra").alias("r")).unionByName(near.select(F.col("rb").alias("r"))).distinct(), "sets")
+    families = connected_components(near.select("a", "b"))
+    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    families = written(families.join(sizes, "component").select("node", "component", "n"), "pair-families")
+    ends = near.select(F.col("a").alias("id"), F.col("ra").alias("row"), F.col("na").alias("size")).unionByName(near.select(F.col("b").alias("id"), F.col("rb").alias("row"), F.col("nb").alias("size")))
+    members = ends.join(families.where(F.col("n") <= BIG), F.col("id") == F.col("node")).groupBy("id").agg(F.min("row").alias("row"), F.min("size").alias("size"), F.min("component").alias("family"))
+    members = written(members.withColumn("part", F.col("id")), "pair-members")
+    links = tile_links(docs, members, percent)
+    stars = families.where(F.col("n") > BIG)
+    if stars.isEmpty():
+        return links
+    near = written(near.join(stars.select(F.col("node").alias("a")), "a", "left_semi"), "pairs-of-stars")
+    wanted = near.select(F.col("ra").alias("r")).unionByName(near.select(F.col("rb").alias("r"))).distinct()
+    whole = written(whole_sets(docs, wanted).join(wanted, "r", "left_semi"), "sets")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = []
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(k)[i].as_py(), np.uint64) for k in (2, 3))
+                x, y = (unpacked(batch.column(k)[i].as_py()) for k in (2, 3))
                 at = np.searchsorted(x, y)
                 common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
                 if 100 * common >= percent * (len(x) + len(y) - common):
@@ -560,7 +593,7 @@ def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int)
 
     near = near.join(whole.select(F.col("r").alias("rb"), F.col("s").alias("sb")), "rb")
     near = near.join(whole.select(F.col("r").alias("ra"), F.col("s").alias("sa")), "ra").select("a", "b", "sa", "sb")
-    return near.mapInArrow(compared, "a long, b long").distinct()
+    return links.unionByName(near.mapInArrow(compared, "a long, b long")).distinct()
 
 
 def _bloom(d: np.ndarray) -> list[np.ndarray]:
@@ -584,7 +617,7 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", p
     if not lists.isEmpty():
         members = written(mixed_families(lists, first, parts, percent), "families")
         if not members.isEmpty():
-            more = tile_links(members, whole_sets(docs, members.select(F.col("row").alias("r")), "family-sets"), percent)
+            more = tile_links(docs, members, percent)
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
             parts = connected_components(stars.unionByName(more))
     named = rows.join(parts, rows["digest"] == parts["node"], "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("part"))

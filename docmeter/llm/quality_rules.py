@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import BLANKS, table, text_of, written
+from docmeter.llm.common import BLANKS, small, table, text_of, written
 
 SYMBOLS = r"[#*$%&|<>]"
 #: Runs of what prose seldom holds: neither letters, white space nor common punctuation.
@@ -152,14 +152,13 @@ def posterior(model: tuple[float, list[list[list[float]]]]) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def judge_quality(df: DataFrame, text: str = "text", least: float = 0.5, keep_text: bool = True) -> DataFrame:
-    """The rows with statistics, base_failed, quality_posterior and kept.
+def judge_quality(df: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows without the text, with statistics, base_failed, quality_posterior and kept.
 
     Rows that fail the base are not kept and don't count in the estimate.
     """
-    carried = df if keep_text else df.select(*[c for c in df.columns if c != text], F.col(text).alias("_whole"))
-    stats = text_statistics(carried, text if keep_text else "_whole")
-    stats = written((stats if keep_text else stats.drop("_whole")).withColumn("base_failed", base_failed()), "quality-stats")
+    stats = text_statistics(df.withColumn("_whole", F.col(text)).drop(text), "_whole").drop("_whole")
+    stats = written(stats.withColumn("base_failed", base_failed()), "quality-stats")
     voted = with_votes(stats)
     names = [f"_vote_{name}" for name in rules()]
     counts = voted.where(~F.col("base_failed")).groupBy(*names).count().collect()  # at most 3**8 rows
@@ -169,7 +168,15 @@ def judge_quality(df: DataFrame, text: str = "text", least: float = 0.5, keep_te
     return judged.drop(*names)
 
 
+def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that are kept. Texts aren't written: verdicts come back by a hash of row and text."""
+    key = F.xxhash64(*[F.col(c) for c in df.columns])
+    judged = judge_quality(df.select(key.alias("_row"), text), text)
+    rejected = written(judged.where("not kept").select("_row").distinct(), "rejected")
+    return df.withColumn("_row", key).join(small(rejected), "_row", "left_anti").drop("_row")
+
+
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract digest: statistics and verdict of every whole text of ``documents``."""
-    judged = judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    judged = judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_posterior")

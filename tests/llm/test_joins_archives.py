@@ -31,10 +31,11 @@ def closure(nodes: list, links: list[tuple]) -> dict:
 
 
 @pytest.mark.parametrize("links", [[], [(1, 2)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 60)], [(i, (i * 7) % 50) for i in range(50)], [(5, 5), (9, 3), (3, 9)]])
-def test_components(spark, links):
+@pytest.mark.parametrize("local", [0, 1000])
+def test_components(spark, links, local):
     df = spark.createDataFrame([*links, (None, 4)], "a long, b long")
     want = closure(sorted({x for p in links if p[0] != p[1] for x in p}), [p for p in links if p[0] != p[1]])
-    assert {r.node: r.component for r in connected_components(df).collect()} == want
+    assert {r.node: r.component for r in connected_components(df, local).collect()} == want
 
 
 def vectors_by_brute_force(rows: list[tuple], cosine: float) -> dict:
@@ -143,6 +144,19 @@ def test_common_counts(left, right):
     assert jaccard_join.common_counts(a, b).tolist() == [[len(x & y) for y in right] for x in left]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 400), max_size=90), min_size=2, max_size=6))
+def test_sketches_never_rule_out_a_link(picked):
+    from docmeter.llm.arrays import mix64
+
+    sets = [np.sort(mix64(np.array(sorted(x), np.uint64) + np.uint64(1))) for x in picked]
+    marks = jaccard_join.Sketches([jaccard_join.sketch(s) for s in sets])
+    for i, x in enumerate(picked):
+        for j, y in enumerate(picked):
+            far = marks.far(np.array([i]), np.array([j]), np.array([len(x) + len(y)]), 75)[0]
+            assert not (far and 100 * len(x & y) >= 75 * len(x | y) and x)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 20), max_size=6), max_size=9))
 def test_loser_tree_merges(runs):

@@ -52,8 +52,10 @@ def test_votes_keep_prose_and_drop_junk(spark):
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, want string, kept string")
     out = quality_rules.judge_quality(df)
     got = out.collect()
-    assert len(got) == len(rows) and out.columns[:3] == ["doc_id", "text", "want"]
+    assert len(got) == len(rows) and out.columns[:2] == ["doc_id", "want"]
     assert all(r.kept == (r.want == "keep") for r in got)
+    kept = quality_rules.keep_good(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows if r[2] == "keep")
     assert quality_rules.judge_quality(df.limit(0)).count() == 0
 
 
