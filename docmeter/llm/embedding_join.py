@@ -79,8 +79,8 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
 
 
-def classes(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """Distinct (label, vector) of usable rows: rep (smallest id), n, label, vector."""
+def with_usable(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
+    """id, vector (double), label and whether the row can link at all."""
     v = F.col("vector")
     usable = F.col("label").isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), F.col(label).alias("label"))
@@ -89,7 +89,7 @@ def classes(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
 
 def link_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: str = "embedding", label: str = "label", chunk: int = CHUNK) -> DataFrame:
     """One row a vector: id, n_links, component_id."""
-    rows = classes(vectors, key, vector, label)
+    rows = with_usable(vectors, key, vector, label)
     usable = rows.where("usable").select("id", "label", "vector", F.xxhash64("label", "vector").alias("h"))
     reps = usable.groupBy("h", "label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     reps = written(reps.withColumn("dim", F.size("vector")), "vector-classes")

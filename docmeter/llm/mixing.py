@@ -51,8 +51,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
         .withColumn("_level", F.col("_left") / F.col("_w_left"))
     )
     fits = F.col("_cap") >= F.col("_w") * F.col("_level")
-    each = each.withColumn("_final", F.min(F.when(fits, F.struct(F.col("_cap") / F.col("_w"), F.col("_level"))))
-                           .over(Window.partitionBy())["_level"])
+    first_fit = F.min(F.when(fits, F.struct(F.col("_cap") / F.col("_w"), F.col("_level")))).over(Window.partitionBy())
+    each = each.withColumn("_final", first_fit["_level"])
     return each.select("source", "source_size", F.when(F.col("_final").isNull(), F.col("_cap")).otherwise(F.least("_cap", F.col("_w") * F.col("_final"))).alias("target"))
 
 
