@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmeter.functions import color
 from docmeter.operators import evaluation as ev
-from docmeter.operators import html, records, routing, structure, text
+from docmeter.operators import checks, html, records, routing, structure, text
 from docmeter.plans.derived import CALIBRATIONS, EXPERIMENTS, JOBS, calibrations, experiments, jobs, scores, table
 from docmeter.streaming import events as st
 
@@ -558,3 +558,53 @@ c as (select *, count(case when own is null then 1 end) over (partition by conv_
 def slide_titles(spark, sf):
     s = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("slide"), F.substring("text", 1, 6).alias("title"), (F.col("role") != "system").alias("has_placeholder"))
     return routing.slide_titles(s).select("doc_id", "slide", "issue")
+
+
+# Document checks
+
+
+@query("""with f as (select o_orderkey k from orders), r as (select k, 'doc-accessibility-permission' rule_id, k % 13 <> 0 ok from f union all select k, 'doc-not-image-only', k % 7 > 0 from f union all select k, 'doc-tagged', k % 5 <> 0 from f
+union all select k, 'doc-language', k % 4 <> 0 from f union all select k, 'doc-display-title', k % 3 <> 0 from f union all select k, 'doc-bookmarks', k % 40 <= 20 or k % 2 = 0 from f union all select k, 'page-tab-order', k % 40 = k % 35 from f
+union all select k, 'page-no-flicker', true from f union all select k, 'page-no-scripts', k % 6 = 0 from f union all select k, 'page-no-timed-responses', k % 9 = 0 from f)
+select k doc_id, rule_id, case when ok then 'Passed' else 'Failed' end status from r""")
+def document_checks(spark, sf):
+    k = F.col("o_orderkey")
+    facts = table(spark, sf, "orders").select(
+        k.alias("doc_id"), (k % 13 != 0).alias("assistive_access"), (k % 7).alias("text_pages"), (k % 5 != 0).alias("has_tags"), F.when(k % 4 != 0, "en").alias("lang"),
+        (k % 3 != 0).alias("display_title"), F.lit("t").alias("title"), (k % 40).alias("pages"), (k % 2 == 0).alias("has_outline"), (k % 35).alias("pages_in_tab_order"),
+        F.lit(0).alias("flicker_objects"), (k % 6).alias("scripts"), (k % 9).alias("timed_actions"),
+    )
+    return checks.document_checks(facts)
+
+
+@query("""select l_suppkey doc_id, l_linenumber page, lower(l_returnflag) "text", count(distinct l_partkey) targets from lineitem where l_orderkey % 50 = 0 group by 1, 2, 3 having count(distinct l_partkey) > 1""")
+def repeated_link_texts(spark, sf):
+    links = table(spark, sf, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_suppkey").alias("doc_id"), F.col("l_linenumber").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_partkey").alias("target"))
+    return checks.repeated_links(links)
+
+
+@query("""with s as (select l_orderkey doc_id, l_linenumber as row_no, case when l_quantity % 4 = 0 then 2 else 1 end w, case when l_suppkey % 5 = 0 then 2 else 1 end h from lineitem), m as (select doc_id, max(row_no) last from s group by 1),
+c as (select doc_id, unnest(range(row_no, least(row_no + h - 1, last) + 1)) row_no, w from s join m using (doc_id)), w as (select doc_id, row_no, sum(w) width from c group by 1, 2)
+select doc_id, 1 "table", cast(min(width) as bigint) narrowest, cast(max(width) as bigint) widest from w group by 1 having min(width) <> max(width)""")
+def table_regularity(spark, sf):
+    cells = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("table"), F.col("l_linenumber").alias("row"), F.when(F.col("l_quantity") % 4 == 0, 2).otherwise(5000).alias("col_span"), F.when(F.col("l_suppkey") % 5 == 0, 2).alias("row_span"))
+    return checks.irregular_tables(cells)
+
+
+@query(r"""with c as (select conv_id, turn, text from conversations), b as (select conv_id doc_id, 'manual_bullet' rule, turn seq from c where regexp_matches(coalesce(text, ''), '^\s*([•\-*]\s+|\d+[.)]\s+)')),
+n as (select conv_id doc_id, 'headings_present' rule, cast(null as bigint) seq from conversations group by 1 having not bool_or(role = 'system')), o as (select conv_id doc_id, 'opens_without_heading' rule, turn seq from (select *, row_number() over (partition by conv_id order by turn) k from conversations where trim(coalesce(text, '')) <> '') where k = 1 and role <> 'system'),
+l as (select conv_id, turn, turn % 4 + 1 lv, lag(turn % 4 + 1) over (partition by conv_id order by turn) p from conversations where role = 'system'), s as (select conv_id doc_id, 'heading_skip' rule, turn seq from l where lv > coalesce(p, 0) + 1)
+select rule, count(*) findings, count(distinct doc_id) documents, coalesce(sum(seq), 0) seqs from (select * from b union all select * from n union all select * from o union all select * from s) group by 1""")
+def paragraph_findings(spark, sf):
+    heading = F.col("role") == "system"
+    p = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("seq"), "text", F.when(heading, F.col("turn") % 4 + 1).alias("level"), heading.alias("is_heading"), F.lit(False).alias("numbered"), F.lit(False).alias("coloured"))
+    out = checks.paragraph_findings(p)
+    return out.groupBy("rule").agg(F.count(F.lit(1)).alias("findings"), F.countDistinct("doc_id").alias("documents"), F.coalesce(F.sum("seq"), F.lit(0)).alias("seqs"))
+
+
+@query(r"""with i as (select conv_id, length(coalesce(text, '')) >= 40 ok from conversations where role = 'assistant'), g as (select conv_id, count(*) items, sum(cast(ok as int)) good from i group by 1)
+select k.conv_id, coalesce(items, 0) items, cast(coalesce(good, 0) as bigint) good, case when coalesce(items, 0) = 0 then 1 else round(good / items, 4) end score, coalesce(items, 0) > 0 applicable, case when coalesce(items, 0) = 0 then 1 else round(good / items, 4) end >= 0.85 passed
+from (select distinct conv_id from conversations) k left join g using (conv_id)""")
+def judge_ratio(spark, sf):
+    c = table(spark, sf, "conversations")
+    return checks.ratio_score(c.where("role = 'assistant'"), "conv_id", F.length(F.coalesce("text", F.lit(""))) >= 40, 0.85, keys=c)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmeter import schemas
 from docmeter.functions import color
-from docmeter.operators import dom, evaluation, html, records, routing, structure, text
+from docmeter.operators import checks, dom, evaluation, html, records, routing, structure, text
 from docmeter.sources import files
 from docmeter.streaming import events
 
@@ -226,3 +226,19 @@ def test_routing_predicates(spark):
     looks = [("single_column", False, False, 9, 0, 0.9, True, False), ("single_column", True, False, 0, 9, 0.0, False, True), ("hero_cover", False, False, 6, 3, 0.0, False, True), ("other", False, False, 8, 2, 0.0, False, True), ("other", False, False, 0, 9, 0.4, True, True), ("other", False, False, 0, 9, 0.4, False, False)]
     df = spark.createDataFrame(looks, "layout_class string, requires_rebuild boolean, structure_warning boolean, visual_blocks int, text_nodes int, image_coverage double, small_text boolean, want boolean")
     assert all(r.want == r.got for r in df.select("want", routing.needs_second_reading(df).alias("got")).collect())
+
+
+def test_paragraph_and_table_checks(spark):
+    rows = [
+        (1, 0, "Body first", None, False, False, False), (1, 1, "Title", 2, True, False, False), (1, 2, "- item", None, False, False, False), (1, 3, "- item", None, False, True, False),
+        (1, 4, "Required fields are in red", None, False, False, True), (1, 5, "Sub", 4, True, False, False), (2, 0, "Only text", None, False, False, False), (3, 0, "Top", 1, True, False, False),
+    ]
+    df = spark.createDataFrame(rows, "doc_id int, seq int, text string, level int, is_heading boolean, numbered boolean, coloured boolean")
+    got = {(r.doc_id, r.rule, r.seq) for r in checks.paragraph_findings(df).collect()}
+    assert got == {(1, "opens_without_heading", 0), (1, "heading_skip", 1), (1, "heading_skip", 5), (1, "manual_bullet", 2), (1, "colour_only", 4), (2, "headings_present", None), (2, "opens_without_heading", 0)}
+    tables = spark.createDataFrame([(1, 1, 1, False, True), (1, 1, 2, True, False), (1, 2, 1, True, False), (1, 3, 1, None, None)], "doc_id int, table int, row int, is_header boolean, has_merged boolean")
+    assert {(r.table, r.rule) for r in checks.table_header_findings(tables).collect()} == {(1, "header_unmarked"), (1, "header_merged"), (3, "header_unmarked")}
+    cells = spark.createDataFrame([(1, 1, 1, 10**9, 1), (1, 1, 1, 1, 2), (1, 1, 2, 1, 1), (1, 2, 1, 2, 1), (1, 2, 2, 1, 1)], "doc_id int, table int, row int, col_span int, row_span int")
+    assert [(r.table, r.narrowest, r.widest) for r in checks.irregular_tables(cells).collect()] == [(2, 1, 2)]
+    content, tagged = spark.range(4).select(F.lit(1).alias("doc_id"), "id"), spark.range(2).select(F.lit(1).alias("doc_id"), "id")
+    assert checks.untagged(content, tagged, ["doc_id", "id"], "page-content-tagged").count() == 2
