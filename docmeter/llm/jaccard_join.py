@@ -57,14 +57,14 @@ PERCENT = 75
 LONG = 16
 MOST_FREQUENT = 1 << 20
 BATCH_BYTES = 1 << 20
-POSTINGS_A_BUCKET = 1_500_000
+POSTINGS_A_BUCKET = 700_000
 BLOOM_BITS = 1 << 25
 #: Sets in a tile at most, and shingles.
 TILE, TILE_SHINGLES = 500, 2_000_000
 #: Sets in a family of candidate pairs up to which all of it is compared.
 BIG = 4000
-#: Tokens that a counting task holds at most before it sends what it has.
-COUNT_BLOCK = 6_000_000
+#: Shingles that a counting task holds at most before it sends what it has found twice among them.
+COUNT_BLOCK = 2_000_000
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
 COUNTED = 0.4
 #: One for each word of a shingle.
@@ -292,11 +292,21 @@ def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int)
             if not parts:
                 return
             tokens, ids, sizes, places = (np.concatenate(x) for x in zip(*parts, strict=True))
+            parts.clear()
+            order = np.argsort(tokens, kind="stable")
+            tokens = tokens[order]
+            shared = np.zeros(len(tokens), bool)  # most shingles stand in one set only
+            shared[1:] = tokens[1:] == tokens[:-1]
+            shared[:-1] |= shared[1:]
+            order, tokens = order[shared], tokens[shared]
+            ids, sizes, places = ids[order], sizes[order].astype(np.int64), places[order].astype(np.int64)
             order = np.lexsort((ids, sizes, tokens))
-            tokens, ids, sizes, places = tokens[order], ids[order], sizes[order].astype(np.int64), places[order].astype(np.int64)
+            tokens, ids, sizes, places = tokens[order], ids[order], sizes[order], places[order]
             once = np.ones(len(tokens), bool)
             once[1:] = (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])  # copies that other tasks sent
             tokens, ids, sizes, places = tokens[once], ids[once], sizes[once], places[once]
+            if not len(tokens):
+                return
             starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             length = np.diff(np.concatenate([starts, [len(tokens)]]))
             of = np.repeat(length, length)
