@@ -57,14 +57,14 @@ PERCENT = 75
 LONG = 16
 MOST_FREQUENT = 1 << 20
 BATCH_BYTES = 1 << 20
-POSTINGS_A_BUCKET = 700_000
+POSTINGS_A_BUCKET = 600_000
 BLOOM_BITS = 1 << 25
 #: Sets in a tile at most, and shingles.
-TILE, TILE_SHINGLES = 500, 2_000_000
+TILE, TILE_SHINGLES = 500, 500_000
 #: Sets in a family of candidate pairs up to which all of it is compared.
 BIG = 4000
 #: Shingles that a counting task holds at most before it sends what it has found twice among them.
-COUNT_BLOCK = 2_000_000
+COUNT_BLOCK = 1_500_000
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
 COUNTED = 0.4
 #: One for each word of a shingle.
