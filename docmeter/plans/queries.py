@@ -133,6 +133,13 @@ def page_range_format(spark, sf):
     return records.page_ranges(rows, "k", "p")
 
 
+@query("""with d as (select distinct l_suppkey k, l_linenumber p from lineitem where l_quantity > 40), g as (select k, p, p - row_number() over (partition by k order by p) i from d),
+r as (select k, min(p) a, max(p) b from g group by k, i) select k, string_agg(case when a = b then cast(a as varchar) else concat(a, '-', b) end, ', ' order by a) pages from r group by k""")
+def page_range_format_all(spark, sf):
+    rows = table(spark, sf, "lineitem").where("l_quantity > 40").select(F.col("l_suppkey").alias("k"), F.col("l_linenumber").alias("p"))
+    return records.page_ranges(rows, "k", "p")
+
+
 # Evaluation
 
 
@@ -225,6 +232,11 @@ def judge_ensemble(spark, sf):
     return ev.judge_ensemble(scores(spark, sf).where("document_id % 5 = 0"), ["document_id", "dimension"])
 
 
+@query(f"with {EXPERIMENTS} select document_id, dimension, round(avg(score), 6) score, round(coalesce(var_pop(score), 0), 6) variance, count(*) judges, avg(score) < 0.8 failing from scores group by 1, 2")
+def judge_ensemble_all(spark, sf):
+    return ev.judge_ensemble(scores(spark, sf), ["document_id", "dimension"])
+
+
 @query(f"""with {EXPERIMENTS}, v as (select document_id, round(avg(score), 6) < 0.8 failing from scores group by 1), t as (select document_id, bool_and(passed) a from experiments where line <= 2 group by 1)
 select v.document_id, failing, case when a is null then failing else not a end final_failing from v left join t using (document_id)""")
 def behaviour_precedence(spark, sf):
@@ -426,7 +438,7 @@ def heading_tiers(spark, sf):
 
 @query()
 def reading_order(spark, sf):
-    p = table(spark, sf, "lineitem").where("l_orderkey % 20 = 0").select(
+    p = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), F.col("l_linenumber").cast("int").alias("idx"), (F.col("l_suppkey") % 2 * 300.0).alias("left"),
         (700 - F.col("l_linenumber") * 60.0).alias("bottom"), (F.col("l_suppkey") % 2 * 300.0 + 250).alias("right"), (740 - F.col("l_linenumber") * 60.0).alias("top"),
     )
@@ -560,6 +572,13 @@ def slide_titles(spark, sf):
     return routing.slide_titles(s).select("doc_id", "slide", "issue")
 
 
+@query("""with s as (select conv_id, turn, lower(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))) t, role <> 'system' p from conversations), o as (select *, case when not p then 'missing_placeholder' when t = '' then 'empty_title' end own from s),
+c as (select *, count(case when own is null then 1 end) over (partition by conv_id, t) n from o) select conv_id doc_id, turn slide, coalesce(own, case when n > 1 then 'repeated_title' end) issue from c""")
+def slide_titles_whole(spark, sf):
+    s = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("slide"), F.col("text").alias("title"), (F.col("role") != "system").alias("has_placeholder"))
+    return routing.slide_titles(s).select("doc_id", "slide", "issue")
+
+
 # Document checks
 
 
@@ -583,6 +602,12 @@ def repeated_link_texts(spark, sf):
     return checks.repeated_links(links)
 
 
+@query("""select l_suppkey doc_id, l_linenumber page, lower(l_returnflag) "text", count(distinct l_partkey) targets from lineitem group by 1, 2, 3 having count(distinct l_partkey) > 1""")
+def repeated_link_texts_all(spark, sf):
+    links = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("doc_id"), F.col("l_linenumber").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_partkey").alias("target"))
+    return checks.repeated_links(links)
+
+
 @query("""with s as (select l_orderkey doc_id, l_linenumber as row_no, case when l_quantity % 4 = 0 then 2 else 1 end w, case when l_suppkey % 5 = 0 then 2 else 1 end h from lineitem), m as (select doc_id, max(row_no) last from s group by 1),
 c as (select doc_id, unnest(range(row_no, least(row_no + h - 1, last) + 1)) row_no, w from s join m using (doc_id)), w as (select doc_id, row_no, sum(w) width from c group by 1, 2)
 select doc_id, 1 "table", cast(min(width) as bigint) narrowest, cast(max(width) as bigint) widest from w group by 1 having min(width) <> max(width)""")
