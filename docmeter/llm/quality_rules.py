@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from docmeter.llm.common import BLANKS, small, table, text_of, written
 
 SYMBOLS = r"[#*$%&|<>]"
-#: Runs of what prose seldom holds: neither letters, white space nor common punctuation.
-ODD_RUN = r"[^\p{L}\s.,;:!?'()\-]+"
+#: Ends of sentences in many scripts: Latin, Armenian, Arabic, Urdu, Devanagari, Tibetan, Burmese, Ethiopic, Khmer, CJK, full and half width.
+ENDS = r".!?\u0589\u061F\u06D4\u0964\u0965\u0F0D\u0F0E\u104A\u104B\u1362\u1367\u1368\u17D4\u17D5\u2026\u203C\u2047-\u2049\u3002\uFF01\uFF0E\uFF1F\uFF61"
+#: Other punctuation of prose: quotes, dashes, apostrophes, openers, commas and colons of other scripts.
+PAUSES = r"\p{Pi}\p{Pf}\p{Pd},;:'\"()\u00A1\u00B7\u00BF\u055A-\u055E\u05BE\u05F3\u05F4\u060C\u061B\u066A-\u066C\u0F0B\u0F0C\u1361\u1363-\u1366\u17D6\u201A\u201E\u3001\u3008-\u3011\u3014-\u301B\u30FB\uFF08\uFF09\uFF0C\uFF1A\uFF1B\uFF62-\uFF65"
+#: Runs of what prose seldom holds: neither letters with their marks and joiners, digits, white space nor punctuation of prose.
+ODD_RUN = rf"[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Z}}\s\u200B-\u200F\u00AD{ENDS}{PAUSES}]+"
 WINDOW = 5
 _TRIM = " \t\n\x0b\x0c\r"
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_upper", "n_letters", "n_stops", "n_bangs", "n_odd_runs")
@@ -77,7 +81,7 @@ def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
         "n_distinct_words": F.size(F.array_distinct("_words")),
         "n_upper": removed(r"\p{Lu}+"),
         "n_letters": removed(r"\p{L}+"),
-        "n_stops": removed(r"\."),
+        "n_stops": removed(f"[{ENDS}]"),
         "n_bangs": removed("!+"),
         "n_odd_runs": F.regexp_count("_text", F.lit(ODD_RUN)),
     }

@@ -59,6 +59,22 @@ def test_votes_keep_prose_and_drop_junk(spark):
     assert quality_rules.judge_quality(df.limit(0)).count() == 0
 
 
+HINDI = "भारत एक विशाल देश है और यहाँ अनेक भाषाएँ बोली जाती हैं। लोग अपने त्योहार मिलकर मनाते हैं। गाँव के बच्चे हर सुबह नदी के किनारे खेलते हैं। क्या आपने उन्हें देखा है?"
+FRENCH = "« L’hiver dernier », dit-elle, « j’ai vu qu’il n’était pas d’accord… » C’est l’histoire d’une ville – et d’un fleuve. Aujourd’hui, l’eau n’est plus la même ; on s’en souvient depuis 1997."
+URDU = "یہ ایک پرانا شہر ہے، جہاں لوگ دور دور سے آتے ہیں۔ کیا آپ نے یہ شہر دیکھا ہے؟ بازار میں ہر روز نئی چیزیں ملتی ہیں۔ بچے شام کو باغ میں کھیلتے ہیں اور بڑے باتیں کرتے ہیں۔"
+RUSSIAN = "«Зима была долгой», — сказал он и закрыл дверь. „Весна“ пришла поздно, но к 12 апреля снег уже сошёл! Дети вышли на улицу, и город снова ожил. Никто больше не вспоминал о холоде и ветре."
+
+
+def test_clean_texts_of_other_scripts_are_kept(spark):
+    texts = [HINDI, FRENCH, URDU, RUSSIAN]
+    rows = [(i, prose(i)) for i in range(60)] + [(100 + i, junk(i)) for i in range(8)] + [(200 + i, t) for i, t in enumerate(texts)]
+    judged = {r.doc_id: r for r in quality_rules.judge_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        r = judged[200 + i]
+        assert (r.n_odd_runs, r.n_stops) == (0, len(re.findall("[.!?…।؟۔]", t))) and r.n_words >= 28 and r.kept
+    assert all(judged[k].kept == (k < 60) for k in judged if k < 200)
+
+
 def test_estimate_matches_enumeration():
     """The mixture's likelihood can't be bettered nearby, and posteriors follow from its parameters."""
     rng = np.random.default_rng(5)
