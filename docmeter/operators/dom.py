@@ -414,6 +414,26 @@ def remediate(html: str) -> tuple[str, list[str]]:
     return render(root), done
 
 
+def links(html: str) -> list[tuple[int, str, str]]:
+    """(index, text, target) of each a with href in order. A link without text goes by its aria-label, its images' alt or its title; a link left open ends at the next."""
+    out = []
+    for a in parse(html).all("a"):
+        if "href" not in a.attrs:
+            continue
+        parts, alts, stack = [], [], list(reversed(a.children))
+        while stack:
+            n = stack.pop()
+            if n.tag is None:
+                parts.append(n.text)
+            elif n.tag == "img":
+                alts.append(n.get("alt"))
+            if n.tag != "a" and n.tag not in RAW:
+                stack.extend(reversed(n.children))
+        names = ("".join(parts), a.get("aria-label"), " ".join(alts), a.get("title"))
+        out.append((len(out), next((t for t in (" ".join(x.split()) for x in names) if t), ""), a.get("href")))
+    return out
+
+
 def tokens(html: str) -> list[tuple[int, int, str, dict[str, str], str]]:
     """(seq, depth, tag, attributes, text below) of each element in order."""
     out, stack = [], [(c, 0) for c in reversed(parse(html).children)]

@@ -88,7 +88,23 @@ def heading_levels(pages: DataFrame, key: str = "page_id", html: str = "html") -
 
 
 def links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, link_index, text, target of each simple link."""
-    found = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"<a\s+href=\"([^\"]*)\"[^>]*>([^<]*)</a>"), F.lit(0))
-    rows = pages.select(key, F.posexplode(found).alias("link_index", "_a"))
-    return rows.select(key, "link_index", F.regexp_extract("_a", r">([^<]*)</a>$", 1).alias("text"), F.regexp_extract("_a", r"href=\"([^\"]*)\"", 1).alias("target"))
+    """key, link_index, text, target of each link, whatever its attributes' order, quotes and case and the markup inside."""
+    from docmeter.operators import dom
+
+    rows = pages.select(key, html)
+    schema = T.StructType([rows.schema.fields[0], *T.StructType.fromDDL("link_index int, text string, target string").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 64):
+                batch = whole.slice(start, 64)
+                at, out = [], []
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    found = dom.links(text or "")
+                    at += [i] * len(found)
+                    out += found
+                if out:
+                    columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int32(), pa.string(), pa.string()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *columns], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
