@@ -66,6 +66,19 @@ def token_set(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), 0))
 
 
+def contained_items(docs: DataFrame, items: DataFrame, least: float = 0.8, key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
+    """key, item, overlap of each document row and item of which the row's text holds a share ``least`` of distinct tokens, over all pairs. Items without tokens are in none.
+
+    Tokens are joined and counted per document row (told apart by a running id, so repeated keys don't mix); Spark's size check decides whether the items' tokens are broadcast.
+    """
+    tokens = items.select(item, token_set(F.col(text)).alias("_a"))
+    tokens = tokens.select(item, F.size("_a").alias("_n"), F.explode("_a").alias("_token"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), key, token_set(F.col(text)).alias("_t"))
+    words = rows.select("_row", key, F.explode("_t").alias("_token"))
+    shared = words.join(tokens, "_token").groupBy("_row", key, item, "_n").agg(F.count(F.lit(1)).alias("_k"))
+    return shared.where(F.col("_k") >= least * F.col("_n")).select(key, item, F.round(F.col("_k") / F.col("_n"), 6).alias("overlap"))
+
+
 def word_fidelity(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Share of words (with repeats) that an edit kept: 1 - lost / words before, at least one."""
 

@@ -321,6 +321,12 @@ def token_containment(spark, sf):
     return d.join(b, "item_id").select("doc_id", F.round(text.containment(F.col("a"), F.col("t")), 6).alias("overlap"))
 
 
+@query(r"""with b as (select item_id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) a from benchmark), d as (select doc_id, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) t from documents)
+select doc_id, item_id, round(len(list_intersect(a, t)) / len(a), 6) overlap from d, b where len(a) > 0 and len(list_intersect(a, t)) >= 0.8 * len(a)""")
+def token_containment_all(spark, sf):
+    return text.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query(r"""with w as (select turn % 2 t, conv_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) word from conversations), b as (select conv_id, word, count(*) n from w where t = 0 group by 1, 2), a as (select conv_id, word, count(*) n from w where t = 1 group by 1, 2),
 l as (select conv_id, sum(greatest(0, b.n - coalesce(a.n, 0))) lost, sum(b.n) total from b left join a using (conv_id, word) group by 1)
 select c.conv_id, cast(coalesce(lost, 0) as bigint) lost_words, round(1 - coalesce(lost, 0) / greatest(coalesce(total, 0), 1), 6) fidelity from (select distinct conv_id from conversations where turn % 2 = 0) c left join l using (conv_id)""")
