@@ -2,17 +2,21 @@
 
 Documents are cut into whole windows, each a sequence of its own, and a
 remainder. Remainders are planned block by block (a block is at most
-``block_tokens`` tokens of one task, so memory is bounded at any input size and
+``block_tokens`` tokens or ``BLOCK_ROWS`` remainders of one task, so memory is bounded at any input size and
 nothing is shuffled):
 
 1. shallow combinations of two or three lengths of the block's histogram that
    fill the window exactly are enumerated;
 2. repeat counts x >= 0 minimise |A x - histogram| by projected gradient steps;
-3. counts are rounded, largest first, as far as the histogram covers them;
+3. counts are rounded so that their running sums are kept, and taken as far as
+   the histogram covers them; 1 to 3 repeat on the histogram's rest, ``ROUNDS`` times;
 4. what is left is packed greedily, largest first; where nothing fits the gap,
    the next remainder is cut so that the window fills;
 5. the block's last window is cut at powers of two, which need no padding.
 
+``made_by`` tells for each piece whether its sequence is a ``whole`` window of one
+document, comes from ``counts`` (2 and 3) or from the ``greedy`` rest (4 and 5).
+
 Every id lies in exactly one piece. Plans follow the rows in a task, so other
 partitionings give other sequences, all valid. ``sequence_id`` is the partition
 number times 2**33 plus a count.
@@ -39,10 +43,12 @@ from docmeter.llm.tokens import encoder, tokenizer_path
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 12 << 20
+BLOCK_ROWS = 200_000
 BATCH_BYTES = 4 << 20
 #: Partners tried for each length in combinations of three.
 PARTNERS = 12
 STEPS = 60
+ROUNDS = 4
 
 
 def combinations(lengths: np.ndarray, window: int, partners: int = PARTNERS) -> np.ndarray:
@@ -86,30 +92,39 @@ def repeat_counts(combos: np.ndarray, histogram: np.ndarray, steps: int = STEPS)
     return x
 
 
-def plan(lengths: np.ndarray, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
-    """Sequences as lists of (item, start in the item, length); items are positions in ``lengths`` (1 to window - 1)."""
+def rounded(x: np.ndarray) -> np.ndarray:
+    """Whole counts whose running sums stay within one half of those of ``x``: many small counts don't all become 0."""
+    return np.diff(np.floor(np.cumsum(x) + 0.5), prepend=0.0).astype(np.int64)
+
+
+def plan(lengths: np.ndarray, window: int = WINDOW) -> tuple[list[list[tuple[int, int, int]]], int]:
+    """Sequences as lists of (item, start in the item, length), and how many of them, the first, come from repeat counts.
+
+    Items are positions in ``lengths`` (1 to window - 1).
+    """
     order = np.argsort(lengths, kind="stable")
-    histogram = np.bincount(lengths, minlength=window + 1).astype(float)
-    present = np.flatnonzero(histogram)
-    ends = np.cumsum(histogram).astype(int)
-    at = ends - histogram.astype(int)  # next item of each length, in ``order``
+    histogram = np.bincount(lengths, minlength=window + 1)
+    ends = np.cumsum(histogram)
+    at = ends - histogram  # next item of each length, in ``order``
     sequences: list[list[tuple[int, int, int]]] = []
 
-    combos = combinations(present, window)
-    x = repeat_counts(combos, histogram)
-    for k in np.argsort(-x, kind="stable"):
-        parts = [int(v) for v in combos[k] if v]
-        repeats = int(round(x[k]))
-        if repeats < 1:
+    for _ in range(ROUNDS):
+        rest = ends - at
+        combos = combinations(np.flatnonzero(rest), window)
+        before = len(sequences)
+        for parts, repeats in zip(combos.tolist(), rounded(repeat_counts(combos, rest.astype(float))).tolist(), strict=True):
+            parts = [v for v in parts if v]
+            while repeats and all(ends[v] - at[v] >= parts.count(v) for v in parts):
+                one = []
+                for v in parts:
+                    one.append((int(order[at[v]]), 0, v))
+                    at[v] += 1
+                sequences.append(one)
+                repeats -= 1
+        if len(sequences) == before:
             break
-        while repeats and all(ends[v] - at[v] >= parts.count(v) for v in parts):
-            one = []
-            for v in parts:
-                one.append((int(order[at[v]]), 0, v))
-                at[v] += 1
-            sequences.append(one)
-            repeats -= 1
-
+    present = np.flatnonzero(ends - at)
+    counted = len(sequences)
     # greedy: pieces left, ascending (length, item, start)
     left = [(int(v), int(order[i]), 0) for v in present for i in range(at[v], ends[v])]
     while left:
@@ -129,7 +144,7 @@ def plan(lengths: np.ndarray, window: int = WINDOW) -> list[list[tuple[int, int,
             sequences += _at_powers(one)
         else:
             sequences.append(one)
-    return sequences
+    return sequences, counted
 
 
 def _at_powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
@@ -151,11 +166,11 @@ def _at_powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int,
 
 
 def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """A row a piece: key, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit)."""
+    """A row a piece: key, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit), made_by."""
     if window & (window - 1):
         raise ValueError("window must be a power of two")
-    rows = df.select(F.col(key), text_of(text).alias("_text"))
-    schema = T.StructType([rows.schema.fields[0], *[T.StructField(c, T.LongType()) for c in ("start", "length", "doc_tokens", "sequence_id", "offset")], T.StructField("ids", T.BinaryType())])
+    rows = df.select(F.col(key), text_of(text).alias("ids"))
+    schema = T.StructType([rows.schema.fields[0], *[T.StructField(c, T.LongType()) for c in ("start", "length", "doc_tokens", "sequence_id", "offset")], T.StructField("ids", T.BinaryType()), T.StructField("made_by", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -169,16 +184,17 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", wind
         held = 0
 
         def batch_of(columns: list[list], kind: pa.DataType) -> pa.RecordBatch:
-            kinds = [kind, *[pa.int64()] * 5, pa.binary()]
+            kinds = [kind, *[pa.int64()] * 5, pa.binary(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         def planned(kind: pa.DataType) -> Iterator[pa.RecordBatch]:
             nonlocal made, held
             out: list[list] = [[] for _ in names]
-            for one in plan(np.fromiter(map(len, parts), np.int64, len(parts)), window):
-                offset = 0
+            sequences, counted = plan(np.fromiter(map(len, parts), np.int64, len(parts)), window)
+            for number, one in enumerate(sequences):
+                offset, how = 0, "counts" if number < counted else "greedy"
                 for item, start, size in one:
-                    row = (keys[item], starts[item] + start, size, totals[item], base + made, offset, parts[item][start : start + size].tobytes())
+                    row = (keys[item], starts[item] + start, size, totals[item], base + made, offset, parts[item][start : start + size].tobytes(), how)
                     for c, v in zip(out, row, strict=True):
                         c.append(v)
                     offset += size
@@ -197,11 +213,10 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", wind
             kind = batch.schema.field(0).type
             whole: list[list] = [[] for _ in names]
             for k, ids in zip(batch.column(0).to_pylist(), encode.ids(batch.column(1).to_pylist()), strict=True):
-                ids.append(end_id)
-                data = np.array(ids, "<u4")
+                data = np.append(ids, np.uint32(end_id)).astype("<u4", copy=False)
                 full = len(data) // window * window
                 for start in range(0, full, window):
-                    for c, v in zip(whole, (k, start, window, len(data), base + made, 0, data[start : start + window].tobytes()), strict=True):
+                    for c, v in zip(whole, (k, start, window, len(data), base + made, 0, data[start : start + window].tobytes(), "whole"), strict=True):
                         c.append(v)
                     made += 1
                 if full < len(data):
@@ -212,7 +227,7 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", wind
                     held += len(data) - full
             if whole[0]:
                 yield batch_of(whole, kind)
-            if held >= block_tokens:
+            if held >= block_tokens or len(parts) >= BLOCK_ROWS:
                 yield from planned(kind)
         if parts:
             yield from planned(kind)
@@ -222,7 +237,7 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", wind
 
 def pieces_digest(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
     """The contract's columns of packed pieces."""
-    return pieces.select(key, "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select(key, "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "made_by")
 
 
 def op1_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,14 @@ a special string or with characters outside long-settled Unicode blocks go to
 the file's own library, whose tables may be of another Unicode version.
 
 Long texts are split where a run of white space begins after another
+character, and runs of more than ``RUN_CHARS`` are set apart but for their last
 character: no piece of the word pattern crosses such a place, so the pieces'
-ids are the whole's. A text without one stays whole. Files with another
-pattern are never split.
+ids are the whole's. A text without one stays whole. Pieces of all texts of an
+Arrow batch go to the library together, in batches balanced by length, and
+are counted piece by piece. Long runs go to the file's own library: a pattern
+engine that backtracks would hold a state for each character of them. Files
+with another pattern, or special strings that take white space along, are never
+split.
 
 Defined results: null or empty text has 0 tokens. Batches keep row order; other
 columns pass through. Result columns replace input columns of the same name.
@@ -23,6 +28,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +38,13 @@ from docmeter.llm.common import sliced, table, text_of
 
 BATCH_BYTES = 4 << 20
 SPLIT_CHARS = 1 << 18
+RUN_CHARS = 1 << 16
+#: Characters that one call to a library gets, or one piece if that is longer.
+CALL_CHARS = 1 << 20
 _SETTLED = re.compile("[^\u0000-\u052f\u1e00-\u1fff\u2000-\u206f\u20a0-\u20bf\u2190-\u23ff\u2500-\u27bf\u3000-\u30ff\u4e00-\u9fcc\uac00-\ud7a3]")
-_BREAK = re.compile(r"(?<=\S)(?=\s)")
+#: Unicode's White_Space, which the pattern's \s means (Python's has four control characters more).
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BREAK = re.compile(f"(?<=[^{_WHITE}])(?=[{_WHITE}])")
 #: The pre-tokeniser's pattern that byte-level BPE files with use_regex mean. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -58,12 +69,29 @@ def split_safely(text: str, most: int = SPLIT_CHARS) -> list[str]:
     return parts
 
 
+def split_runs(text: str, longest: int = RUN_CHARS) -> Iterator[tuple[str, bool]]:
+    """Pieces, and whether each is a white-space run of ``longest`` characters or more.
+
+    A run before another character keeps its last character back: the pattern joins that to what follows.
+    """
+    at = 0
+    for run in re.finditer(f"[{_WHITE}]{{{longest},}}", text) if len(text) >= longest else ():
+        start, end = run.start(), run.end() - (run.end() < len(text))
+        if start > at:
+            yield text[at:start], False
+        yield text[start:end], True
+        at = end
+    if at < len(text) or not text:
+        yield text[at:], False
+
+
 class Encoder:
     """ids(texts) and counts(texts) of one tokenizer file."""
 
     def __init__(self, path: str):
         self.fast = self.slow = self.pieces = None
         self.specials: list[str] = []
+        self.splits = False
         if path.endswith(".model"):
             import sentencepiece
 
@@ -76,7 +104,8 @@ class Encoder:
         self.slow.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.specials = [x["content"] for x in spec.get("added_tokens") or []]
+        added = spec.get("added_tokens") or []
+        self.specials = [x["content"] for x in added]
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         usual = (
             spec.get("normalizer") is None
@@ -86,6 +115,7 @@ class Encoder:
         )
         if not usual:
             return
+        self.splits = not any(re.search(f"[{_WHITE}]", x["content"]) or any(x.get(k) for k in ("lstrip", "rstrip", "single_word")) for x in added)
         merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
         vocab = {k: v for k, v in model["vocab"].items() if k not in set(self.specials)}
         ids = [vocab[m] for m in merged]
@@ -96,27 +126,54 @@ class Encoder:
             ranks = {bytes(alphabet[c] for c in k): v for k, v in vocab.items()}
             self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        if self.pieces is not None:
-            return self.pieces.encode(texts, num_threads=1)
-        if self.fast is None:
-            return [e.ids for e in self.slow.encode_batch(texts, add_special_tokens=False)]
-        out: list[list[int] | None] = [None] * len(texts)
-        odd: list[int] = []
+    def _parts(self, texts: list[str]) -> Iterator[tuple[int, str, bool]]:
+        """Text's number, piece, and whether it is one for the file's own library."""
         for i, text in enumerate(texts):
-            if any(s in text for s in self.specials) or not (text.isascii() or _SETTLED.search(text) is None):
-                odd.append(i)
-            elif len(text) > SPLIT_CHARS:
-                out[i] = [t for part in split_safely(text) for t in self.fast.encode_ordinary(part)]
-            else:
-                out[i] = self.fast.encode_ordinary(text)
-        if odd:
-            for i, e in zip(odd, self.slow.encode_batch([texts[i] for i in odd], add_special_tokens=False), strict=True):
-                out[i] = e.ids
-        return out  # type: ignore[return-value]
+            for piece, run in split_runs(text) if self.splits else [(text, False)]:
+                for part in split_safely(piece) if self.splits and not run else [piece]:
+                    plain = self.fast is not None and not run and not any(s in part for s in self.specials)
+                    if plain and not self.splits and re.search(f"[{_WHITE}]{{{RUN_CHARS}}}", part):
+                        plain = False
+                    yield i, part, not (plain and (part.isascii() or _SETTLED.search(part) is None))
+
+    def _called(self, parts: list[tuple[int, str, bool]]) -> Iterator[tuple[int, list[int]]]:
+        own = [p for p in parts if p[2]]
+        other = [p for p in parts if not p[2]]
+        found: dict[bool, Iterator[list[int]]] = {
+            True: iter(e.ids for e in self.slow.encode_batch_fast([p[1] for p in own], add_special_tokens=False)),
+            False: iter(self.fast.encode_ordinary_batch([p[1] for p in other], num_threads=1) if other else ()),
+        }
+        for i, _, slow in parts:
+            yield i, next(found[slow])
+
+    def pieces_of(self, texts: list[str]) -> Iterator[tuple[int, list[int]]]:
+        """(text's number, ids of its next piece), in order, ``CALL_CHARS`` at a time."""
+        if self.pieces is not None:
+            yield from enumerate(self.pieces.encode(texts, num_threads=1))
+            return
+        held: list[tuple[int, str, bool]] = []
+        size = 0
+        for part in self._parts(texts):
+            if held and size + len(part[1]) > CALL_CHARS:
+                yield from self._called(held)
+                held, size = [], 0
+            held.append(part)
+            size += len(part[1])
+        if held:
+            yield from self._called(held)
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        for i, ids in self.pieces_of(texts):
+            out[i].append(np.array(ids, "<u4"))
+        return [x[0] if len(x) == 1 else np.concatenate([*x, np.zeros(0, "<u4")]) for x in out]
 
     def counts(self, texts: list[str]) -> list[int]:
-        return [len(x) for x in self.ids(texts)]
+        """Lengths only: no piece's ids outlive its batch."""
+        out = [0] * len(texts)
+        for i, ids in self.pieces_of(texts):
+            out[i] += len(ids)
+        return out
 
 
 @functools.lru_cache(maxsize=4)
@@ -130,8 +187,8 @@ def encoder(path: str) -> Encoder:
 def count_tokens(df: DataFrame, path: str, text: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The rows without the text, with n_bytes (UTF-8) and n_tokens. Only lengths leave Python."""
     kept = [c for c in df.columns if c not in (text, "n_bytes", "n_tokens")]
-    rows = df.select(*kept, F.octet_length(text_of(text)).cast("long").alias("n_bytes"), text_of(text).alias("_text"))
-    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "_text"], T.StructField("n_tokens", T.LongType())])
+    rows = df.select(*kept, F.octet_length(text_of(text)).cast("long").alias("n_bytes"), text_of(text).alias("n_tokens"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, len(kept) + 1, batch_bytes):

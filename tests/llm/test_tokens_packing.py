@@ -27,13 +27,35 @@ def test_ids_are_the_librarys(library):
     texts = [t or "" for t in TEXTS]
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert tokens.encoder(PATH).fast is not None
-    assert tokens.encoder(PATH).ids(texts) == want
+    assert [x.tolist() for x in tokens.encoder(PATH).ids(texts)] == want
+    assert tokens.encoder(PATH).counts(texts) == [len(x) for x in want]
+
+
+@pytest.mark.parametrize("white", list("\n \t\x0b\r\x85\xa0\u2003\u3000") + ["\r\n", " \n"])
+def test_long_runs_of_white_space(library, white):
+    """Runs alone, before and inside prose, and at a text's end; also what Python alone takes for white space."""
+    e = tokens.encoder(PATH)
+    for n in (70_000, 900_000) if white in "\n " else (70_000,):
+        run = white * (n // len(white))
+        texts = [run, f"Some words.{run}and more words 12", f"end{run}", f"{run}begin", f"a{run}\x1c b{run}{run}x"]
+        assert e.counts(texts) == [len(x.ids) for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+        assert e.ids(texts[1:2])[0].tolist() == library.encode(texts[1], add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("char", ["\n", " "])
+def test_runs_of_five_million(spark, library, char):
+    text = f"before{char * 5_000_000} after"
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    want = library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    assert tokens.count_tokens(frame, PATH).first().n_tokens == len(want)
+    pieces = packing.pack(frame, PATH).collect()
+    assert sum(p.length for p in pieces) == len(want) + 1 and check(pieces, {1: [*want, 1]}, 2048) == 0
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(" \n\t'sabcÄé12.,!?#-  漢"), max_size=60), st.integers(1, 12))
 def test_safe_splits_keep_ids(text, most):
-    library = Tokenizer.from_file(PATH)
+    library = tokens.encoder(PATH).slow
     parts = tokens.split_safely(text, most)
     assert "".join(parts) == text
     assert [i for p in parts for i in library.encode(p, add_special_tokens=False).ids] == library.encode(text, add_special_tokens=False).ids
@@ -93,7 +115,8 @@ def test_pack_round_trip(spark, library):
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 63), max_size=60))
 def test_plans_cover_every_length(lengths):
-    plans = packing.plan(np.array(lengths, np.int64), 64)
+    plans, counted = packing.plan(np.array(lengths, np.int64), 64)
+    assert all(sum(p[2] for p in one) == 64 for one in plans[:counted])
     cover = defaultdict(list)
     for one in plans:
         total = sum(p[2] for p in one)
@@ -121,10 +144,11 @@ def test_repeat_counts_reach_the_least_squares():
 def test_few_documents_are_cut_where_lengths_mix():
     rng = np.random.default_rng(1)
     lengths = np.clip(rng.lognormal(6.3, 0.9, 4000).astype(int), 1, 2047)
-    plans = packing.plan(lengths)
+    plans, counted = packing.plan(lengths)
+    assert counted > 0.6 * len(plans)  # windows from rounded counts, before the greedy rest
     assert sum(len(p) for p in plans) < 1.15 * len(lengths)
 
 
 def test_repeated_lengths_only():
-    plans = packing.plan(np.full(1000, 1500))
+    plans, _ = packing.plan(np.full(1000, 1500))
     assert len(plans) <= 1000 * 1500 // 2048 + 12
