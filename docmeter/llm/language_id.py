@@ -3,13 +3,16 @@
 Subwords are byte 3- and 4-grams that don't cross a word's edge but may hold it,
 hashed into ``BUCKETS`` rows. A text's embedding is the mean over all subwords of
 the whole text. Embeddings and softmax are trained by stochastic gradient descent
-in numpy on at most ``TRAIN_ROWS`` labelled rows, spread over the labels' table by
-hash; of those, one in five fits the temperature and the rejection threshold
-instead. As the model is linear, prediction looks up the product of embedding
-and softmax per subword: one table of BUCKETS x languages goes to the tasks.
-
-Defined results: null texts and texts without a letter are ``und`` with score 0.
-Without any labelled row everything is ``und``. Repeated rows are predicted
+in numpy on at most ``TRAIN_ROWS`` labelled keys, the first by hash, with texts of at
+most ``TRAIN_BYTES``; of those, one in five isn't trained on and fits the temperature.
+With probabilities so calibrated a prediction is rejected if its own is below
+``LEAST_PROBABILITY``, where a wrong answer costs more than none. As the model is
+linear, prediction looks up the product of embedding and softmax per subword: one
+table of BUCKETS x languages goes to the tasks, which work on slices of the bytes.
+
+Defined results: null texts and texts without a letter (Unicode category L) are
+``und`` with score 0. Without any labelled row everything is ``und``. Of rows that
+repeat a key the least (language, text) is learned from. Repeated rows are predicted
 alike. Result columns replace columns of that name.
 """
 
@@ -34,29 +37,61 @@ EPOCHS = 3
 #: Few rows are gone through more often, up to so many steps.
 LEAST_STEPS = 300
 BATCH_BYTES = 1 << 20
-#: Share of rightly predicted calibration rows that the threshold may reject.
-REJECTED_RIGHT = 0.001
-#: The threshold is at most this: mixed texts, near one half, are languages still.
-MOST_THRESHOLD = 0.4
-_LETTER = re.compile(r"[^\W\d_]")
+#: Bytes of a text that may be learned from; longer ones are left to prediction.
+TRAIN_BYTES = 1 << 20
+#: Cost of no answer as a share of a wrong one's, taken from 1: the least calibrated probability of an answer.
+LEAST_PROBABILITY = 0.4
+#: Floats that a slice of a batch may take.
+SLICE_FLOATS = 1 << 21
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
 _CLEAN = np.where(SPACE_BYTE, np.uint8(32), LOWER_BYTE)
 
 
-def subwords(data: np.ndarray, offsets: np.ndarray, buckets: int = BUCKETS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 3 and 4: the bucket of the n-gram at each byte, and whether it counts."""
-    b = _CLEAN[data].astype(np.uint32)
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode category L (numbers like one half or roman eight, which patterns call word characters, aren't)."""
+    return any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
+def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cuts of about ``most`` bytes: begin, end, the texts in it, and where they begin in the cut.
+
+    Whole texts share a cut; a longer one is cut from its own start, so sums don't depend on its neighbours.
+    """
+    sizes = np.diff(offsets)
+    full = np.flatnonzero(sizes)
+    at = 0
+    while at < len(full):
+        i = full[at]
+        if sizes[i] > most:
+            for lo in range(int(offsets[i]), int(offsets[i + 1]), most):
+                yield lo, min(lo + most, int(offsets[i + 1])), np.array([i]), np.zeros(1, np.int64)
+            at += 1
+            continue
+        end = int(np.searchsorted(offsets[full + 1], offsets[i] + most, side="right"))
+        end = at + max(1, int(np.argmax(sizes[full[at:end]] > most)) if (sizes[full[at:end]] > most).any() else end - at)
+        texts = full[at:end]
+        yield int(offsets[i]), int(offsets[texts[-1] + 1]), texts, offsets[texts] - offsets[i]
+        at = end
+
+
+def subwords(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, buckets: int = BUCKETS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n = 3 and 4: the bucket of the n-gram at each byte from lo to hi, and whether it counts."""
+    n = hi - lo
+    b = _CLEAN[data[lo : min(hi + 3, len(data))]].astype(np.uint32)
     space = b == 32
-    last = np.repeat(offsets[1:], np.diff(offsets))
-    at = np.arange(len(b))
+    at = np.arange(lo, hi)
+    texts = np.arange(np.searchsorted(offsets, lo, side="right") - 1, np.searchsorted(offsets, hi))
+    last = np.repeat(offsets[texts + 1], np.minimum(offsets[texts + 1], hi) - np.maximum(offsets[texts], lo))
     shift = np.uint32(32 - (buckets.bit_length() - 1))
 
     def ahead(x: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros_like(x)
-        out[: len(x) - k] = x[k:] if k < len(x) else x[:0]
+        out = np.zeros(n, x.dtype)
+        part = x[k : k + n]
+        out[: len(part)] = part
         return out
 
-    b1, b2, b3, s1, s2 = ahead(b, 1), ahead(b, 2), ahead(b, 3), ahead(space, 1), ahead(space, 2)
-    three = b * np.uint32(0x9E3779B1) + b1 * np.uint32(0x85EBCA77) + b2 * np.uint32(0xC2B2AE3D)
+    b0, b1, b2, b3, s1, s2 = ahead(b, 0), ahead(b, 1), ahead(b, 2), ahead(b, 3), ahead(space, 1), ahead(space, 2)
+    three = b0 * np.uint32(0x9E3779B1) + b1 * np.uint32(0x85EBCA77) + b2 * np.uint32(0xC2B2AE3D)
     four = (three ^ (b3 * np.uint32(0x27D4EB2F))) * np.uint32(0x165667B1)
     return [((three >> shift).astype(np.int64), ~s1 & (at + 3 <= last)), ((four >> shift).astype(np.int64), ~(s1 | s2) & (at + 4 <= last))]
 
@@ -64,10 +99,12 @@ def subwords(data: np.ndarray, offsets: np.ndarray, buckets: int = BUCKETS) -> l
 def histograms(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text: buckets that occur, and their shares of its subwords."""
     data, offsets = flat(column)
-    grams, out = subwords(data, offsets), []
+    out = []
     for i in range(len(column)):
-        lo, hi = offsets[i], offsets[i + 1]
-        counts = np.bincount(np.concatenate([g[lo:hi][ok[lo:hi]] for g, ok in grams]), minlength=BUCKETS)
+        counts = np.zeros(BUCKETS, np.int64)
+        for lo in range(offsets[i], offsets[i + 1], SLICE_FLOATS):
+            hi = min(lo + SLICE_FLOATS, offsets[i + 1])
+            counts += np.bincount(np.concatenate([g[ok] for g, ok in subwords(data, offsets, lo, hi)]), minlength=BUCKETS)
         ids = np.flatnonzero(counts)
         out.append((ids.astype(np.int32), (counts[ids] / max(1, counts.sum())).astype(np.float32)))
     return out
@@ -88,18 +125,16 @@ class Model:
         data, offsets = flat(column)
         n, k = len(offsets) - 1, len(self.languages)
         total, count = np.zeros((n, k)), np.zeros(n)
-        full = np.flatnonzero(np.diff(offsets))
-        if len(full):
-            for grams, ok in subwords(data, offsets):
-                rows = self.scores[np.where(ok, grams, BUCKETS)]
-                total[full] += np.add.reduceat(rows, offsets[full], axis=0)
-                count[full] += np.add.reduceat(ok.astype(np.int64), offsets[full])
+        for lo, hi, texts, begins in slices(offsets, max(1, SLICE_FLOATS // max(4, k))):
+            for grams, ok in subwords(data, offsets, lo, hi):
+                total[texts] += np.add.reduceat(self.scores[np.where(ok, grams, BUCKETS)], begins, axis=0)
+                count[texts] += np.add.reduceat(ok.astype(np.int64), begins)
         p = self.probabilities(total / np.maximum(count, 1)[:, None]) if k else np.zeros((n, 1))
         best = p.argmax(axis=1)
         score = p[np.arange(n), best]
         names = [self.languages[i] if k else "und" for i in best]
         for i, text in enumerate(column.to_pylist()):
-            if text is None or _LETTER.search(text) is None:
+            if text is None or not has_letter(text):
                 names[i], score[i] = "und", 0.0
         return names, score
 
@@ -112,7 +147,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
         return Model(np.zeros((BUCKETS + 1, 0), np.float32), [])
     rows = sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
     order = rng.permutation(len(rows))
-    held = set(order[: len(rows) // 5].tolist()) if len(rows) >= 50 else set()
+    held = set(order[: len(rows) // 5].tolist())
     fit = [i for i in order.tolist() if i not in held]
     y = np.array([languages.index(r[0]) for r in rows])
     e = rng.normal(0, 1 / DIMENSION, (BUCKETS, DIMENSION))
@@ -135,26 +170,25 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
             np.add.at(e, ids, (-rate) * share[:, None] * back[doc])
             steps += 1
     scores = np.vstack([e @ w, np.zeros(len(languages))]).astype(np.float32)
-    model = Model(scores, languages)
-    check = sorted(held) or fit
-    logits = np.stack([rows[i][2].astype(float) @ scores[rows[i][1]] for i in check])
-    losses, doubt = [], 1 / (len(check) + 2)  # as if of two more rows one were wrong
-    for t in np.geomspace(0.02, 20, 61):
-        model.temperature = t
-        p = np.log(model.probabilities(logits) + 1e-12)
-        losses.append((-((1 - doubt) * p[np.arange(len(check)), y[check]] + doubt * p.mean(axis=1)).mean(), t))
-    model.temperature = float(min(losses)[1])
-    p = model.probabilities(logits)
-    right = np.sort(p.max(1)[p.argmax(1) == y[check]])
-    model.threshold = float(min(MOST_THRESHOLD, right[int(REJECTED_RIGHT * len(right))])) if len(right) else 0.0
+    model = Model(scores, languages, threshold=LEAST_PROBABILITY)
+    check = sorted(held)
+    if check:
+        logits = np.stack([rows[i][2].astype(float) @ scores[rows[i][1]] for i in check])
+        losses, doubt = [], 1 / (len(check) + 2)  # as if of two more rows one were wrong
+        for t in np.geomspace(0.02, 20, 61):
+            model.temperature = t
+            p = np.log(model.probabilities(logits) + 1e-12)
+            losses.append((-((1 - doubt) * p[np.arange(len(check)), y[check]] + doubt * p.mean(axis=1)).mean(), t))
+        model.temperature = float(min(losses)[1])
     return model
 
 
-def fit(df: DataFrame, allowed: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", most: int = TRAIN_ROWS) -> Model:
-    """A model from at most ``most`` of the ``allowed`` rows with text and language, first by the hash of the key."""
-    rows = df.where(allowed & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    keys = rows.select("_id").withColumn("_h", md5_key("_id")).orderBy("_h").limit(most)
-    chosen = rows.join(F.broadcast(keys.select("_id").distinct()), "_id").select("_lang", "_text")  # at most ``most`` keys
+def fit(df: DataFrame, allowed: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", most: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> Model:
+    """A model from at most ``most`` keys of the ``allowed`` rows with text (of at most ``most_bytes``) and language, first by the hash of the key."""
+    good = allowed & F.col(key).isNotNull() & F.col(lang).isNotNull() & (F.octet_length(text) <= most_bytes)
+    rows = df.where(good).select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    keys = rows.select("k").distinct().orderBy(md5_key("k"), "k").limit(most)
+    chosen = rows.join(F.broadcast(keys), "k").groupBy("k").agg(F.min(F.struct("lang", "text")).alias("r")).select("r.lang", "r.text")  # at most ``most`` keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1, BATCH_BYTES):
@@ -162,7 +196,7 @@ def fit(df: DataFrame, allowed: Column, text: str = "text", lang: str = "lang",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x, _ in found], pa.binary()), pa.array([x.tobytes() for _, x in found], pa.binary())], names=["lang", "ids", "share"])
 
     got = chosen.mapInArrow(run, "lang string, ids binary, share binary").collect()
-    return train([(r[0], np.frombuffer(bytes(r[1]), np.int32), np.frombuffer(bytes(r[2]), np.float32)) for r in got if len(r[1])][: 2 * most])
+    return train([(r[0], np.frombuffer(bytes(r[1]), np.int32), np.frombuffer(bytes(r[2]), np.float32)) for r in got if len(r[1])])
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -6,15 +6,21 @@ labels together. Forward-backward gives each line's marginal of good; weighted b
 line length they give the document's share of good text, which a logistic curve,
 fitted on the same rows, turns into a score.
 
-Training takes at most ``TRAIN_ROWS`` labelled rows, first by the hash of their
-key; tasks turn those texts into line features, and the driver maximises the
-likelihood, each line carrying its document's label. Scoring is one pass over
-whole texts in bounded Arrow batches; only weights go to the tasks.
+Training takes at most ``TRAIN_ROWS`` labelled keys, first by hash, with texts of at
+most ``TRAIN_BYTES``; tasks turn those into line features. Line labels are latent:
+a good document's lines are all good, of a bad one's at least one is bad. The
+driver maximises the likelihood of the documents' labels over the paths that agree with
+them: for a good document that is one path, for a bad one all others, so their
+expectations are those of all paths less the all-good path's share. Which lines
+of a bad text are bad is for the model to find: those unlike good texts' lines.
+Scoring is one pass over whole texts in bounded Arrow batches; only weights go to
+the tasks.
 
 Defined results: a null text counts as empty; an empty text is one empty line.
 Without labelled rows of both classes every score is the share of label 1
-(1 without any). Keys labelled twice take the smaller label. Repeated rows are
-scored alike. Result columns replace columns of that name.
+(1 without any). Keys labelled twice take the smaller label, texts that repeat a
+key the least text. Repeated rows are scored alike. Result columns replace columns
+of that name.
 """
 
 from __future__ import annotations
@@ -31,7 +37,9 @@ from docmeter.llm.arrays import flat, running, span_hashes, words
 from docmeter.llm.common import bucket_crc, md5_key, sliced, table
 
 TRAIN_ROWS = 2000
-STEPS = 60
+#: Bytes of a text that may be learned from; longer ones are only scored.
+TRAIN_BYTES = 1 << 17
+STEPS = 120
 BATCH_BYTES = 1 << 20
 #: Own features of a line; the first _SHARED of them also count for the lines before and after.
 OWN = ("symbols", "bangs", "capitals", "repeats", "bars", "seen", "digits", "stops", "short", "long_words")
@@ -169,35 +177,43 @@ def _log_odds(good: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.nda
 
 
 def train(features: np.ndarray, length: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = STEPS) -> Model:
-    """Penalised maximum likelihood by Adam; both classes weigh the same, so that rare bad documents count."""
+    """Penalised maximum likelihood of the documents' labels by Adam; both classes weigh the same, so that rare bad documents count."""
     if len(label) == 0:
         return Model(None, None)
     if len(set(label.tolist())) < 2:
         return Model(None, None, share=float(label.mean()))
     chains = Chains(first)
-    line_label = np.repeat(label, np.diff(first)).astype(float)
     sizes = np.diff(first)
-    weight = np.repeat(np.where(label == 1, 0.5 / (label == 1).sum(), 0.5 / (label == 0).sum()) / sizes, sizes)
-    inner = np.ones(len(line_label), bool)
+    good = label == 1
+    weight = np.where(good, 0.5 / good.sum() / sizes, 0.5 / (~good).sum())  # a good text counts by its mean line, a bad one as one event
+    inner = np.ones(first[-1], bool)
     inner[first[:-1]] = False
     right = np.flatnonzero(inner)
     left = right - 1
-    pair_weight = weight[right]
-    seen = np.zeros((2, 2))
-    for v in (0, 1):
-        seen[v, v] = pair_weight[line_label[right] == v].sum()
+    doc = np.repeat(np.arange(len(label)), sizes)
     p = np.zeros(N_FEATURES + 4)
     m, v = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, steps + 1):
         w, t = p[:N_FEATURES], p[N_FEATURES:].reshape(2, 2)
         e = features @ w
         ahead, back = chains.messages(e, t)
-        g_w = features.T @ (weight * (line_label - _sigmoid(ahead + back)))
+        one = _sigmoid(ahead + back)
         r, s = ahead[left], e[right] + back[right]
         joint = np.stack([np.full(len(r), t[0, 0]), s + t[0, 1], r + t[1, 0], r + s + t[1, 1]], 1)
         joint = np.exp(joint - joint.max(axis=1, keepdims=True))
         joint /= joint.sum(axis=1, keepdims=True)
-        g = np.concatenate([g_w, (seen.ravel() - (pair_weight[:, None] * joint).sum(0))]) - 1e-4 * p
+        # log P(all lines good): the chain rule over neighbours' marginals
+        log_one = np.log(np.clip(one, 1e-300, 1))
+        log_all = np.add.reduceat(log_one, first[:-1])
+        np.add.at(log_all, doc[right], np.log(np.clip(joint[:, 3], 1e-300, 1)) - log_one[left] - log_one[right])
+        p_all = np.exp(np.minimum(log_all, -1e-12))
+        # d log P(label): good texts pull to the all-good path, bad ones push off it by the odds that it is the path
+        pull = weight * np.where(good, 1.0, -p_all / (1 - p_all))
+        g_w = features.T @ (pull[doc] * (1 - one))
+        none = np.zeros(4)
+        none[3] = 1
+        g_t = (pull[doc[right]][:, None] * (none - joint)).sum(0)
+        g = np.concatenate([g_w, g_t]) - 1e-4 * p
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         p = p + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     model = Model(p[:N_FEATURES], p[N_FEATURES:].reshape(2, 2))
@@ -214,11 +230,12 @@ def train(features: np.ndarray, length: np.ndarray, first: np.ndarray, label: np
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", most: int = TRAIN_ROWS) -> Model:
-    """``labels``: the rows to learn from. At most ``most`` keys of them are used, first by hash."""
-    chosen = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.min(label).cast("int").alias("_label"))
-    chosen = chosen.withColumn("_h", md5_key("_id")).orderBy("_h", "_id").limit(most).drop("_h")
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")  # at most ``most`` keys
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", most: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> Model:
+    """``labels``: the rows to learn from. At most ``most`` keys of them are used, first by hash, with texts of at most ``most_bytes``."""
+    chosen = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.min(label).cast("int").alias("label"))
+    chosen = chosen.orderBy(md5_key("k"), "k").limit(most)
+    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).where(F.octet_length("text") <= most_bytes)
+    rows = texts.join(F.broadcast(chosen), "k").groupBy("k").agg(F.min("label").alias("label"), F.min("text").alias("text"))  # at most ``most`` keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2, BATCH_BYTES):
@@ -238,8 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 def score_quality(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows without the text, with ``score``: P(label 1)."""
     kept = [c for c in df.columns if c not in (text, "score")]
-    rows = df.select(*kept, F.col(text).alias("_text"))
-    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "_text"], T.StructField("score", T.DoubleType())])
+    rows = df.select(*kept, F.col(text).alias("score"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, len(kept), BATCH_BYTES):
@@ -252,8 +269,8 @@ def score_quality(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def label_lines(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """A row a line: the other columns, line_no from 0, n_bytes, p_good, good."""
     kept = [c for c in df.columns if c not in (text, "line_no", "n_bytes", "p_good", "good")]
-    rows = df.select(*kept, F.col(text).alias("_text"))
-    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "_text"], T.StructField("line_no", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("p_good", T.DoubleType())])
+    rows = df.select(*kept, F.col(text).alias("good"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("line_no", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("p_good", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, len(kept), BATCH_BYTES):
