@@ -8,6 +8,7 @@ names its own columns so that they replace input columns of the same name.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,9 +50,11 @@ def md5_key(*columns: str) -> Column:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The shared folder named in spark.checkpoint.dir; one of our own only where that is unset and driver and executors are one process (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"file://{tempfile.mkdtemp(prefix='docmeter-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/docmeter-{spark.sparkContext.applicationId}"

@@ -1,31 +1,34 @@
 """Exact Jaccard join of word shingles with set-relation skipping.
 
-Sets are distinct hashes of ``WORDS``-word shingles; equal sets are one class.
-Prefix filter: under one order of all shingles, sets with Jaccard >= t share one
+Sets are distinct 64-bit hashes of five-word shingles; equal sets (by 128 bits) are one
+class. Prefix filter: under one order of all shingles, sets with Jaccard >= t share one
 of the first n - ceil(t n) + 1 of each. The order is by hash, frequent shingles
 last: they are counted over all documents first, in the part of each set that
 prefixes come from; at most ``MOST_FREQUENT`` of them (a few MB) go to the tasks.
 The order changes how many candidates there are, never which pairs link.
 
-Index lists hold (class, size, position), sorted by size. Two kinds of skipping:
-
-* in a list, a class meets only the block of sizes within the threshold's reach,
-  and of that only partners whose positions leave enough shingles to share;
-* in a list longer than ``LONG``, each block first meets its anchor only. Classes
-  that link with the anchor, or with what links with it, take over its answer:
-  they are one component, and a list of one component is skipped whole. Classes
-  of mixed lists whose positions and sketches (below) allow a link form families;
-  of such pairs a task passes on a spanning forest only. A family is cut into tiles
-  by size and, where a component is large, by component; a task gets two tiles'
-  whole sets, computes all their intersections at once and emits a spanning forest
-  of the links. Two tiles of one component, or of sizes too far apart, never meet.
-
-Candidates first compare sketches, a bit for each of two to four times as many ranges
-of hashes as the set has shingles: whether an odd number of them lies there. The
-bits that differ are at most the sets' symmetric difference, so pairs that they put
-below the threshold go. The rest are verified exactly on their
-whole sets. Components need no other pairs: a skipped pair is in one component
-already.
+Index lists hold (class, size, position), in blocks of one size by position:
+
+* index level: of two blocks within the threshold's reach only the entries up to
+  one position each can link; they meet, and the rest of either block is skipped;
+* in a list longer than ``long``, the entries of a size step first meet one anchor.
+  Classes that link with the anchor, or with what links with it, take over its answer:
+  they are one component, and a list of one component is skipped whole;
+* answer level: verification derives a set's overlaps from those of a similar set
+  already answered, by the shingles in which the two differ.
+
+Lists of one shingle longer than ``LIST_MOST`` are dealt into sublists by a hash of the
+class; their anchors meet too. Classes of lists of several components are dealt
+into tiles by size step, component and hash; a task gets two tiles, so neither memory nor
+work of a task grows with a list. Two tiles of one component, or of sizes too far
+apart, never meet. Pairs that positions and sketches allow make families; a task passes on
+a spanning forest of them. The families' whole sets are compared tile by tile
+again, exactly, on full 64-bit hashes, and a task emits a spanning forest of the links.
+
+Sketches have a bit for each of two to four times as many ranges of hashes as the set
+has shingles: whether an odd number of them lies there. The bits that differ are at
+most the sets' symmetric difference, so pairs that they put below the threshold go.
+Components need no other pairs: a skipped pair is in one component already.
 
 Texts are read in three passes: sizes, digests, sketches and counts; index lists;
 sets of candidates (picked by a Bloom filter of bounded size, whose errors only
@@ -45,76 +48,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmeter.llm.arrays import LOWER_BYTE, flat, mix64, span_hashes, words
+from docmeter.llm.arrays import mix64
 from docmeter.llm.common import sliced, small, table, written
 from docmeter.llm.components import Forest, connected_components
+from docmeter.llm.shingles import Blocks, Lately, Names, Sketches, begins, digests, meeting, overlaps, possible, prefix_length, shingle_sets, size_step, sketch
 
-WORDS = 5
 PERCENT = 75
 LONG = 16
 MOST_FREQUENT = 1 << 20
 BATCH_BYTES = 1 << 20
-POSTINGS_A_BUCKET = 600_000
+POSTINGS_A_BUCKET = 500_000
+#: Entries of one shingle's list that stay together.
+LIST_MOST = 20_000
 BLOOM_BITS = 1 << 25
-#: Sets in a tile at most, and shingles.
-TILE, TILE_SHINGLES = 500, 500_000
-#: Sets in a family of candidate pairs up to which all of it is compared.
-BIG = 4000
-#: Shingles that a counting task holds at most before it sends what it has found twice among them.
-COUNT_BLOCK = 1_500_000
+#: Whole sets in a tile at most, and shingles; entries of mixed lists in a tile.
+TILE, TILE_SHINGLES, LIST_TILE = 500, 500_000, 2000
+#: Shingles that a counting task holds at most before it sends what it has found twice among them; hash buckets they are counted in.
+COUNT_BLOCK, COUNT_BUCKETS = 1_200_000, 1 << 10
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
 COUNTED = 0.4
-#: One for each word of a shingle.
-_FACTORS = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-def shingle_sets(column: pa.Array, n_words: int = WORDS) -> list[np.ndarray]:
-    """For each text its sorted distinct shingle hashes; A-Z count as a-z."""
-    data, offsets = flat(column)
-    data = LOWER_BYTE[data]
-    starts, ends, first = words(data, offsets)
-    hashes = span_hashes(data, starts, ends)
-    sums = np.zeros(len(hashes), np.uint64)
-    for k in range(n_words):
-        m = max(0, len(hashes) - k)
-        sums[:m] += hashes[k:] * _FACTORS[k]
-    shingles = mix64(sums + np.uint64(n_words))
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= n_words:
-            out.append(np.unique(shingles[a : b - n_words + 1]))
-        elif b > a:
-            own = (hashes[a:b] * np.array(_FACTORS[: b - a])).sum(dtype=np.uint64, keepdims=True)
-            out.append(mix64(own + np.uint64(b - a)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
-
-
-def digest(s: np.ndarray) -> int:
-    """A 64-bit name of a set, as a signed long."""
-    return int((mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64))
-
-
-def least_common(n: int, percent: int) -> int:
-    return -(-n * percent // 100)
-
-
-def prefix_length(n: int, percent: int) -> int:
-    return n - least_common(n, percent) + 1
-
-
-def possible(size_a: np.ndarray, size_b: np.ndarray, pos_a: np.ndarray, pos_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets that share the shingle at these positions can reach the threshold."""
-    most = 1 + np.minimum(size_a - pos_a - 1, size_b - pos_b - 1)
-    return ((100 + percent) * most >= percent * (size_a + size_b)) & (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b))
-
-
-def _bucket(shingles: np.ndarray, buckets: int) -> np.ndarray:
-    return ((mix64(shingles) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix64(hashes) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
 def _packed(buckets: np.ndarray, arrays: list[np.ndarray]) -> Iterator[tuple[int, list[bytes]]]:
@@ -125,98 +84,52 @@ def _packed(buckets: np.ndarray, arrays: list[np.ndarray]) -> Iterator[tuple[int
             yield int(buckets[part[0]]), [x[part].tobytes() for x in arrays]
 
 
-class _New:
-    """Digests that a task hasn't seen lately, so that copies send their shingles once a task."""
+def _table(names: list[str], kinds: list[pa.DataType], **columns: object) -> pa.RecordBatch:
+    """A batch of the given columns, the others null."""
+    n = len(next(iter(columns.values())))  # type: ignore[arg-type]
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds, strict=True)], names=names)
 
-    def __init__(self, most: int = 200_000):
-        self.seen: set[int] = set()
-        self.most = most
 
-    def __call__(self, d: int) -> bool:
-        if d in self.seen:
-            return False
-        if len(self.seen) >= self.most:
-            self.seen.clear()
-        self.seen.add(d)
-        return True
+_FIRST = ["row", "row2", "id", "n", "d1", "d2", "sketch", "bucket", "packed", "times"]
+_FIRST_KINDS = [*[pa.int64()] * 6, pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
 
-def set_sizes(docs: DataFrame, percent: int) -> DataFrame:
-    """Rows of two kinds: row, id, n, digest, sketch of every row; bucket and shingles found twice or more in a task."""
-    buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def set_sizes(docs: DataFrame, percent: int, name_bits: int) -> DataFrame:
+    """Rows of two kinds: row, row2, id, n, digests, sketch of every row; bucket and shingles found twice or more in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = _New()
-        names = ["row", "id", "n", "digest", "sketch", "bucket", "packed", "times"]
-        held: list[np.ndarray] = []
+        lately, held = Lately(), []
 
-        def packed() -> Iterator[pa.RecordBatch]:
-            if held:
-                tokens = np.sort(np.concatenate(held))
-                held.clear()
-                starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-                times = np.diff(np.concatenate([starts, [len(tokens)]])).astype(np.int32)
-                tokens, times = tokens[starts[times > 1]], times[times > 1]
-                found = list(_packed(_bucket(tokens, buckets), [tokens, times])) if len(tokens) else []
-                none = pa.nulls(len(found), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(found), pa.binary()), pa.array([b for b, _ in found], pa.int32()), pa.array([x[0] for _, x in found], pa.binary()), pa.array([x[1] for _, x in found], pa.binary())], names=names)
+        def counted() -> Iterator[pa.RecordBatch]:
+            tokens = np.sort(np.concatenate(held))
+            held.clear()
+            starts = begins(tokens)
+            times = np.diff(np.append(starts, len(tokens))).astype(np.int32)
+            tokens, times = tokens[starts[times > 1]], times[times > 1]
+            found = list(_packed(_bucket(tokens, COUNT_BUCKETS), [tokens, times])) if len(tokens) else []
+            if found:
+                yield _table(_FIRST, _FIRST_KINDS, bucket=[b for b, _ in found], packed=[x[0] for _, x in found], times=[x[1] for _, x in found])
 
         size = 0
-        for batch in sliced(batches, 2, BATCH_BYTES):
-            sets = shingle_sets(batch.column(2))
-            ds = [digest(s) for s in sets]
-            none = pa.nulls(len(sets), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(ds, pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.int32()), none, none], names=names)
-            for d, s in zip(ds, sets, strict=True):
-                if len(s) and new(d):
+        for batch in sliced(batches, 3, BATCH_BYTES):
+            sets = shingle_sets(batch.column(3))
+            names = [digests(s, name_bits) for s in sets]
+            yield _table(_FIRST, _FIRST_KINDS, row=batch.column(0), row2=batch.column(1), id=batch.column(2), n=[len(s) for s in sets], d1=[d[0] for d in names], d2=[d[1] for d in names], sketch=[sketch(s) for s in sets])
+            for d, s in zip(names, sets, strict=True):
+                if len(s) and lately.new(d[0] ^ d[1]):
                     held.append(s[: int(len(s) * max(COUNTED, 1.2 * (1 - percent / 100))) + 1])
                     size += len(held[-1])
             if size > COUNT_BLOCK:
-                yield from packed()
+                yield from counted()
                 size = 0
-        yield from packed()
+        if held:
+            yield from counted()
 
-    return docs.mapInArrow(run, "row long, id long, n long, digest long, sketch binary, bucket int, packed binary, times binary")
-
-
-def sketch(s: np.ndarray) -> bytes:
-    """Parity of the number of hashes in each of a power of two of ranges, packed."""
-    bits = max(6, (2 * len(s) - 1).bit_length() if len(s) else 0)
-    return np.packbits(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1).tobytes()
-
-
-class Sketches:
-    """Sketches to be compared with one another, folded to a common number of ranges."""
-
-    def __init__(self, packed: list[bytes]):
-        self.length = np.array([len(x) for x in packed], np.int64)
-        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n in np.unique(self.length).tolist():
-            place = np.full(len(packed), -1)
-            own, wide = np.flatnonzero(self.length == n), np.flatnonzero(self.length == 2 * n)
-            rows = [np.frombuffer(b"".join(packed[i] for i in own), np.uint8).reshape(-1, n)]
-            if len(wide):
-                bits = np.unpackbits(np.frombuffer(b"".join(packed[i] for i in wide), np.uint8)).reshape(-1, 2)
-                rows.append(np.packbits(bits[:, 0] ^ bits[:, 1]).reshape(-1, n))
-            place[np.concatenate([own, wide])] = np.arange(len(own) + len(wide))
-            self.levels[n] = place, np.concatenate(rows)
-
-    def far(self, i: np.ndarray, j: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-        """Whether sketches prove that pairs (i, j) of these sizes together are below the threshold."""
-        out = np.ones(len(i), bool)  # lengths that differ by more than a factor of 2: sizes too far apart
-        level = np.minimum(self.length[i], self.length[j])
-        near = np.maximum(self.length[i], self.length[j]) <= 2 * level
-        for n, (place, rows) in self.levels.items():
-            at = np.flatnonzero(near & (level == n))
-            for k in range(0, len(at), max(1, 4_000_000 // n)):
-                part = at[k : k + max(1, 4_000_000 // n)]
-                apart = np.bitwise_count(rows[place[i[part]]] ^ rows[place[j[part]]]).sum(axis=1, dtype=np.int64)
-                out[part] = (100 + percent) * apart > (100 - percent) * sizes[part]
-        return out
+    return docs.mapInArrow(run, "row long, row2 long, id long, n long, d1 long, d2 long, sketch binary, bucket int, packed binary, times binary")
 
 
-def frequent_shingles(packed: DataFrame, most: int = MOST_FREQUENT, above: int = LONG) -> np.ndarray:
-    """Sorted hashes of the most frequent of the counted shingles: those in more than ``above`` sets, at most ``most``."""
+def frequent_shingles(packed: DataFrame, tasks: int, most: int = MOST_FREQUENT, above: int = LONG) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the most frequent of the counted shingles, those in more than ``above`` sets, at most ``most``; and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -235,17 +148,35 @@ def frequent_shingles(packed: DataFrame, most: int = MOST_FREQUENT, above: int =
                 parts.append((np.frombuffer(batch.column(1)[i].as_py(), np.uint64), np.frombuffer(batch.column(2)[i].as_py(), np.int32)))
         yield from counted(parts)
 
-    n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = packed.select("bucket", "packed", "times").repartition(n, "bucket").sortWithinPartitions("bucket")
+    dealt = packed.select("bucket", "packed", "times").repartition(tasks, "bucket").sortWithinPartitions("bucket")
     rows = dealt.mapInArrow(run, "shingle long, n long").orderBy(F.desc("n"), "shingle").limit(most).collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).astype(np.uint64))
+    found = np.array([(r[0], r[1]) for r in rows], np.int64).reshape(-1, 2)
+    tokens = found[:, 0].astype(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], found[order, 1]
+
+
+class Sublists:
+    """Which part of a frequent shingle's list a class belongs to; 0 for all other shingles."""
 
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray, most: int):
+        long = counts > most
+        self.tokens, self.parts = tokens[long], -(-counts[long] // most)
 
-def index_postings(docs: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
-    """Packed postings of each set's prefix: bucket, shingles, digests, sizes, positions."""
+    def __call__(self, tokens: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(tokens), np.int64)
+        if len(self.tokens):
+            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+            hot = np.flatnonzero(self.tokens[at] == tokens)
+            out[hot] = mix64(ids[hot].view(np.uint64) + np.uint64(5)) % self.parts[at[hot]].astype(np.uint64)
+        return out
+
+
+def index_postings(docs: DataFrame, frequent: np.ndarray, sublists: Sublists, names: Names, buckets: int, percent: int) -> DataFrame:
+    """Packed postings of each set's prefix: bucket, shingles, names, sizes, positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = _New()
+        lately = Lately()
         held: list[tuple[np.ndarray, int, int]] = []
         total = 0
 
@@ -258,12 +189,13 @@ def index_postings(docs: DataFrame, frequent: np.ndarray, buckets: int, percent:
             sizes = np.repeat(np.array([h[2] for h in held], np.int32), count)
             places = np.concatenate([np.arange(c, dtype=np.int32) for c in count])
             held.clear()
-            found = list(_packed(_bucket(tokens, buckets), [tokens, ids, sizes, places]))
+            dealt = _bucket(tokens + sublists(tokens, ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), buckets)
+            found = list(_packed(dealt, [tokens, ids, sizes, places]))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), *[pa.array([x[k] for _, x in found], pa.binary()) for k in range(4)]], names=["bucket", "shingles", "ids", "sizes", "places"])
 
-        for batch in sliced(batches, 2, BATCH_BYTES):
-            for s in shingle_sets(batch.column(2)):
-                if not len(s) or not new(d := digest(s)):
+        for batch in sliced(batches, 3, BATCH_BYTES):
+            for s in shingle_sets(batch.column(3)):
+                if not len(s) or not lately.new(name := names(s)):
                     continue
                 p = prefix_length(len(s), percent)
                 if len(frequent):
@@ -272,7 +204,7 @@ def index_postings(docs: DataFrame, frequent: np.ndarray, buckets: int, percent:
                     head = rare[:p] if len(rare) >= p else np.concatenate([rare, s[often][: p - len(rare)]])
                 else:
                     head = s[:p]
-                held.append((head, d, len(s)))
+                held.append((head, name, len(s)))
                 total += p
             if total > 500_000:
                 yield from packed()
@@ -282,12 +214,17 @@ def index_postings(docs: DataFrame, frequent: np.ndarray, buckets: int, percent:
     return docs.mapInArrow(run, "bucket int, shingles binary, ids binary, sizes binary, places binary")
 
 
-def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int) -> DataFrame:
-    """Rows (a, b) of candidate pairs, and rows (token, ids, sizes, places) of long lists, whose blocks have met their anchors only."""
+_FOUND = ["a", "b", "token", "anchor", "ids", "sizes", "places"]
+_FOUND_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "token", "ids", "sizes", "places"]
 
+def candidate_lists(postings: DataFrame, sublists: Sublists, buckets: int, percent: int, long: int) -> DataFrame:
+    """Rows (a, b) of candidate pairs, and rows (token, ids, sizes, places) with pieces of long lists, or (anchor) their anchors.
+
+    Long lists have met the anchors of their size steps only, and neighbouring steps' anchors each other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def searched(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
             if not parts:
                 return
@@ -300,40 +237,40 @@ def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int)
             shared[:-1] |= shared[1:]
             order, tokens = order[shared], tokens[shared]
             ids, sizes, places = ids[order], sizes[order].astype(np.int64), places[order].astype(np.int64)
-            order = np.lexsort((ids, sizes, tokens))
-            tokens, ids, sizes, places = tokens[order], ids[order], sizes[order], places[order]
-            once = np.ones(len(tokens), bool)
-            once[1:] = (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])  # copies that other tasks sent
-            tokens, ids, sizes, places = tokens[once], ids[once], sizes[once], places[once]
+            part = sublists(tokens, ids)
+            order = np.lexsort((ids, places, sizes, part, tokens))
+            order = order[begins(tokens[order], part[order], ids[order], sizes[order])]  # copies that other tasks sent
+            tokens, part, ids, sizes, places = tokens[order], part[order], ids[order], sizes[order], places[order]
             if not len(tokens):
                 return
-            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-            length = np.diff(np.concatenate([starts, [len(tokens)]]))
-            of = np.repeat(length, length)
+            starts = begins(tokens, part)
+            length = np.diff(np.append(starts, len(tokens)))
+            lists = np.repeat(np.arange(len(starts)), length)
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
-            for k in range(1, long):
-                i = np.flatnonzero((of[:-k] <= long) & (of[:-k] > k) & (tokens[:-k] == tokens[k:])) if len(tokens) > k else np.zeros(0, int)
-                if not len(i):
-                    break
-                i = i[possible(sizes[i], sizes[i + k], places[i], places[i + k], percent)]
-                pairs.append((ids[i], ids[i + k]))
-            for s, n in zip(starts[length > long].tolist(), length[length > long].tolist(), strict=True):
-                at = s
-                while at < s + n:  # blocks of sizes that an anchor reaches
-                    end = at + int(np.searchsorted(sizes[at : s + n], sizes[at] * 100 // percent, side="right"))
-                    anchor = at + int(mix64(ids[at:end].view(np.uint64)).argmin())  # mostly the same in all lists of a group
-                    i = np.delete(np.arange(at, end), anchor - at)
-                    i = i[possible(sizes[anchor], sizes[i], places[anchor], places[i], percent)]
-                    pairs.append((np.full(len(i), ids[anchor]), ids[i]))
-                    at = end
-                none = pa.nulls(1, pa.int64())
-                part = slice(s, s + n)
-                yield pa.RecordBatch.from_arrays([none, none, pa.array([int(tokens[s].astype(np.int64))], pa.int64()), *[pa.array([x[part].tobytes()], pa.binary()) for x in (ids, sizes, places)]], names=names)
+            at = np.flatnonzero(length[lists] <= long)
+            for i, j in meeting(Blocks(sizes[at], places[at], lists[at]), None, percent):
+                pairs.append((ids[at[i]], ids[at[j]]))
+            at = np.flatnonzero(length[lists] > long)
+            if len(at):
+                step = size_step(sizes[at], percent)
+                first = begins(lists[at], step)
+                group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+                by_hash = np.lexsort((mix64(ids[at].view(np.uint64)), group))  # mostly the same anchor in all lists of a group
+                anchor = at[by_hash[first]]
+                i, j = anchor[group], at
+                near = np.flatnonzero((lists[anchor][1:] == lists[anchor][:-1]) & (step[first][1:] == step[first][:-1] + 1))
+                i, j = np.concatenate([i, anchor[near]]), np.concatenate([j, anchor[near + 1]])
+                ok = (i != j) & possible(sizes[i], sizes[j], places[i], places[j], percent)
+                pairs.append((ids[i[ok]], ids[j[ok]]))
+                several = anchor[np.isin(tokens[anchor], sublists.tokens)]
+                cells = [(at[s:e], False) for s, e in _cuts(lists[at], 10_000)] + [(several[s:e], True) for s, e in _cuts(tokens[several], 10_000)]
+                for cell, is_anchor in cells:
+                    yield _table(_FOUND, _FOUND_KINDS, token=[int(tokens[cell[0]].astype(np.int64))], anchor=[is_anchor], ids=[ids[cell].tobytes()], sizes=[sizes[cell].tobytes()], places=[places[cell].tobytes()])
             if pairs:
                 a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
                 both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                empty = pa.nulls(len(both), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.nulls(len(both), pa.int64()), empty, empty, empty], names=names)
+                if len(both):
+                    yield _table(_FOUND, _FOUND_KINDS, a=both[:, 0].copy(), b=both[:, 1].copy())
 
         bucket, parts = None, []
         for batch in batches:
@@ -346,169 +283,162 @@ def candidate_lists(postings: DataFrame, buckets: int, percent: int, long: int)
         yield from searched(parts)
 
     dealt = postings.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "a long, b long, token long, ids binary, sizes binary, places binary")
+    return dealt.mapInArrow(run, "a long, b long, token long, anchor boolean, ids binary, sizes binary, places binary")
+
 
+def _cuts(groups: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Pieces of at most ``most`` entries of one group."""
+    edges = [*begins(groups).tolist(), len(groups)]
+    return [(k, min(k + most, e)) for s, e in zip(edges[:-1], edges[1:], strict=True) for k in range(s, e, most)]
 
-def mixed_families(lists: DataFrame, first: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Classes of long lists that may link across components: id, size, part, family."""
 
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def opened(lists: DataFrame) -> DataFrame:
+    """token, id, size, place of packed pieces of lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, sizes, places = (np.frombuffer(batch.column(k)[i].as_py(), np.int64) for k in (1, 2, 3))
-                for s in range(0, len(ids), 10_000):
-                    cut = slice(s, s + 10_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0)[i].as_py(), len(ids[cut]))), *[pa.array(x[cut]) for x in (ids, sizes, places)]], names=["token", "id", "size", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0)[i].as_py(), len(ids))), *[pa.array(x) for x in (ids, sizes, places)]], names=["token", "id", "size", "place"])
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)  # pairs compared lately: a group's lists are much alike
-        forest = Forest()
+    return lists.select("token", "ids", "sizes", "places").mapInArrow(run, "token long, id long, size long, place long")
 
-        def compared(ids: np.ndarray, sizes: np.ndarray, marks: Sketches, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
-            nonlocal seen
-            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            keys = mix64(a.view(np.uint64) * np.uint64(3)) ^ b.view(np.uint64)
-            new = np.ones(len(keys), bool) if not len(seen) else seen[np.minimum(np.searchsorted(seen, keys), len(seen) - 1)] != keys
-            i, j, a, b, keys = i[new], j[new], a[new], b[new], keys[new]
-            if not len(keys):
-                return
-            seen = np.sort(np.concatenate([seen, keys])) if len(seen) < 4_000_000 else np.sort(keys)
-            found = np.flatnonzero(~marks.far(i, j, sizes[i] + sizes[j], percent))
-            edges = [e for e in zip(a[found].tolist(), b[found].tolist(), strict=True) if forest.join(*e)]
-            if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
 
-        def searched(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            whole = pa.Table.from_batches(rows)
-            ids, sizes, places, part = (whole.column(k).to_numpy() for k in (1, 2, 3, 4))
-            marks = Sketches(whole.column(5).to_pylist())
-            left, right, held = [], [], 0
-            ends = np.searchsorted(sizes, sizes * 100 // percent, side="right")
-            for i in range(len(ids)):
-                j = np.arange(i + 1, ends[i])
-                j = j[part[j] != part[i]]
-                j = j[possible(sizes[i], sizes[j], places[i], places[j], percent)]
-                left.append(np.full(len(j), i))
-                right.append(j)
-                held += len(j)
-                if held > 500_000 or (held and i == len(ids) - 1):
-                    yield from compared(ids, sizes, marks, np.concatenate(left), np.concatenate(right))
-                    left, right, held = [], [], 0
-
-        token, rows = None, []
-        for batch in batches:
-            tokens = batch.column(0).to_numpy()
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(tokens)) + 1, [len(tokens)]])
-            for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                if e == s:
-                    continue
-                if tokens[s] != token and rows:
-                    yield from searched(rows)
-                    rows = []
-                token = tokens[s]
-                rows.append(batch.slice(s, e - s))
-        if rows:
-            yield from searched(rows)
-
-    rows = lists.select("token", "ids", "sizes", "places").mapInArrow(opened, "token long, id long, size long, place long")
-    rows = rows.join(parts, rows["id"] == parts["node"], "left").select("token", "id", "size", "place", F.coalesce("component", "id").alias("part"))
-    rows = written(rows, "long-lists")
-    mixed = rows.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
-    rows = rows.join(mixed, "token", "left_semi")
-    known = first.where("bucket is null").join(rows.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi").groupBy(F.col("digest").alias("id")).agg(F.min("sketch").alias("sketch"))
-    rows = rows.join(known, "id").select("token", "id", "size", "place", "part", "sketch").repartition("token").sortWithinPartitions("token", "size", "id")
-    families = connected_components(rows.mapInArrow(near, "a long, b long"))
-    members = first.where("bucket is null").join(families, F.col("digest") == families["node"]).groupBy(F.col("digest").alias("id")).agg(F.min("row").alias("row"), F.min("n").alias("size"), F.min("component").alias("family"))
-    return members.join(parts, members["id"] == parts["node"], "left").select("id", "row", "size", F.coalesce(parts["component"], "id").alias("part"), "family")
+def _step(size: Column, percent: int) -> Column:
+    return F.floor(F.round(F.log(size.cast("double")) / float(np.log(100 / percent)), 9)).cast("int")
+
 
+def anchor_pairs(anchors: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b): anchors of one shingle's sublists with the first of them by hash, and that with the next size step's."""
+    rows = anchors.withColumn("step", _step(F.col("size"), percent)).withColumn("h", F.xxhash64("id"))
+    least = rows.groupBy("token", "step").agg(F.min(F.struct("h", "id", "size", "place")).alias("first"))
+    least = least.select("token", "step", F.col("first.id").alias("a"), F.col("first.size").alias("size_a"), F.col("first.place").alias("place_a"))
+    other = rows.select("token", "step", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"))
+    after = least.select("token", (F.col("step") - 1).alias("step"), F.col("a").alias("b"), F.col("size_a").alias("size_b"), F.col("place_a").alias("place_b"))
+    both = least.join(other.unionByName(after), ["token", "step"]).where("a <> b")
+    reach = (100 + percent) * F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) >= percent * (F.col("size_a") + F.col("size_b"))
+    return both.where(reach).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def tiles_of(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+
+def tiles_of(members: DataFrame, percent: int, most: int, most_shingles: int = TILE_SHINGLES) -> tuple[DataFrame, DataFrame]:
     """(members with their tile, pairs of tiles that must meet as left, right).
 
-    A tile is family, size step, component if it fills a tile there (else null) and
-    a hash; two sets that link are at most one size step apart.
+    members: family, id, size, part and more. A tile is family, size step, component (part) if it fills a tile
+    there (else null) and a hash; two sets that link are at most one size step apart.
     """
-    step = F.floor(F.round(F.log(F.col("size").cast("double")) / float(np.log(100 / percent)), 9)).cast("int")
-    rows = members.withColumn("step", step)
-    full = F.greatest(F.lit(2), F.least(F.lit(TILE), F.floor(F.lit(TILE_SHINGLES) / F.col("size")).cast("int")))
+    rows = members.withColumn("step", _step(F.col("size"), percent))
+    full = F.greatest(F.lit(2), F.least(F.lit(most), F.floor(F.lit(most_shingles) / F.col("size")).cast("int")))
     sizes = rows.groupBy("family", "step", "part").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")).withColumn("own", F.when(F.col("n") >= full, F.col("part")))
     groups = sizes.groupBy("family", "step", "own").agg(F.sum("n").alias("n"), F.max("size").alias("size")).withColumn("t", F.ceil(F.col("n") / full).cast("int"))
+    groups = written(groups.select("family", "step", "own", "t"), "tile-groups")
     rows = rows.join(sizes.select("family", "step", "part", "own"), ["family", "step", "part"])
     g = groups.select(F.col("family").alias("f"), F.col("step").alias("s"), F.col("own").alias("o"), "t")
     rows = rows.join(g, (rows["family"] == g["f"]) & (rows["step"] == g["s"]) & rows["own"].eqNullSafe(g["o"])).drop("f", "s", "o")
-    name = lambda h: F.xxhash64("family", "step", F.coalesce("own", F.lit(0)), F.col("own").isNull(), h)
-    rows = rows.withColumn("tile", name(F.pmod(F.xxhash64("id"), F.col("t")).cast("int"))).select("id", "part", "tile")
-    tiles = groups.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("t") - 1))).withColumn("tile", name(F.col("h").cast("int"))).select("family", "step", "own", "tile")
-    other = tiles.select("family", F.col("step").alias("step2"), F.col("own").alias("own2"), F.col("tile").alias("right"))
-    meet = tiles.withColumn("step2", F.explode(F.array(F.col("step"), F.col("step") + 1))).join(other, ["family", "step2"])
-    meet = meet.where((F.col("step") < F.col("step2")) | (F.col("tile") <= F.col("right"))).where("own is null or own2 is null or own <> own2")
-    return rows, meet.select(F.col("tile").alias("left"), "right")
-
-
-def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of sets on the left with sets on the right."""
-    n, m = len(left), len(right)
-    tokens, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
-    of = np.repeat(np.arange(n + m), [len(x) for x in (*left, *right)])
-    split = int(sum(len(x) for x in left))
-    both = np.zeros(len(tokens), bool)
-    both[at[:split]] = True
-    shared = np.zeros(len(tokens), bool)
-    shared[at[split:]] = True
-    shared &= both
-    place = np.cumsum(shared) - 1
-    out = np.zeros((n, m), np.float32)
-    use = shared[at]
-    column, row = place[at[use]], of[use]
-    for k in range(0, int(shared.sum()), 4096):
-        here = (column >= k) & (column < k + 4096)
-        x = np.zeros((n + m, min(4096, int(shared.sum()) - k)), np.float32)
-        x[row[here], column[here] - k] = 1
-        out += x[:n] @ x[n:].T
-    return out.astype(np.int64)
-
-
-def tile_links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between parts, enough of them to join what any link joins. members: id, row, size, part, family."""
-    rows, meet = tiles_of(members, percent)
-    rows, meet = written(rows, "tiles"), written(meet, "tile-pairs")
+
+    def name(step: str, own: str, number: Column) -> Column:
+        return F.xxhash64("family", F.col(step), F.coalesce(F.col(own), F.lit(0)), F.col(own).isNull(), number.cast("int"))
+
+    rows = rows.withColumn("tile", name("step", "own", F.pmod(F.xxhash64("id"), F.col("t")))).drop("step", "own", "t")
+    # groups meet first, then their tiles, dealt out anew in between: no key makes all pairs of a family's tiles
+    other = groups.select("family", F.col("step").alias("step2"), F.col("own").alias("own2"), F.col("t").alias("t2"))
+    meet = groups.withColumn("step2", F.explode(F.array(F.col("step"), F.col("step") + 1))).join(other, ["family", "step2"])
+    meet = meet.where("own is null or own2 is null or own <> own2")
+    meet = meet.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("t") - 1))).repartition(F.col("family"), F.col("step"), F.col("own"), F.col("h"))
+    meet = meet.withColumn("left", name("step", "own", F.col("h"))).withColumn("h2", F.explode(F.sequence(F.lit(0), F.col("t2") - 1)))
+    meet = meet.withColumn("right", name("step2", "own2", F.col("h2"))).where("step < step2 or left <= right")
+    return rows, meet.select("left", "right")
+
+
+def sides_of(meet: DataFrame) -> DataFrame:
+    """tile, task, side: 0 and 1 of two tiles that meet, 2 of one that meets itself."""
     task = F.xxhash64("left", "right").alias("task")
-    both = meet.where("left = right").select(F.col("left").alias("tile"), task, F.lit(2).alias("side"))
-    sides = both.unionByName(meet.where("left <> right").select(F.col("left").alias("tile"), task, F.lit(0).alias("side")))
-    sides = sides.unionByName(meet.where("left <> right").select(F.col("right").alias("tile"), task, F.lit(1).alias("side")))
-    places = written(rows.join(sides, "tile").join(members.select("id", F.col("row").alias("r"), "size"), "id").select("r", "task", "side", "id", "part", "size"), "places")
-    work = whole_sets(docs, members.select(F.col("row").alias("r"))).join(small(places), "r")
-    work = work.select("task", "side", "id", "part", "size", "s").repartition("task").sortWithinPartitions("task", "side", "id")
+    side = lambda tile, where, n: meet.where(where).select(F.col(tile).alias("tile"), task, F.lit(n).alias("side"))
+    return side("left", "left = right", 2).unionByName(side("left", "left <> right", 0)).unionByName(side("right", "left <> right", 1))
+
+
+def _tasks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[tuple]]:
+    """Rows (of the batches' first columns, without the task) of each task in turn; the task comes first."""
+    task, held = None, []
+    for batch in batches:
+        for t, *row in zip(*[batch.column(k).to_pylist() for k in range(columns)], strict=True):
+            if t != task and held:
+                yield held
+                held = []
+            task = t
+            held.append(tuple(row))
+    if held:
+        yield held
+
+
+def mixed_families(lists: DataFrame, rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Classes of long lists that may link across components: id, row, size, part, family."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((3, 0), np.int64)  # key, a, b of pairs compared lately: a group's lists are much alike
+        forest = Forest()
+        for held in _tasks(batches, 7):
+            side, ids, sizes, places, part = (np.array([h[k] for h in held], np.int64) for k in range(5))
+            marks = Sketches([h[5] for h in held])
+            left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            if not len(left) or not len(right):
+                continue
+            own = side[0] == 2
+            blocks = Blocks(sizes[left], places[left])
+            for i, j in meeting(blocks, None if own else Blocks(sizes[right], places[right]), percent):
+                i, j = left[i], right[j]
+                a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+                key = (mix64(a.view(np.uint64) * np.uint64(3)) ^ b.view(np.uint64)).view(np.int64)
+                at = np.minimum(np.searchsorted(seen[0], key), max(0, seen.shape[1] - 1))
+                met = (seen[0][at] == key) & (seen[1][at] == a) & (seen[2][at] == b) if seen.shape[1] else np.zeros(len(key), bool)
+                use = np.flatnonzero(~met & (part[i] != part[j]))
+                i, j, a, b, key = i[use], j[use], a[use], b[use], key[use]
+                if not len(key):
+                    continue
+                more = np.stack([key, a, b])
+                seen = np.concatenate([seen, more], 1) if seen.shape[1] < 2_000_000 else more
+                seen = seen[:, np.argsort(seen[0], kind="stable")]
+                found = np.flatnonzero(~marks.far(i, j, sizes[i] + sizes[j], percent))
+                edges = [e for e in zip(a[found].tolist(), b[found].tolist(), strict=True) if forest.join(*e)]
+                if edges:
+                    yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
+
+    entries = opened(lists).join(parts, F.col("id") == parts["node"], "left").select("token", "id", "size", "place", F.coalesce("component", "id").alias("part"))
+    entries = written(entries, "long-lists")
+    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
+    entries = entries.join(mixed, "token", "left_semi")
+    known = rows.join(entries.select(F.col("id").alias("name")).distinct(), "name", "left_semi").groupBy(F.col("name").alias("id")).agg(F.min("sketch").alias("sketch"))
+    placed, meet = tiles_of(entries.withColumnRenamed("token", "family"), percent, LIST_TILE)
+    placed = placed.join(written(sides_of(meet), "list-tiles"), "tile").join(known, "id")
+    placed = placed.select("task", "side", "id", "size", "place", "part", "sketch").repartition("task").sortWithinPartitions("task", "size", "place", "id")
+    families = connected_components(placed.mapInArrow(near, "a long, b long"))
+    members = rows.join(families, F.col("name") == families["node"]).groupBy(F.col("name").alias("id")).agg(F.min("row").alias("row"), F.min("n").alias("size"), F.min("component").alias("family"))
+    return members.join(parts, members["id"] == parts["node"], "left").select("id", "row", "size", F.coalesce(parts["component"], "id").alias("part"), "family")
+
+
+def links_of(docs: DataFrame, places: DataFrame, names: Names, percent: int) -> DataFrame:
+    """Links (a, b) between parts that meet in a task, enough of them to join what any link joins. places: r, id, task, side, part, size."""
+    work = whole_sets(docs, places.select("r").distinct(), names).join(small(places), ["r", "id"])
+    work = work.select("task", "side", "part", "id", "size", "s").repartition("task").sortWithinPartitions("task", "side", "part", "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for rows in _tasks(batches, 6):
+            held = [h for k, h in enumerate(rows) if not k or h[:3] != rows[k - 1][:3]]  # repeated rows send a set twice
             left, right = [h for h in held if h[0] != 1], [h for h in held if h[0] != 0]
             if not left or not right:
-                return
-            common = common_counts([h[4] for h in left], [h[4] for h in right])
-            sizes = np.array([h[3] for h in left])[:, None] + np.array([h[3] for h in right])[None, :]
-            pa_, pb = (np.array([h[2] for h in side]) for side in (left, right))
-            u, v = np.nonzero((100 * common >= percent * (sizes - common)) & (pa_[:, None] != pb[None, :]))
+                continue
+            common = overlaps([np.frombuffer(h[4], np.uint64) for h in left], [np.frombuffer(h[4], np.uint64) for h in right])
+            part_a, part_b = (np.array([h[1] for h in side]) for side in (left, right))
+            size_a, size_b = (np.array([h[3] for h in side]) for side in (left, right))
+            u, v = np.nonzero((100 * common >= percent * (size_a[:, None] + size_b[None, :] - common)) & (part_a[:, None] != part_b[None, :]))
             forest = Forest()
-            edges = [(left[i][1], right[j][1]) for i, j in zip(u.tolist(), v.tolist(), strict=True) if forest.join(left[i][2], right[j][2])]
+            edges = [(left[i][2], right[j][2]) for i, j in zip(u.tolist(), v.tolist(), strict=True) if forest.join(left[i][1], right[j][1])]
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array([e[n] for e in edges], pa.int64()) for n in (0, 1)], names=["a", "b"])
 
-        task, held, last = None, [], None
-        for batch in batches:
-            for t, side, i, part, size, s in zip(*[batch.column(k).to_pylist() for k in range(6)], strict=True):
-                if t != task:
-                    yield from linked(held)
-                    task, held, last = t, [], None
-                if (side, i) != last:  # repeated rows send a set twice
-                    held.append((side, i, part, size, unpacked(s)))
-                last = (side, i)
-        yield from linked(held)
-
     return work.mapInArrow(compared, "a long, b long").distinct()
 
 
-def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+def alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) that their sketches don't rule out, with the row that stands for each (ra, rb) and the sizes (na, nb)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -520,27 +450,21 @@ def alike(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
                 far = marks.far(np.arange(n), np.arange(n, 2 * n), batch.column(6).to_numpy() + batch.column(7).to_numpy(), percent)
                 yield batch.select([0, 1, 2, 3, 6, 7]).filter(pa.array(~far))
 
-    wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
-    known = first.where("bucket is null").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min("row").alias("r"), F.min("sketch").alias("s"), F.min("n").alias("n"))
+    wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
+    known = rows.join(wanted, "name", "left_semi").groupBy("name").agg(F.min("row").alias("r"), F.min("sketch").alias("s"), F.min("n").alias("n"))
     known = written(known, "sketches")
-    both = pairs.join(known.select(F.col("digest").alias("a"), F.col("r").alias("ra"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
-    both = both.join(known.select(F.col("digest").alias("b"), F.col("r").alias("rb"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
+    both = pairs.join(known.select(F.col("name").alias("a"), F.col("r").alias("ra"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
+    both = both.join(known.select(F.col("name").alias("b"), F.col("r").alias("rb"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
     return both.select("a", "b", "ra", "rb", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, ra long, rb long, na long, nb long")
 
 
-def packed48(s: np.ndarray) -> bytes:
-    """The upper 48 bits of each hash. Two sets of n and m shingles share one more than they should in n m / 2^48 cases."""
-    return s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view(">u8").ravel().astype(np.uint64)
+def _bloom(rows: np.ndarray) -> list[np.ndarray]:
+    d = rows.astype(np.int64).view(np.uint64)
+    return [(mix64(d + np.uint64(k)) & np.uint64(BLOOM_BITS - 1)).astype(np.int64) for k in (1, 2, 3)]
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """r, s: packed sets of the rows named in ``wanted`` (r) and of few others: texts that a Bloom filter leaves out aren't worked on."""
+def whole_sets(docs: DataFrame, wanted: DataFrame, names: Names) -> DataFrame:
+    """r, id, s: row, name and hashes of the sets of the rows named in ``wanted`` (r) and of few others: texts that a Bloom filter leaves out aren't worked on."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BLOOM_BITS, bool)
@@ -558,82 +482,83 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         bloom[at // 8 : at // 8 + len(piece)] |= np.frombuffer(bytes(piece), np.uint8)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 2, BATCH_BYTES):
+        for batch in sliced(batches, 3, BATCH_BYTES):
             hit = np.ones(batch.num_rows, bool)
             for at in _bloom(batch.column(0).to_numpy()):
                 hit &= (bloom[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
             if hit.any():
                 chosen = batch.filter(pa.array(hit))
-                yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array([packed48(s) for s in shingle_sets(chosen.column(2))], pa.binary())], names=["r", "s"])
+                found = shingle_sets(chosen.column(3))
+                yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array([names(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["r", "id", "s"])
 
-    return docs.mapInArrow(sets, "r long, s binary")
+    return docs.mapInArrow(sets, "r long, id long, s binary")
 
 
-def verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among candidate pairs, at least as many as join what any link of them joins.
+def verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, names: Names, percent: int) -> DataFrame:
+    """Links (a, b) among candidate pairs, enough of them to join what any link of them joins.
 
-    Pairs form families; small ones are compared in tiles, where a set is sent
-    about once. Pairs of families above ``BIG`` sets (an anchor's star) are compared one by one.
+    What pairs connect is a family, cut into tiles by hash. A task gets the sets of two tiles that have a pair
+    there, so an anchor's many partners spread over tasks and a set is sent about once a task.
     """
-    near = written(alike(pairs, first, percent), "pairs-alike")
+    near = written(alike(pairs, rows, percent), "pairs-alike")
     families = connected_components(near.select("a", "b"))
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    families = written(families.join(sizes, "component").select("node", "component", "n"), "pair-families")
-    ends = near.select(F.col("a").alias("id"), F.col("ra").alias("row"), F.col("na").alias("size")).unionByName(near.select(F.col("b").alias("id"), F.col("rb").alias("row"), F.col("nb").alias("size")))
-    members = ends.join(families.where(F.col("n") <= BIG), F.col("id") == F.col("node")).groupBy("id").agg(F.min("row").alias("row"), F.min("size").alias("size"), F.min("component").alias("family"))
-    members = written(members.withColumn("part", F.col("id")), "pair-members")
-    links = tile_links(docs, members, percent)
-    stars = families.where(F.col("n") > BIG)
-    if stars.isEmpty():
-        return links
-    near = written(near.join(stars.select(F.col("node").alias("a")), "a", "left_semi"), "pairs-of-stars")
-    wanted = near.select(F.col("ra").alias("r")).unionByName(near.select(F.col("rb").alias("r"))).distinct()
-    whole = written(whole_sets(docs, wanted).join(wanted, "r", "left_semi"), "sets")
+    ends = near.select(F.col("a").alias("id"), F.col("na").alias("size")).unionByName(near.select(F.col("b").alias("id"), F.col("nb").alias("size"))).distinct()
+    members = ends.join(families, F.col("id") == F.col("node")).select("id", "size", "component")
+    full = F.greatest(F.lit(2), F.least(F.lit(TILE), F.floor(F.lit(TILE_SHINGLES) / F.max("size")).cast("int")))
+    counts = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / full).cast("int").alias("t"))
+    tile = F.xxhash64("component", F.pmod(F.xxhash64("id"), F.col("t")).cast("int"))
+    tiles = written(members.join(counts, "component").select("id", tile.alias("tile")), "pair-tiles")
+    both = near.join(tiles.select(F.col("id").alias("a"), F.col("tile").alias("ta")), "a").join(tiles.select(F.col("id").alias("b"), F.col("tile").alias("tb")), "b")
+    task = F.xxhash64(F.least("ta", "tb"), F.greatest("ta", "tb")).alias("task")
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = []
-            for i in range(batch.num_rows):
-                x, y = (unpacked(batch.column(k)[i].as_py()) for k in (2, 3))
-                at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    hit.append(i)
-            yield batch.select([0, 1]).take(pa.array(hit, pa.int64()))
+    def side(end: str, other: str) -> DataFrame:
+        number = F.when(F.col("ta") == F.col("tb"), 2).when(F.col(f"t{end}") < F.col(f"t{other}"), 0).otherwise(1)
+        return both.select(F.col(f"r{end}").alias("r"), F.col(end).alias("id"), task, number.alias("side"), F.col(end).alias("part"), F.col(f"n{end}").alias("size"))
 
-    near = near.join(whole.select(F.col("r").alias("rb"), F.col("s").alias("sb")), "rb")
-    near = near.join(whole.select(F.col("r").alias("ra"), F.col("s").alias("sa")), "ra").select("a", "b", "sa", "sb")
-    return links.unionByName(near.mapInArrow(compared, "a long, b long")).distinct()
+    return links_of(docs, written(side("a", "b").unionByName(side("b", "a")).distinct(), "pair-places"), names, percent)
 
 
-def _bloom(d: np.ndarray) -> list[np.ndarray]:
-    d = d.astype(np.int64).view(np.uint64)
-    return [(mix64(d + np.uint64(k)) & np.uint64(BLOOM_BITS - 1)).astype(np.int64) for k in (1, 2, 3)]
+def family_links(docs: DataFrame, members: DataFrame, names: Names, percent: int) -> DataFrame:
+    """Links (a, b) between parts of a family. members: id, row, size, part, family."""
+    rows, meet = tiles_of(members, percent, TILE)
+    places = rows.join(written(sides_of(meet), "tile-pairs"), "tile").select(F.col("row").alias("r"), "id", "task", "side", "part", "size")
+    return links_of(docs, written(places, "places"), names, percent)
 
 
-def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, long: int = LONG) -> DataFrame:
-    """One row a row of ``df``: id, n_shingles, component_id."""
+def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, long: int = LONG, list_most: int = LIST_MOST, name_bits: int = 64) -> DataFrame:
+    """One row a row of ``df``: row and row2 (two hashes of id and text), id, n_shingles, part (a name of its component; null for empty sets)."""
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    docs = docs.select(F.xxhash64("id", "text").alias("row"), "id", "text")
-    first = written(set_sizes(docs, percent), "set-sizes")
-    frequent = frequent_shingles(first.where("bucket is not null"), above=long)
-    rows = first.where("bucket is null").select("id", "n", "digest")
+    docs = docs.select(F.xxhash64("id", "text").alias("row"), F.xxhash64("text", "id", F.lit(1)).alias("row2"), "id", "text")
+    first = written(set_sizes(docs, percent, name_bits), "set-sizes")
+    rows = first.where("bucket is null")
+    # sets of unlike second digests under one first digest: about n^2 / 2^65 of n sets
+    shared = [r[0] for r in rows.groupBy("d1").agg(F.min("d2").alias("lo"), F.max("d2").alias("hi")).where("lo <> hi").select("d1").collect()]
+    names = Names(shared, name_bits)
+    rows = rows.withColumn("name", F.when(F.col("d1").isin(shared), F.col("d2")).otherwise(F.col("d1")) if shared else F.col("d1"))
     shingles = rows.agg(F.sum("n")).first()[0] or 0
+    frequent, counts = frequent_shingles(first.where("bucket is not null"), min(COUNT_BUCKETS, int(shingles // 4_000_000) + 4), above=long)
+    sublists = Sublists(frequent, counts, list_most)
     buckets = int(shingles * (1 - percent / 100) / POSTINGS_A_BUCKET) + 1
-    found = written(candidate_lists(index_postings(docs, frequent, buckets, percent), buckets, percent, long), "candidates")
-    pairs = written(found.where("a is not null").select("a", "b").distinct(), "pairs")
-    parts = connected_components(verified(docs, first, pairs, percent))
-    lists = found.where("token is not null")
+    found = written(candidate_lists(index_postings(docs, frequent, sublists, names, buckets, percent), sublists, buckets, percent, long), "candidates")
+    pairs = found.where("a is not null").select("a", "b")
+    if len(sublists.tokens):
+        pairs = pairs.unionByName(anchor_pairs(opened(found.where("anchor")), percent))
+    parts = connected_components(verified(docs, rows, written(pairs.distinct(), "pairs"), names, percent))
+    lists = found.where("not anchor")
     if not lists.isEmpty():
-        members = written(mixed_families(lists, first, parts, percent), "families")
+        members = written(mixed_families(lists, rows, parts, percent), "families")
         if not members.isEmpty():
-            more = tile_links(docs, members, percent)
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            parts = connected_components(stars.unionByName(more))
-    named = rows.join(parts, rows["digest"] == parts["node"], "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("part"))
+            parts = connected_components(stars.unionByName(family_links(docs, members, names, percent)))
+    named = rows.join(parts, rows["name"] == parts["node"], "left")
+    return named.select("row", "row2", "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "name")).alias("part"))
+
+
+def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, **options: int) -> DataFrame:
+    """One row a row of ``df``: id, n_shingles, component_id."""
+    named = jaccard_classes(df, key, text, percent, **options).select("id", "n_shingles", "part")
     least = named.where("part is not null").groupBy("part").agg(F.min("id").alias("component_id"))
-    out = named.join(least, "part", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    return named.join(least, "part", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
 def op10_jaccard_skip(spark: SparkSession, sf_dir: str) -> DataFrame:

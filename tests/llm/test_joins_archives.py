@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docmeter.llm import embedding_join, jaccard_join, oracles, warc
+from docmeter.llm import shingles as sets_of
 from docmeter.llm.common import scratch_path
 from docmeter.llm.components import connected_components
 
@@ -91,7 +92,7 @@ def shingles(text: str | None, n: int = 5) -> frozenset:
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aBb \n\tÄä"), max_size=30), min_size=1, max_size=6))
 def test_shingle_sets(texts):
-    found = jaccard_join.shingle_sets(pa.array(texts))
+    found = sets_of.shingle_sets(pa.array(texts))
     want = [shingles(t) for t in texts]
     assert [len(s) for s in found] == [len(s) for s in want]
     for i in range(len(texts)):
@@ -99,10 +100,25 @@ def test_shingle_sets(texts):
             assert len(np.intersect1d(found[i], found[j])) == len(want[i] & want[j])
 
 
-@pytest.mark.parametrize(("long", "tile"), [(2, 3), (2, 500), (16, 500)])
-def test_jaccard_by_brute_force(spark, long, tile, monkeypatch):
+def linked(rows: list[tuple]) -> tuple[list, int]:
+    """(id, shingles, component) of rows, and how many pairs link, by comparing all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    token: dict = {}
+    numbered = [frozenset(token.setdefault(x, len(token)) for x in s) for s in sets]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if numbered[a] and numbered[b] and 100 * len(numbered[a] & numbered[b]) >= 75 * len(numbered[a] | numbered[b])]
+    comp = closure(list(range(len(rows))), links)
+    least: dict = {}
+    for i, (k, _) in enumerate(rows):
+        least.setdefault(comp[i], []).append(k)
+    return [(k, len(sets[i]), min((x for x in least[comp[i]] if x is not None), default=k)) for i, (k, _) in enumerate(rows)], len(links)
+
+
+@pytest.mark.parametrize(("long", "tile", "list_most", "bits"), [(2, 3, 20_000, 64), (2, 500, 4, 64), (16, 500, 20_000, 5), (3, 4, 5, 6)])
+def test_jaccard_by_brute_force(spark, long, tile, list_most, bits, monkeypatch):
+    """Also with lists dealt into parts, tiny tiles, and first digests that many sets share."""
     monkeypatch.setattr(jaccard_join, "TILE", tile)
-    rng = np.random.default_rng(long)
+    monkeypatch.setattr(jaccard_join, "LIST_TILE", tile)
+    rng = np.random.default_rng(long + bits)
     vocabulary = [f"w{i}" for i in range(400)]
     passage = list(rng.choice(vocabulary, 60))
     rows, k = [], 0
@@ -117,13 +133,33 @@ def test_jaccard_by_brute_force(spark, long, tile, monkeypatch):
             rows.append((k, " ".join(words)))
             k += 1
     rows += [(k, None), (k + 1, ""), (k + 2, " \n "), (k + 3, "only three words"), (k + 4, "ONLY three\tWords"), (k + 5, rows[0][1].upper()), (k + 6, "w1 " * 20_000), (3, rows[3][1])]
-    sets = {i: shingles(t) for i, t in rows}
-    links = [(a, b) for a in sets for b in sets if b < a and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
-    want = closure(sorted(sets), links)
+    want, links = linked(rows)
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, digest string, n long").repartition(3)
-    got = sorted((r.id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, long=long).collect())
-    assert got == sorted((i, len(sets[i]), want[i]) for i, _ in rows)
-    assert len(links) > 40
+    got = sorted((r.id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, long=long, list_most=list_most, name_bits=bits).collect())
+    assert got == sorted(want)
+    assert links > 40
+
+
+def test_jaccard_hot_shingle_and_large_family(spark, monkeypatch):
+    """A passage that all texts share, one family of 400 near copies, and 300 texts made of it that mostly don't link."""
+    monkeypatch.setattr(jaccard_join, "TILE", 40)
+    monkeypatch.setattr(jaccard_join, "LIST_TILE", 60)
+    rng = np.random.default_rng(11)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    hot = list(rng.choice(vocabulary, 50))
+    base = hot + list(rng.choice(vocabulary, 40))
+    rows = []
+    for k in range(400):
+        words = list(base)
+        for _ in range(int(rng.integers(0, 3))):
+            words[int(rng.integers(50, 90))] = str(rng.choice(vocabulary))
+        rows.append((k, " ".join(words)))
+    for k in range(400, 700):
+        rows.append((k, " ".join(hot + list(rng.choice(vocabulary, int(rng.integers(3, 30)))))))
+    want, links = linked(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r.id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, long=8, list_most=50).collect())
+    assert got == sorted(want) and links > 10_000 and len({c for *_, c in want}) > 20
 
 
 def test_jaccard_null_ids_and_empty_table(spark):
@@ -137,11 +173,29 @@ def test_jaccard_matches_sql(spark, small, compare):
     compare(jaccard_join.op10_jaccard_skip(spark, small), oracles.JACCARD)
 
 
-@settings(max_examples=40, deadline=None)
-@given(*[st.lists(st.sets(st.integers(0, 9000), max_size=30), min_size=1, max_size=5)] * 2)
-def test_common_counts(left, right):
+@settings(max_examples=60, deadline=None)
+@given(*[st.lists(st.sets(st.integers(0, 40), max_size=30), min_size=1, max_size=8)] * 2)
+def test_overlaps_derived_from_other_answers(left, right):
     a, b = ([np.array(sorted(x), np.uint64) for x in side] for side in (left, right))
-    assert jaccard_join.common_counts(a, b).tolist() == [[len(x & y) for y in right] for x in left]
+    assert sets_of.overlaps(a, b).tolist() == [[len(x & y) for y in right] for x in left]
+
+
+ENTRIES = st.lists(st.tuples(st.integers(0, 2), st.integers(1, 30), st.integers(0, 8)), max_size=25)
+
+
+@settings(max_examples=80, deadline=None)
+@given(ENTRIES, ENTRIES, st.integers(1, 40))
+def test_blocks_meet_where_positions_allow_it(left, right, most):
+    left, right = ([e for e in sorted(side) if e[2] < e[1]] for side in (left, right))
+    blocks = [sets_of.Blocks(*(np.array([e[k] for e in side], np.int64) for k in (1, 2, 0))) for side in (left, right)]
+
+    def ok(x: tuple, y: tuple) -> bool:
+        return x[0] == y[0] and bool(sets_of.possible(*(np.array([v]) for v in (x[1], y[1], x[2], y[2])), 75)[0])
+
+    got = sorted((int(a), int(b)) for i, j in sets_of.meeting(blocks[0], blocks[1], 75, most) for a, b in zip(i, j, strict=True))
+    assert got == [(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if ok(x, y)]
+    got = sorted((int(a), int(b)) for i, j in sets_of.meeting(blocks[0], None, 75, most) for a, b in zip(i, j, strict=True))
+    assert got == [(i, j) for i, x in enumerate(left) for j, y in enumerate(left) if i < j and ok(x, y)]
 
 
 @settings(max_examples=60, deadline=None)
@@ -150,7 +204,7 @@ def test_sketches_never_rule_out_a_link(picked):
     from docmeter.llm.arrays import mix64
 
     sets = [np.sort(mix64(np.array(sorted(x), np.uint64) + np.uint64(1))) for x in picked]
-    marks = jaccard_join.Sketches([jaccard_join.sketch(s) for s in sets])
+    marks = sets_of.Sketches([sets_of.sketch(s) for s in sets])
     for i, x in enumerate(picked):
         for j, y in enumerate(picked):
             far = marks.far(np.array([i]), np.array([j]), np.array([len(x) + len(y)]), 75)[0]
