@@ -2,7 +2,8 @@
 
 Column rule for every operator: it works on the columns named by its
 parameters, keeps all other columns where it returns the input's rows, and
-names its own columns so that they replace input columns of the same name.
+its result columns replace input columns of the same name. Columns that it needs
+in between get names that the input doesn't have (``unused``).
 """
 
 from __future__ import annotations
@@ -44,6 +45,18 @@ def crc32_text(column: Column) -> Column:
     return F.crc32(F.encode(column, "UTF-8"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names that the rows don't have yet, after these."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def md5_key(*columns: str) -> Column:
     """32 hex digits that order rows at random, the same in every run."""
     return F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]).cast("binary"))

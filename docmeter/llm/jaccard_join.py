@@ -525,10 +525,16 @@ def family_links(docs: DataFrame, members: DataFrame, names: Names, percent: int
     return links_of(docs, written(places, "places"), names, percent)
 
 
+def row_hashes(key: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """Two hashes of a row's id and text, 128 bits together."""
+    k, t = F.col(key).cast("long"), F.col(text).cast("string")
+    return F.xxhash64(k, t), F.xxhash64(t, k, F.lit(1))
+
+
 def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, long: int = LONG, list_most: int = LIST_MOST, name_bits: int = 64) -> DataFrame:
     """One row a row of ``df``: row and row2 (two hashes of id and text), id, n_shingles, part (a name of its component; null for empty sets)."""
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    docs = docs.select(F.xxhash64("id", "text").alias("row"), F.xxhash64("text", "id", F.lit(1)).alias("row2"), "id", "text")
+    row, row2 = row_hashes(key, text)
+    docs = df.select(row.alias("row"), row2.alias("row2"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     first = written(set_sizes(docs, percent, name_bits), "set-sizes")
     rows = first.where("bucket is null")
     # sets of unlike second digests under one first digest: about n^2 / 2^65 of n sets

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import WORD, md5_key, table, text_of
+from docmeter.llm.common import WORD, md5_key, table, text_of, unused, written
 
 #: By rank of the source's name, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -59,40 +59,43 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
 def mix(df: DataFrame, size: Column, key: list[str], source: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, epochs: int = MOST_EPOCHS, digits: int = 2) -> DataFrame:
     """The rows with size, source_size, target, taken.
 
-    ``key`` columns seed the hash-random order. ``digits`` hex digits cut a source
+    ``key`` columns seed the hash-random order and break its ties; rows equal in them are alike to the mix. ``digits`` hex digits cut a source
     into 16**digits ranges.
     """
-    rows = df.withColumn("size", F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).cast("long"))
-    rows = rows.withColumn("_source", F.col(source)).withColumn("_key", md5_key(*key)).withColumn("_range", F.substring("_key", 1, digits))
-    ranges = rows.groupBy("_source", "_range").agg(F.sum("size").alias("_range_size"))
-    targets = source_targets(ranges.select(F.col("_source").alias("source"), F.col("_range_size").alias("size")), weights, share, epochs)
-    earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranges.withColumn("_base", F.coalesce(F.sum("_range_size").over(earlier), F.lit(0)))
-    targets = targets.withColumn("_budget", F.round("target").cast("long"))
-    placed = placed.join(targets, placed["_source"].eqNullSafe(targets["source"])).select(
-        placed["_source"].alias("_s"), F.col("_range").alias("_r"), "_base", F.col("source_size").alias("_ss"), F.col("target").alias("_t"), "_budget"
-    )
     kept = [c for c in df.columns if c not in ("size", "source_size", "target", "taken")]
-    joined = rows.join(placed, rows["_source"].eqNullSafe(placed["_s"]) & (rows["_range"] == placed["_r"]))
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", *[F.col(c).asc_nulls_first() for c in key]).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    whole = F.when(F.col("_ss") > 0, F.floor(F.col("_budget") / F.greatest(F.col("_ss"), F.lit(1)))).otherwise(0).cast("long")
-    last = F.col("_budget") - whole * F.col("_ss")
+    by, order, part, base, total, goal, budget = unused(df, "by", "order", "part", "base", "total", "goal", "budget")
+    ties = unused(df, *[f"tie{i}" for i in range(len(key))])
+    size_col = F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).cast("long")
+    rows = df.select(*kept, size_col.alias("size"), F.col(source).alias(by), md5_key(*key).alias(order), *[F.col(c).alias(t) for c, t in zip(key, ties, strict=True)])
+    rows = rows.withColumn(part, F.substring(order, 1, digits))
+    ranges = rows.groupBy(by, part).agg(F.sum("size").alias("n"))
+    targets = source_targets(ranges.select(F.col(by).alias("source"), F.col("n").alias("size")), weights, share, epochs)
+    earlier = Window.partitionBy(by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    placed = placed.join(targets, placed[by].eqNullSafe(targets["source"])).select(
+        F.col(by).alias("s"), F.col(part).alias("r"), F.col("before").alias(base), F.col("source_size").alias(total), F.col("target").alias(goal), F.round("target").cast("long").alias(budget)
+    )
+    joined = rows.join(placed, rows[by].eqNullSafe(placed["s"]) & (rows[part] == placed["r"])).drop(placed["s"], placed["r"])
+    inside = Window.partitionBy(by, part).orderBy(order, *[F.col(c).asc_nulls_first() for c in ties]).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col(base) + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    whole = F.when(F.col(total) > 0, F.floor(F.col(budget) / F.greatest(F.col(total), F.lit(1)))).otherwise(0).cast("long")
+    last = F.col(budget) - whole * F.col(total)
     taken = whole * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), last - before))
-    return joined.select(*kept, "size", F.col("_ss").alias("source_size"), F.col("_t").alias("target"), taken.cast("long").alias("taken"))
+    return joined.select(*kept, "size", F.col(total).alias("source_size"), F.col(goal).alias("target"), taken.cast("long").alias("taken"))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract digest: the mix over the whole ``documents`` table."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size"))
+    """Contract digest: the mix over the whole ``documents`` table. Texts are read and their words counted once."""
+    docs = written(table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size")), "word-counts")
     return mix(docs, F.col("size"), ["doc_id", "size"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def taken_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
     """A row of ``mixed`` for each epoch that takes it, the last cut after its last taken word; none for 0 taken."""
+    [epoch] = unused(mixed, "epoch")
     part = F.col("taken") % F.greatest(F.col("size"), F.lit(1))
     epochs = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    rows = mixed.where(epochs > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(1), epochs)))
+    rows = mixed.where(epochs > 0).withColumn(epoch, F.explode(F.sequence(F.lit(1), epochs)))
     words = F.slice(F.expr(f"regexp_extract_all(`{text}`, '{WORD.replace(chr(92), chr(92) * 2)}', 0)"), 1, F.greatest(part, F.lit(1)).cast("int"))
-    cut = (F.col("_epoch") == epochs) & (part > 0)
-    return rows.withColumn(text, F.when(cut, F.array_join(words, " ")).otherwise(F.col(text))).drop("_epoch")
+    cut = (F.col(epoch) == epochs) & (part > 0)
+    return rows.withColumn(text, F.when(cut, F.array_join(words, " ")).otherwise(F.col(text))).drop(epoch)

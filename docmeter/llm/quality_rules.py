@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import BLANKS, small, table, text_of, written
+from docmeter.llm.common import BLANKS, small, table, text_of, unused, written
 
 SYMBOLS = r"[#*$%&|<>]"
 #: Ends of sentences in many scripts: Latin, Armenian, Arabic, Urdu, Devanagari, Tibetan, Burmese, Ethiopic, Khmer, CJK, full and half width.
@@ -63,27 +63,27 @@ def repeated_window_words(words: str, window: int = WINDOW) -> Column:
 
 def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows with the columns of STATISTICS, all long."""
-    whole = text_of(text)
+    whole, trim, words, lines = unused(df, "whole", "trim", "words", "lines")
 
     def removed(pattern: str) -> Column:
-        return F.char_length("_text") - F.char_length(F.regexp_replace("_text", pattern, ""))
+        return F.char_length(whole) - F.char_length(F.regexp_replace(whole, pattern, ""))
 
-    rows = df.withColumn("_text", whole).withColumn("_trim", F.btrim("_text", F.lit(_TRIM)))
-    rows = rows.withColumn("_words", F.when(F.col("_trim") == "", F.array().cast("array<string>")).otherwise(F.split("_trim", BLANKS)))
-    rows = rows.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(_TRIM)) != ""))
+    rows = df.withColumn(whole, text_of(text)).withColumn(trim, F.btrim(whole, F.lit(_TRIM)))
+    rows = rows.withColumn(words, F.when(F.col(trim) == "", F.array().cast("array<string>")).otherwise(F.split(trim, BLANKS)))
+    rows = rows.withColumn(lines, F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(_TRIM)) != ""))
     values = {
-        "n_words": F.size("_words"),
-        "word_chars": F.char_length(F.array_join("_words", "")),
+        "n_words": F.size(words),
+        "word_chars": F.char_length(F.array_join(words, "")),
         "n_symbols": removed(SYMBOLS),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": repeated_window_words("_words"),
-        "n_distinct_words": F.size(F.array_distinct("_words")),
+        "n_lines": F.size(lines),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": repeated_window_words(words),
+        "n_distinct_words": F.size(F.array_distinct(words)),
         "n_upper": removed(r"\p{Lu}+"),
         "n_letters": removed(r"\p{L}+"),
         "n_stops": removed(f"[{ENDS}]"),
         "n_bangs": removed("!+"),
-        "n_odd_runs": F.regexp_count("_text", F.lit(ODD_RUN)),
+        "n_odd_runs": F.regexp_count(whole, F.lit(ODD_RUN)),
     }
     kept = [c for c in df.columns if c not in values]
     return rows.select(*kept, *[v.cast("long").alias(k) for k, v in values.items()])
@@ -109,9 +109,9 @@ def rules() -> dict[str, tuple[Column, Column]]:
     }
 
 
-def with_votes(stats: DataFrame) -> DataFrame:
-    """Adds _vote_<rule>: 0 bad, 1 abstains, 2 good."""
-    return stats.select("*", *[F.when(bad, 0).when(good, 2).otherwise(1).alias(f"_vote_{name}") for name, (bad, good) in rules().items()])
+def votes() -> list[Column]:
+    """A vote of each rule: 0 bad, 1 abstains, 2 good."""
+    return [F.when(bad, 0).when(good, 2).otherwise(1) for bad, good in rules().values()]
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, list[list[list[float]]]]:
@@ -149,8 +149,7 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) ->
 def posterior(model: tuple[float, list[list[list[float]]]]) -> Column:
     """P(good | votes) as a sum of constants."""
     odds = F.lit(model[0])
-    for name, (bad, good) in zip(rules(), model[1], strict=False):
-        vote = F.col(f"_vote_{name}")
+    for vote, (bad, good) in zip(votes(), model[1], strict=False):
         for v in range(3):
             odds = odds + F.when(vote == v, F.lit(good[v] - bad[v])).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
@@ -161,23 +160,23 @@ def judge_quality(df: DataFrame, text: str = "text", least: float = 0.5) -> Data
 
     Rows that fail the base are not kept and don't count in the estimate.
     """
-    stats = text_statistics(df.withColumn("_whole", F.col(text)).drop(text), "_whole").drop("_whole")
-    stats = written(stats.withColumn("base_failed", base_failed()), "quality-stats")
-    voted = with_votes(stats)
-    names = [f"_vote_{name}" for name in rules()]
-    counts = voted.where(~F.col("base_failed")).groupBy(*names).count().collect()  # at most 3**8 rows
+    stats = text_statistics(df, text)
+    stats = stats.select(*[c for c in stats.columns if c not in (text, "base_failed", "quality_posterior", "kept")], base_failed().alias("base_failed"))
+    stats = written(stats, "quality-stats")
+    voted = stats.where(~F.col("base_failed")).select(*[v.alias(name) for v, name in zip(votes(), rules(), strict=True)])
+    counts = voted.groupBy(*rules()).count().collect()  # at most 3**8 rows
     model = estimate(sorted((tuple(row[:-1]), row[-1]) for row in counts))
-    judged = voted.withColumn("quality_posterior", posterior(model))
-    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality_posterior") >= least))
-    return judged.drop(*names)
+    judged = stats.withColumn("quality_posterior", posterior(model))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality_posterior") >= least))
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` that are kept. Texts aren't written: verdicts come back by a hash of row and text."""
-    key = F.xxhash64(*[F.col(c) for c in df.columns])
-    judged = judge_quality(df.select(key.alias("_row"), text), text)
-    rejected = written(judged.where("not kept").select("_row").distinct(), "rejected")
-    return df.withColumn("_row", key).join(small(rejected), "_row", "left_anti").drop("_row")
+    """The rows of ``df`` that are kept. Texts aren't written: verdicts come back by two hashes of the row."""
+    row, row2 = unused(df, "row", "row2")
+    keyed = df.select("*", F.xxhash64(*df.columns).alias(row), F.xxhash64(*reversed(df.columns), F.lit(1)).alias(row2))
+    judged = judge_quality(keyed.select(F.col(row).alias("row"), F.col(row2).alias("row2"), F.col(text).alias("text")))
+    rejected = written(judged.where("not kept").select(F.col("row").alias(row), F.col("row2").alias(row2)).distinct(), "rejected")
+    return keyed.join(small(rejected), [row, row2], "left_anti").select(*df.columns)
 
 
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,10 @@ input has under the names of the results are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import crc32_text, md5_key, table, text_of
+from docmeter.llm.common import crc32_text, md5_key, table, text_of, unused
 
 #: Multiplier of the published jump-hash generator, in halves.
 MULTIPLIER = 2862933555777941757
@@ -71,17 +71,16 @@ def number_slots(df: DataFrame, identity: list[str], digits: int) -> DataFrame:
     cut by the first ``digits`` hex digits of the hash; per-cut counts are summed
     up in a table of 16**digits rows a shard, so no task ever holds a shard.
     """
-    from pyspark.sql import Window
-
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_key", md5_key(*identity)).withColumn("_cut", F.substring("_key", 1, digits))
-    cuts = counted.groupBy("shard", "_cut").agg(F.sum("_n").alias("_cut_n"))
-    before = Window.partitionBy("shard").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = cuts.select("shard", "_cut", F.coalesce(F.sum("_cut_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("shard", "_cut").orderBy("_key", *[F.col(c).asc_nulls_first() for c in identity]).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.join(cuts, ["shard", "_cut"]).withColumn("_first", F.col("_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    slots = placed.withColumn("slot", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)))
-    return slots.select(*df.columns, F.col("slot").cast("long").alias("slot"))
+    n, key, cut, base, first = unused(df, "n", "key", "cut", "base", "first")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n))
+    counted = counted.withColumn(key, md5_key(*identity)).withColumn(cut, F.substring(key, 1, digits))
+    cuts = counted.groupBy("shard", cut).agg(F.sum(n).alias(base))
+    before = Window.partitionBy("shard").orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    cuts = cuts.select("shard", cut, F.coalesce(F.sum(base).over(before), F.lit(0)).alias(base))
+    inside = Window.partitionBy("shard", cut).orderBy(key, *[F.col(c).asc_nulls_first() for c in identity]).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.join(cuts, ["shard", cut]).withColumn(first, F.col(base) + F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    kept = [c for c in df.columns if c != "slot"]
+    return placed.select(*kept, F.explode(F.sequence(F.col(first), F.col(first) + F.col(n) - 1)).alias("slot"))
 
 
 def op4_jump_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
