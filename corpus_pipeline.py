@@ -1,53 +1,78 @@
 """The corpus pipeline: language ID, quality rules, near-duplicate removal, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
-kept. All but the last return the columns of ``documents``. A missing doc_id is
-no reason to drop a row except for near-duplicates, which are told apart by it:
-there rows with a null id stay.
+kept. All but the last return the columns of ``documents``, and any other columns
+that come with them. Rows are told apart by hashes of what they hold, so neither a
+missing nor a repeated doc_id costs a row of its own text. Null texts are texts
+without letters or words. An empty table gives an empty table in every stage.
+
+Stages run some of their jobs (training, counts, components) while they are called.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmeter.llm import jaccard_join, language_id, mixing, packing, quality_rules
-from docmeter.llm.common import bucket_crc, scratch_path, small, table, written
+from docmeter.llm.common import bucket_crc, scratch_path, small, table, unused, written
 from docmeter.llm.tokens import tokenizer_path
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """The rows with columns of these names renamed, and the columns that bring them back."""
+    renamed = {c: unused(docs.select(*[x for x in docs.columns if x != c]), f"own_{c}")[0] for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(renamed), [F.col(renamed.get(c, c)).alias(c) for c in docs.columns]
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or whose language the calibrated model doubts, go."""
+    """Documents without letters (null and empty texts too), or whose language the calibrated model doubts, go. Repeated rows fare alike."""
     held = F.coalesce(bucket_crc("doc_id", language_id.HELD_OUT[0]) == language_id.HELD_OUT[1], F.lit(False))
     model = language_id.fit(docs, ~held)
-    return language_id.identify(docs, model).where("not rejected").select(*docs.columns)
+    rows, back = set_aside(docs, "lang_pred", "score", "rejected")
+    return language_id.identify(rows, model).where("not rejected").select(*back)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base or that the voting rules hold for bad go."""
+    """Documents that fail the base (null and short texts too) or that the voting rules hold for bad go. Repeated rows fare alike."""
     return quality_rules.keep_good(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that five-word shingles link, the document with the smallest id stays; of repeated ids, one row."""
-    known = written(jaccard_join.jaccard_components(docs).where("id is not null"), "components")
-    gone = known.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct()
-    stay = docs.join(small(gone), "doc_id", "left_anti")
-    twice = known.groupBy(F.col("id").alias("doc_id")).count().where("count > 1").select("doc_id")
+    """Of each group that five-word shingles link, one row stays: that with the smallest id, nulls last.
+
+    Of rows with that id the one with the smallest hash of id and text stays, of exact repeats of it one, by a hash of
+    all columns. Texts without words link with nothing and stay. Rows of one id whose texts don't link all stay.
+    """
+    named = written(jaccard_join.jaccard_classes(docs).where("part is not null").select("row", "row2", "id", "part"), "classes")
+    best = named.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "row2")).alias("best"))
+    gone = named.join(best, "part").where("row <> best.row or row2 <> best.row2").select("row", "row2").distinct()
+    twice = written(named.groupBy("row", "row2").count().where("count > 1").select("row", "row2"), "repeated")
+    row, row2, whole = unused(docs, "row", "row2", "whole")
+    keys = jaccard_join.row_hashes()
+    stay = docs.select("*", keys[0].alias(row), keys[1].alias(row2))
+    stay = stay.join(small(written(gone.toDF(row, row2), "near-copies")), [row, row2], "left_anti")
     if twice.isEmpty():
-        return stay
-    once = stay.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.join(small(twice), "doc_id", "left_anti").unionByName(once)
+        return stay.select(*docs.columns)
+    twice = small(twice.toDF(row, row2))
+    once = stay.join(twice, [row, row2], "left_semi").groupBy(row, row2).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(whole))
+    return stay.join(twice, [row, row2], "left_anti").select(*docs.columns).unionByName(once.select(f"{whole}.*"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, the last time up to the budget's last word."""
-    mixed = mixing.mix(docs, mixing.word_count(), ["doc_id", "n_chars"])
-    return mixing.taken_documents(mixed).select(*docs.columns)
+    """Documents as often as the mix takes them, the last time up to the budget's last word; texts without words aren't taken.
+
+    Equal rows are alike to the mix; all others have an order of their own, so reruns agree.
+    """
+    rows, back = set_aside(docs, "size", "source_size", "target", "taken")
+    [row] = unused(rows, "row")
+    rows = rows.withColumn(row, F.xxhash64(*rows.columns))
+    mixed = mixing.mix(rows, mixing.word_count(), ["doc_id", row])
+    return mixing.taken_documents(mixed).select(*back)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens, with their ids' checksum."""
+    """Pieces of all documents (null text: the end token alone) in sequences of at most 2048 tokens, with their ids' checksum."""
     return packing.pieces_digest(packing.pack(docs.select("doc_id", "text"), tokenizer_path()))
 
 
