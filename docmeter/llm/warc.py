@@ -2,17 +2,20 @@
 
 Writing: one record a row, through Spark's own text writer and committer, so any
 file system will do. Record separators are the writer's line separator, which
-makes each part file a WARC file; it is compressed as a whole by gzip unless told
-otherwise, and offsets in the index count its uncompressed bytes. Of records with equal
-payloads of at least ``least_bytes`` the one with the largest id is a response,
-the others are revisits of it without payload.
+makes each part file a WARC file. Files aren't compressed unless asked for, so offset
+and length in the index are bytes to be read from the file as it stands (compressed as
+a whole, they count its uncompressed bytes). Of records with equal payloads of at
+least ``least_bytes`` the one with the largest id is a response, the others are
+revisits of it without payload. Only digests that repeat meet the rows again.
 
 Index: each archive is read back and parsed by its Content-Length fields; its
-captures, sorted by URL key, time and id, are one run. Runs are written, split
-keys are taken from a bounded sample of their keys, and the runs' blocks go to key
-ranges. In a range a loser tree merges the k runs. Ranges hold about
-``RANGE_ROWS`` captures; a URL captured without end spreads over ranges too, since
-time and id are part of the key. Split keys affect balance only, not the order.
+captures, sorted by URL key, time and id, are one run. Passes merge up to ``FAN_IN`` runs
+of a group into one longer run, until so few are left that the last pass can merge all.
+In a pass a group is cut into key ranges, and a task merges one by a loser tree over
+the runs' blocks, which come in the order of their first keys: it holds about one block a
+run, however long the range. Split keys come from a bounded sample of all keys; they
+affect balance only, not the order. A URL captured without end spreads over ranges
+too, since time and id are part of the key.
 
 Defined results: null payloads are empty; a null URL has the empty key; rows with
 a null id are responses unless an equal payload has an id. All rows that carry
@@ -26,13 +29,15 @@ import gzip
 import hashlib
 import re
 from base64 import b32encode
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 from urllib.parse import urlsplit
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docmeter.llm.common import md5_key, scratch_path, table, written
 
@@ -40,8 +45,10 @@ CRLF = "\r\n"
 #: Bytes of records that a file should hold, and must not exceed unless one record does.
 FILE_BYTES, MOST_FILE_BYTES = 8 << 20, 128 << 20
 RANGE_ROWS = 50_000
-SAMPLES_A_RANGE = 20
-BLOCK_ROWS = 4096
+#: Ranges of a pass at most, and sampled keys for each; beyond, ranges are longer but tasks hold no more.
+MOST_RANGES, SAMPLES_A_RANGE = 10_000, 20
+#: Runs that a loser tree merges, and captures of one in a block.
+FAN_IN, BLOCK_ROWS = 64, 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: First capture time where the rows have none; each id comes a second later.
 EPOCH = 1_704_067_200
@@ -54,15 +61,25 @@ def base32_sha1(column: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def with_revisits(pages: DataFrame, key: str, payload: str, least_bytes: int = 0) -> DataFrame:
-    """The rows with _payload, _bytes, _digest, _type, _refers."""
-    rows = pages.withColumn("_payload", F.coalesce(F.col(payload).cast("string"), F.lit("")))
-    rows = rows.withColumn("_bytes", F.octet_length("_payload").cast("long")).withColumn("_digest", base32_sha1(F.col("_payload")))
-    leaders = rows.where(F.col("_bytes") >= least_bytes).groupBy("_digest", "_bytes").agg(F.max(key).alias("_leader"), F.count(F.lit(1)).alias("_n"))
-    leaders = leaders.where(F.col("_n") > 1).drop("_n")
-    rows = rows.join(leaders, ["_digest", "_bytes"], "left")  # AQE splits a digest that many rows share
-    first = F.col("_leader").isNull() | F.col("_leader").eqNullSafe(F.col(key))
-    return rows.withColumn("_type", F.when(first, "response").otherwise("revisit")).withColumn("_refers", F.when(~first, F.col("_leader"))).drop("_leader")
+def payloads(pages: DataFrame, key: str, url: str, payload: str, captured: Column | None) -> DataFrame:
+    """id, url, when, body, bytes, digest of each row."""
+    if captured is None:
+        captured = F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(F.col(key), F.lit(0)).cast("long"), F.lit(1_000_000_000)))
+    rows = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), captured.alias("when"), F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("body"))
+    return rows.select("*", F.octet_length("body").cast("long").alias("bytes"), base32_sha1(F.col("body")).alias("digest"))
+
+
+def repeated_payloads(rows: DataFrame, least_bytes: int) -> DataFrame:
+    """digest, bytes, leader: payloads of several rows and the largest id among them."""
+    found = rows.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("id").alias("leader"), F.count(F.lit(1)).alias("n"))
+    return found.where("n > 1").drop("n")
+
+
+def with_revisits(rows: DataFrame, leaders: DataFrame) -> DataFrame:
+    """The rows with type and refers. Leaders are a written table: Spark sends them to the payloads where its own size check allows that."""
+    rows = rows.join(leaders, ["digest", "bytes"], "left")  # AQE splits a digest that many rows share
+    first = F.col("leader").isNull() | F.col("leader").eqNullSafe(F.col("id"))
+    return rows.withColumn("type", F.when(first, "response").otherwise("revisit")).withColumn("refers", F.when(~first, F.col("leader"))).drop("leader")
 
 
 def _record_id(key: Column) -> Column:
@@ -70,34 +87,35 @@ def _record_id(key: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
 
 
-def records(rows: DataFrame, key: str, url: str, captured: Column | None = None) -> DataFrame:
-    """One string column ``value``: a WARC record without the blank lines after it."""
-    if captured is None:
-        captured = F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(F.col(key), F.lit(0)).cast("long"), F.lit(1_000_000_000)))
-    when = F.concat(F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
-    clean_url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "\r", "%0D"), "\n", "%0A")
-    http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("_bytes").cast("string"), F.lit(CRLF * 2))
-    body = F.concat(http, F.when(F.col("_type") == "response", F.col("_payload")).otherwise(""))
+def records(rows: DataFrame) -> DataFrame:
+    """One string column ``value``: a WARC record without the blank lines after it. rows: id, url, when, body, bytes, digest, type, refers."""
+    when = F.concat(F.date_format("when", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    clean_url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "\r", "%0D"), "\n", "%0A")
+    http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes").cast("string"), F.lit(CRLF * 2))
+    block = F.concat(http, F.when(F.col("type") == "response", F.col("body")).otherwise(""))
     revisit = F.when(
-        F.col("_type") == "revisit",
-        F.concat(F.lit(f"WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: "), _record_id(F.col("_refers")), F.lit(f"{CRLF}X-Refers-To-Page: "), F.col("_refers").cast("string"), F.lit(CRLF)),
+        F.col("type") == "revisit",
+        F.concat(F.lit(f"WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: "), _record_id(F.col("refers")), F.lit(f"{CRLF}X-Refers-To-Page: "), F.col("refers").cast("string"), F.lit(CRLF)),
     ).otherwise("")
-    page = F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("X-Page: "), F.col(key).cast("string"), F.lit(CRLF)))
+    page = F.when(F.col("id").isNull(), "").otherwise(F.concat(F.lit("X-Page: "), F.col("id").cast("string"), F.lit(CRLF)))
     fields = [
-        F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.col("_type"), F.lit(f"{CRLF}WARC-Record-ID: "), _record_id(F.col(key)),
+        F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.col("type"), F.lit(f"{CRLF}WARC-Record-ID: "), _record_id(F.col("id")),
         F.lit(f"{CRLF}WARC-Date: "), when, F.lit(f"{CRLF}WARC-Target-URI: "), clean_url,
-        F.lit(f"{CRLF}WARC-Payload-Digest: sha1:"), F.col("_digest"), F.lit(CRLF), page, revisit,
-        F.lit(f"Content-Type: application/http; msgtype=response{CRLF}Content-Length: "), F.octet_length("_body").cast("string"), F.lit(CRLF * 2), F.col("_body"),
+        F.lit(f"{CRLF}WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit(CRLF), page, revisit,
+        F.lit(f"Content-Type: application/http; msgtype=response{CRLF}Content-Length: "), F.octet_length("block").cast("string"), F.lit(CRLF * 2), F.col("block"),
     ]
-    return rows.withColumn("_body", body).select(F.concat(*fields).alias("value"))
+    return rows.withColumn("block", block).select(F.concat(*fields).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", captured: Column | None = None, least_bytes: int = 0, compression: str = "gzip") -> None:
-    """Writes WARC files under ``path``."""
-    sizes = pages.select((F.coalesce(F.octet_length(payload), F.lit(0)) + 700).cast("long").alias("n")).agg(F.avg("n"), F.max("n")).first()
-    mean, largest = sizes[0] or 1, sizes[1] or 1
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", captured: Column | None = None, least_bytes: int = 0, compression: str = "none") -> None:
+    """Writes WARC files under ``path``. Payloads are read twice: for their digests and sizes, and to be written."""
+    rows = payloads(pages, key, url, payload, captured)
+    known = written(rows.select("id", "bytes", "digest"), "payload-digests")
+    leaders = written(repeated_payloads(known, least_bytes), "repeated-payloads")
+    sizes = known.agg(F.avg("bytes"), F.max("bytes")).first()
+    mean, largest = (sizes[0] or 0) + 700, (sizes[1] or 0) + 700
     per_file = max(1, min(int(FILE_BYTES / mean), MOST_FILE_BYTES // largest))
-    records(with_revisits(pages, key, payload, least_bytes), key, url, captured).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
+    records(with_revisits(rows, leaders)).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
 
 
 def url_key(url: str) -> str:
@@ -129,6 +147,7 @@ def parse_archive(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes
 _ENTRY = "sort_key string, url_key string, timestamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long"
 _NAMES = [x.split()[0] for x in _ENTRY.split(", ")]
 _KINDS = [pa.int64() if x.endswith("long") else pa.string() for x in _ENTRY.split(", ")]
+_RUNS = f"run string, {_ENTRY}"
 
 
 def capture(archive: str, offset: int, length: int, fields: dict[str, str], body: bytes) -> tuple:
@@ -156,10 +175,11 @@ def sorted_runs(spark: SparkSession, path: str) -> DataFrame:
                 data = batch.column(1)[i].as_py()
                 data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
                 found = sorted((capture(archive, *r) for r in parse_archive(data)), key=lambda e: e[0].encode())
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), _KINDS, strict=True)], names=_NAMES)
+                for k in range(0, len(found), BLOCK_ROWS):
+                    part = found[k : k + BLOCK_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array([archive] * len(part)), *[pa.array(c, k) for c, k in zip(zip(*part, strict=True), _KINDS, strict=True)]], names=["run", *_NAMES])
 
-    return written(files.mapInArrow(run, _ENTRY), "capture-runs")
+    return written(files.mapInArrow(run, _RUNS), "capture-runs")
 
 
 class LoserTree:
@@ -195,58 +215,111 @@ class LoserTree:
             self.winner = w
 
 
-def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """All captures in global order: by range_no, then place (gapless from 0 in a range)."""
-    spark = runs.sparkSession
-    total = runs.count()
-    n = max(1, min(-(-total // range_rows), 10_000), min(total // 1000, spark.sparkContext.defaultParallelism))
-    want = n * SAMPLES_A_RANGE  # of split keys: the first by hash, at most 200,000
-    share = min(1.0, 3.0 * want / max(total, 1))
-    sample = runs.select("sort_key").where(F.conv(F.substring(md5_key("sort_key"), 1, 7), 16, 10).cast("double") < share * 16**7)
-    keys = sorted(r[0].encode() for r in sample.limit(4 * want).collect())
-    splits = [keys[len(keys) * i // n] for i in range(1, n)] if len(keys) >= n else []
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from bisect import bisect_right
+def merged_order(streams: list[list[tuple[bytes, int]]], fan_in: int) -> list[int]:
+    """Numbers of the streams' (key, number) in the order of keys, at most ``fan_in`` streams to a tree."""
+    while len(streams) > 1:
+        streams = [list(LoserTree([iter([(e[0], e) for e in s]) for s in streams[k : k + fan_in]])) for k in range(0, len(streams), fan_in)]
+    return [number for s in streams for _, number in s]
+
+
+def merged_blocks(blocks: Iterator[tuple[str, str, pa.RecordBatch]], fan_in: int) -> Iterator[pa.RecordBatch]:
+    """Captures in order from (run, first key, block) in the order of first keys.
+
+    Whatever stands before the next block's first key is merged when that block comes, so each run keeps
+    about a block. More runs than ``fan_in`` are merged that many at a time.
+    """
+    held: dict[str, tuple[pa.RecordBatch, list[bytes]]] = {}
+
+    def emptied(limit: bytes | None) -> Iterator[pa.RecordBatch]:
+        parts, streams, at = [], [], 0
+        for run, (block, keys) in list(held.items()):
+            n = len(keys) if limit is None else bisect_left(keys, limit)
+            if n:
+                parts.append(block.slice(0, n))
+                streams.append([(k, at + i) for i, k in enumerate(keys[:n])])
+                at += n
+                held[run] = block.slice(n), keys[n:]
+            if n == len(keys):
+                del held[run]
+        if parts:
+            order = pa.array(merged_order(streams, fan_in), pa.int64())
+            yield pa.Table.from_batches(parts).combine_chunks().take(order).combine_chunks().to_batches()[0]
+
+    for run, first, block in blocks:
+        yield from emptied(first.encode())
+        keys = [k.encode() for k in block.column("sort_key").to_pylist()]
+        if run in held:  # equal keys at a block's end
+            kept, had = held[run]
+            block, keys = pa.Table.from_batches([kept, block]).combine_chunks().to_batches()[0], had + keys
+        held[run] = block, keys
+    yield from emptied(None)
+
+
+def _blocks(runs: DataFrame, groups: int, splits: list[bytes]) -> DataFrame:
+    """group_no, range_no, run, first, block: a run's captures of one range, at most ``BLOCK_ROWS``, packed."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            order, archive = batch.column(0).to_pylist(), batch.column(8).to_pylist()
-            ranges = [bisect_right(splits, k.encode()) for k in order]
+            names, keys = batch.column(0).to_pylist(), [k.encode() for k in batch.column(1).to_pylist()]
+            place = [bisect_right(splits, k) for k in keys]
+            rows = batch.drop_columns(["run"])
+            out: list[tuple] = []
             start = 0
-            for i in range(1, len(order) + 1):
-                if i == len(order) or ranges[i] != ranges[start] or archive[i] != archive[start] or i - start >= BLOCK_ROWS:
+            for i in range(1, len(keys) + 1):
+                if i == len(keys) or place[i] != place[start] or names[i] != names[start] or i - start >= BLOCK_ROWS or keys[i] < keys[i - 1]:
                     sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                        w.write_batch(batch.slice(start, i - start))
-                    yield pa.RecordBatch.from_arrays([pa.array([ranges[start]], pa.int32()), pa.array([archive[start]]), pa.array([order[start]]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["range_no", "run", "first", "block"])
+                    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                        w.write_batch(rows.slice(start, i - start))
+                    out.append((crc32(names[start].encode()) % groups, place[start], names[start], keys[start].decode(), sink.getvalue().to_pybytes()))
                     start = i
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.binary()), strict=True)], names=["group_no", "range_no", "run", "first", "block"])
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emptied(number: int, held: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
-            tables = [pa.Table.from_batches([b for block in part for b in pa.ipc.open_stream(block)]) for part in held.values()]
-            whole = pa.concat_tables(tables).combine_chunks()
-            at, streams = 0, []
-            for t in tables:
-                streams.append(iter([(k.encode(), at + i) for i, k in enumerate(t.column("sort_key").to_pylist())]))
-                at += t.num_rows
-            rows = whole.take(pa.array(list(LoserTree(streams)), pa.int64())).drop_columns(["sort_key"])
-            rows = rows.append_column("range_no", pa.array([number] * at, pa.int32())).append_column("place", pa.array(range(at), pa.int64()))
-            yield from rows.combine_chunks().to_batches(max_chunksize=10_000)
-
-        number, held = -1, {}
-        for batch in batches:
-            for no, run, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if no != number and held:
-                    yield from emptied(number, held)
-                    held = {}
-                number = no
-                held.setdefault(run, []).append(block)
-        if held:
-            yield from emptied(number, held)
-
-    out = T.StructType([*[f for f in runs.schema.fields if f.name != "sort_key"], T.StructField("range_no", T.IntegerType()), T.StructField("place", T.LongType())])
-    dealt = runs.mapInArrow(blocks, "range_no int, run string, first string, block binary").repartition(n, "range_no")
-    return dealt.sortWithinPartitions("range_no", "run", "first").mapInArrow(merged, out)
+    return runs.mapInArrow(run, "group_no int, range_no int, run string, first string, block binary")
+
+
+def merge_pass(runs: DataFrame, groups: int, splits: list[bytes], fan_in: int) -> DataFrame:
+    """The captures with group_no, range_no and place (gapless from 0 in a range), each group and range in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield tuple(batch.column(k)[i].as_py() for k in range(5))
+
+        for (group, number), part in groupby(rows(), key=lambda r: r[:2]):
+            at = 0
+            blocks = ((name, first, next(iter(pa.ipc.open_stream(block)))) for _, _, name, first, block in part)
+            for block in merged_blocks(blocks, fan_in):
+                n = block.num_rows
+                yield pa.RecordBatch.from_arrays([*block.columns, pa.array([group] * n, pa.int32()), pa.array([number] * n, pa.int32()), pa.array(range(at, at + n), pa.int64())], names=[*_NAMES, "group_no", "range_no", "place"])
+                at += n
+
+    dealt = _blocks(runs, groups, splits).repartition(min(MOST_RANGES, groups * (len(splits) + 1)), "group_no", "range_no").sortWithinPartitions("group_no", "range_no", "first", "run")
+    return dealt.mapInArrow(run, f"{_ENTRY}, group_no int, range_no int, place long")
+
+
+def split_keys(runs: DataFrame, total: int, n: int) -> list[bytes]:
+    """At most n - 1 keys that cut all captures into ranges about alike, from a sample by hash."""
+    want = n * SAMPLES_A_RANGE
+    share = min(1.0, 3.0 * want / max(total, 1))
+    sample = runs.select("sort_key").where(F.conv(F.substring(md5_key("sort_key"), 1, 7), 16, 10).cast("double") < share * 16**7)
+    keys = sorted(r[0].encode() for r in sample.limit(4 * want).collect())  # at most 80 a range
+    return sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
+
+
+def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS, fan_in: int = FAN_IN) -> DataFrame:
+    """All captures in global order: by range_no, then place (gapless from 0 in a range)."""
+    total, many = runs.agg(F.count(F.lit(1)), F.count_distinct("run")).first()
+    n = max(1, min(-(-total // range_rows), MOST_RANGES))
+    n = max(n, min(total // 1000, runs.sparkSession.sparkContext.defaultParallelism))
+    splits = split_keys(runs, total, n) if n > 1 else []
+    while many > fan_in:
+        many = -(-many // fan_in)
+        some = max(1, n // many)  # a group's ranges hold about as much as the last pass's
+        passed = merge_pass(runs, many, [splits[len(splits) * i // some] for i in range(1, some)] if splits else [], fan_in)
+        runs = written(passed.select(F.col("group_no").cast("string").alias("run"), *_NAMES), "merged-runs")
+    return merge_pass(runs, 1, splits, fan_in).drop("sort_key", "group_no")
 
 
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:

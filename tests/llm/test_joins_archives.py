@@ -225,6 +225,32 @@ PAGES = [
 ]
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 99), min_size=1, max_size=12), max_size=7), st.integers(2, 4), st.integers(1, 5))
+def test_blocks_of_runs_merge(runs, fan_in, size):
+    """In the order of keys, whatever the blocks; no more than the blocks that overlap are held."""
+    key = lambda x, r: f"{x:03d}-{r}"
+    blocks = []
+    for r, run in enumerate(runs):
+        keys = [key(x, r) for x in sorted(run)]
+        blocks += [(f"run{r}", keys[i], pa.RecordBatch.from_arrays([pa.array(keys[i : i + size])], names=["sort_key"])) for i in range(0, len(keys), size)]
+    got = [k for b in warc.merged_blocks(iter(sorted(blocks, key=lambda b: b[1])), fan_in) for k in b.column(0).to_pylist()]
+    assert got == sorted(key(x, r) for r, run in enumerate(runs) for x in run)
+
+
+def test_many_runs_are_merged_in_passes(spark):
+    rows = [(i, f"http://h{i * 7919 % 61}.org/{i % 13}", f"page {i % 50}") for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(16)
+    path = scratch_path(spark, "test-warc")
+    warc.write_archives(df, path)
+    runs = warc.sorted_runs(spark, path)
+    assert runs.select("run").distinct().count() > 9
+    got = warc.merge_runs(runs, range_rows=60, fan_in=3).orderBy("range_no", "place").collect()
+    want = sorted(runs.collect(), key=lambda r: r.sort_key.encode())
+    assert [(r.url_key, r.timestamp, r.page_id, r.archive, r.offset) for r in got] == [(r.url_key, r.timestamp, r.page_id, r.archive, r.offset) for r in want]
+    assert len({r.range_no for r in got}) > 3
+
+
 @pytest.mark.parametrize("compression", ["gzip", "none"])
 def test_archives_round_trip(spark, compression):
     df = spark.createDataFrame([(*p, "clash", 3) for p in PAGES], "page_id long, url string, html string, archive string, place int").repartition(3)
