@@ -4,16 +4,17 @@ Unit vectors x, y have cosine >= c exactly when |x - y|^2 <= 2 (1 - c). A fixed
 random rotation spreads that distance over all coordinates; these are cut into
 ``BLOCKS`` blocks, each with its share of the squared-distance budget. A pair
 within the whole budget is within its share in at least one block, so the union of
-the blocks' range joins misses none. A block's range join cuts its leading
-coordinate into strips as wide as the block's radius: a vector meets its own strip
-and the next. Pairs within a block's budget are then verified on the given
-vectors in double precision. A linked pair counts in the first block whose
-budget it meets, so once.
-
-Equal vectors (same label) are one class with a count, joined once. A strip with
-more than ``CHUNK`` classes is cut into chunks; a task holds one chunk and
-streams the others past it. Tasks emit link counts per class and a spanning
-forest, never pairs, so a dense group of n classes yields O(n) rows per chunk.
+the blocks' range joins misses none. A block's range join lays a grid as wide as the
+block's radius over its first ``GRID`` coordinates: vectors within the radius stand
+in cells at most one apart in each. Cells, in order, make chunks of about
+``CHUNK`` vectors (a fuller cell is dealt into several by hash); chunks whose boxes are at
+most one cell apart meet, and a task gets two chunks, so it never grows with a
+cell. Pairs within a block's budget are then verified on the given vectors in double
+precision. A linked pair counts in the first block whose budget it meets, so once.
+
+Equal vectors (same label) are one class with a count, joined once. Tasks emit link
+counts per class, a spanning forest, never pairs, so a dense group of n classes
+yields O(n) rows a task, and how many pairs they tested in the block.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors with a null label, link with nothing. Vectors of
@@ -28,14 +29,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import table, written
-from docmeter.llm.components import connected_components
+from docmeter.llm.common import small, table, written
+from docmeter.llm.components import Forest, connected_components
+from docmeter.llm.jaccard_join import sides_of
 
 BLOCKS = 8
-CHUNK = 2000
+GRID = 4
+CHUNK = 1000
 TILE = 256
 COSINE = 0.93
 _SLACK = 1e-9
@@ -64,9 +67,13 @@ class Geometry:
         unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
         return np.einsum("ij,jk->ik", unit, self.turn)
 
-    def strips(self, rotated: np.ndarray) -> np.ndarray:
-        lead = rotated[:, [a for a, _ in self.parts]]
-        return np.floor(lead / self.width).astype(np.int64)
+    def cells(self, rotated: np.ndarray) -> np.ndarray:
+        """rows x blocks x GRID cell numbers; short blocks have zeros at the end."""
+        out = np.zeros((len(rotated), len(self.parts), GRID), np.int32)
+        for k, (a, b) in enumerate(self.parts):
+            m = min(GRID, b - a)
+            out[:, k, :m] = np.floor(rotated[:, a : a + m] / self.width[k])
+        return out
 
     def first_block(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The first block whose budget each pair of rotated rows meets."""
@@ -87,162 +94,146 @@ def with_usable(vectors: DataFrame, key: str, vector: str, label: str) -> DataFr
     return rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
 
 
-def link_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: str = "embedding", label: str = "label", chunk: int = CHUNK) -> DataFrame:
-    """One row a vector: id, n_links, component_id."""
-    rows = with_usable(vectors, key, vector, label)
-    usable = rows.where("usable").select("id", "label", "vector", F.xxhash64("label", "vector").alias("h"))
-    reps = usable.groupBy("h", "label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    reps = written(reps.withColumn("dim", F.size("vector")), "vector-classes")
-    label_type = dict(reps.dtypes)["label"]
+_CELL = [f"c{i}" for i in range(GRID)]
 
-    def by_length(batch: pa.RecordBatch, dim: int, vec: int) -> Iterator[tuple[np.ndarray, Geometry, np.ndarray]]:
-        dims = batch.column(dim).to_numpy()
-        for d in np.unique(dims):
-            at = np.flatnonzero(dims == d)
-            yield at, Geometry(int(d), cosine), _matrix(batch.column(vec).take(pa.array(at)), int(d))
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, geo, x in by_length(batch, 1, 2):
-                strips = geo.strips(geo.rotated(x))
-                blocks = strips.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.repeat(at, blocks))), pa.array(np.repeat(batch.column(1).to_numpy()[at], blocks), pa.int32()), pa.array(np.tile(np.arange(blocks, dtype=np.int32), len(at))), pa.array(strips.ravel())],
-                    names=["label", "dim", "block", "strip"],
-                )
-
-    # chunks of crowded strips, as one short list a label and length (its strips number at most blocks * (2 / width + 1))
-    counted = reps.select("label", "dim", "vector").mapInArrow(placed, f"label {label_type}, dim int, block int, strip long").groupBy("label", "dim", "block", "strip").count()
-    crowded = counted.where(F.col("count") > chunk).groupBy("label", "dim").agg(F.collect_list(F.struct("block", "strip", F.ceil(F.col("count") / chunk).cast("int").alias("t"))).alias("crowd"))
-    dealt = reps.join(crowded, ["label", "dim"], "left").select("label", "dim", "vector", "rep", "n", F.coalesce("crowd", F.array().cast("array<struct<block:int,strip:bigint,t:int>>")).alias("crowd"))
-
-    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """role 0: in the chunk that a task holds; 1: streamed past it."""
+def placed_vectors(reps: DataFrame, cosine: float) -> DataFrame:
+    """rep, label, dim, block and cell of each class in each block."""
+    label_type = dict(reps.dtypes)["label"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
-                crowds = batch.column(5).to_pylist()
-                rep = batch.column(3).to_numpy()
-                for at, geo, x in by_length(batch, 1, 2):
-                    strips = geo.strips(geo.rotated(x))
-                    out: list[tuple[int, int, int, int, int]] = []
-                    for i, row in enumerate(at.tolist()):
-                        t_of = {(c["block"], c["strip"]): c["t"] for c in crowds[row]}
-                        spread = (int(rep[row]) * 0x9E3779B97F4A7C15 >> 24) & 0xFFFFFFFF
-                        for b, s in enumerate(strips[i].tolist()):
-                            own = spread % t_of.get((b, s), 1)
-                            out.append((row, b, s, own, 0))
-                            out += [(row, b, s, c, 1) for c in range(own)]
-                            out += [(row, b, s + 1, c, 1) for c in range(t_of.get((b, s + 1), 1))]
-                    row, b, s, c, role = (np.array(v) for v in zip(*out, strict=True))
-                    take = pa.array(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [*[batch.column(k).take(take) for k in (0, 1)], pa.array(b, pa.int32()), pa.array(s, pa.int64()), pa.array(c, pa.int32()), pa.array(role, pa.int32()), *[batch.column(k).take(take) for k in (3, 4, 2)]],
-                        names=["label", "dim", "block", "strip", "chunk", "role", "rep", "n", "vector"],
-                    )
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (a, b, links): link counts have a null b, edges of the forest 0 links."""
-        group, held = None, None
-
-        def emit(a: np.ndarray, b: np.ndarray | None, links: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
-
-        def close(h: dict) -> Iterator[pa.RecordBatch]:
-            if len(h["rep"]):
-                yield from against(h, h["rep"], h["n"], h["x"], h["r"], True)
-                some = h["links"] > 0
-                if some.any():
-                    yield emit(h["rep"][some], None, h["links"][some])
-
-        def root(parent: list[int], i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        def against(h: dict, rep: np.ndarray, n: np.ndarray, x: np.ndarray, r: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
-            geo, block = h["geo"], h["block"]
-            lo, hi = geo.parts[block]
-            for i in range(0, len(h["rep"]), TILE):
-                for j in range(i if same else 0, len(rep), TILE):
-                    p, q = h["r"][i : i + TILE, lo:hi], r[j : j + TILE, lo:hi]
-                    square = (p * p).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2 * (p @ q.T)
-                    u, v = np.nonzero(square <= geo.budget[block] + 1e-7)  # wider than rounding; first_block decides
-                    u, v = u + i, v + j
-                    if same:
-                        u, v = u[u < v], v[u < v]
-                    a_all, b_all = [], []
-                    for k in range(0, len(u), 32_768):
-                        a, b = u[k : k + 32_768], v[k : k + 32_768]
-                        cos = np.einsum("ij,ij->i", h["x"][a], x[b]) / (h["norm"][a] * np.sqrt(np.einsum("ij,ij->i", x[b], x[b])))
-                        a, b = a[cos >= cosine], b[cos >= cosine]
-                        mine = geo.first_block(h["r"][a], r[b]) == block
-                        a_all.append(a[mine])
-                        b_all.append(b[mine])
-                    a, b = np.concatenate([*a_all, np.zeros(0, int)]).astype(int), np.concatenate([*b_all, np.zeros(0, int)]).astype(int)
-                    if not len(a):
-                        continue
-                    np.add.at(h["links"], a, n[b])
-                    parent, ea, eb = h["parent"], [], []
-                    if same:
-                        np.add.at(h["links"], b, n[a])
-                        pairs = zip(a.tolist(), b.tolist(), strict=True)
-                    else:
-                        links = np.bincount(b, h["n"][a], len(rep)).astype(np.int64)
-                        yield emit(rep[links > 0], None, links[links > 0])
-                        order = np.argsort(b, kind="stable")
-                        a, b = a[order], b[order]
-                        new = np.ones(len(b), bool)
-                        new[1:] = b[1:] != b[:-1]
-                        ea, eb = h["rep"][a[new]].tolist(), rep[b[new]].tolist()
-                        pairs = zip(a[:-1][~new[1:]].tolist(), a[1:][~new[1:]].tolist(), strict=True)  # held ones that one streamed one joins
-                    for s, t in pairs:
-                        s, t = root(parent, s), root(parent, t)
-                        if s != t:
-                            parent[max(s, t)] = min(s, t)
-                            ea.append(int(h["rep"][s]))
-                            eb.append(int(h["rep"][t]))
-                    if ea:
-                        yield emit(np.array(ea), np.array(eb), np.zeros(len(ea)))
+                dims = batch.column(2).to_numpy()
+                for d in np.unique(dims):
+                    at = np.flatnonzero(dims == d)
+                    geo = Geometry(int(d), cosine)
+                    cells = geo.cells(geo.rotated(_matrix(batch.column(3).take(pa.array(at)), int(d))))
+                    blocks = cells.shape[1]
+                    row = pa.array(np.repeat(at, blocks))
+                    number = pa.array(np.tile(np.arange(blocks, dtype=np.int32), len(at)))
+                    yield pa.RecordBatch.from_arrays([*[batch.column(k).take(row) for k in range(3)], number, *[pa.array(cells[:, :, i].ravel()) for i in range(GRID)]], names=["rep", "label", "dim", "block", *_CELL])
+
+    return reps.select("rep", "label", "dim", "vector").mapInArrow(run, f"rep long, label {label_type}, dim int, block int, {', '.join(f'{c} int' for c in _CELL)}")
+
+
+def chunked(placed: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """(rep, block, chunk of each placed class, chunk, task, side of chunks that meet): sides 0 and 1 of two, 2 of one with itself."""
+    where = ["label", "dim", "block"]
+    counts = placed.groupBy(*where, *_CELL).count()
+    before = Window.partitionBy(*where).orderBy(*_CELL).rowsBetween(Window.unboundedPreceding, -1)  # of a block's cells, whose number the grid bounds
+    light = F.when(F.col("count") <= chunk, F.col("count")).otherwise(0)
+    counts = counts.withColumn("run", F.floor(F.coalesce(F.sum(light).over(before), F.lit(0)) / chunk)).withColumn("t", F.when(F.col("count") > chunk, F.ceil(F.col("count") / chunk)).cast("int"))
+    cells = written(counts.select(*where, *_CELL, "run", "t"), "vector-cells")
+
+    def name(h: Column) -> Column:
+        return F.when(F.col("t").isNull(), F.xxhash64(*where, "run")).otherwise(F.xxhash64(*where, *_CELL, h.cast("int"), F.lit("full")))
+
+    own = placed.join(small(cells), [*where, *_CELL]).select("rep", "block", name(F.pmod(F.xxhash64("rep"), F.col("t"))).alias("chunk"))
+    boxes = cells.withColumn("h", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("t"), F.lit(1)) - 1))).groupBy(*where, name(F.col("h")).alias("chunk"))
+    boxes = written(boxes.agg(*[F.min(c).alias(f"lo_{c}") for c in _CELL], *[F.max(c).alias(f"hi_{c}") for c in _CELL]), "vector-chunks")
+    lead = _CELL[0]
+    left = boxes.withColumn("lead", F.explode(F.sequence(F.col(f"lo_{lead}"), F.col(f"hi_{lead}") + 1)))
+    right = boxes.select(*where, F.col("chunk").alias("other"), *[F.col(f"{e}_{c}").alias(f"{e}2_{c}") for c in _CELL for e in ("lo", "hi")])
+    right = right.withColumn("lead", F.explode(F.sequence(F.col(f"lo2_{lead}"), F.col(f"hi2_{lead}"))))
+    meet = left.join(right, [*where, "lead"])
+    for c in _CELL[1:]:
+        meet = meet.where((F.col(f"lo_{c}") <= F.col(f"hi2_{c}") + 1) & (F.col(f"lo2_{c}") <= F.col(f"hi_{c}") + 1))
+    meet = meet.select(F.least("chunk", "other").alias("left"), F.greatest("chunk", "other").alias("right")).distinct()
+    return own, written(sides_of(meet).withColumnRenamed("tile", "chunk"), "vector-tasks")
+
+
+def joined_chunks(cosine: float):
+    """Rows (a, b, links) of tasks: link counts have a null b, edges of the forest 0 links, pairs tested in the block two nulls."""
+
+    def emit(a: np.ndarray | None, b: np.ndarray | None, links: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(len(links), pa.int64())
+        return pa.RecordBatch.from_arrays([none if a is None else pa.array(a, pa.int64()), none if b is None else pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
+
+    def links(rep: np.ndarray, n: np.ndarray, x: np.ndarray, side: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
+        geo = Geometry(x.shape[1], cosine)
+        lo, hi = geo.parts[block]
+        turned, norm = geo.rotated(x), np.sqrt(np.einsum("ij,ij->i", x, x))
+        part = np.ascontiguousarray(turned[:, lo:hi])
+        square = np.einsum("ij,ij->i", part, part)
+        cell = geo.cells(turned)[:, block]
+        own = bool(side[0] == 2)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        # tiles of neighbouring cells, with their boxes
+        left, right = (at[np.lexsort(cell[at].T[::-1])] for at in (left, right))
+        tiles = [[(at[k : k + TILE], cell[at[k : k + TILE]].min(0), cell[at[k : k + TILE]].max(0)) for k in range(0, len(at), TILE)] for at in (left, right)]
+        forest, found = Forest(), np.zeros(len(rep), np.int64)
+        edges: list[tuple[int, int]] = []
+        tested = 0
+        for i, (p, p_lo, p_hi) in enumerate(tiles[0]):
+            for j, (q, q_lo, q_hi) in enumerate(tiles[1]):
+                if (own and j < i) or (p_lo > q_hi + 1).any() or (q_lo > p_hi + 1).any():
+                    continue
+                tested += len(p) * (len(p) - 1) // 2 if own and i == j else len(p) * len(q)
+                near = square[p][:, None] + square[q][None, :] - 2 * (part[p] @ part[q].T) <= geo.budget[block] + 1e-7  # wider than rounding; first_block decides
+                u, v = np.nonzero(np.triu(near, 1) if own and i == j else near)
+                for k in range(0, len(u), 32_768):
+                    a, b = p[u[k : k + 32_768]], q[v[k : k + 32_768]]
+                    cos = np.einsum("ij,ij->i", x[a], x[b]) / (norm[a] * norm[b])
+                    a, b = a[cos >= cosine], b[cos >= cosine]
+                    mine = geo.first_block(turned[a], turned[b]) == block
+                    a, b = a[mine], b[mine]
+                    np.add.at(found, a, n[b])
+                    np.add.at(found, b, n[a])
+                    edges += [e for e in zip(rep[a].tolist(), rep[b].tolist(), strict=True) if forest.join(*e)]
+        some = found > 0
+        if some.any():
+            yield emit(rep[some], None, found[some])
+            yield emit(np.array([e[0] for e in edges]), np.array([e[1] for e in edges]), np.zeros(len(edges), np.int64))
+        yield emit(None, None, np.array([tested]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Columns: task, side, block, rep, n, dim, vector; a task's rows stand together."""
+        held: list[pa.RecordBatch] = []
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            dim = rows.column(5)[0].as_py()
+            yield from links(rows.column(3).to_numpy(), rows.column(4).to_numpy(), _matrix(rows.column(6), dim), rows.column(1).to_numpy(), rows.column(2)[0].as_py())
 
         for batch in batches:
-            keys = list(zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True))
-            role = batch.column(5).to_numpy()
-            start = 0
-            for end in range(1, len(keys) + 1):
-                if end < len(keys) and keys[end] == keys[start] and role[end] == role[start]:
-                    continue
-                part = batch.slice(start, end - start)
-                if keys[start] != group:
-                    if held:
-                        yield from close(held)
-                    group, dim = keys[start], keys[start][1]
-                    held = {"geo": Geometry(dim, cosine), "block": keys[start][2], "rep": np.zeros(0, np.int64), "n": np.zeros(0, np.int64), "x": np.zeros((0, dim)), "r": np.zeros((0, dim)), "links": np.zeros(0, np.int64), "parent": []}
-                rep, n, x = part.column(6).to_numpy(), part.column(7).to_numpy(), _matrix(part.column(8), group[1])
-                r = held["geo"].rotated(x)
-                if role[start] == 0:
-                    for name, more in (("rep", rep), ("n", n), ("x", x), ("r", r)):
-                        held[name] = np.concatenate([held[name], more])
-                    held["norm"] = np.sqrt(np.einsum("ij,ij->i", held["x"], held["x"]))
-                    held["links"] = np.zeros(len(held["rep"]), np.int64)
-                    held["parent"] = list(range(len(held["rep"])))
-                elif len(held["rep"]):
-                    yield from against(held, rep, n, x, r, False)
-                start = end
+            task = batch.column(0).to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(task)) + 1).tolist(), len(task)]
+            for s, e in zip(cut[:-1], cut[1:], strict=True):
+                if held and e > s and held[0].column(0)[0].as_py() != task[s]:
+                    yield from emptied()
+                if e > s:
+                    held.append(batch.slice(s, e - s))
         if held:
-            yield from close(held)
+            yield from emptied()
+
+    return run
+
+
+def vector_links(reps: DataFrame, cosine: float, chunk: int) -> DataFrame:
+    """Rows (a, b, links) as of ``joined_chunks`` over all classes. reps: rep, label, dim, vector, n."""
+    own, sides = chunked(written(placed_vectors(reps, cosine), "placed-vectors"), chunk)
+    near = own.join(small(sides), "chunk").select("task", "side", "block", "rep").join(reps.select("rep", "n", "dim", "vector"), "rep")
+    near = near.select("task", "side", "block", "rep", "n", "dim", "vector").repartition("task").sortWithinPartitions("task", "rep")
+    return written(near.mapInArrow(joined_chunks(cosine), "a long, b long, links long"), "vector-links")
+
 
-    cells = ["label", "dim", "block", "strip", "chunk"]
-    types = dict(dealt.dtypes)
-    near = dealt.mapInArrow(copies, f"label {label_type}, dim int, block int, strip long, chunk int, role int, rep long, n {types['n']}, vector array<double>")
-    near = near.repartition(*cells).sortWithinPartitions(*cells, "role")
-    found = written(near.mapInArrow(joined, "a long, b long, links long"), "vector-links")
+def link_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: str = "embedding", label: str = "label", chunk: int = CHUNK) -> DataFrame:
+    """One row a vector: id, n_links, component_id."""
+    rows = with_usable(vectors, key, vector, label)
+    usable = rows.where("usable").select("id", "label", "vector", F.xxhash64("label", "vector").alias("h"))
+    reps = usable.groupBy("h", "label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    # classes are named by numbers of their own, since ids may repeat or be missing
+    reps = written(reps.select("*", F.monotonically_increasing_id().alias("rep"), F.size("vector").alias("dim")), "vector-classes")
+    found = vector_links(reps, cosine, chunk)
     parts = connected_components(found.where("b is not null").select("a", "b"))
-    links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
-    known = reps.select("h", "label", "vector", "rep", "n").join(links, F.col("rep") == links["a"], "left").join(parts, F.col("rep") == parts["node"], "left")
-    known = known.select("h", F.col("label").alias("_l"), F.col("vector").alias("_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    linked = usable.join(known, (usable["h"] == known["h"]) & (usable["label"] == known["_l"]) & (usable["vector"] == known["_v"])).select("id", "n_links", "component_id")
+    links = found.where("a is not null and b is null").groupBy("a").agg(F.sum("links").alias("links"))
+    known = reps.join(links, F.col("rep") == links["a"], "left").join(parts, F.col("rep") == parts["node"], "left")
+    known = known.select("h", F.col("label").alias("l"), F.col("vector").alias("v"), "id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), F.coalesce("component", "rep").alias("part"))
+    known = known.join(known.groupBy("part").agg(F.min("id").alias("component_id")), "part").drop("id", "part")
+    linked = usable.join(known, (usable["h"] == known["h"]) & (usable["label"] == known["l"]) & (usable["vector"] == known["v"])).select("id", "n_links", F.coalesce("component_id", "id").alias("component_id"))
     alone = rows.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone)
 

@@ -53,6 +53,20 @@ def vectors_by_brute_force(rows: list[tuple], cosine: float) -> dict:
     return {k: (sum(k in p for p in links), comp[k]) for k, *_ in rows}
 
 
+def test_vectors_of_far_cells_never_meet(spark):
+    """Chunks of a label's spread-out vectors: far fewer pairs are tested in a block than there are; all links are found."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 16))
+    rows = [(i, (centres[i % 60] + rng.normal(size=16) * 0.05).tolist(), 1, 1, 16) for i in range(3000)]
+    reps = spark.createDataFrame(rows, "rep long, vector array<double>, label int, n long, dim int")
+    found = embedding_join.vector_links(reps, 0.97, 100).collect()
+    tested, pairs = sum(r.links for r in found if r.a is None), 3000 * 2999 // 2
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert sum(r.links for r in found if r.a is not None and r.b is None) == int((x @ x.T >= 0.97).sum()) - 3000
+    assert tested < 0.35 * embedding_join.BLOCKS * pairs
+
+
 @pytest.mark.parametrize("chunk", [5, 2000])
 def test_vectors_by_brute_force(spark, chunk):
     rng = np.random.default_rng(chunk)
@@ -65,7 +79,7 @@ def test_vectors_by_brute_force(spark, chunk):
                 k += 1
     odd = [None, [], [0.0] * 24, [float("nan")] * 24, [None, *[1.0] * 23], [float("inf")] * 24, [1.0, 2.0]]
     rows += [(k + i, v, 1) for i, v in enumerate(odd)] + [(k + 20, rows[0][1], None), (k + 21, [1.0, 2.0], 1), (k + 22, [-x for x in rows[0][1]], 0)]
-    df = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<float>, label int, rep string").repartition(3)
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "vec_id long, embedding array<float>, label int, rep string, n int").repartition(3)
     got = {r.id: (r.n_links, r.component_id) for r in embedding_join.link_vectors(df, chunk=chunk).collect()}
     assert got == vectors_by_brute_force(rows, embedding_join.COSINE)
     assert sum(n for n, _ in got.values()) > 50
@@ -76,6 +90,10 @@ def test_vectors_repeated_and_empty(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     assert sorted((r.id, r.n_links, r.component_id) for r in embedding_join.link_vectors(df).collect()) == [(1, 3, 1)] * 3 + [(2, 3, 1)]
     assert embedding_join.link_vectors(df.limit(0)).count() == 0
+    # ids that are missing or stand for several vectors
+    rows = [(None, [1.0, 0.0], 1), (5, [1.0, 0.01], 1), (6, [0.0, 1.0], 1), (6, [-1.0, 0.0], 1), (7, [0.01, 1.0], 1), (None, [-1.0, -1.0], 1)]
+    got = embedding_join.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted(((r.id, r.n_links, r.component_id) for r in got), key=str) == sorted([(None, 1, 5), (5, 1, 5), (6, 1, 6), (6, 0, 6), (7, 1, 6), (None, 0, None)], key=str)
 
 
 def test_vectors_match_sql(spark, small, compare):
