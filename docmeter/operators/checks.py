@@ -54,9 +54,23 @@ def irregular_tables(cells: DataFrame, most_span: int = 1000) -> DataFrame:
     return widths.groupBy("doc_id", "table").agg(F.min("width").alias("narrowest"), F.max("width").alias("widest")).where("narrowest <> widest")
 
 
-MANUAL_BULLET = r"^\s*([•\-*]\s+|\d+[.)]\s+)"
-COLOURS = "red|green|blue|yellow|orange|purple|pink"
-COLOUR_MEANING = rf"(?i)\b(shown |marked |highlighted |displayed )?in\s+({COLOURS})\b|\b({COLOURS})\s+(text|items?|entries|values|fields?|cells?)\b"
+BULLETS = ["•", "-", "*"]
+COLOURS = ["red", "green", "blue", "yellow", "orange", "purple", "pink"]
+COLOURED_THINGS = ["text", "item", "items", "entries", "values", "field", "fields", "cell", "cells"]
+
+
+def typed_bullet(text: Column) -> Column:
+    """Whether a paragraph opens with a bullet sign or a number and a full stop or bracket, and goes on after it."""
+    words = F.split(F.btrim(text, F.lit(" \t\n\r\x0b\x0c")), r"\s+")
+    opening = F.get(words, F.lit(0))
+    return (F.get(words, F.lit(1)) != "") & (opening.isin(*BULLETS) | opening.rlike(r"^\d+[.)]$"))
+
+
+def told_by_colour(text: Column) -> Column:
+    """Whether a colour's name stands after "in" or before a word for what is coloured."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: ((a == "in") & b.isin(*COLOURS)) | (a.isin(*COLOURS) & b.isin(*COLOURED_THINGS)))
+    return F.exists(pairs, lambda hit: F.coalesce(hit, F.lit(False)))
 
 
 def paragraph_findings(paragraphs: DataFrame) -> DataFrame:
@@ -77,8 +91,8 @@ def paragraph_findings(paragraphs: DataFrame) -> DataFrame:
         found(none, "headings_present"),
         found(levels.where("level > before + 1"), "heading_skip"),
         found(opening, "opens_without_heading"),
-        found(paragraphs.where(text.rlike(MANUAL_BULLET) & ~F.col("numbered")), "manual_bullet"),
-        found(paragraphs.where(text.rlike(COLOUR_MEANING) & F.col("coloured")), "colour_only"),
+        found(paragraphs.where(F.coalesce(typed_bullet(text), F.lit(False)) & ~F.col("numbered")), "manual_bullet"),
+        found(paragraphs.where(told_by_colour(text) & F.col("coloured")), "colour_only"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

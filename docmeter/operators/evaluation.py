@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,41 +125,48 @@ def promotion_decision(scores: DataFrame, target: Sequence[str] | str, by: Seque
     return out.select(*by, F.round("_t", 6).alias("target_lift"), "regressions", F.coalesce((F.col("_t") >= LIFT_LEAST) & (F.col("regressions") == 0), F.lit(False)).alias("promoted"))
 
 
-def pareto_frontier(df: DataFrame, key: str, best_high: Sequence[str], best_low: Sequence[str]) -> DataFrame:
-    """Rows that no other row is at least as good as in all and better in one; exact ties survive.
+FRONTIER_TILE = 4000
 
-    Partitions first drop what their own rows dominate; survivors spread over a
-    pivot-free anti-join only with each other, so the quadratic part is over
-    the union of partial frontiers, not over the input.
+
+def pareto_frontier(df: DataFrame, key: str, best_high: Sequence[str], best_low: Sequence[str], tile: int = FRONTIER_TILE) -> DataFrame:
+    """Rows that no other row is at least as good as in all and better in one; exact ties survive, and so do rows with a null metric.
+
+    Partitions first drop what their own rows dominate. The survivors are dealt into tiles; a task holds two tiles and
+    tells which of the first the second dominates, so neither a task's memory nor its work grows with the frontier.
     """
     cols = [*best_high, *best_low]
+    rows = df.select(F.col(key).alias("k"), *[F.col(c).cast("double").alias(f"m{i}") for i, c in enumerate(cols)])
+    flip = np.array([-1.0] * len(best_high) + [1.0] * len(best_low))
+
+    def dominated(v: np.ndarray, by: np.ndarray) -> np.ndarray:
+        """Which rows of v (smaller is better) a row of ``by`` is at least as good as in all and better in one."""
+        out = np.zeros(len(v), bool)
+        for i in range(0, len(by), 64):
+            w = by[i : i + 64, None, :]
+            out |= ((w <= v[None]).all(2) & (w < v[None]).any(2)).any(0)
+        return out
 
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
         for frame in frames:
-            both = frame if kept is None else pd.concat([kept, frame])
-            v = both[cols].to_numpy(float)
-            v[:, : len(best_high)] *= -1  # smaller is better
-            order = v.sum(axis=1).argsort(kind="stable")
-            front: list[int] = []
-            for i in order.tolist():
-                w = v[front]
-                if not ((w <= v[i]).all(axis=1) & (w < v[i]).any(axis=1)).any():
-                    front.append(i)
-            kept = both.iloc[front]
-        if kept is not None:
-            yield kept
-
-    own = df.select(key, *cols).mapInPandas(partial, df.select(key, *cols).schema)
-    other = own.select(*[F.col(c).alias(f"_{c}") for c in cols]).distinct()
-    reach = [F.col(f"_{c}") >= F.col(c) for c in best_high] + [F.col(f"_{c}") <= F.col(c) for c in best_low]
-    better = [F.col(f"_{c}") > F.col(c) for c in best_high] + [F.col(f"_{c}") < F.col(c) for c in best_low]
-    every, some = reach[0], better[0]
-    for c in reach[1:]:
-        every = every & c
-    for c in better[1:]:
-        some = some | c
-    return own.join(other, every & some, "left_anti")
+            v = frame.iloc[:, 1:].to_numpy(float) * flip
+            best = v[np.argsort(np.nan_to_num(v, nan=np.inf).sum(1), kind="stable")[:256]]  # rows likely to dominate many
+            yield frame[~dominated(v, best)]
+
+    metrics = [f"m{i}" for i in range(len(cols))]
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        first, second = part[part["side"] != 1], part[part["side"] != 0]
+        return first.loc[dominated(first[metrics].to_numpy(float) * flip, second[metrics].to_numpy(float) * flip), ["n"]]
+
+    own = rows.mapInPandas(partial, rows.schema).withColumn("n", F.xxhash64(*rows.columns))
+    t = max(1, -(-own.count() // tile))
+    placed = own.withColumn("h", F.pmod("n", F.lit(t))).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(t - 1))))
+    pair = lambda a, b: (F.col(a) * t + F.col(b)).alias("task")
+    left = placed.select(pair("h", "o"), F.when(F.col("h") == F.col("o"), 2).otherwise(0).alias("side"), "n", *metrics)
+    right = placed.where("h <> o").select(pair("o", "h"), F.lit(1).alias("side"), "n", *metrics)
+    lost = left.unionByName(right).groupBy("task").applyInPandas(meet, "n long").distinct()
+    names = [F.col(f"m{i}").cast(dict(df.dtypes)[c]).alias(c) for i, c in enumerate(cols)]
+    return own.join(lost, "n", "left_anti").select(F.col("k").alias(key), *names)
 
 
 def ranked(df: DataFrame, metric: str, k: int, high: bool = True, tie: Sequence[str] = ()) -> DataFrame:

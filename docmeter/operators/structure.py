@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def heading_skips(headings: DataFrame, key: str, order: str, level: str, root: str = "virtual") -> DataFrame:
@@ -31,15 +35,39 @@ def repaired_levels(levels: Column) -> Column:
     return F.aggregate(levels, empty, lambda out, x: F.array_append(out, F.least(x.cast("int"), F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0)) + 1)))
 
 
+def walked(nodes: DataFrame, key: str, order: str, depth: str, extra: list[str], schema: str, step: Callable[[list, tuple], Iterator[tuple]], end: Callable[[list], Iterator[tuple]]) -> DataFrame:
+    """Nodes in order, with the open ancestors of each on a stack: memory is a stack and a batch, time one step a node.
+
+    ``step(stack, (key, order, depth, *extra))`` gets the stack of nodes less deep than this one, after ``end`` got those that
+    close; both yield result rows. A document's nodes go to one task, which streams them.
+    """
+    columns = [key, order, depth, *extra]
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def found(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(kinds)], schema=kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stack: list = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                same = next((k for k, s in enumerate(stack) if s[0][0] == row[0] and s[0][2] >= row[2]), len(stack)) if stack and stack[0][0][0] == row[0] else 0
+                out += end(stack[same:])
+                del stack[same:]
+                out += step(stack, row)
+                stack.append((row, {}))
+            yield found(out)
+        yield found(list(end(stack)))
+
+    return nodes.select(*columns).repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
+
+
 def tree_parents(nodes: DataFrame, key: str = "doc_id", order: str = "seq", depth: str = "depth") -> DataFrame:
-    """Adds parent_seq: the last node before with a smaller depth. One running value per depth, no stack and no UDF."""
-    by = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    last_at = F.max(F.when(F.col("_d") >= 0, F.struct(order, "_d"))).over(by)
-    rows = nodes.withColumn("_d", F.col(depth)).withColumn("_prev", last_at)
-    gathered = F.collect_list(F.struct(F.col(order).alias("s"), F.col("_d").alias("d"))).over(by)
-    parent = F.try_element_at(F.filter(gathered, lambda x: x["d"] < F.col("_d")), F.lit(-1))["s"]
-    shallow = F.when(F.col("_prev")["_d"] < F.col("_d"), F.col("_prev")[order]).otherwise(parent)
-    return rows.withColumn("parent_seq", shallow).drop("_d", "_prev")
+    """Adds parent_seq: the last node before with a smaller depth, null for roots."""
+    types = dict(nodes.dtypes)
+    parents = walked(nodes, key, order, depth, [], f"{key} {types[key]}, {order} {types[order]}, parent_seq {types[order]}", lambda stack, row: [(row[0], row[1], stack[-1][0][1] if stack else None)], lambda closed: [])
+    return nodes.drop("parent_seq").join(parents, [key, order])
 
 
 #: Tags and the parents that they may have. Fixed values.
@@ -63,12 +91,20 @@ def parent_findings(nodes: DataFrame) -> DataFrame:
 
 def subtree_lacks(nodes: DataFrame, root_tag: str, wanted: list[str]) -> DataFrame:
     """Roots without a wanted tag below them: a root's subtree ends at the next node no deeper than it."""
-    by = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
-    ahead = F.collect_list(F.struct("seq", "depth", "tag")).over(by)
-    roots = nodes.withColumn("_a", ahead).where(F.col("tag") == root_tag)
-    end = F.get(F.filter("_a", lambda x: x["depth"] <= F.col("depth")), F.lit(0))["seq"]
-    inside = F.exists("_a", lambda x: (x["seq"] < F.coalesce(end, F.lit(2**31 - 1))) & x["tag"].isin(*wanted))
-    return roots.where(~inside).select("doc_id", "seq", "tag")
+    types = dict(nodes.dtypes)
+
+    def step(stack: list, row: tuple) -> list[tuple]:
+        if row[3] in wanted:
+            for _, facts in reversed(stack):  # up to the first ancestor that knows already
+                if facts.get("found"):
+                    break
+                facts["found"] = True
+        return []
+
+    def end(closed: list) -> list[tuple]:
+        return [(row[0], row[1], row[3]) for row, facts in closed if row[3] == root_tag and not facts.get("found")]
+
+    return walked(nodes, "doc_id", "seq", "depth", ["tag"], f"doc_id {types['doc_id']}, seq {types['seq']}, tag string", step, end)
 
 
 def node_findings(nodes: DataFrame, languages: DataFrame) -> DataFrame:

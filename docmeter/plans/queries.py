@@ -622,7 +622,7 @@ def table_regularity(spark, sf):
     return checks.irregular_tables(cells)
 
 
-@query(r"""with c as (select conv_id, turn, text from conversations), b as (select conv_id doc_id, 'manual_bullet' rule, turn seq from c where regexp_matches(coalesce(text, ''), '^\s*([•\-*]\s+|\d+[.)]\s+)')),
+@query(r"""with c as (select conv_id, turn, regexp_split_to_array(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '\s+') w from conversations), b as (select conv_id doc_id, 'manual_bullet' rule, turn seq from c where len(w) > 1 and w[2] <> '' and (w[1] in ('•', '-', '*') or regexp_full_match(w[1], '\d+[.)]'))),
 n as (select conv_id doc_id, 'headings_present' rule, cast(null as bigint) seq from conversations group by 1 having not bool_or(role = 'system')), o as (select conv_id doc_id, 'opens_without_heading' rule, turn seq from (select *, row_number() over (partition by conv_id order by turn) k from conversations where trim(coalesce(text, '')) <> '') where k = 1 and role <> 'system'),
 l as (select conv_id, turn, turn % 4 + 1 lv, lag(turn % 4 + 1) over (partition by conv_id order by turn) p from conversations where role = 'system'), s as (select conv_id doc_id, 'heading_skip' rule, turn seq from l where lv > coalesce(p, 0) + 1)
 select rule, count(*) findings, count(distinct doc_id) documents, coalesce(sum(seq), 0) seqs from (select * from b union all select * from n union all select * from o union all select * from s) group by 1""")

@@ -33,7 +33,7 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def rewrite(df: DataFrame, path: str, kind: str = "json") -> None:
-    """Replaces a table as a whole: writes beside it, then renames, so readers see the old or the new rows."""
+    """Replaces a table as a whole: writes beside it, then renames twice. Rows are never mixed, but a reader that lists the folder between the renames finds none."""
     spark = df.sparkSession
     jvm = spark._jvm
     final, staged, old = (jvm.org.apache.hadoop.fs.Path(path + x) for x in ("", ".new", ".old"))

@@ -40,17 +40,24 @@ def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
     stream.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_latest(stream: DataFrame, path: str, checkpoint: str, key: str, order: str) -> None:
-    """Keeps a table of the latest row a key: each batch is merged into a new version, so a repeated batch changes nothing."""
+def upsert_latest(stream: DataFrame, path: str, checkpoint: str, key: str, order: str, keep: int = 2) -> None:
+    """Keeps a table of the latest row a key: each batch is merged with the newest version before it into one of its own number.
+
+    A repeated batch writes the same version anew, so it changes nothing. Only a table without versions starts empty; a
+    version that can't be read fails the batch. The newest ``keep`` versions stay.
+    """
     from docmeter.operators.records import latest_by
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(f"{path}/version={number - 1}") if number else None
-        except Exception:  # noqa: BLE001  no earlier version
-            old = None
-        rows = batch if old is None else batch.unionByName(old)
+        top = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        found = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
+        versions = sorted(int(x.removeprefix("version=")) for x in found if x.startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{x}/_SUCCESS")))
+        before = [v for v in versions if v < number]
+        rows = batch.unionByName(spark.read.parquet(f"{path}/version={before[-1]}")) if before else batch
         latest_by(rows, [key], [F.desc(order)]).write.mode("overwrite").parquet(f"{path}/version={number}")
+        for v in before[: max(0, len(before) + 1 - max(2, keep))]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}"), True)
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
