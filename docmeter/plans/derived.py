@@ -61,3 +61,19 @@ def calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CALIBRATIONS = """calibrations as (select event_id calibration_id, event_type judge, user_id % 40 slice, least(value / 100, 1.0) kappa, event_id % 50 + 1 sample_size,
  case when event_id % 97 = 0 then 'not a time' else strftime(ts, '%Y-%m-%d %H:%M:%S') end measured_at from events)"""
+
+
+TAGS = ["H1", "H2", "H3", "H4", "H5", "HX", "P", "Figure", "Table", "TR", "TH", "TD", "L", "LI", "Lbl", "LBody"]
+
+
+def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's nodes in order; a numberless heading has the tag HX. One row a line of an order, the first of repeats."""
+    n = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("seq")).agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    tag = F.get(F.array(*[F.lit(t) for t in TAGS]), (F.col("p") % len(TAGS)).cast("int"))
+    alt = F.when(F.col("p") % 3 == 0, F.lit("Chart of sales")).when(F.col("p") % 3 == 1, F.lit("chart of  Sales"))
+    return n.select("doc_id", "seq", (F.col("s") % 4 + 1).cast("int").alias("depth"), tag.alias("tag"), alt.alias("alt_text"))
+
+
+_TAGS = "[" + ", ".join(f"'{t}'" for t in TAGS) + "]"
+NODES = f"""nodes as (select l_orderkey doc_id, cast(l_linenumber as int) seq, cast(min(l_suppkey) % 4 + 1 as int) depth, {_TAGS}[cast(min(l_partkey) % {len(TAGS)} as int) + 1] tag,
+ case when min(l_partkey) % 3 < 2 then 'Chart of sales' end alt_text from lineitem group by 1, 2)"""

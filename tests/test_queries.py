@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__
-from docmeter.plans.queries import QUERIES, SQL
+from docmeter.plans.registry import QUERIES, SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
