@@ -29,6 +29,8 @@ ENDS = r".!?\u0589\u061F\u06D4\u0964\u0965\u0F0D\u0F0E\u104A\u104B\u1362\u1367\u
 PAUSES = r"\p{Pi}\p{Pf}\p{Pd},;:'\"()\u00A1\u00B7\u00BF\u055A-\u055E\u05BE\u05F3\u05F4\u060C\u061B\u066A-\u066C\u0F0B\u0F0C\u1361\u1363-\u1366\u17D6\u201A\u201E\u3001\u3008-\u3011\u3014-\u301B\u30FB\uFF08\uFF09\uFF0C\uFF1A\uFF1B\uFF62-\uFF65"
 #: Runs of what prose seldom holds: neither letters with their marks and joiners, digits, white space nor punctuation of prose.
 ODD_RUN = rf"[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Z}}\s\u200B-\u200F\u00AD{ENDS}{PAUSES}]+"
+#: What most prose is made of and no count below looks for; runs of it become a blank before the patterns that know many scripts are tried.
+PLAIN_RUN = r"[A-Za-z0-9\s,;:'\"()\-]+"
 WINDOW = 5
 _TRIM = " \t\n\x0b\x0c\r"
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_upper", "n_letters", "n_stops", "n_bangs", "n_odd_runs")
@@ -63,27 +65,27 @@ def repeated_window_words(words: str, window: int = WINDOW) -> Column:
 
 def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows with the columns of STATISTICS, all long."""
-    whole, trim, words, lines = unused(df, "whole", "trim", "words", "lines")
+    whole, trim, words, lines, rest = unused(df, "whole", "trim", "words", "lines", "rest")
 
-    def removed(pattern: str) -> Column:
-        return F.char_length(whole) - F.char_length(F.regexp_replace(whole, pattern, ""))
+    def removed(pattern: str, of: str = whole) -> Column:
+        return F.char_length(of) - F.char_length(F.regexp_replace(of, pattern, ""))
 
-    rows = df.withColumn(whole, text_of(text)).withColumn(trim, F.btrim(whole, F.lit(_TRIM)))
+    rows = df.withColumn(whole, text_of(text)).withColumn(rest, F.regexp_replace(whole, PLAIN_RUN, " ")).withColumn(trim, F.btrim(whole, F.lit(_TRIM)))
     rows = rows.withColumn(words, F.when(F.col(trim) == "", F.array().cast("array<string>")).otherwise(F.split(trim, BLANKS)))
     rows = rows.withColumn(lines, F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(_TRIM)) != ""))
     values = {
         "n_words": F.size(words),
         "word_chars": F.char_length(F.array_join(words, "")),
-        "n_symbols": removed(SYMBOLS),
+        "n_symbols": removed(SYMBOLS, rest),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": repeated_window_words(words),
         "n_distinct_words": F.size(F.array_distinct(words)),
         "n_upper": removed(r"\p{Lu}+"),
         "n_letters": removed(r"\p{L}+"),
-        "n_stops": removed(f"[{ENDS}]"),
-        "n_bangs": removed("!+"),
-        "n_odd_runs": F.regexp_count(whole, F.lit(ODD_RUN)),
+        "n_stops": removed(f"[{ENDS}]", rest),
+        "n_bangs": removed("!+", rest),
+        "n_odd_runs": F.regexp_count(rest, F.lit(ODD_RUN)),
     }
     kept = [c for c in df.columns if c not in values]
     return rows.select(*kept, *[v.cast("long").alias(k) for k, v in values.items()])
