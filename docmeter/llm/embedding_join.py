@@ -38,7 +38,7 @@ from docmeter.llm.jaccard_join import sides_of
 
 BLOCKS = 8
 GRID = 4
-CHUNK = 1000
+CHUNK = 2000
 TILE = 256
 COSINE = 0.93
 _SLACK = 1e-9
