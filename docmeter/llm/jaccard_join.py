@@ -65,7 +65,7 @@ POSTINGS_A_BUCKET = 500_000
 LIST_MOST = 20_000
 BLOOM_BITS = 1 << 25
 #: Whole sets in a tile at most, and shingles; entries of mixed lists in a tile.
-TILE, TILE_SHINGLES, LIST_TILE = 500, 500_000, 2000
+TILE, TILE_SHINGLES, LIST_TILE = 500, 500_000, 500
 #: Shingles that a counting task holds at most before it sends what it has found twice among them; hash buckets they are counted in.
 COUNT_BLOCK, COUNT_BUCKETS = 1_200_000, 1 << 10
 #: Of a set, in the order of hashes, the share whose shingles are counted; more than prefixes reach without frequent ones.
@@ -370,7 +370,7 @@ def _tasks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[tup
         yield held
 
 
-def mixed_families(lists: DataFrame, rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def mixed_families(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Classes of long lists that may link across components: id, row, size, part, family."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,12 +406,12 @@ def mixed_families(lists: DataFrame, rows: DataFrame, parts: DataFrame, percent:
     entries = written(entries, "long-lists")
     mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
     entries = entries.join(mixed, "token", "left_semi")
-    known = rows.join(entries.select(F.col("id").alias("name")).distinct(), "name", "left_semi").groupBy(F.col("name").alias("id")).agg(F.min("sketch").alias("sketch"))
+    known = classes.join(entries.select(F.col("id").alias("name")).distinct(), "name", "left_semi").select(F.col("name").alias("id"), "sketch")
     placed, meet = tiles_of(entries.withColumnRenamed("token", "family"), percent, LIST_TILE)
     placed = placed.join(written(sides_of(meet), "list-tiles"), "tile").join(known, "id")
     placed = placed.select("task", "side", "id", "size", "place", "part", "sketch").repartition("task").sortWithinPartitions("task", "size", "place", "id")
     families = connected_components(placed.mapInArrow(near, "a long, b long"))
-    members = rows.join(families, F.col("name") == families["node"]).groupBy(F.col("name").alias("id")).agg(F.min("row").alias("row"), F.min("n").alias("size"), F.min("component").alias("family"))
+    members = classes.join(families, F.col("name") == families["node"]).select(F.col("name").alias("id"), "row", F.col("n").alias("size"), F.col("component").alias("family"))
     return members.join(parts, members["id"] == parts["node"], "left").select("id", "row", "size", F.coalesce(parts["component"], "id").alias("part"), "family")
 
 
@@ -438,7 +438,7 @@ def links_of(docs: DataFrame, places: DataFrame, names: Names, percent: int) ->
     return work.mapInArrow(compared, "a long, b long").distinct()
 
 
-def alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) that their sketches don't rule out, with the row that stands for each (ra, rb) and the sizes (na, nb)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,8 +451,7 @@ def alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
                 yield batch.select([0, 1, 2, 3, 6, 7]).filter(pa.array(~far))
 
     wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
-    known = rows.join(wanted, "name", "left_semi").groupBy("name").agg(F.min("row").alias("r"), F.min("sketch").alias("s"), F.min("n").alias("n"))
-    known = written(known, "sketches")
+    known = written(classes.join(wanted, "name", "left_semi").select("name", F.col("row").alias("r"), F.col("sketch").alias("s"), "n"), "sketches")
     both = pairs.join(known.select(F.col("name").alias("a"), F.col("r").alias("ra"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
     both = both.join(known.select(F.col("name").alias("b"), F.col("r").alias("rb"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
     return both.select("a", "b", "ra", "rb", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, ra long, rb long, na long, nb long")
@@ -494,13 +493,13 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, names: Names) -> DataFrame:
     return docs.mapInArrow(sets, "r long, id long, s binary")
 
 
-def verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, names: Names, percent: int) -> DataFrame:
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, names: Names, percent: int) -> DataFrame:
     """Links (a, b) among candidate pairs, enough of them to join what any link of them joins.
 
     What pairs connect is a family, cut into tiles by hash. A task gets the sets of two tiles that have a pair
     there, so an anchor's many partners spread over tasks and a set is sent about once a task.
     """
-    near = written(alike(pairs, rows, percent), "pairs-alike")
+    near = written(alike(pairs, classes, percent), "pairs-alike")
     families = connected_components(near.select("a", "b"))
     ends = near.select(F.col("a").alias("id"), F.col("na").alias("size")).unionByName(near.select(F.col("b").alias("id"), F.col("nb").alias("size"))).distinct()
     members = ends.join(families, F.col("id") == F.col("node")).select("id", "size", "component")
@@ -541,6 +540,8 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     shared = [r[0] for r in rows.groupBy("d1").agg(F.min("d2").alias("lo"), F.max("d2").alias("hi")).where("lo <> hi").select("d1").collect()]
     names = Names(shared, name_bits)
     rows = rows.withColumn("name", F.when(F.col("d1").isin(shared), F.col("d2")).otherwise(F.col("d1")) if shared else F.col("d1"))
+    # a row a class, so that copies of a text, however many, meet nothing later
+    classes = written(rows.where("n > 0").groupBy("name").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "set-classes")
     shingles = rows.agg(F.sum("n")).first()[0] or 0
     frequent, counts = frequent_shingles(first.where("bucket is not null"), min(COUNT_BUCKETS, int(shingles // 4_000_000) + 4), above=long)
     sublists = Sublists(frequent, counts, list_most)
@@ -549,13 +550,14 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     pairs = found.where("a is not null").select("a", "b")
     if len(sublists.tokens):
         pairs = pairs.unionByName(anchor_pairs(opened(found.where("anchor")), percent))
-    parts = connected_components(verified(docs, rows, written(pairs.distinct(), "pairs"), names, percent))
+    parts = connected_components(verified(docs, classes, written(pairs.distinct(), "pairs"), names, percent))
     lists = found.where("not anchor")
     if not lists.isEmpty():
-        members = written(mixed_families(lists, rows, parts, percent), "families")
+        members = written(mixed_families(lists, classes, parts, percent), "families")
         if not members.isEmpty():
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
             parts = connected_components(stars.unionByName(family_links(docs, members, names, percent)))
+    parts = small(parts)
     named = rows.join(parts, rows["name"] == parts["node"], "left")
     return named.select("row", "row2", "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "name")).alias("part"))
 
@@ -563,8 +565,10 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, **options: int) -> DataFrame:
     """One row a row of ``df``: id, n_shingles, component_id."""
     named = jaccard_classes(df, key, text, percent, **options).select("id", "n_shingles", "part")
-    least = named.where("part is not null").groupBy("part").agg(F.min("id").alias("component_id"))
-    return named.join(least, "part", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    named = written(named, "named")
+    # only components of several rows need to meet them again
+    least = named.where("part is not null").groupBy("part").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return named.join(small(written(least, "least-ids")), "part", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
 def op10_jaccard_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
