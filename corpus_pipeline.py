@@ -45,8 +45,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     all columns. Texts without words link with nothing and stay. Rows of one id whose texts don't link all stay.
     """
     named = written(jaccard_join.jaccard_classes(docs).where("part is not null").select("row", "row2", "id", "part"), "classes")
-    best = named.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "row2")).alias("best"))
-    gone = named.join(best, "part").where("row <> best.row or row2 <> best.row2").select("row", "row2").distinct()
+    best = named.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "row2")).alias("best"), F.count(F.lit(1)).alias("n"))
+    gone = named.join(small(written(best.where("n > 1"), "best")), "part").where("row <> best.row or row2 <> best.row2").select("row", "row2").distinct()
     twice = written(named.groupBy("row", "row2").count().where("count > 1").select("row", "row2"), "repeated")
     row, row2, whole = unused(docs, "row", "row2", "whole")
     keys = jaccard_join.row_hashes()
