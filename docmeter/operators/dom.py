@@ -1,10 +1,8 @@
-"""A small document tree over the standard library's HTML parser, and rule-based fixes on it."""
+"""A small document tree over the standard library's HTML parser, for element and link tables."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
-from html import escape
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -41,24 +39,9 @@ class Node:
     def all(self, *tags: str) -> list[Node]:
         return [n for n in self.walk() if n.tag in tags]
 
-    def first(self, *tags: str) -> Node | None:
-        return next((n for n in self.walk() if n.tag in tags), None)
-
     def inner_text(self) -> str:
         return " ".join("".join(n.text for n in self.walk() if n.tag is None and (n.parent is None or n.parent.tag not in RAW)).split())
 
-    def up(self, *tags: str) -> Node | None:
-        n = self.parent
-        while n is not None and n.tag not in tags:
-            n = n.parent
-        return n
-
-    def elements(self) -> list[Node]:
-        return [c for c in self.children if c.tag and c.tag[0] != "#"]
-
-    def remove(self) -> None:
-        self.parent.children.remove(self)
-
     def get(self, name: str) -> str:
         return self.attrs.get(name) or ""
 
@@ -102,318 +85,6 @@ def parse(html: str) -> Node:
     return b.root
 
 
-def render(root: Node) -> str:
-    out: list[str] = []
-    todo: list[Node | str] = [root]
-    while todo:
-        n = todo.pop()
-        if isinstance(n, str):
-            out.append(n)
-        elif n.tag is None:
-            out.append(n.text if n.parent is not None and n.parent.tag in RAW else escape(n.text, quote=False))
-        elif n.tag == "#raw":
-            out.append(n.text)
-        else:
-            if n.tag != "#doc":
-                out.append("<" + n.tag + "".join(f" {k}" if v is None else f' {k}="{escape(v)}"' for k, v in n.attrs.items()) + ">")
-                if n.tag not in VOID:
-                    todo.append(f"</{n.tag}>")
-            todo.extend(reversed(n.children))
-    return "".join(out)
-
-
-HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
-
-
-def _label_from(href: str) -> str:
-    part = href.split("#")[0].split("?")[0].rstrip("/").rsplit("/", 1)[-1]
-    words = re.sub(r"[^0-9A-Za-z]+", " ", re.sub(r"\.\w{2,5}$", "", part)).split()
-    return " ".join(words).capitalize() or "Link"
-
-
-def lang(root: Node) -> list[str]:
-    html = root.first("html")
-    if html is None or html.get("lang").strip():
-        return []
-    html.attrs["lang"] = "en"
-    return ["lang"]
-
-
-def title(root: Node) -> list[str]:
-    head = root.first("head")
-    if head is None:
-        return []
-    found = head.first("title")
-    if found is not None and found.inner_text():
-        return []
-    h1 = root.first("h1")
-    text = (h1.inner_text() if h1 is not None else "") or "Document"
-    if found is None:
-        found = head.add(Node("title"))
-    found.children = []
-    found.add(Node(None, text=text))
-    return ["title"]
-
-
-def viewport(root: Node) -> list[str]:
-    head = root.first("head")
-    if head is None or any(m.get("name").lower() == "viewport" for m in root.all("meta")):
-        return []
-    head.add(Node("meta", {"name": "viewport", "content": "width=device-width, initial-scale=1"}))
-    return ["viewport"]
-
-
-def main_landmark(root: Node) -> list[str]:
-    body = root.first("body")
-    if body is None or root.first("main") is not None or any(n.get("role") == "main" for n in root.walk()):
-        return []
-    apart = ("header", "footer", "nav", "script", "style", "link")
-    inner = [c for c in body.children if c.tag not in apart and not (c.tag is None and not c.text.strip())]
-    if not inner:
-        return []
-    main = Node("main", {"id": "main-content"})
-    at = body.children.index(inner[0])
-    for c in inner:
-        c.remove()
-        main.add(c)
-    body.add(main, at)
-    return ["main"]
-
-
-def skip_link(root: Node) -> list[str]:
-    body = root.first("body")
-    if body is None or any(a.get("href").startswith("#main") or "skip" in a.get("class").lower() or "skip" in a.inner_text().lower() for a in root.all("a")):
-        return []
-    main = root.first("main")
-    target = (main.attrs.setdefault("id", "main-content") if main is not None else None) or "main-content"
-    link = body.add(Node("a", {"href": f"#{target}", "class": "skip-link"}), 0)
-    link.add(Node(None, text="Skip to main content"))
-    return ["skip_link"]
-
-
-def nav_landmark(root: Node) -> list[str]:
-    done = []
-    for lst in root.all("ul", "ol"):
-        items = lst.elements()
-        lone = bool(items) and all(i.tag == "li" and len(i.elements()) == 1 and i.elements()[0].tag == "a" for i in items)
-        if lone and lst.up("nav") is None and lst.parent.tag in ("body", "header", "div", "section", "footer") and len(items) > 1:
-            at = lst.parent.children.index(lst)
-            nav = lst.parent.add(Node("nav", {"aria-label": "Navigation"}), at)
-            lst.remove()
-            nav.add(lst)
-            done.append("nav")
-    return done
-
-
-def empty_headings(root: Node) -> list[str]:
-    bad = [h for h in root.all(*HEADINGS) if not h.inner_text() and h.first("img") is None]
-    for h in bad:
-        h.remove()
-    return ["empty_heading"] * len(bad)
-
-
-def heading_levels(root: Node) -> list[str]:
-    done, before = [], 0
-    for h in root.all(*HEADINGS):
-        level = min(int(h.tag[1]), before + 1)
-        if level != int(h.tag[1]):
-            h.tag = f"h{level}"
-            done.append("heading_level")
-        before = level
-    return done
-
-
-def empty_links(root: Node) -> list[str]:
-    done = []
-    for a in root.all("a"):
-        if not (a.inner_text() or a.get("aria-label") or a.get("title") or any(i.get("alt").strip() for i in a.all("img"))) and a.get("href"):
-            a.attrs["aria-label"] = _label_from(a.get("href"))
-            done.append("empty_link")
-    return done
-
-
-def generic_links(root: Node) -> list[str]:
-    from docmeter.operators.text import GENERIC_LINKS
-
-    done = []
-    for a in root.all("a"):
-        text = a.inner_text()
-        if text.lower() in GENERIC_LINKS["html"] and not a.get("aria-label"):
-            around = " ".join(a.parent.inner_text().replace(text, " ", 1).split())[:80].strip() if a.parent is not None else ""
-            a.attrs["aria-label"] = f"{text}: {around}" if around else f"{text}: {_label_from(a.get('href'))}"
-            done.append("generic_link")
-    return done
-
-
-def new_windows(root: Node) -> list[str]:
-    done = []
-    for a in root.all("a"):
-        if a.get("target") != "_blank":
-            continue
-        rel = a.get("rel").split()
-        more = [r for r in ("noopener", "noreferrer") if r not in rel]
-        told = re.search(r"new (window|tab)", (a.inner_text() + " " + a.get("aria-label") + " " + a.get("title")).lower())
-        if more:
-            a.attrs["rel"] = " ".join(rel + more)
-        if not told:
-            a.add(Node(None, text=" (opens in new window)"))
-        if more or not told:
-            done.append("new_window")
-    return done
-
-
-def image_alts(root: Node) -> list[str]:
-    bad = [i for i in root.all("img") if "alt" not in i.attrs]
-    for i in bad:
-        i.attrs["alt"] = ""
-    return ["img_alt"] * len(bad)
-
-
-def linked_image_alts(root: Node) -> list[str]:
-    done = []
-    for a in root.all("a"):
-        img = a.first("img")
-        if img is not None and not img.get("alt").strip():
-            img.attrs["alt"] = a.inner_text() or _label_from(a.get("href"))
-            done.append("linked_img_alt")
-    return done
-
-
-def table_headers(root: Node) -> list[str]:
-    done = []
-    for t in root.all("table"):
-        if t.first("th") is not None or t.get("role") in ("presentation", "none"):
-            continue
-        row = t.first("tr")
-        cells = [c for c in row.elements() if c.tag == "td"] if row is not None else []
-        if not cells:
-            continue
-        for c in cells:
-            c.tag = "th"
-            c.attrs["scope"] = "col"
-        if row.up("thead") is None:
-            row.remove()
-            at = next((k for k, c in enumerate(t.children) if c.tag == "caption"), -1) + 1
-            t.add(Node("thead"), at).add(row)
-        done.append("table_header")
-    return done
-
-
-def table_scopes(root: Node) -> list[str]:
-    done = []
-    for th in root.all("th"):
-        if not th.get("scope"):
-            first = th.parent.elements()[0] is th
-            th.attrs["scope"] = "col" if th.up("thead") is not None or not first else "row"
-            done.append("table_scope")
-    return done
-
-
-def table_captions(root: Node) -> list[str]:
-    done = []
-    for t in root.all("table"):
-        if t.first("caption") is None and not t.get("aria-label") and t.get("role") not in ("presentation", "none"):
-            t.add(Node("caption"), 0).add(Node(None, text="Data table"))
-            done.append("table_caption")
-    return done
-
-
-def form_labels(root: Node) -> list[str]:
-    targets = {n.get("for") for n in root.all("label")}
-    done = []
-    for f in root.all("input", "select", "textarea"):
-        if f.tag == "input" and f.get("type").lower() in ("hidden", "submit", "button", "reset", "image"):
-            continue
-        if f.get("aria-label") or f.get("aria-labelledby") or f.get("title") or f.up("label") is not None or (f.get("id") and f.get("id") in targets):
-            continue
-        name = f.get("placeholder") or f.get("name") or f.get("id") or f.tag
-        f.attrs["aria-label"] = re.sub(r"[_\-]+", " ", name).strip().title()
-        done.append("form_label")
-    return done
-
-
-def _rgb(color: str) -> tuple[int, int, int] | None:
-    c = color.strip().lower()
-    if m := re.fullmatch(r"#([0-9a-f]{3}|[0-9a-f]{6})", c):
-        d = m[1] if len(m[1]) == 6 else "".join(x * 2 for x in m[1])
-        return int(d[:2], 16), int(d[2:4], 16), int(d[4:], 16)
-    if m := re.match(r"rgba?\(\s*(\d{1,3})\s*,\s*(\d{1,3})\s*,\s*(\d{1,3})", c):
-        return int(m[1]), int(m[2]), int(m[3])
-    return {"black": (0, 0, 0), "white": (255, 255, 255), "red": (255, 0, 0), "gray": (128, 128, 128), "yellow": (255, 255, 0)}.get(c)
-
-
-def contrast_ratio(a: tuple[int, int, int], b: tuple[int, int, int]) -> float:
-    def light(c: tuple[int, int, int]) -> float:
-        r, g, b_ = ((x / 255 / 12.92) if x / 255 <= 0.04045 else ((x / 255 + 0.055) / 1.055) ** 2.4 for x in c)
-        return 0.2126 * r + 0.7152 * g + 0.0722 * b_
-
-    x, y = light(a), light(b)
-    return (max(x, y) + 0.05) / (min(x, y) + 0.05)
-
-
-def inline_contrast(root: Node) -> list[str]:
-    done = []
-    for n in root.walk():
-        if not n.tag or not n.get("style"):
-            continue
-        rules = [tuple(p.strip() for p in r.split(":", 1)) for r in n.get("style").split(";") if ":" in r]
-        found = dict((k.lower(), v) for k, v in rules)
-        fg, bg = _rgb(found.get("color", "")), _rgb(found.get("background-color", found.get("background", "")))
-        if fg and bg and contrast_ratio(fg, bg) < 4.5:
-            rest = "; ".join(f"{k}: {v}" for k, v in rules if k.lower() not in ("color", "background-color", "background"))
-            n.attrs["style"] = rest
-            if not rest:
-                del n.attrs["style"]
-            done.append("contrast")
-    return done
-
-
-def figures(root: Node) -> list[str]:
-    done = []
-    for img in root.all("img"):
-        if img.up("figure") is not None or img.parent is None:
-            continue
-        siblings = img.parent.elements()
-        k = siblings.index(img)
-        after = siblings[k + 1] if k + 1 < len(siblings) else None
-        if after is not None and ("caption" in after.get("class").lower() or re.match(r"(figure|fig\.|image|photo)\b", after.inner_text().lower())):
-            parent, at = img.parent, img.parent.children.index(img)
-            img.remove()
-            after.remove()
-            fig = parent.add(Node("figure"), at)
-            fig.add(img)
-            cap = fig.add(Node("figcaption"))
-            cap.add(Node(None, text=after.inner_text()))
-            done.append("figure")
-    return done
-
-
-#: In the order in which they run.
-FIXES: list[tuple[str, Callable[[Node], list[str]]]] = [
-    (f.__name__, f)
-    for f in (
-        lang, title, viewport, main_landmark, skip_link, nav_landmark, empty_headings, heading_levels, empty_links, generic_links,
-        new_windows, image_alts, linked_image_alts, table_headers, table_scopes, table_captions, form_labels, inline_contrast, figures,
-    )
-]
-
-
-def remediate(html: str) -> tuple[str, list[str]]:
-    """The page with all fixes applied, and their names; a fix that fails leaves the page as it was."""
-    done = []
-    if not html.lstrip().lower().startswith("<!doctype"):
-        html, done = "<!DOCTYPE html>" + html, ["doctype"]
-    root = parse(html)
-    for name, fix in FIXES:
-        before = render(root)
-        try:
-            done += fix(root)
-        except Exception:  # noqa: BLE001
-            root = parse(before)
-            done.append(f"failed:{name}")
-    return render(root), done
-
-
 def links(html: str) -> list[tuple[int, str, str]]:
     """(index, text, target) of each a with href in order. A link without text goes by its aria-label, its images' alt or its title; a link left open ends at the next."""
     out = []

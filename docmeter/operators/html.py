@@ -1,11 +1,11 @@
-"""Rules over pages: string-level findings on the JVM, element tables and fixes in Arrow batches."""
+"""Rules over pages: string-level findings on the JVM, element tables in Arrow batches, fixes needed over those."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,21 +64,73 @@ def elements(pages: DataFrame, key: str = "page_id", html: str = "html") -> Data
     return rows.mapInArrow(run, schema)
 
 
-def remediated(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, html with all fixes applied, fixes in order."""
-    from docmeter.operators import dom
-
-    rows = pages.select(key, html)
-    schema = T.StructType([rows.schema.fields[0], T.StructField("html", T.StringType()), T.StructField("fixes", T.ArrayType(T.StringType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 64):
-                batch = whole.slice(start, 64)
-                fixed = [dom.remediate(t or "") for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h for h, _ in fixed], pa.string()), pa.array([f for _, f in fixed], pa.list_(pa.string()))], names=schema.names)
-
-    return rows.mapInArrow(run, schema)
+def fixes_needed(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """key, fix, places: how often a page needs each fix; fixes that it doesn't need, and pages without elements, have no row.
+
+    A table cell or caption belongs to the last table that opened before it, a field to the label for its id or
+    to one that it is the first element of. Empty headings don't count in the order of levels. One shuffle, by page.
+    """
+    from docmeter.operators.text import GENERIC_LINKS
+
+    def has(name: str) -> Column:
+        return F.trim(F.coalesce(F.try_element_at("attrs", F.lit(name)), F.lit(""))) != ""
+
+    def attr(name: str) -> Column:
+        return F.lower(F.trim(F.coalesce(F.try_element_at("attrs", F.lit(name)), F.lit(""))))
+
+    tag, text, page = F.col("tag"), F.lower("text"), Window.partitionBy(key)
+    order = page.orderBy("seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.lead("depth").over(order) > F.col("depth"), F.lit(False))
+    under = F.when(F.lag("depth").over(order) < F.col("depth"), F.lag("tag").over(order))
+    level = F.when(tag.rlike("^h[1-6]$") & ((text != "") | F.col("inside")), F.substring("tag", 2, 1).cast("int"))
+    e = elements(pages, key, html).withColumns({"inside": inside, "under": F.coalesce(under, F.lit(""))}).withColumn("level", level)
+    e = e.withColumns({
+        "prior": F.coalesce(F.last("level", True).over(before), F.lit(0)),
+        "tab": F.last(F.when(tag == "table", F.col("seq")), True).over(order),
+        "labelled": F.collect_set(F.when(tag == "label", F.try_element_at("attrs", F.lit("for")))).over(page),
+    })
+    link, field = tag == "a", tag.isin("input", "select", "textarea") & ~attr("type").isin("hidden", "submit", "button", "reset", "image")
+    told = F.concat_ws(" ", text, attr("aria-label"), attr("title"))
+    safe = attr("rel").contains("noopener") & attr("rel").contains("noreferrer") & told.rlike("new (window|tab)")
+    places = {
+        "lang": (tag == "html") & ~has("lang"),
+        "empty_heading": tag.rlike("^h[1-6]$") & F.col("level").isNull(),
+        "heading_level": F.col("level") > F.col("prior") + 1,
+        "empty_link": link & has("href") & (text == "") & ~has("aria-label") & ~has("title") & ~F.col("inside"),
+        "generic_link": link & text.isin(*GENERIC_LINKS["html"]) & ~has("aria-label"),
+        "new_window": link & (attr("target") == "_blank") & ~safe,
+        "img_alt": (tag == "img") & ~F.map_contains_key("attrs", F.lit("alt")),
+        "linked_img_alt": (tag == "img") & (F.col("under") == "a") & ~has("alt"),
+        "form_label": field & ~has("aria-label") & ~has("aria-labelledby") & ~has("title") & (F.col("under") != "label")
+        & ~F.coalesce(F.array_contains("labelled", F.try_element_at("attrs", F.lit("id"))), F.lit(False)),
+    }
+    #: What a page must have, if it has the element that it goes into.
+    needed = {
+        "title": ("head", (tag == "title") & (text != "")),
+        "viewport": ("head", (tag == "meta") & (attr("name") == "viewport")),
+        "main": ("body", (tag == "main") | (attr("role") == "main")),
+        "skip_link": ("body", link & (attr("href").startswith("#main") | attr("class").contains("skip") | text.contains("skip"))),
+    }
+    table = (tag == "table") & ~attr("role").isin("presentation", "none")
+
+    def count(x: Column) -> Column:
+        return F.count(F.when(x, 1))
+
+    by_table = e.groupBy(key, "tab").agg(
+        *[count(x).alias(n) for n, x in places.items()], *[count(x).alias(n) for n, (_, x) in needed.items()],
+        *[count(tag == n).alias(f"n_{n}") for n in ("head", "body")], count(table).alias("tables"),
+        count(tag == "th").alias("headers"), count((tag == "caption") | ((tag == "table") & has("aria-label"))).alias("captions"),
+    )
+    whole = by_table.groupBy(key).agg(
+        *[F.sum(n).alias(n) for n in places],
+        *[((F.sum(f"n_{holder}") > 0) & (F.sum(n) == 0)).cast("long").alias(n) for n, (holder, _) in needed.items()],
+        count((F.col("tables") > 0) & (F.col("headers") == 0)).alias("table_header"),
+        count((F.col("tables") > 0) & (F.col("captions") == 0)).alias("table_caption"),
+    )
+    names = [*places, *needed, "table_header", "table_caption"]
+    found = F.explode(F.array(*[F.struct(F.lit(n).alias("fix"), F.col(n).alias("places")) for n in names]))
+    return whole.select(key, found.alias("found")).select(key, "found.fix", "found.places").where("places > 0")
 
 
 def heading_levels(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

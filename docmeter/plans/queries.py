@@ -379,8 +379,8 @@ def html_elements(spark, sf):
 
 
 @query()
-def html_remediate(spark, sf):
-    return html.remediated(table(spark, sf, "pages")).select("page_id", F.md5(F.col("html").cast("binary")).alias("html_md5"), F.array_join("fixes", ",").alias("fixes"))
+def html_fixes_needed(spark, sf):
+    return html.fixes_needed(table(spark, sf, "pages"))
 
 
 @query("""with c as (select p_partkey k, (p_partkey * 7) % 256 r, (p_partkey * 13) % 256 g, (p_partkey * 29) % 256 b from part), l as (select k, 0.2126 * case when r / 255.0 <= 0.04045 then r / 255.0 / 12.92 else pow((r / 255.0 + 0.055) / 1.055, 2.4) end
