@@ -78,53 +78,65 @@ def fixes_needed(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     def attr(name: str) -> Column:
         return F.lower(F.trim(F.coalesce(F.try_element_at("attrs", F.lit(name)), F.lit(""))))
 
-    tag, text, page = F.col("tag"), F.lower("text"), Window.partitionBy(key)
+    tag, text, link = F.col("tag"), F.lower("text"), F.col("tag") == "a"
+    told = F.concat_ws(" ", text, attr("aria-label"), attr("title"))
+    safe = attr("rel").contains("noopener") & attr("rel").contains("noreferrer") & told.rlike("new (window|tab)")
+    field = tag.isin("input", "select", "textarea") & ~attr("type").isin("hidden", "submit", "button", "reset", "image")
+    #: What an element shows by itself; texts and attributes go no further than this.
+    alone = {
+        "blank": text == "",
+        "lang": (tag == "html") & ~has("lang"),
+        "nameless_link": link & has("href") & (text == "") & ~has("aria-label") & ~has("title"),
+        "generic_link": link & text.isin(*GENERIC_LINKS["html"]) & ~has("aria-label"),
+        "new_window": link & (attr("target") == "_blank") & ~safe,
+        "img_alt": (tag == "img") & ~F.map_contains_key("attrs", F.lit("alt")),
+        "img_mute": (tag == "img") & ~has("alt"),
+        "nameless_field": field & ~has("aria-label") & ~has("aria-labelledby") & ~has("title"),
+        "title": (tag == "title") & (text != ""),
+        "viewport": (tag == "meta") & (attr("name") == "viewport"),
+        "main": (tag == "main") | (attr("role") == "main"),
+        "skip_link": link & (attr("href").startswith("#main") | attr("class").contains("skip") | text.contains("skip")),
+        "data_table": (tag == "table") & ~attr("role").isin("presentation", "none"),
+        "caption": (tag == "caption") | ((tag == "table") & has("aria-label")),
+        "id": F.try_element_at("attrs", F.lit("id")),
+        "for_id": F.when(tag == "label", F.try_element_at("attrs", F.lit("for"))),
+    }
+    page = Window.partitionBy(key)
     order = page.orderBy("seq")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.lead("depth").over(order) > F.col("depth"), F.lit(False))
     under = F.when(F.lag("depth").over(order) < F.col("depth"), F.lag("tag").over(order))
-    level = F.when(tag.rlike("^h[1-6]$") & ((text != "") | F.col("inside")), F.substring("tag", 2, 1).cast("int"))
-    e = elements(pages, key, html).withColumns({"inside": inside, "under": F.coalesce(under, F.lit(""))}).withColumn("level", level)
+    heading = tag.rlike("^h[1-6]$")
+    e = elements(pages, key, html).select(key, "seq", "depth", "tag", *[x.alias(n) for n, x in alone.items()])
+    e = e.withColumns({"inside": inside, "under": F.coalesce(under, F.lit(""))})
+    e = e.withColumn("level", F.when(heading & (~F.col("blank") | F.col("inside")), F.substring("tag", 2, 1).cast("int")))
     e = e.withColumns({
         "prior": F.coalesce(F.last("level", True).over(before), F.lit(0)),
         "tab": F.last(F.when(tag == "table", F.col("seq")), True).over(order),
-        "labelled": F.collect_set(F.when(tag == "label", F.try_element_at("attrs", F.lit("for")))).over(page),
+        "labelled": F.collect_set("for_id").over(page),
     })
-    link, field = tag == "a", tag.isin("input", "select", "textarea") & ~attr("type").isin("hidden", "submit", "button", "reset", "image")
-    told = F.concat_ws(" ", text, attr("aria-label"), attr("title"))
-    safe = attr("rel").contains("noopener") & attr("rel").contains("noreferrer") & told.rlike("new (window|tab)")
     places = {
-        "lang": (tag == "html") & ~has("lang"),
-        "empty_heading": tag.rlike("^h[1-6]$") & F.col("level").isNull(),
+        **{n: F.col(n) for n in ("lang", "generic_link", "new_window", "img_alt")},
+        "empty_heading": heading & F.col("level").isNull(),
         "heading_level": F.col("level") > F.col("prior") + 1,
-        "empty_link": link & has("href") & (text == "") & ~has("aria-label") & ~has("title") & ~F.col("inside"),
-        "generic_link": link & text.isin(*GENERIC_LINKS["html"]) & ~has("aria-label"),
-        "new_window": link & (attr("target") == "_blank") & ~safe,
-        "img_alt": (tag == "img") & ~F.map_contains_key("attrs", F.lit("alt")),
-        "linked_img_alt": (tag == "img") & (F.col("under") == "a") & ~has("alt"),
-        "form_label": field & ~has("aria-label") & ~has("aria-labelledby") & ~has("title") & (F.col("under") != "label")
-        & ~F.coalesce(F.array_contains("labelled", F.try_element_at("attrs", F.lit("id"))), F.lit(False)),
-    }
-    #: What a page must have, if it has the element that it goes into.
-    needed = {
-        "title": ("head", (tag == "title") & (text != "")),
-        "viewport": ("head", (tag == "meta") & (attr("name") == "viewport")),
-        "main": ("body", (tag == "main") | (attr("role") == "main")),
-        "skip_link": ("body", link & (attr("href").startswith("#main") | attr("class").contains("skip") | text.contains("skip"))),
+        "empty_link": F.col("nameless_link") & ~F.col("inside"),
+        "linked_img_alt": F.col("img_mute") & (F.col("under") == "a"),
+        "form_label": F.col("nameless_field") & (F.col("under") != "label") & ~F.coalesce(F.array_contains("labelled", F.col("id")), F.lit(False)),
     }
-    table = (tag == "table") & ~attr("role").isin("presentation", "none")
+    #: What a page must have, if it has the element that it goes into.
+    needed = {"title": "head", "viewport": "head", "main": "body", "skip_link": "body"}
 
     def count(x: Column) -> Column:
         return F.count(F.when(x, 1))
 
     by_table = e.groupBy(key, "tab").agg(
-        *[count(x).alias(n) for n, x in places.items()], *[count(x).alias(n) for n, (_, x) in needed.items()],
-        *[count(tag == n).alias(f"n_{n}") for n in ("head", "body")], count(table).alias("tables"),
-        count(tag == "th").alias("headers"), count((tag == "caption") | ((tag == "table") & has("aria-label"))).alias("captions"),
+        *[count(x).alias(n) for n, x in places.items()], *[count(F.col(n)).alias(n) for n in needed],
+        *[count(tag == n).alias(f"n_{n}") for n in ("head", "body")], count(F.col("data_table")).alias("tables"),
+        count(tag == "th").alias("headers"), count(F.col("caption")).alias("captions"),
     )
     whole = by_table.groupBy(key).agg(
         *[F.sum(n).alias(n) for n in places],
-        *[((F.sum(f"n_{holder}") > 0) & (F.sum(n) == 0)).cast("long").alias(n) for n, (holder, _) in needed.items()],
+        *[((F.sum(f"n_{holder}") > 0) & (F.sum(n) == 0)).cast("long").alias(n) for n, holder in needed.items()],
         count((F.col("tables") > 0) & (F.col("headers") == 0)).alias("table_header"),
         count((F.col("tables") > 0) & (F.col("captions") == 0)).alias("table_caption"),
     )
