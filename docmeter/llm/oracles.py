@@ -48,3 +48,19 @@ WARC = f"""with p as (select page_id, coalesce(html, '') x, sha1(coalesce(html,
 g as (select *, max(page_id) over (partition by payload_digest, payload_bytes) leader from d)
 select page_id, payload_bytes, payload_digest, case when page_id = leader then 'response' else 'revisit' end record_type, case when page_id <> leader then leader end refers_to,
 strftime(make_timestamp((1704067200 + page_id % 1000000000) * 1000000), '%Y%m%d%H%M%S') "timestamp" from g"""
+
+FILTERS = r"""with d as (select doc_id, coalesce(source, '') part, coalesce(text, '') x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+l as (select doc_id, max(case when quality = 1 then 1 else 0 end) good, max(case when toxic = 1 then 1 else 0 end) toxic from labels where doc_id is not null group by doc_id),
+f as (select part, coalesce(good, 0) good, coalesce(toxic, 0) toxic,
+ [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x), regexp_matches(x, '[#$%&*|]'), coalesce(doc_id > min(doc_id) over (partition by x), false)] fails
+ from d left join l using (doc_id)),
+o as (select a || b || c || e || g filter_order from (values ('A'), ('B'), ('C'), ('D'), ('E')) t1(a), (values ('A'), ('B'), ('C'), ('D'), ('E')) t2(b), (values ('A'), ('B'), ('C'), ('D'), ('E')) t3(c),
+ (values ('A'), ('B'), ('C'), ('D'), ('E')) t4(e), (values ('A'), ('B'), ('C'), ('D'), ('E')) t5(g) where len(list_distinct([a, b, c, e, g])) = 5),
+m as (select part, fails, count(*) n, sum(good) good, sum(toxic) toxic from f group by part, fails),
+s as (select part, filter_order, step, substr(filter_order, step, 1) letter, n, good, toxic, fails[ascii(substr(filter_order, step, 1)) - 64] failing,
+ len(list_filter(range(1, step), lambda i: fails[ascii(substr(filter_order, i::int, 1)) - 64])) > 0 sooner, len(list_filter(fails, lambda y: y)) = 1 alone
+ from m, o, (select unnest([1, 2, 3, 4, 5]) step)),
+g as (select part, filter_order, step::int step, letter, coalesce(sum(n) filter (where not failing and not sooner), 0)::bigint kept, coalesce(sum(n) filter (where failing and not sooner), 0)::bigint removed,
+ coalesce(sum(n) filter (where failing and sooner), 0)::bigint redundant, coalesce(sum(n) filter (where failing and alone), 0)::bigint unique_fails,
+ coalesce(sum(good) filter (where failing and not sooner), 0)::bigint good_lost, coalesce(sum(toxic) filter (where failing and not sooner), 0)::bigint toxic_lost from s group by all)
+select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint shapley from g"""

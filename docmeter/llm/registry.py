@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import embedding_join, jaccard_join, language_id, line_crf, mixing, oracles, packing, quality_rules, sharding, tokens, warc
+from docmeter.llm import embedding_join, filter_audit, jaccard_join, language_id, line_crf, mixing, oracles, packing, quality_rules, sharding, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_count_tokens": tokens.op8_count_tokens,
         "op9_language_id": language_id.op9_language_id,
         "op10_jaccard_skip": jaccard_join.op10_jaccard_skip,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
     }
 
 
@@ -32,4 +33,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_subspace_join": oracles.VECTORS,
         "op7_mix_sources": oracles.MIX,
         "op10_jaccard_skip": oracles.JACCARD,
+        "op11_filter_audit": oracles.FILTERS,
     }
