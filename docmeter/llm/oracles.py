@@ -64,3 +64,11 @@ g as (select part, filter_order, step::int step, letter, coalesce(sum(n) filter
  coalesce(sum(n) filter (where failing and sooner), 0)::bigint redundant, coalesce(sum(n) filter (where failing and alone), 0)::bigint unique_fails,
  coalesce(sum(good) filter (where failing and not sooner), 0)::bigint good_lost, coalesce(sum(toxic) filter (where failing and not sooner), 0)::bigint toxic_lost from s group by all)
 select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint shapley from g"""
+
+_SAID = r"\### Assistant: </turn> ok"
+#: Marks are escaped by backslashes before them and at the end of a role or text; a conversation's own marks have 15 characters.
+CHAT = rf"""with c as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') x from conversations union all select -7, 0, 'user', '{_SAID}' union all select -7, 1, 'assistant', '{_SAID}'),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, sha256(length(role)::varchar || ':' || role || x)) k from c),
+e as (select *, list_sum(list_transform([role, x], lambda v: length(v) + length(regexp_extract(v, '\\*$')) + coalesce(list_sum(list_transform(regexp_extract_all(v, '\\*(</?turn>|<says>|</?chat>)'), lambda m: length(regexp_extract(m, '^\\*')) + 1)), 0))) n from o)
+select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || x || chr(10), '' order by k)) turns_sha256, coalesce(sum(length(x)) filter (where role = 'assistant'), 0)::bigint loss_chars,
+sha256(coalesce(string_agg(x, '' order by k) filter (where role = 'assistant'), '')) loss_sha256, (sum(n + 20) + 15)::bigint formatted_chars from e group by conv_id"""

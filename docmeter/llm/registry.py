@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import embedding_join, filter_audit, jaccard_join, language_id, line_crf, mixing, oracles, packing, quality_rules, sharding, tokens, warc
+from docmeter.llm import chat, embedding_join, filter_audit, jaccard_join, language_id, line_crf, mixing, oracles, packing, quality_rules, sharding, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": language_id.op9_language_id,
         "op10_jaccard_skip": jaccard_join.op10_jaccard_skip,
         "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op12_chat_format": chat.op12_chat_format,
     }
 
 
@@ -34,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_mix_sources": oracles.MIX,
         "op10_jaccard_skip": oracles.JACCARD,
         "op11_filter_audit": oracles.FILTERS,
+        "op12_chat_format": oracles.CHAT,
     }
