@@ -72,3 +72,18 @@ o as (select *, row_number() over (partition by conv_id order by turn nulls firs
 e as (select *, list_sum(list_transform([role, x], lambda v: length(v) + length(regexp_extract(v, '\\*$')) + coalesce(list_sum(list_transform(regexp_extract_all(v, '\\*(</?turn>|<says>|</?chat>)'), lambda m: length(regexp_extract(m, '^\\*')) + 1)), 0))) n from o)
 select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || x || chr(10), '' order by k)) turns_sha256, coalesce(sum(length(x)) filter (where role = 'assistant'), 0)::bigint loss_chars,
 sha256(coalesce(string_agg(x, '' order by k) filter (where role = 'assistant'), '')) loss_sha256, (sum(n + 20) + 15)::bigint formatted_chars from e group by conv_id"""
+
+TRIE = rf"""with {_CRC_TABLE},
+o as (select conv_id, coalesce(role, '') role, coalesce(text, '') said, row_number() over (partition by conv_id order by turn nulls first, sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) k from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 20 base, ({_CRC}) % 4 h from (select distinct conv_id, conv_id::varchar x from o), crc_table),
+r as (select c.conv_id, k, role, said from c join o on o.conv_id = c.base and k <= h union all select c.conv_id, k + 3, role, said from c join o on o.conv_id = c.conv_id and k > h),
+t as (select *, row_number() over (partition by conv_id order by k) d, len(regexp_extract_all(said, '[^\x20\x09-\x0D]+')) w from r),
+p as (select conv_id, d, w, string_agg(sha256(length(role)::varchar || ':' || role || said), '' order by d) over (partition by conv_id order by d) prefix from t union all select conv_id, 0, 0, '' from c),
+n as (select d, prefix, any_value(w) w, min(conv_id) c, count(*) n from p group by d, prefix),
+m as (select p.conv_id, p.d, n.c, n.n, n.w, max(p.d) over (partition by p.conv_id) d_max from p join n using (d, prefix)),
+x as (select m.c, m.d, parent.c parent_c, m.n, m.w from m left join m parent on parent.conv_id = m.conv_id and parent.d = m.d - 1 where m.conv_id = m.c),
+kids as (select parent_c c, d - 1 d, count(*) kids from x where d > 0 group by all),
+below as (select m.c, m.d, sum((x.n - 1) * x.w) saved, count(*) filter (where kids is null) leaves from x left join kids using (c, d) join m on m.conv_id = x.c and m.d <= x.d group by m.c, m.d),
+e as (select c, d, string_agg(conv_id::varchar, ',' order by conv_id) ids from m where d = d_max group by c, d)
+select x.c conv_id, x.d::bigint "depth", x.parent_c parent_conv_id, x.n n_convs, coalesce(kids, 0) n_children, leaves n_leaves, saved::bigint saved_tokens, sha256(coalesce(ids, '')) ends_sha256
+from x left join kids using (c, d) left join below using (c, d) left join e using (c, d)"""

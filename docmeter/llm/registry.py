@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmeter.llm import chat, embedding_join, filter_audit, jaccard_join, language_id, line_crf, mixing, oracles, packing, quality_rules, sharding, tokens, warc
+from docmeter.llm import chat, embedding_join, filter_audit, jaccard_join, language_id, line_crf, mixing, oracles, packing, prefix_trie, quality_rules, sharding, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_jaccard_skip": jaccard_join.op10_jaccard_skip,
         "op11_filter_audit": filter_audit.op11_filter_audit,
         "op12_chat_format": chat.op12_chat_format,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     }
 
 
@@ -36,4 +37,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_jaccard_skip": oracles.JACCARD,
         "op11_filter_audit": oracles.FILTERS,
         "op12_chat_format": oracles.CHAT,
+        "op13_prefix_trie": oracles.TRIE,
     }
