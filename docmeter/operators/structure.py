@@ -52,7 +52,9 @@ def walked(nodes: DataFrame, key: str, order: str, depth: str, extra: list[str],
         for batch in batches:
             out: list[tuple] = []
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                same = next((k for k, s in enumerate(stack) if s[0][0] == row[0] and s[0][2] >= row[2]), len(stack)) if stack and stack[0][0][0] == row[0] else 0
+                same = len(stack) if stack and stack[0][0][0] == row[0] else 0
+                while same and stack[same - 1][0][2] >= row[2]:  # the stack gets deeper upward
+                    same -= 1
                 out += end(stack[same:])
                 del stack[same:]
                 out += step(stack, row)
