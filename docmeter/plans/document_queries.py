@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from docmeter.operators import matching, spans, tree
+from docmeter.operators import images, matching, sheets, spans, tree
 from docmeter.plans.derived import table
 from docmeter.plans.queries import query
+from docmeter.sources import reports
 
 # Structure trees: a user's events are a document's nodes; most stand under one of the three before, some are cut off, some parent references are missing or point ahead
 
@@ -158,3 +159,93 @@ def fuzzy_headers(spark, sf):
 @query()
 def fuzzy_header_pruning(spark, sf):
     return matching.pairs_pruned(*_headers(spark, sf))
+
+
+# Reports: an order is a report, its lines are rules, assertions or checks; every fiftieth is cut off
+
+_REPORTS = """l as (select l_orderkey k, cast(l_linenumber as int) n, min(l_partkey) p, min(l_suppkey) s from lineitem group by 1, 2),
+good as (select *, concat('r', k) file from l where k % 50 <> 0)"""
+
+
+def _reports(spark, sf):
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("int").alias("n")).agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    p, s, n = F.col("p"), F.col("s"), F.col("n").cast("string")
+    said = F.concat(F.lit("Part "), p.cast("string"), F.when(p % 9 == 0, " has a .notdef glyph").otherwise(" & more"))
+    rule = F.format_string('<v:rule specification="ISO 14289-1:2014" clause="7.%s" testNumber="%s" status="%s"><v:description>%s</v:description><v:location>root/%s</v:location></v:rule>', p % 30, n, F.when(s % 2 == 0, "Failed").otherwise("passed"), F.replace(said, F.lit("&"), F.lit("&amp;")), n)
+    named = lambda **c: F.struct(*[v.alias(x.replace("__", ":")) for x, v in c.items()])
+    test = named(dct__title=F.concat(F.lit("rule-"), (p % 40).cast("string")), earl__impact=F.when(s % 3 > 0, "serious"), help=F.struct(F.lit("how").alias("dct:title")))
+    sub = named(earl__result=named(earl__outcome=F.when(s % 2 == 0, "earl:failed").otherwise("earl:passed"), dct__description=said, earl__pointer=F.struct(F.array(n, F.lit("b")).alias("cfi"))), earl__test=test)
+    assertion = F.to_json(named(earl__testSubject=F.struct(n.alias("url")), assertions=F.array(sub)))
+    check = F.to_json(F.struct(F.concat(F.lit("check-"), (p % 20).cast("string")).alias("Rule"), F.when(s % 2 == 0, " Failed ").otherwise("Passed").alias("Status"), said.alias("Description")))
+    lists = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", c.alias("t")))), lambda x: x["t"]), ",")
+    rows = lines.groupBy("k").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", rule.alias("t")))), lambda x: x["t"]), "").alias("rules"), lists(assertion).alias("assertions"), lists(check).alias("checks"))
+    kind = F.get(F.array(F.lit("verapdf"), F.lit("ace"), F.lit("adobe")), (F.col("k") % 3).cast("int"))
+    text = (
+        F.when(F.col("k") % 3 == 0, F.concat(F.lit('<?xml version="1.0"?><report xmlns:v="x"><v:details>'), "rules", F.lit("</v:details></report>")))
+        .when(F.col("k") % 3 == 1, F.concat(F.lit('{"assertions":['), "assertions", F.lit("]}"))).otherwise(F.concat(F.lit('{"Summary":{"Failed":1},"Detailed Report":{"Forms":['), "checks", F.lit("]}}")))
+    )
+    cut = F.when(F.col("k") % 50 == 0, F.substring(text, 1, 40)).otherwise(text)
+    return rows.select(F.concat(F.lit("r"), F.col("k").cast("string")).alias("file"), kind.alias("kind"), cut.alias("text"))
+
+
+@query(f"""with {_REPORTS}, a as (select *, concat('Part ', p, case when p % 9 = 0 then ' has a .notdef glyph' else ' & more' end) said, p % 9 = 0 limited from good),
+v as (select *, concat('ISO 14289-1:2014-7.', p % 30, '-', n) rule from a where k % 3 = 0 and s % 2 = 0)
+select file, 'verapdf' tool, '' category, rule id, 'Failed' status, 'serious' impact, said description, concat('PDF/UA-1 compliance failure: ', rule) help, concat('root/', n) location, limited or rule in ('ISO 14289-1:2014-7.21.4.1-1', 'ISO 14289-1:2014-7.21.7-1', 'ISO 14289-1:2014-7.21.7-2') font_limited from v
+union all select file, 'ace', '', concat('rule-', p % 40), 'Failed', case when s % 3 > 0 then 'serious' else 'moderate' end, said, 'how', concat(n, ' ', n), false from a where k % 3 = 1 and s % 2 = 0
+union all select file, 'adobe', 'Forms', concat('check-', p % 20), case when s % 2 = 0 then 'Failed' else 'Passed' end, '', said, '', '', false from a where k % 3 = 2""")
+def report_findings(spark, sf):
+    return reports.findings(_reports(spark, sf))
+
+
+@query("select distinct concat('r', l_orderkey) file, case l_orderkey % 3 when 0 then 'verapdf' when 1 then 'ace' else 'adobe' end kind, case l_orderkey % 3 when 0 then 'no XML' else 'no JSON object' end reason from lineitem where l_orderkey % 50 = 0")
+def report_rejects(spark, sf):
+    return reports.rejects(_reports(spark, sf))
+
+
+# Image references: an order is a document, its lines are markers, references and words; a fold over sections has no SQL
+
+
+def _recognised(spark, sf):
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("n")).agg(F.min("l_partkey").alias("p"))
+    p, n = F.col("p"), F.col("n").cast("string")
+    piece = F.when(p % 4 == 0, F.concat(F.lit("<!-- Page "), (p % 3).cast("string"), F.lit(" -->"))).when(p % 4 == 1, F.concat(F.lit("![alt "), n, F.lit("](img"), n, F.lit(".png)"))).when(p % 4 == 2, F.concat(F.lit("![]( https://x/"), n, F.lit(")"))).otherwise(F.lit("words \n"))
+    texts = lines.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", piece.alias("t")))), lambda x: x["t"]), " ").alias("text"))
+    found = lines.where((p % 5 < 2) & (F.col("doc_id") % 7 > 0)).select("doc_id", (p % 3).alias("page"), F.col("n").alias("idx"), F.concat(F.lit("img"), n, F.lit(".png")).alias("filename"))
+    return texts, found
+
+
+@query()
+def image_references(spark, sf):
+    return images.repaired_references(*_recognised(spark, sf))
+
+
+# Sheets
+
+_CELLS = """c as (select l_suppkey book, l_linenumber sheet, l_orderkey "row", case when l_partkey % 6 = 0 then null when l_partkey % 6 = 1 then ' ' else concat('Term', l_partkey % 40, ' ', l_returnflag, 'alue and term', l_partkey % 13, ' the ', l_linestatus) end "value" from lineitem),
+f as (select * from c where trim(coalesce("value", '')) <> ''), n as (select book, sheet, "row", count(*) n from f group by all), b as (select *, coalesce(sum(n) over (partition by book, sheet order by "row" rows between unbounded preceding and 1 preceding), 0) before from n),
+r as (select * from b where before < 60), w as (select f.book, f.sheet, unnest(list_filter(list_distinct(regexp_extract_all(lower("value"), '[a-z][a-z0-9]{2,}')), lambda x: x not in ('and', 'data', 'details', 'info', 'information', 'sheet', 'table', 'the', 'workbook'))) term from f join r using (book, sheet, "row")),
+t as (select book, sheet, term, row_number() over (partition by book, sheet order by count(*) desc, term) k from w group by 1, 2, 3), g as (select book, sheet, list(term order by k) terms from t where k <= 8 group by 1, 2),
+s as (select book, sheet, sum(n)::bigint cells, coalesce(terms, []) terms from r left join g using (book, sheet) group by book, sheet, terms)"""
+
+
+def _terms(spark, sf):
+    p = F.col("l_partkey")
+    value = F.when(p % 6 == 0, None).when(p % 6 == 1, " ").otherwise(F.concat(F.lit("Term"), (p % 40).cast("string"), F.lit(" "), "l_returnflag", F.lit("alue and term"), (p % 13).cast("string"), F.lit(" the "), "l_linestatus"))
+    return sheets.content_terms(table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("book"), F.col("l_linenumber").alias("sheet"), F.col("l_orderkey").alias("row"), value.alias("value")))
+
+
+@query(f"with {_CELLS} select book, sheet, cells, array_to_string(terms, ',') terms from s")
+def sheet_content_terms(spark, sf):
+    return _terms(spark, sf).withColumn("terms", F.array_join("terms", ","))
+
+
+@query(f"""with {_CELLS}, m as (select *, case (book + sheet) % 6 when 0 then 'Sheet12' when 1 then ' abc' when 2 then concat('Term', book % 40, ' by year') when 3 then 'Summary of Term' when 4 then 'Overview valuess' else 'Notes' end as name, case when book % 9 = 0 then 'hidden' else 'visible' end state from s),
+k as (select *, list_filter(list_distinct(regexp_extract_all(lower(name), '[a-z][a-z0-9]{{2,}}')), lambda x: x not in ('and', 'data', 'details', 'info', 'information', 'sheet', 'table', 'the', 'workbook')) own, length(trim(name)) >= 4 and not regexp_full_match(lower(trim(name)), 'sheet[0-9]+') good from m),
+i as (select *, list_filter([case when not good then 'non_descriptive_sheet_name' end, case when state <> 'visible' then 'data_sheet_hidden' end, case when good and len(terms) > 0 and not list_has_any(own, terms) then 'sheet_name_purpose_unclear' end,
+ case when sheet > 1 and list_has_any(own, ['contents', 'dashboard', 'index', 'overview', 'summary']) then 'overview_sheet_not_first' end], lambda x: x is not null) issues from k)
+select book, sheet, array_to_string(issues, ',') issues, case when len(issues) = 0 then 1.0 else list_min(list_transform(issues, lambda x: case x when 'non_descriptive_sheet_name' then 0.0 when 'data_sheet_hidden' then 0.75 else 0.5 end)) end::double score from i""")
+def sheet_navigation(spark, sf):
+    at = (F.col("book") + F.col("sheet")) % 6
+    name = F.when(at == 0, "Sheet12").when(at == 1, " abc").when(at == 2, F.concat(F.lit("Term"), (F.col("book") % 40).cast("string"), F.lit(" by year"))).when(at == 3, "Summary of Term").when(at == 4, "Overview valuess").otherwise("Notes")
+    rows = _terms(spark, sf).withColumns({"name": name, "place": F.col("sheet"), "state": F.when(F.col("book") % 9 == 0, "hidden").otherwise("visible")})
+    return sheets.sheet_issues(rows).select("book", "sheet", F.array_join("issues", ",").alias("issues"), "score")
