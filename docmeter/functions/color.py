@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -67,22 +68,65 @@ def threshold(large: Column, level: Column) -> Column:
     return F.when(F.upper(level) == "AAA", F.when(large, 4.5).otherwise(7.0)).otherwise(F.when(large, 3.0).otherwise(4.5))
 
 
-def nearest_passing(r: Column, g: Column, b: Column, background: Column, least: float = 4.5, steps: int = 24) -> Column:
-    """Share of black or white to blend in so that the contrast with ``background`` (a luminance) just passes; by bisection inside the row."""
-    toward = F.when(background > 0.179, 0.0).otherwise(255.0)
+def hue_weights(r: Column, g: Column, b: Column) -> tuple[Column, list[Column]]:
+    """Saturation of a colour (channels 0 to 1, hue, lightness, saturation model), and how far each channel is on the way from the least to the greatest; both stay as lightness changes."""
+    high, low = F.greatest(r, g, b), F.least(r, g, b)
+    span, total = high - low, high + low
+    saturation = F.when(span == 0, 0.0).when(total <= 1, span / total).otherwise(span / (2.0 - total))
+    far = [(high - c) / span for c in (r, g, b)]
+    turn = F.when(r == high, far[2] - far[1]).when(g == high, 2.0 + far[0] - far[2]).otherwise(4.0 + far[1] - far[0]) / 6.0
 
-    def blended(t: Column) -> Column:
-        return luminance(*[c + (toward - c) * t for c in (r, g, b)])
+    def weight(shift: float) -> Column:
+        h = F.pmod(turn + shift, F.lit(1.0))
+        return F.when(span == 0, 0.0).when(h < 1 / 6, h * 6.0).when(h < 0.5, 1.0).when(h < 2 / 3, (2 / 3 - h) * 6.0).otherwise(0.0)
 
-    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
+    return saturation, [weight(1 / 3), weight(0.0), weight(-1 / 3)]
 
-    def halve(s: Column, _: Column) -> Column:
-        mid = (s["lo"] + s["hi"]) / 2
-        ok = contrast(blended(mid), background) >= least
-        return F.struct(F.when(ok, s["lo"]).otherwise(mid).alias("lo"), F.when(ok, mid).otherwise(s["hi"]).alias("hi"))
 
-    search = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["hi"])
-    return F.when(contrast(luminance(r, g, b), background) >= least, 0.0).otherwise(search)
+def at_lightness(saturation: Column, weights: list[Column], lightness: Column) -> list[Column]:
+    """Channels, 0 to 1, of the colour of that hue and saturation at another lightness."""
+    top = F.when(lightness <= 0.5, lightness * (1.0 + saturation)).otherwise(lightness + saturation - lightness * saturation)
+    low = 2.0 * lightness - top
+    return [low + (top - low) * w for w in weights]
+
+
+def named(**columns: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in columns.items()])
+
+
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def nearest_passing(r: Column, g: Column, b: Column, bg_r: Column, bg_g: Column, bg_b: Column, least: float = 4.5, steps: int = 64, away: bool = False) -> Column:
+    """struct(r, g, b), whole channels: the colour of the same hue and saturation nearest in lightness whose contrast with the background is ``least``, by bisection inside the row.
+
+    On backgrounds lighter than a luminance of 0.5 darker colours are tried, on others lighter ones; black or white if none passes. A colour that passes stays.
+    ``away`` halves the other way, from what passes on to what passes better, and so ends at black or white: the rule of tools that store such results.
+    """
+    back = luminance(bg_r, bg_g, bg_b)
+    darken = back > 0.5
+    saturation, weights = hue_weights(*[c / 255.0 for c in (r, g, b)])
+    fixed = F.struct(saturation.alias("s"), *[w.alias(f"w{k}") for k, w in enumerate(weights)], back.alias("back"), darken.alias("darken"))
+    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"), F.when(darken, 0.0).otherwise(1.0).alias("best"), fixed.alias("f"))
+
+    def halve(x: Column, _: Column) -> Column:
+        f, mid = x["f"], (x["lo"] + x["hi"]) / 2
+        lit = named(mid=mid, top=F.when(mid <= 0.5, mid * (1.0 + f["s"])).otherwise(mid + f["s"] - mid * f["s"]))
+        shown = once(lit, lambda m: named(mid=m["mid"], **{f"c{k}": 255.0 * (2.0 * m["mid"] - m["top"] + 2.0 * (m["top"] - m["mid"]) * f[f"w{k}"]) for k in range(3)}))
+        lum = once(shown, lambda c: named(mid=c["mid"], n=luminance(c["c0"], c["c1"], c["c2"])))
+        # on passing back towards the original colour, and else on towards black or white
+        tried = once(lum, lambda n: named(mid=n["mid"], ok=contrast(n["n"], f["back"]) >= least))
+        up = lambda t: (t["ok"] == f["darken"]) if away else (t["ok"] != f["darken"])
+        return once(tried, lambda t: named(lo=F.when(up(t), x["lo"]).otherwise(t["mid"]), hi=F.when(up(t), t["mid"]).otherwise(x["hi"]), best=F.when(t["ok"], t["mid"]).otherwise(x["best"]), f=f))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda x: named(l=x["best"], f=x["f"]))
+    # whole channels on the side that passes
+    whole = lambda c: F.greatest(F.lit(0), F.least(F.lit(255), F.when(darken, F.floor(255.0 * c)).otherwise(F.ceil(255.0 * c)))).cast("int")
+    new = once(found, lambda x: named(**{n: whole(c) for n, c in zip("rgb", at_lightness(x["f"]["s"], [x["f"][f"w{k}"] for k in range(3)], x["l"]), strict=True)}))
+    passes = contrast(luminance(r, g, b), back) >= least
+    return F.when(passes, named(r=r.cast("int"), g=g.cast("int"), b=b.cast("int"))).otherwise(new)
 
 
 def any_of(conditions: list[Column]) -> Column:

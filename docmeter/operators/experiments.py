@@ -38,10 +38,9 @@ def run_id(*parts: Column) -> Column:
 
 
 def model_family(model: Column) -> Column:
-    """The leading letters of a model's name after any path, lower case; other where there are none."""
-    name = F.lower(F.element_at(F.split(F.coalesce(model, F.lit("")), "/"), -1))
-    family = F.regexp_extract(name, "^[a-z]+", 0)
-    return F.when(family == "", "other").otherwise(family)
+    """A model's name in lower case without the path before it, the tag after a colon, and a cloud suffix; models of one family aren't independent judges."""
+    name = F.split(F.element_at(F.split(F.lower(F.trim(F.coalesce(model, F.lit("")))), "/"), -1), ":")[0]
+    return F.regexp_replace(F.regexp_replace(name, "-cloud$", ""), "_cloud$", "")
 
 
 def score_label(score: Column, least: float = WEAK_BELOW) -> Column:
@@ -60,30 +59,63 @@ def _mark(by: str, value: Column) -> Column:
     return F.struct(F.lit(by).alias("pattern"), value.cast("string").alias("value"))
 
 
-def failure_patterns(experiments: DataFrame) -> DataFrame:
-    """pattern, value, n: counts over failed experiments by each of their marks, and destructive documents over all experiments. One pass of grouping sets over marks in long form."""
-    failed = ~F.col("passed")
-    after, before = F.col("violations_after"), F.col("violations_before")
-    marks = F.array(
-        _mark("document_type", F.when(failed, F.when(F.trim("document_type") == "", "(unknown)").otherwise(F.col("document_type")))),
-        _mark("document_format", F.when(failed, F.col("document_format"))),
-        _mark("harness", F.when(failed, F.col("harness_id").cast("string"))),
-        _mark("error", F.when(failed, F.col("error"))),
-        _mark("error_kind", F.when(failed & F.col("error").isNotNull(), F.lower(F.substring_index("error", " ", 1)))),
-        _mark("no_progress", F.when(failed & (after == before), F.lit("yes"))),
-        _mark("improved_but_failed", F.when(failed & (after < before), F.lit("yes"))),
-        _mark("slow", F.when(failed & (F.col("elapsed_seconds") > 5), F.lit("yes"))),
-        _mark("left_over", F.when(failed, F.when(after > 20, "many").when(after > 0, "some").otherwise("none"))),
-        _mark("failed", F.when(failed, F.lit("all"))),
-        _mark("destructive", F.when(after > before, F.lit("yes"))),
-    )
-    long = experiments.select("document_id", F.explode(marks).alias("m")).select("document_id", "m.pattern", "m.value").where("value is not null")
-    return long.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("document_id").alias("documents"))
+#: Beginnings of behavioural tests' names and the quality dimension that they speak for; the first that fits counts. Fixed values.
+TEST_DIMENSIONS = [
+    ("alt_text", "alt_text"), ("reading_order", "reading_order"), ("slide_reading_order", "reading_order"), ("screen_reader", "reading_order"), ("heading", "heading_semantics"), ("table", "table_structure"),
+    ("decorative", "decorative"), ("link", "link_text"), ("complex", "complex_content"), ("slide_title", "slide_title"), ("sheet", "sheet_organization"),
+]
+
+
+def dimension_of_test(name: Column) -> Column:
+    """The dimension of a behavioural test; a name that begins like none is its own."""
+    out = name
+    for start, dimension in reversed(TEST_DIMENSIONS):
+        out = F.when(name.startswith(start), dimension).otherwise(out)
+    return out
+
+
+def failure_patterns(experiments: DataFrame, least: float = WEAK_BELOW) -> DataFrame:
+    """pattern, format, type, value, n, mean of a harness's experiments, the eleven ways to look at its failures in long form.
+
+    Counts: ``failing_doc_types``, ``failing_violation_types``, ``common_errors`` over failed experiments, ``destructive_docs`` (more violations
+    after than before), ``compliance_passes_quality_fails`` (passed, with weak dimensions; value: document, type: the dimension) and
+    ``behavioral_proxy_failures_by_dim`` and ``..._by_format`` over all. Means below ``least``: ``weak_dimensions_overall``, ``..._by_doc_type``, ``..._by_format``, ``..._by_format_and_doc_type``;
+    without a document type an experiment has no part in the two by type.
+
+    experiments: document_id, document_format, document_type, passed, violations_before, violations_after, violation_types, error, quality_dimensions, behavioral_results.
+    """
+    e, failed = experiments, ~F.col("passed")
+    nothing = F.lit(None).cast("string")
+
+    def marks(name: str, values: Column, form: Column = nothing, kind: Column = nothing) -> DataFrame:
+        return e.select(F.lit(name).alias("pattern"), form.alias("format"), kind.alias("type"), F.explode(values).alias("value"))
+
+    one = lambda when, value: F.array_compact(F.array(F.when(when, value.cast("string"))))
+    missed = F.transform(F.filter(F.map_entries("behavioral_results"), lambda x: ~x["value"]), lambda x: dimension_of_test(x["key"]))
+    weak = F.filter(F.map_entries("quality_dimensions"), lambda x: x["value"] < least)
+    good = e.where("passed").select(F.lit("compliance_passes_quality_fails").alias("pattern"), nothing.alias("format"), F.explode(F.transform(weak, lambda x: x["key"])).alias("type"), F.col("document_id").cast("string").alias("value"))
+    counted = [
+        marks("failing_doc_types", one(failed, F.col("document_type"))),
+        marks("failing_violation_types", F.when(failed, F.col("violation_types"))),
+        marks("common_errors", one(failed & (F.col("error") != ""), F.col("error"))),
+        marks("destructive_docs", one(F.col("violations_after") > F.col("violations_before"), F.col("document_id"))),
+        good,
+        marks("behavioral_proxy_failures_by_dim", missed),
+        marks("behavioral_proxy_failures_by_format", missed, F.col("document_format")),
+    ]
+    counts = reduce(DataFrame.unionByName, counted).groupBy("pattern", "format", "type", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("mean", F.lit(None).cast("double"))
+    scores = e.select(F.col("document_format").alias("format"), F.col("document_type").alias("type"), F.explode("quality_dimensions").alias("value", "score"))
+    by_format, by_type = F.grouping("format") == 0, F.grouping("type") == 0
+    pattern = F.when(by_format & by_type, "weak_dimensions_by_format_and_doc_type").when(by_format, "weak_dimensions_by_format").when(by_type, "weak_dimensions_by_doc_type").otherwise("weak_dimensions_overall")
+    means = scores.cube("format", "type", "value").agg(pattern.alias("pattern"), F.grouping("value").alias("all"), F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"))
+    typed = ~F.col("pattern").endswith("doc_type") | (F.coalesce("type", F.lit("")) != "")
+    means = means.where((F.col("all") == 0) & typed & (F.col("mean") < least))
+    return counts.unionByName(means.select("pattern", "format", "type", "value", "n", F.round("mean", 4).alias("mean")))
 
 
 def behavioural_failures(experiments: DataFrame) -> DataFrame:
-    """Failed behavioural tests by dimension."""
-    return experiments.select(F.explode("behavioral_results").alias("dimension", "ok")).where("not ok").groupBy("dimension").agg(F.count(F.lit(1)).alias("failures"))
+    """Failed behavioural tests by the dimension that they speak for."""
+    return experiments.select(F.explode("behavioral_results").alias("test", "ok")).where("not ok").groupBy(dimension_of_test(F.col("test")).alias("dimension")).agg(F.count(F.lit(1)).alias("failures"))
 
 
 def top_failing(experiments: DataFrame, k: int, order: str = "experiment_id") -> DataFrame:
@@ -151,12 +183,20 @@ def priority_score(weak: Column, variances: Column, confidences: Column) -> Colu
     return 2 * F.size(weak) + 4 * most(variances) + most(F.transform(confidences, lambda c: 1 - c))
 
 
-def retired(variants: DataFrame, frontier: DataFrame, cap: int) -> DataFrame:
-    """Variants beyond the cap: the lowest conformance goes first, members of the frontier never. ``cap`` rows and the frontier stay."""
-    place = F.row_number().over(Window.orderBy("conformance_rate", "harness_id"))
-    more = variants.agg((F.count(F.lit(1)) - cap).alias("excess"))  # one row
-    free = variants.join(frontier.select("harness_id"), "harness_id", "left_anti").withColumn("place", place)  # one row a variant: a short list
-    return free.crossJoin(F.broadcast(more)).where("place <= excess").select("harness_id", "conformance_rate")
+def retired(variants: DataFrame, frontier: DataFrame, cap: int, least_docs: int) -> DataFrame:
+    """Active variants to retire, with the reason. variants: harness_id, conformance_rate, total_docs, experiments, created_at; frontier: harness_id.
+
+    Variants that ran no document stay. Off the frontier, ``least_docs`` experiments or more retire a variant. If more than ``cap`` are
+    left, the excess counts from the lowest conformance up (ties: the older first), members of the frontier included; those are counted but stay.
+    """
+    front = frontier.select("harness_id", F.lit(True).alias("front")).distinct()
+    scored = variants.where("total_docs > 0").join(front, "harness_id", "left").withColumn("front", F.coalesce("front", F.lit(False)))
+    old = ~F.col("front") & (F.col("experiments") >= least_docs)
+    left = scored.where(~old)
+    excess = max(0, left.count() - cap)
+    lowest = left.orderBy("conformance_rate", "created_at", "harness_id").limit(excess).where(~F.col("front"))
+    named = lambda df, why: df.select("harness_id", "conformance_rate", F.lit(why).alias("reason"))
+    return named(scored.where(old), "not on the frontier").unionByName(named(lowest, "more than the cap"))
 
 
 def promotable(variants: DataFrame, frontier: DataFrame, by: float = PROMOTE_BY) -> DataFrame:
@@ -178,21 +218,43 @@ def criterion_rollup(verdicts: DataFrame) -> DataFrame:
     return failing.select("doc_id", "criterion", F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("pages"), "findings")
 
 
-def criterion_status(checks: DataFrame, criteria: DataFrame) -> DataFrame:
-    """Criteria (criterion, rule_id) per document: fails if a rule of it fails, passes if some ran and none failed, else not tested."""
-    both = checks.select("doc_id").distinct().crossJoin(F.broadcast(criteria))  # a fixed map of a few dozen rules
-    both = both.join(checks, ["doc_id", "rule_id"], "left")
-    out = both.groupBy("doc_id", "criterion").agg(F.count_if(F.col("status") == "Failed").alias("failed"), F.count("status").alias("ran"))
-    status = F.when(F.col("failed") > 0, "fails").when(F.col("ran") > 0, "supports").otherwise("not tested")
-    return out.select("doc_id", "criterion", status.alias("status"))
+def criterion_status(checks: DataFrame, reader: DataFrame, criteria: dict[str, list[str]]) -> DataFrame:
+    """doc_id, criterion, status (PASS, FAIL, N/A) and remarks, for each criterion and the rules that speak for it.
 
+    checks: doc_id, seq, rule_id, status, description, details (texts); reader: doc_id, seq, rule_id, severity, description. Without rules, or
+    without a check or finding by one of them, a criterion isn't applicable. A failed check or a reader's error fails it; remarks are those, checks first, each
+    check with its first two details. Criteria are a fixed map of a few dozen.
+    """
+    rules = [(c, r) for c, rules in criteria.items() for r in rules]
+    of = F.explode(F.filter(F.array(*[F.struct(F.lit(c).alias("criterion"), F.lit(r).alias("rule")) for c, r in rules]), lambda x: x["rule"] == F.col("rule_id")))
+    two = F.array_join(F.slice(F.coalesce("details", F.array().cast("array<string>")), 1, 2), "; ")
+    said = F.when(two == "", F.col("description")).otherwise(F.concat("description", F.lit(": "), two))
+    rows = checks.select("doc_id", of.alias("c"), (F.col("status") == "Failed").alias("bad"), F.lit(0).alias("from"), "seq", said.alias("said"))
+    rows = rows.unionByName(reader.select("doc_id", of.alias("c"), (F.lower("severity") == "error").alias("bad"), F.lit(1).alias("from"), "seq", F.col("description").alias("said")))
+    found = rows.groupBy("doc_id", F.col("c.criterion").alias("criterion")).agg(F.max("bad").alias("bad"), F.sort_array(F.collect_list(F.when(F.col("bad"), F.struct("from", "seq", "said")))).alias("bads"))
+    names = F.array(*[F.struct(F.lit(c).alias("criterion"), F.lit(bool(r)).alias("ruled")) for c, r in criteria.items()])
+    every = checks.select("doc_id").union(reader.select("doc_id")).distinct().select("doc_id", F.explode(names).alias("n")).select("doc_id", "n.criterion", "n.ruled")
+    out = every.join(found, ["doc_id", "criterion"], "left")
+    remarks = F.when(~F.col("ruled"), "Not applicable to static PDF documents").when(F.col("bad").isNull(), "No applicable checks for this document").otherwise(F.array_join(F.transform("bads", lambda x: x["said"]), "; "))
+    return out.select("doc_id", "criterion", F.when(F.col("bad").isNull(), "N/A").when(F.col("bad"), "FAIL").otherwise("PASS").alias("status"), remarks.alias("remarks"))
+
+
+def issue_list(checks: DataFrame, reader: DataFrame, violations: DataFrame) -> DataFrame:
+    """Findings of three sources in one shape: doc_id, code, source, severity, fixable, blocking, description.
+
+    checks: doc_id, rule_id, status, fixable, description, of which the failed count. reader: doc_id, rule_id, severity, description, errors and
+    warnings of it. violations: doc_id, id, description, font_limited; those that come from a source's fonts can't be fixed. Nothing here blocks by itself.
+    """
 
-def issue_list(sources: dict[str, DataFrame]) -> DataFrame:
-    """Findings of several tools in one shape: source, doc_id, rule_id, severity (critical, serious, moderate or minor), with repeats counted."""
-    level = F.lower(F.coalesce("severity", F.lit("")))
-    normal = F.when(level.isin("critical", "error", "failed"), "critical").when(level.isin("serious", "high"), "serious").when(level.isin("moderate", "warning", "medium"), "moderate").otherwise("minor")
-    rows = [df.select(F.lit(name).alias("source"), "doc_id", "rule_id", normal.alias("severity")) for name, df in sources.items()]
-    return reduce(DataFrame.unionByName, rows).groupBy("source", "doc_id", "rule_id", "severity").agg(F.count(F.lit(1)).alias("n"))
+    def shaped(df: DataFrame, source: str, code: Column, severity: Column, fixable: Column) -> DataFrame:
+        return df.select("doc_id", code.alias("code"), F.lit(source).alias("source"), severity.alias("severity"), fixable.alias("fixable"), F.lit(False).alias("blocking"), F.coalesce("description", F.lit("")).alias("description"))
+
+    level = F.lower("severity")
+    return reduce(DataFrame.unionByName, [
+        shaped(checks.where("status = 'Failed'"), "checker", F.col("rule_id"), F.lit("error"), F.coalesce("fixable", F.lit(False))),
+        shaped(reader.where(level.isin("error", "warning")), "screen-reader", F.col("rule_id"), level, F.lit(True)),
+        shaped(violations, "verapdf", F.coalesce("id", F.lit("unknown-rule")), F.lit("error"), ~F.coalesce("font_limited", F.lit(False))),
+    ])
 
 
 def accepted(facts: DataFrame) -> DataFrame:
@@ -206,9 +268,19 @@ def accepted(facts: DataFrame) -> DataFrame:
 
 
 def office_level(facts: DataFrame) -> DataFrame:
-    """facts: doc_id, openable, has_text, rule_failures, quality_passed. L0 to L4 as for other documents, rules in place of the machine gate."""
+    """doc_id, level (L0 to L4) and what blocks the next. facts: doc_id, openable, has_text, has_headings, has_table_headers, has_alternatives, failed_rules, quality_passed.
+
+    Not evaluated (openable is null), not openable or without text is L0; without headings, table headers and alternatives L1; with failed rules
+    L2; L3 until the quality layer ran and passed. L5 is never given. Null facts don't hold; null rules are none.
+    """
     ok = lambda c: F.coalesce(F.col(c), F.lit(False))
-    level = (
-        F.when(~ok("openable"), "L0").when(~ok("has_text"), "L1").when(F.coalesce("rule_failures", F.lit(1)) > 0, "L2").when(~ok("quality_passed"), "L3").otherwise("L4")
-    )
-    return facts.select("doc_id", level.alias("level"))
+    rules = F.coalesce("failed_rules", F.array().cast("array<string>"))
+    steps = [
+        (F.col("openable").isNull(), "L0", F.array(F.lit("evaluation_error"))), (~ok("openable"), "L0", F.array(F.lit("not_openable"))), (~ok("has_text"), "L0", F.array(F.lit("no_text_layer"))),
+        (~(ok("has_headings") | ok("has_table_headers") | ok("has_alternatives")), "L1", F.array(F.lit("no_structural_signal"))), (F.size(rules) > 0, "L2", rules),
+        (F.col("quality_passed").isNull(), "L3", F.array(F.lit("quality_layer_not_run"))), (~ok("quality_passed"), "L3", F.array(F.lit("quality_failed"))),
+    ]
+    level, blocking = F.lit("L4"), F.array().cast("array<string>")
+    for when, name, why in reversed(steps):
+        level, blocking = F.when(when, name).otherwise(level), F.when(when, why).otherwise(blocking)
+    return facts.select("doc_id", level.alias("level"), blocking.alias("blocking"))

@@ -40,13 +40,6 @@ def alt_coverage(figures: DataFrame, documents: DataFrame) -> DataFrame:
     return documents.select("doc_id").distinct().join(n, "doc_id", "left").select("doc_id", F.round(F.try_divide(100 * F.col("described"), F.col("figures")), 1).alias("coverage"))
 
 
-def reused_alternatives(nodes: DataFrame, parents: DataFrame) -> DataFrame:
-    """Nodes whose alternative repeats their parent's, so that it is read twice. parents: doc_id, seq, parent_seq."""
-    above = nodes.select("doc_id", F.col("seq").alias("parent_seq"), F.lower(squeezed(F.col("alt_text"))).alias("above"))
-    own = F.lower(squeezed(F.col("alt_text")))
-    return nodes.join(parents, ["doc_id", "seq"]).join(above, ["doc_id", "parent_seq"]).where((own != "") & (own == F.col("above"))).select("doc_id", "seq", "parent_seq")
-
-
 def repeated_blocks(lines: DataFrame, least: int = 3, least_chars: int = 40, least_words: int = 5) -> DataFrame:
     """Texts that a page holds ``least`` times or more, long enough to be content."""
     t = squeezed(F.col("text"))
@@ -123,14 +116,6 @@ def sampled_pages(pages: Column, budget: int = 10, long: int = 50, long_budget:
     return F.when(pages >= 1, F.array_distinct(spread)).otherwise(F.array().cast("array<int>"))
 
 
-def sheet_name_issues(name: Column) -> Column:
-    """Why a sheet's name says nothing, and its score: default 0.4, too long 0.7, blank 0; else 1."""
-    t = F.trim(F.coalesce(name, F.lit("")))
-    issue = lambda name, score: F.struct(F.lit(name).alias("issue"), F.lit(score).alias("score"))
-    found = F.array_compact(F.array(F.when(t == "", issue("blank", 0.0)), F.when(t.rlike(r"(?i)^sheet\s*\d*$"), issue("default", 0.4)), F.when(F.length(t) > 31, issue("long", 0.7))))
-    return F.struct(F.array_join(F.transform(found, lambda x: x["issue"]), ",").alias("issues"), F.coalesce(F.array_min(F.transform(found, lambda x: x["score"])), F.lit(1.0)).alias("score"))
-
-
 def criterion_code(text: Column) -> Column:
     """The first success criterion number (like 1.4.3) in a text; empty if there is none."""
     return F.regexp_extract(F.coalesce(text, F.lit("")), r"\b([1-4]\.\d{1,2}\.\d{1,2})\b", 1)

@@ -176,26 +176,44 @@ def page_similarity_class(df: DataFrame) -> DataFrame:
     return df.withColumn("document_type", kind)
 
 
-def readability(df: DataFrame, key: str, text: str) -> DataFrame:
-    """0 to 100 from sentence length, word length, variety, line length and letters, weighted 30, 25, 20, 15, 10."""
-    t = squeezed(F.col(text))
-    rows = df.select(key, t.alias("_s"), F.split(t, " ").alias("_w"), F.greatest(F.regexp_count(t, F.lit("[.!?]+")), F.lit(1)).alias("_stops"), F.size(F.split(F.coalesce(text, F.lit("")), "\n")).alias("_lines"))
-    words, chars = F.size("_w"), F.greatest(F.length("_s"), F.lit(1))
-
-    def clamp(x: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
-
-    parts = [
-        30 * clamp(1 - F.abs(words / F.col("_stops") - 15) / 30),
-        25 * clamp(1 - F.abs(chars / words - 6) / 6),
-        20 * clamp(F.size(F.array_distinct("_w")) / words * 2),
-        15 * clamp(1 - F.abs(words / F.col("_lines") - 40) / 80),
-        10 * clamp(F.regexp_count("_s", F.lit("\\p{L}")) / chars),
-    ]
-    score = parts[0]
-    for p in parts[1:]:
-        score = score + p
-    return rows.select(key, F.when(F.col("_s") == "", 0.0).otherwise(F.round(score, 4)).alias("readability"))
+#: Most points of each part of a reader's score, and the rules whose findings cost points. Fixed values.
+POINTS = {"text": 30.0, "tags": 25.0, "alternatives": 20.0, "headings": 15.0, "tables": 10.0}
+HEADING_RULES = ["sr-heading-skip", "sr-no-headings", "sr-heading-start"]
+TABLE_RULES = ["sr-table-no-headers", "sr-list-no-items"]
+
+
+def reader_readability(texts: DataFrame, nodes: DataFrame, findings: DataFrame) -> DataFrame:
+    """doc_id, text, tags, alternatives, headings, tables, score: how well a document reads aloud, 0 to 100, to a digit.
+
+    texts: doc_id, pages, text. nodes: doc_id, page, tag, alt_text. findings: doc_id, rule_id, severity.
+
+    * text: 30 by the share of characters that can be printed, or are line breaks, tabs or blanks; all without text,
+    * tags: 25 by the share of pages with tags and, up to three, the tags a page,
+    * alternatives: 20 by the share of figures and images with more than 10 characters; all without figures,
+    * headings: 15 less 5 an error, 2 a warning of heading rules; tables: 10 less 5 an error of table and list rules.
+    """
+    text = F.coalesce("text", F.lit(""))
+    printed = F.length(text) - F.regexp_count(text, F.lit(r"[\p{C}\p{Z}&&[^ \n\t\r]]"))
+    figure = F.col("tag").isin("Figure", "Image")
+    tags = nodes.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("nodes"), F.count_distinct("page").alias("tagged"), F.count_if(figure).alias("figures"), F.count_if(figure & (F.length(F.coalesce("alt_text", F.lit(""))) > 10)).alias("described")
+    )
+    level, rule = F.lower("severity"), F.col("rule_id")
+    costs = findings.groupBy("doc_id").agg(
+        F.sum(F.when(rule.isin(*HEADING_RULES), F.when(level == "error", 5.0).when(level == "warning", 2.0).otherwise(0.0)).otherwise(0.0)).alias("heading_cost"),
+        F.sum(F.when(rule.isin(*TABLE_RULES) & (level == "error"), 5.0).otherwise(0.0)).alias("table_cost"),
+    )
+    known = texts.join(tags, "doc_id", "left").join(costs, "doc_id", "left").fillna(0, ["nodes", "tagged", "figures", "described", "heading_cost", "table_cost"])
+    pages = F.greatest(F.coalesce("pages", F.lit(1)), F.lit(1))
+    parts = {
+        "text": F.when(F.length(text) == 0, 1.0).otherwise(printed / F.length(text)) * POINTS["text"],
+        "tags": F.least(F.lit(1.0), F.col("tagged") / pages) * F.least(F.lit(1.0), F.col("nodes") / pages / 3.0) * POINTS["tags"],
+        "alternatives": F.when(F.col("figures") == 0, 1.0).otherwise(F.col("described") / F.col("figures")) * POINTS["alternatives"],
+        "headings": F.greatest(F.lit(0.0), POINTS["headings"] - F.col("heading_cost")),
+        "tables": F.greatest(F.lit(0.0), POINTS["tables"] - F.col("table_cost")),
+    }
+    total = sum(parts.values(), F.lit(0.0))
+    return known.select("doc_id", *[F.round(c, 1).alias(n) for n, c in parts.items()], F.round(F.least(F.lit(100.0), total), 1).alias("score"))
 
 
 def slug(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docmeter.functions import color
-from docmeter.operators import checks, experiments as ex, reading, records, routing, structure, text
+from docmeter.operators import checks, experiments as ex, reading, records, routing, sheets, structure, text, tree
 from docmeter.operators import evaluation as ev
 from docmeter.plans.derived import CALIBRATIONS, EXPERIMENTS, JOBS, NODES, calibrations, experiments, jobs, nodes, scores, table
 from docmeter.plans.queries import query
@@ -54,9 +54,10 @@ def stable_run_id(spark, sf):
     return table(spark, sf, "events").select("event_id", ex.run_id(F.col("user_id"), F.col("event_type"), F.col("event_id")).alias("run_id"))
 
 
-@query("select p_partkey, case when f = '' then 'other' else f end family from (select p_partkey, regexp_extract(lower(concat('brand', p_size, '-', p_name)), '^[a-z]+') f from part)")
+@query("""select p_partkey, concat('brand', p_size, '-', p_name) family from part""")
 def model_family(spark, sf):
-    name = F.concat(F.lit("vendor/Brand"), F.col("p_size").cast("string"), F.lit("-"), F.col("p_name"))
+    suffix = F.get(F.array(*map(F.lit, ["", "-cloud", ":latest", "_cloud", "-Cloud:7b"])), (F.col("p_partkey") % 5).cast("int"))
+    name = F.concat(F.lit(" vendor/x/Brand"), F.col("p_size").cast("string"), F.lit("-"), F.col("p_name"), suffix)
     return table(spark, sf, "part").select("p_partkey", ex.model_family(name).alias("family"))
 
 
@@ -75,17 +76,25 @@ def one_format_dimension_means(spark, sf):
     return ex.format_dimension_means(scores(spark, sf).where("document_format = 'pdf'"))
 
 
-@query(f"""with {EXPERIMENTS}, f as (select * from experiments where not passed), m as (select document_id, 'document_type' pattern, case when trim(document_type) = '' then '(unknown)' else document_type end "value" from f
-union all select document_id, 'document_format', document_format from f union all select document_id, 'harness', cast(harness_id as varchar) from f union all select document_id, 'error', error from f where error is not null
-union all select document_id, 'error_kind', lower(split_part(error, ' ', 1)) from f where error is not null union all select document_id, 'no_progress', 'yes' from f where violations_after = violations_before
-union all select document_id, 'improved_but_failed', 'yes' from f where violations_after < violations_before union all select document_id, 'slow', 'yes' from f where elapsed_seconds > 5
-union all select document_id, 'left_over', case when violations_after > 20 then 'many' when violations_after > 0 then 'some' else 'none' end from f union all select document_id, 'failed', 'all' from f
-union all select document_id, 'destructive', 'yes' from experiments where violations_after > violations_before) select pattern, "value", count(*) n, count(distinct document_id) documents from m group by 1, 2""")
+_WEAK = "select '{pattern}' pattern, {f} format, {t} \"type\", dimension \"value\", count(*) n, round(avg(score), 4) mean from scores {where} group by {by} dimension having avg(score) < 0.8"
+
+
+@query(f"""with {EXPERIMENTS}, f as (select *, list_filter([concat('v', violations_before % 7), case when violations_after % 4 = 2 then 'late' end], lambda x: x is not null) types from experiments where not passed),
+m as (select 'failing_doc_types' pattern, null::varchar format, null::varchar "type", document_type "value" from f union all select 'failing_violation_types', null, null, unnest(types) from f
+union all select 'common_errors', null, null, error from f where error <> '' union all select 'destructive_docs', null, null, document_id::varchar from experiments where violations_after > violations_before
+union all select 'compliance_passes_quality_fails', null, unnest(list_filter([case when alt_text < 0.8 then 'alt_text' end, case when headings < 0.8 then 'headings' end, case when links < 0.8 then 'links' end], lambda x: x is not null)), document_id::varchar from experiments where passed
+union all select 'behavioral_proxy_failures_by_dim', null, null, case dimension when 'headings' then 'heading_semantics' else 'table_structure' end from behaviours where not ok
+union all select 'behavioral_proxy_failures_by_format', document_format, null, case dimension when 'headings' then 'heading_semantics' else 'table_structure' end from behaviours where not ok)
+select pattern, format, "type", "value", count(*) n, null::double mean from m group by 1, 2, 3, 4
+union all {_WEAK.format(pattern='weak_dimensions_overall', f='null', t='null', where='', by='')} union all {_WEAK.format(pattern='weak_dimensions_by_format', f='document_format', t='null', where='', by='document_format,')}
+union all {_WEAK.format(pattern='weak_dimensions_by_doc_type', f='null', t='document_type', where="where document_type <> ''", by='document_type,')}
+union all {_WEAK.format(pattern='weak_dimensions_by_format_and_doc_type', f='document_format', t='document_type', where="where document_type <> ''", by='document_format, document_type,')}""")
 def failure_patterns(spark, sf):
-    return ex.failure_patterns(experiments(spark, sf))
+    types = F.array_compact(F.array(F.concat(F.lit("v"), (F.col("violations_before") % 7).cast("string")), F.when(F.col("violations_after") % 4 == 2, "late")))
+    return ex.failure_patterns(experiments(spark, sf).withColumn("violation_types", types))
 
 
-@query(f"with {EXPERIMENTS} select dimension, count(*) failures from behaviours where not ok group by 1")
+@query(f"with {EXPERIMENTS} select case dimension when 'headings' then 'heading_semantics' else 'table_structure' end dimension, count(*) failures from behaviours where not ok group by 1")
 def behavioural_failures(spark, sf):
     return ex.behavioural_failures(experiments(spark, sf))
 
@@ -169,10 +178,15 @@ def _variants(spark, sf):
     return table(spark, sf, "part").groupBy(F.col("p_brand").alias("harness_id")).agg(F.round(F.avg("p_retailprice") / 2000, 6).alias("conformance_rate"))
 
 
-@query(f"with {_VARIANTS}, f as (select * from v where harness_id like '%2'), r as (select *, row_number() over (order by conformance_rate, harness_id) r from v where harness_id not in (select harness_id from f)) select harness_id, conformance_rate from r where r <= (select count(*) from v) - 10")
+_RETIRED = """a as (select o_custkey harness_id, max(o_totalprice) conformance_rate, case when o_custkey % 20 = 0 then 0 else count(*) end total_docs, count(*) experiments, min(o_orderdate) created_at from orders group by 1),
+s as (select *, harness_id % 7 = 2 front from a where total_docs > 0), l as (select * from s where front or experiments < 10), c as (select *, row_number() over (order by conformance_rate, created_at, harness_id) k from l)"""
+
+
+@query(f"with {_RETIRED} select harness_id, conformance_rate, 'not on the frontier' reason from s where not front and experiments >= 10 union all select harness_id, conformance_rate, 'more than the cap' from c where k <= (select count(*) from l) - 50 and not front")
 def variants_retired(spark, sf):
-    v = _variants(spark, sf)
-    return ex.retired(v, v.where("harness_id like '%2'"), 10)
+    k = F.col("o_custkey")
+    v = table(spark, sf, "orders").groupBy(k.alias("harness_id")).agg(F.max("o_totalprice").alias("conformance_rate"), F.when(k % 20 == 0, 0).otherwise(F.count(F.lit(1))).alias("total_docs"), F.count(F.lit(1)).alias("experiments"), F.min("o_orderdate").alias("created_at"))
+    return ex.retired(v, v.where("harness_id % 7 = 2"), 50, 10)
 
 
 @query(f"with {_VARIANTS} select harness_id, conformance_rate from v where conformance_rate > (select min(conformance_rate) from v) + 0.00001")
@@ -198,22 +212,34 @@ def wcag_document_rollup(spark, sf):
     return ex.criterion_rollup(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), F.concat(F.lit("1."), (F.col("l_suppkey") % 4).cast("string")).alias("criterion"), status.alias("status")))
 
 
-@query("""with m as (select * from (values ('1.1.1', 'R0'), ('1.1.1', 'R1'), ('1.3.1', 'R2'), ('2.4.2', 'R3'), ('3.1.1', 'R9')) t(criterion, rule_id)), c as (select l_orderkey doc_id, concat('R', l_suppkey % 5) rule_id, case when l_returnflag = 'R' then 'Failed' else 'Passed' end status from lineitem),
-b as (select d.doc_id, criterion, c.status from (select distinct doc_id from c) d cross join m left join c on c.doc_id = d.doc_id and c.rule_id = m.rule_id)
-select doc_id, criterion, case when count(*) filter (where status = 'Failed') > 0 then 'fails' when count(status) > 0 then 'supports' else 'not tested' end status from b group by 1, 2""")
-def wcag_criterion_status(spark, sf):
-    criteria = spark.createDataFrame([("1.1.1", "R0"), ("1.1.1", "R1"), ("1.3.1", "R2"), ("2.4.2", "R3"), ("3.1.1", "R9")], "criterion string, rule_id string")
-    c = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("R"), (F.col("l_suppkey") % 5).cast("string")).alias("rule_id"), F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Passed").alias("status"))
-    return ex.criterion_status(c, criteria)
+_CRITERIA = {"1.1.1": ["R0", "R1"], "1.3.1": ["R2"], "2.4.2": ["R3", "R1"], "3.1.1": ["R9"], "1.2.1": []}
 
 
-@query("""with a as (select 'checker' source, o_orderkey doc_id, o_orderstatus rule_id, case when o_orderpriority like '1%' then 'critical' when o_orderpriority like '2%' then 'serious' when o_orderpriority like '3%' then 'moderate' else 'minor' end severity from orders
-union all select 'validator', l_orderkey, l_returnflag, case when l_tax > 0.05 then 'critical' else 'moderate' end from lineitem) select *, count(*) n from a group by all""")
+@query("""with c as (select l_orderkey doc_id, l_linenumber * 100000 + l_suppkey seq, concat('R', l_suppkey % 5) rule_id, l_returnflag = 'R' bad, concat('Rule ', l_suppkey % 5, case when l_linenumber % 2 = 0 then concat(': line ', l_linenumber, '; part ', l_partkey) else '' end) said, 0 f from lineitem),
+r as (select o_orderkey doc_id, o_custkey seq, concat('R', o_custkey % 12) rule_id, o_orderstatus = 'F' bad, concat('Reader ', o_custkey) said, 1 f from orders), u as (select * from c union all select * from r),
+m as (select * from (values ('1.1.1', 'R0'), ('1.1.1', 'R1'), ('1.3.1', 'R2'), ('2.4.2', 'R3'), ('2.4.2', 'R1'), ('3.1.1', 'R9')) t(criterion, rule_id)), n as (select unnest(['1.1.1', '1.3.1', '2.4.2', '3.1.1', '1.2.1']) criterion),
+g as (select doc_id, criterion, bool_or(bad) bad, string_agg(said, '; ' order by f, seq, said) filter (where bad) remarks from u join m using (rule_id) group by 1, 2)
+select d.doc_id, n.criterion, case when bad is null then 'N/A' when bad then 'FAIL' else 'PASS' end status, case when n.criterion = '1.2.1' then 'Not applicable to static PDF documents' when bad is null then 'No applicable checks for this document' else coalesce(remarks, '') end remarks
+from (select distinct doc_id from u) d cross join n left join g on g.doc_id = d.doc_id and g.criterion = n.criterion""")
+def wcag_criterion_status(spark, sf):
+    n = F.col("l_linenumber")
+    details = F.when(n % 2 == 0, F.array(F.concat(F.lit("line "), n.cast("string")), F.concat(F.lit("part "), F.col("l_partkey").cast("string")), F.lit("more")))
+    rule = F.concat(F.lit("R"), (F.col("l_suppkey") % 5).cast("string"))
+    c = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (n * 100000 + F.col("l_suppkey")).cast("long").alias("seq"), rule.alias("rule_id"), F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Passed").alias("status"), F.concat(F.lit("Rule "), F.substring(rule, 2, 9)).alias("description"), details.alias("details"))
+    k = F.col("o_custkey")
+    r = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), k.alias("seq"), F.concat(F.lit("R"), (k % 12).cast("string")).alias("rule_id"), F.when(F.col("o_orderstatus") == "F", "Error").otherwise("warning").alias("severity"), F.concat(F.lit("Reader "), k.cast("string")).alias("description"))
+    return ex.criterion_status(c, r, _CRITERIA)
+
+
+@query("""select l_orderkey doc_id, concat('R', l_suppkey % 5) code, 'checker' source, 'error' severity, l_suppkey % 2 = 0 fixable, false blocking, l_linestatus description from lineitem where l_returnflag = 'R'
+union all select o_orderkey, o_orderpriority, 'screen-reader', case when o_orderstatus = 'F' then 'error' else 'warning' end, true, false, '' from orders where o_orderstatus <> 'O'
+union all select event_id, case when event_id % 3 > 0 then event_type else 'unknown-rule' end, 'verapdf', 'error', event_id % 4 > 0, false, event_type from events""")
 def normalised_issues(spark, sf):
-    p = F.substring("o_orderpriority", 1, 1)
-    a = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderstatus").alias("rule_id"), F.when(p == "1", "Critical").when(p == "2", "high").when(p == "3", "warning").alias("severity"))
-    b = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_returnflag").alias("rule_id"), F.when(F.col("l_tax") > 0.05, "error").otherwise("medium").alias("severity"))
-    return ex.issue_list({"checker": a, "validator": b})
+    checks = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("R"), (F.col("l_suppkey") % 5).cast("string")).alias("rule_id"), F.when(F.col("l_returnflag") == "R", "Failed").otherwise("Passed").alias("status"), (F.col("l_suppkey") % 2 == 0).alias("fixable"), F.col("l_linestatus").alias("description"))
+    reader = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderpriority").alias("rule_id"), F.when(F.col("o_orderstatus") == "F", "ERROR").when(F.col("o_orderstatus") == "P", "Warning").otherwise("info").alias("severity"), F.lit(None).cast("string").alias("description"))
+    e = F.col("event_id")
+    violations = table(spark, sf, "events").select(e.alias("doc_id"), F.when(e % 3 > 0, F.col("event_type")).alias("id"), F.col("event_type").alias("description"), (e % 4 == 0).alias("font_limited"))
+    return ex.issue_list(checks, reader, violations)
 
 
 @query("""with f as (select o_orderkey doc_id, o_orderkey % 11 <> 0 a, o_custkey % 3 b, o_custkey % 4 c, case when o_orderstatus = 'P' then null else o_orderstatus = 'F' end d, case when o_orderkey % 2 = 0 then o_totalprice > 1000 end e, o_orderpriority <> '5-LOW' t from orders),
@@ -225,10 +251,17 @@ def acceptance_composite(spark, sf):
     return ex.accepted(facts)
 
 
-@query("""select o_orderkey doc_id, case when o_orderkey % 13 = 0 then 'L0' when o_orderkey % 7 = 0 then 'L1' when coalesce(case when o_custkey % 5 <> 4 then o_custkey % 5 end, 1) > 0 then 'L2' when o_orderstatus <> 'F' then 'L3' else 'L4' end "level" from orders""")
+@query("""with f as (select o_orderkey doc_id, case when o_orderkey % 17 > 0 then o_orderkey % 13 <> 0 end openable, o_orderkey % 7 <> 0 has_text, o_custkey % 2 = 0 or o_custkey % 3 = 0 or o_custkey % 7 = 0 signal,
+list_filter([case when o_custkey % 5 = 1 then 'docx-title' end, case when o_custkey % 4 = 1 then 'docx-language' end], lambda x: x is not null) rules, case when o_orderstatus <> 'O' then o_orderstatus = 'F' end quality from orders)
+select doc_id, case when openable is null or not openable or not has_text then 'L0' when not signal then 'L1' when len(rules) > 0 then 'L2' when coalesce(quality, false) then 'L4' else 'L3' end "level",
+case when openable is null then 'evaluation_error' when not openable then 'not_openable' when not has_text then 'no_text_layer' when not signal then 'no_structural_signal' when len(rules) > 0 then array_to_string(rules, ',')
+ when quality is null then 'quality_layer_not_run' when not quality then 'quality_failed' else '' end blocking from f""")
 def office_levels(spark, sf):
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    return ex.office_level(table(spark, sf, "orders").select(k.alias("doc_id"), (k % 13 != 0).alias("openable"), (k % 7 != 0).alias("has_text"), F.when(c % 5 != 4, c % 5).alias("rule_failures"), (F.col("o_orderstatus") == "F").alias("quality_passed")))
+    k, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+    rules = F.array_compact(F.array(F.when(c % 5 == 1, "docx-title"), F.when(c % 4 == 1, "docx-language")))
+    named = {"doc_id": k, "openable": F.when(k % 17 > 0, k % 13 != 0), "has_text": k % 7 != 0, "has_headings": c % 2 == 0, "has_table_headers": c % 3 == 0, "has_alternatives": c % 7 == 0, "failed_rules": rules, "quality_passed": F.when(s != "O", s == "F")}
+    levels = ex.office_level(table(spark, sf, "orders").select(*[v.alias(n) for n, v in named.items()]))
+    return levels.withColumn("blocking", F.array_join("blocking", ","))
 
 
 # Trees and headings
@@ -292,11 +325,15 @@ def lists_without_items(spark, sf):
     return structure.subtree_lacks(nodes(spark, sf), "L", ["LI"])
 
 
-@query(f"""with {NODES}, p as (select doc_id, seq, lower(alt_text) own, (select max(m.seq) from nodes m where m.doc_id = n.doc_id and m.seq < n.seq and m.depth < n.depth) parent_seq from nodes n)
-select p.doc_id, p.seq, p.parent_seq from p join nodes m on m.doc_id = p.doc_id and m.seq = p.parent_seq where own = lower(m.alt_text) and own <> ''""")
+@query(f"with {NODES}, k as (select *, (select count(*) from nodes m where m.doc_id = n.doc_id and m.seq > n.seq and m.depth = n.depth + 1 and not exists (select 1 from nodes b where b.doc_id = n.doc_id and b.seq > n.seq and b.seq < m.seq and b.depth <= n.depth)) kids from nodes n) select doc_id, seq from k where alt_text is not null and tag not in ('Figure', 'Table') and kids > 0")
 def redundant_alternatives(spark, sf):
     n = nodes(spark, sf)
-    return reading.reused_alternatives(n, structure.tree_parents(n).select("doc_id", "seq", "parent_seq"))
+    kids = structure.tree_parents(n).where("parent_seq is not null").groupBy("doc_id", F.col("parent_seq").alias("seq"), F.col("depth")).agg(F.count(F.lit(1)).alias("n"))
+    direct = kids.join(n.select("doc_id", "seq", F.col("depth").alias("own")), ["doc_id", "seq"]).where("depth = own + 1").select("doc_id", "seq", F.col("n").alias("children"))
+    none = spark.createDataFrame([], "doc_id long, seq int, kind string, page int, mcid int")
+    shown = spark.createDataFrame([], "doc_id long, page int, mcid int, text string, image boolean")
+    facts = n.join(direct, ["doc_id", "seq"], "left").fillna(0, ["children"])
+    return tree.alt_content_findings(facts, none, shown, n.select("doc_id", F.lit(1).alias("pages")).distinct()).where("rule_id = 'alt-redundant'").select("doc_id", "seq")
 
 
 @query(f"with {NODES}, d as (select distinct doc_id from nodes), n as (select doc_id, count(*) f, count(*) filter (where trim(coalesce(alt_text, '')) <> '') a from nodes where tag = 'Figure' group by 1) select doc_id, round(100 * a / f, 1) coverage from d left join n using (doc_id)")
@@ -377,12 +414,14 @@ def page_sample(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.array_join(F.transform(reading.sampled_pages((F.col("p_size") * 3).cast("int")), lambda x: x.cast("string")), ",").alias("pages"))
 
 
-@query(r"""with s as (select p_partkey, case p_partkey % 4 when 0 then concat('Sheet', p_size) when 1 then '' when 2 then concat(p_name, ' ', p_brand, ' of the whole year') else p_name end t from part)
-select p_partkey, case when trim(t) = '' then 'blank' when regexp_full_match(t, '(?i)sheet\s*\d*') then 'default' when length(trim(t)) > 31 then 'long' else '' end issues, case when trim(t) = '' then 0.0 when regexp_full_match(t, '(?i)sheet\s*\d*') then 0.4 when length(trim(t)) > 31 then 0.7 else 1.0 end score from s""")
+@query(r"""with s as (select p_partkey, 1 + p_partkey % 3 place, case p_partkey % 5 when 0 then concat('Sheet', p_size) when 1 then '' when 2 then concat(p_name, ' ', p_brand) when 3 then 'Summary of parts' else left(p_name, 3) end t from part),
+i as (select p_partkey, list_filter([case when length(trim(t)) < 4 or regexp_full_match(lower(trim(t)), 'sheet[0-9]+') then 'non_descriptive_sheet_name' end, case when place > 1 and t = 'Summary of parts' then 'overview_sheet_not_first' end], lambda x: x is not null) x from s)
+select p_partkey, array_to_string(x, ',') issues, case when len(x) = 0 then 1.0 when list_contains(x, 'non_descriptive_sheet_name') then 0.0 else 0.5 end::double score from i""")
 def sheet_names(spark, sf):
-    k = F.col("p_partkey") % 4
-    name = F.when(k == 0, F.concat(F.lit("Sheet"), F.col("p_size").cast("string"))).when(k == 1, "").when(k == 2, F.concat("p_name", F.lit(" "), "p_brand", F.lit(" of the whole year"))).otherwise(F.col("p_name"))
-    return table(spark, sf, "part").select("p_partkey", reading.sheet_name_issues(name).alias("s")).select("p_partkey", "s.issues", "s.score")
+    k = F.col("p_partkey") % 5
+    name = F.when(k == 0, F.concat(F.lit("Sheet"), F.col("p_size").cast("string"))).when(k == 1, "").when(k == 2, F.concat_ws(" ", "p_name", "p_brand")).when(k == 3, "Summary of parts").otherwise(F.substring("p_name", 1, 3))
+    rows = table(spark, sf, "part").select("p_partkey", name.alias("name"), (F.col("p_partkey") % 3 + 1).alias("place"), F.lit("visible").alias("state"), F.array().cast("array<string>").alias("terms"))
+    return sheets.sheet_issues(rows).select("p_partkey", F.array_join("issues", ",").alias("issues"), "score")
 
 
 @query("select event_id, concat('1.', event_id % 9, '.', user_id % 30) code from events where event_id % 3 = 0 union all select event_id, '' from events where event_id % 3 <> 0")
@@ -474,3 +513,56 @@ def violation_dedupe_snippets(spark, sf):
     snippet = F.when(F.col("event_id") % 2 == 0, F.array(F.concat(F.repeat(letter, 80), F.col("event_id").cast("string")))).otherwise(F.array().cast("array<string>"))
     e = table(spark, sf, "events").select((F.col("user_id") % 20).alias("doc_id"), F.col("event_type").alias("tool"), (F.col("event_id") % 7).alias("id"), (F.col("user_id") % 3).cast("string").alias("selector"), F.lit("serious").alias("impact"), snippet.alias("html_snippets"), F.col("event_id").alias("input_order"))
     return records.first_of_violations(e, {"critical": 0, "serious": 1}).select("doc_id", "tool", "id", "input_order")
+
+
+# Nearest colour that passes: 64 halvings of lightness at the same hue
+
+_LIN = "case when {c} / 255.0 <= 0.04045 then {c} / 255.0 / 12.92 else pow(({c} / 255.0 + 0.055) / 1.055, 2.4) end"
+
+
+def _lum(*channels: str) -> str:
+    return "(" + " + ".join(f"{w} * {_LIN.format(c=c)}" for w, c in zip((0.2126, 0.7152, 0.0722), channels, strict=True)) + ")"
+
+
+def _weight(shift: str) -> str:
+    h = f"(t + {shift} - floor(t + {shift}))"
+    return f"case when span = 0 then 0.0 when {h} < 1.0 / 6 then {h} * 6.0 when {h} < 0.5 then 1.0 when {h} < 2.0 / 3 then (2.0 / 3 - {h}) * 6.0 else 0.0 end"
+
+
+_AT = "(2.0 * {l} - case when {l} <= 0.5 then {l} * (1.0 + s) else {l} + s - {l} * s end)"
+_TO = "({low} + 2.0 * (case when {l} <= 0.5 then {l} * (1.0 + s) else {l} + s - {l} * s end - {l}) * {w})"
+
+
+def _at(light: str, w: str) -> str:
+    low = _AT.format(l=light)
+    return f"(255.0 * {_TO.format(low=low, l=light, w=w)})"
+
+
+def _nearest_sql(turn: str) -> str:
+    return f"""with recursive p as (select p_partkey, p_partkey * 37 % 256 r, p_size * 5 % 256 g, case when p_partkey % 4 = 0 then p_partkey * 37 % 256 else p_partkey * 11 % 256 end b, p_partkey * 3 % 256 x, p_size * 4 % 256 y, p_partkey % 256 z from part),
+q as (select *, {_lum('x', 'y', 'z')} bl, {_lum('r', 'g', 'b')} fl, greatest(r, g, b) / 255.0 high, least(r, g, b) / 255.0 low from p), k as (select *, high - low span, (greatest(fl, bl) + 0.05) / (least(fl, bl) + 0.05) >= 4.5 fine from q),
+h as (select *, case when span = 0 then 0.0 when high + low <= 1 then span / (high + low) else span / (2.0 - high - low) end s, case when span = 0 then 0.0 when r / 255.0 = high then ((high - b / 255.0) - (high - g / 255.0)) / span
+ when g / 255.0 = high then 2.0 + ((high - r / 255.0) - (high - b / 255.0)) / span else 4.0 + ((high - g / 255.0) - (high - r / 255.0)) / span end / 6.0 t from k),
+w as (select *, {_weight('1.0 / 3')} w0, {_weight('0.0')} w1, {_weight('(-1.0 / 3)')} w2 from h),
+c as (select 0 i, p_partkey, s, w0, w1, w2, bl, 0.0::double lo, 1.0::double hi, case when bl > 0.5 then 0.0 else 1.0 end::double best, 0.5::double l from w where not fine
+ union all select i + 1, p_partkey, s, w0, w1, w2, bl, case when {turn} then lo else l end, case when {turn} then l else hi end, case when ok then l else best end, (case when {turn} then lo else l end + case when {turn} then l else hi end) / 2
+ from (select *, (greatest(n, bl) + 0.05) / (least(n, bl) + 0.05) >= 4.5 ok from (select *, {_lum(_at('l', 'w0'), _at('l', 'w1'), _at('l', 'w2'))} n from c where i < 64))),
+e as (select *, best as l0 from c where i = 64)
+select p_partkey, r::int r, g::int g, b::int b from w where fine union all select p_partkey, greatest(0, least(255, case when bl > 0.5 then floor({_at('best', 'w0')}) else ceil({_at('best', 'w0')}) end))::int, greatest(0, least(255, case when bl > 0.5 then floor({_at('best', 'w1')}) else ceil({_at('best', 'w1')}) end))::int, greatest(0, least(255, case when bl > 0.5 then floor({_at('best', 'w2')}) else ceil({_at('best', 'w2')}) end))::int from e"""
+
+
+def _nearest(spark, sf, away: bool):
+    k, z = F.col("p_partkey"), F.col("p_size")
+    red = k * 37 % 256
+    found = color.nearest_passing(red, z * 5 % 256, F.when(k % 4 == 0, red).otherwise(k * 11 % 256), k * 3 % 256, z * 4 % 256, k % 256, away=away)
+    return table(spark, sf, "part").select("p_partkey", found.alias("c")).select("p_partkey", "c.r", "c.g", "c.b")
+
+
+@query(_nearest_sql("ok <> (bl > 0.5)"))
+def nearest_passing_colour(spark, sf):
+    return _nearest(spark, sf, away=False)
+
+
+@query(_nearest_sql("ok = (bl > 0.5)"))
+def nearest_passing_colour_away(spark, sf):
+    return _nearest(spark, sf, away=True)

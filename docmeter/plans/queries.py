@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docmeter.functions import color
 from docmeter.operators import evaluation as ev
 from docmeter.operators import checks, html, records, routing, structure, text
-from docmeter.plans.derived import CALIBRATIONS, EXPERIMENTS, JOBS, calibrations, experiments, jobs, scores, table
+from docmeter.plans.derived import CALIBRATIONS, EXPERIMENTS, JOBS, NODES, calibrations, experiments, jobs, nodes, scores, table
 from docmeter.streaming import events as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -320,9 +320,18 @@ def text_trust(spark, sf):
     return text.trust_columns(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@query()
+@query(f"""with {NODES}, t as (select doc_id, 1 + doc_id % 3 pages, coalesce(text, '') x from documents), n as (select doc_id, count(*) nodes, count(distinct seq) tagged, count(*) filter (where tag = 'Figure') figures, count(*) filter (where tag = 'Figure' and length(coalesce(alt_text, '')) > 10) described from nodes group by 1),
+f as (select event_id % 1500 doc_id, sum(case when event_id % 3 = 0 then case when user_id % 2 = 0 then 5.0 else 2.0 end else 0.0 end) h, sum(case when event_id % 3 = 1 and user_id % 2 = 0 then 5.0 else 0.0 end) b from events where user_id % 3 = 0 group by 1),
+p as (select t.doc_id, case when length(x) = 0 then 30.0 else (length(x) - len(list_filter(regexp_extract_all(x, '[\\p{{C}}\\p{{Z}}]'), lambda c: c not in (' ', chr(10), chr(9), chr(13))))) / length(x) * 30.0 end tx,
+ least(1.0, coalesce(tagged, 0) / pages) * least(1.0, coalesce(nodes, 0) / pages / 3.0) * 25.0 tg, case when coalesce(figures, 0) = 0 then 20.0 else described / figures * 20.0 end al, greatest(0.0, 15.0 - coalesce(h, 0.0)) he, greatest(0.0, 10.0 - coalesce(b, 0.0)) tb
+ from t left join n using (doc_id) left join f using (doc_id))
+select doc_id, round(tx, 1) as text, round(tg, 1) tags, round(al, 1) alternatives, round(he, 1)::double headings, round(tb, 1)::double tables, round(least(100.0, tx + tg + al + he + tb), 1) score from p""")
 def readability_score(spark, sf):
-    return text.readability(table(spark, sf, "documents"), "doc_id", "text")
+    texts = table(spark, sf, "documents").select("doc_id", (F.col("doc_id") % 3 + 1).alias("pages"), "text")
+    e, u = F.col("event_id"), F.col("user_id")
+    rule = F.when(e % 3 == 0, "sr-heading-skip").when(e % 3 == 1, "sr-table-no-headers").otherwise("other")
+    findings = table(spark, sf, "events").where("user_id % 3 = 0").select((e % 1500).alias("doc_id"), rule.alias("rule_id"), F.when(u % 2 == 0, "ERROR").otherwise("warning").alias("severity"))
+    return text.reader_readability(texts, nodes(spark, sf).withColumn("page", F.col("seq")), findings)
 
 
 @query("select conv_id, turn, sum(cast(role = 'user' as int)) over (partition by conv_id order by turn rows unbounded preceding) section_id from conversations")

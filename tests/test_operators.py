@@ -103,9 +103,9 @@ def test_colours(spark):
     assert [tuple(r[0]) if r[0] else None for r in df.select(color.channels(F.col("c"))).collect()] == [(255, 255, 255), (0, 0, 255), (1, 2, 3), None]
     one = df.limit(1).select(
         F.round(color.contrast(F.lit(1.0), F.lit(0.0)), 2), color.to_hex(F.lit(1), F.lit(171), F.lit(255)), color.threshold(F.lit(True), F.lit("AA")),
-        color.nearest_passing(F.lit(119.0), F.lit(119.0), F.lit(119.0), F.lit(1.0)), color.int_channels(F.lit(0x010203)),
+        color.nearest_passing(*[F.lit(119)] * 3, *[F.lit(255)] * 3), color.int_channels(F.lit(0x010203)),
     ).first()
-    assert one[0] == 21 and one[1] == "#01abff" and one[2] == 3.0 and 0 < one[3] < 0.05 and tuple(one[4]) == (1, 2, 3)
+    assert one[0] == 21 and one[1] == "#01abff" and one[2] == 3.0 and tuple(one[3]) == (118, 118, 118) and tuple(one[4]) == (1, 2, 3)
 
 
 @settings(max_examples=8, deadline=None)
