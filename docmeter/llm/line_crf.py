@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,11 @@ TRAIN_ROWS = 2000
 #: Bytes of a text that may be learned from; longer ones are only scored.
 TRAIN_BYTES = 1 << 17
 STEPS = 120
+#: Lines that are learned from; texts are taken by hash of their key as long as they fit.
+TRAIN_LINES = 500_000
 BATCH_BYTES = 1 << 20
+#: A text of more lines or bytes is worked on alone, its features in slices of so many lines.
+LONG_LINES, SLICE_LINES = 4096, 20_000
 #: Own features of a line; the first _SHARED of them also count for the lines before and after.
 OWN = ("symbols", "bangs", "capitals", "repeats", "bars", "seen", "digits", "stops", "short", "long_words")
 _SHARED = 6
@@ -53,8 +57,8 @@ _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features (lines x N_FEATURES), line lengths in bytes, and each text's first line (one more than texts)."""
+def line_features(column: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features (lines x N_FEATURES), line lengths in bytes, and each text's first line (one more than texts). ``known``: which lines repeat an earlier one, if that is known."""
     data, offsets = flat(column)
     n = len(offsets) - 1
     breaks = np.flatnonzero(data == 10)
@@ -86,11 +90,7 @@ def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     repeat = running(again)
     repeats = repeat[w_last] - repeat[w_first]
     doc = np.repeat(np.arange(n), np.diff(first))
-    l_hash = span_hashes(data, starts, ends)
-    order = np.lexsort((np.arange(len(doc)), l_hash, doc))
-    seen = np.zeros(len(doc), bool)
-    same = (doc[order][1:] == doc[order][:-1]) & (l_hash[order][1:] == l_hash[order][:-1])
-    seen[order[1:]] = same & (n_words[order][1:] > 0)
+    seen = repeated(doc, span_hashes(data, starts, ends), n_words > 0) if known is None else known
     per_word, per_letter = np.maximum(n_words, 1), np.maximum(letters, 1)
     own = np.stack(
         [
@@ -116,6 +116,112 @@ def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.hstack([own, before, after, np.ones((len(doc), 1))]), length, first
 
 
+def repeated(doc: np.ndarray, hashes: np.ndarray, worded: np.ndarray) -> np.ndarray:
+    """Lines with a word that an earlier line of their text has whole."""
+    order = np.lexsort((np.arange(len(doc)), hashes, doc))
+    out = np.zeros(len(doc), bool)
+    out[order[1:]] = (doc[order][1:] == doc[order][:-1]) & (hashes[order][1:] == hashes[order][:-1]) & worded[order][1:]
+    return out
+
+
+def _as_text(data: np.ndarray) -> pa.Array:
+    return pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(data)], np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of lines, of ``SLICE_LINES`` lines and ``BATCH_BYTES`` bytes at most (one line at least)."""
+    at = 0
+    while at < len(ends):
+        begin = int(ends[at - 1]) + 1 if at else 0
+        stop = max(at + 1, min(at + SLICE_LINES, int(np.searchsorted(ends, begin + BATCH_BYTES, side="right"))))
+        yield at, stop
+        at = stop
+
+
+def long_emissions(data: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of each line's own label, and line lengths, of one text of any length: features exist for a slice of lines at a time."""
+    ends = np.append(np.flatnonzero(data == 10), len(data)).astype(np.int64 if len(data) >> 31 else np.int32)
+    at = lambda k: int(ends[k - 1]) + 1 if k else 0
+    lines, hashes = [], []
+    for a, b in _slices(ends):
+        part = data[at(a) : int(ends[b - 1])]
+        starts = np.append(0, ends[a : b - 1].astype(np.int64) + 1 - at(a))
+        stops = ends[a:b].astype(np.int64) - at(a)
+        w_start = words(part, np.array([0, len(part)]))[0]
+        full = np.searchsorted(w_start, stops) > np.searchsorted(w_start, starts)
+        lines.append((np.flatnonzero(full) + a).astype(ends.dtype))
+        hashes.append(span_hashes(part, starts[full], stops[full]))
+    worded, hashed = np.concatenate(lines), np.concatenate(hashes)
+    seen = np.zeros(len(ends), bool)
+    if len(worded):
+        again = np.ones(len(worded), bool)
+        again[np.unique(hashed, return_index=True)[1]] = False
+        seen[worded[again]] = True
+    emission = np.empty(len(ends))
+    for a, b in _slices(ends):
+        before, after = max(0, a - 1), min(len(ends), b + 1)  # neighbours count
+        features, _, _ = line_features(_as_text(data[at(before) : int(ends[after - 1])]), seen[before:after])
+        emission[a:b] = (features @ w)[a - before : b - before]
+    length = np.diff(ends, prepend=-1) - 1
+    return emission, length
+
+
+def chain_marginals(emission: np.ndarray, t: np.ndarray, block: int = 1024) -> np.ndarray:
+    """P(good) of each line of one long chain. Blocks are walked together: what a block makes of the message that enters it is a map of four
+    numbers, from two walks; the maps are applied one after the other, and then all blocks are walked with what really enters them."""
+    n = len(emission)
+    first = np.append(np.arange(0, n, block), n)
+    sizes = np.diff(first)
+    count = len(sizes)
+
+    def entered(order: np.ndarray, step: np.ndarray) -> np.ndarray:
+        """Log-odds that enter each block, walked in an order. step: per line and direction, log weights [from, to]."""
+        maps = np.zeros((count, 2, 2))
+        maps[:, 0, 1] = maps[:, 1, 0] = -np.inf
+        for k in range(block):
+            live = np.flatnonzero(sizes > k)
+            at = first[:-1][live] + (k if order[0] == 0 else sizes[live] - 1 - k)
+            s, m = step(at), maps[live]
+            maps[live] = np.logaddexp(m[:, :, :1] + s[:, None, 0, :], m[:, :, 1:] + s[:, None, 1, :])
+            maps[live] -= maps[live].max(axis=(1, 2), keepdims=True)
+        out, r = np.zeros(count), None
+        for b in order.tolist():
+            out[b] = 0.0 if r is None else r
+            low, high = (0.0, 0.0) if r is None else (min(0.0, -r), min(0.0, r))
+            m = maps[b]
+            r = float(np.logaddexp(low + m[0, 1], high + m[1, 1]) - np.logaddexp(low + m[0, 0], high + m[1, 0]))
+        return out
+
+    def forward(at: np.ndarray) -> np.ndarray:
+        s = np.broadcast_to(t, (len(at), 2, 2)).copy()
+        s[at == 0] = 0.0  # nothing before the first line
+        s[:, :, 1] += emission[at][:, None]
+        return s
+
+    def backward(at: np.ndarray) -> np.ndarray:
+        s = np.broadcast_to(t.T, (len(at), 2, 2)).copy()
+        s[:, 1, :] += emission[at][:, None]  # the line's own label counts before the step to the line before
+        return s
+
+    ahead, back = np.empty(n), np.empty(n)
+    r = entered(np.arange(count), forward)
+    for k in range(block):
+        live = np.flatnonzero(sizes > k)
+        at = first[:-1][live] + k
+        x = r[live]
+        moved = np.logaddexp(x + t[1, 1], t[0, 1]) - np.logaddexp(x + t[1, 0], t[0, 0])
+        moved[at == 0] = 0.0
+        ahead[at] = r[live] = emission[at] + moved
+    r = entered(np.arange(count)[::-1], backward)
+    for k in range(block):
+        live = np.flatnonzero(sizes > k)
+        at = first[1:][live] - 1 - k
+        back[at] = r[live]
+        x = emission[at] + r[live]
+        r[live] = np.logaddexp(x + t[1, 1], t[1, 0]) - np.logaddexp(x + t[0, 1], t[0, 0])
+    return _sigmoid(ahead + back)
+
+
 class Chains:
     """Chains of given lengths, walked together step by step, longest first."""
 
@@ -157,11 +263,25 @@ class Model:
         ahead, back = Chains(first).messages(features @ self.w, self.t)
         return _sigmoid(ahead + back)
 
+    def lines(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """P(good), line lengths and first lines of runs of texts, in order; a long text comes alone."""
+        data, offsets = flat(column)
+        breaks = np.diff(np.searchsorted(np.flatnonzero(data == 10), offsets))
+        long = (breaks >= LONG_LINES) | (np.diff(offsets) > BATCH_BYTES)
+        start = 0
+        for i in [*np.flatnonzero(long).tolist(), len(column)]:
+            if i > start:
+                features, length, first = line_features(column.slice(start, i - start))
+                yield (np.full(len(length), self.share) if self.w is None else self.marginals(features, first)), length, first
+            if i < len(column):
+                emission, length = long_emissions(data[offsets[i] : offsets[i + 1]], np.zeros(N_FEATURES) if self.w is None else self.w)
+                yield (np.full(len(length), self.share) if self.w is None else chain_marginals(emission, self.t)), length, np.array([0, len(length)])
+            start = i + 1
+
     def score(self, column: pa.Array) -> np.ndarray:
         if self.w is None:
             return np.full(len(column), self.share)
-        features, length, first = line_features(column)
-        return self.curved(self.marginals(features, first), length, first)
+        return np.concatenate([np.zeros(0), *[self.curved(*run) for run in self.lines(column)]])
 
     def curved(self, good: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
         return _sigmoid(self.curve[0] * _log_odds(good, length, first) + self.curve[1])
@@ -195,7 +315,7 @@ def train(features: np.ndarray, length: np.ndarray, first: np.ndarray, label: np
     m, v = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, steps + 1):
         w, t = p[:N_FEATURES], p[N_FEATURES:].reshape(2, 2)
-        e = features @ w
+        e = (features @ w.astype(features.dtype)).astype(np.float64)
         ahead, back = chains.messages(e, t)
         one = _sigmoid(ahead + back)
         r, s = ahead[left], e[right] + back[right]
@@ -209,7 +329,7 @@ def train(features: np.ndarray, length: np.ndarray, first: np.ndarray, label: np
         p_all = np.exp(np.minimum(log_all, -1e-12))
         # d log P(label): good texts pull to the all-good path, bad ones push off it by the odds that it is the path
         pull = weight * np.where(good, 1.0, -p_all / (1 - p_all))
-        g_w = features.T @ (pull[doc] * (1 - one))
+        g_w = (features.T @ (pull[doc] * (1 - one)).astype(features.dtype)).astype(np.float64)
         none = np.zeros(4)
         none[3] = 1
         g_t = (pull[doc[right]][:, None] * (none - joint)).sum(0)
@@ -230,12 +350,15 @@ def train(features: np.ndarray, length: np.ndarray, first: np.ndarray, label: np
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", most: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> Model:
-    """``labels``: the rows to learn from. At most ``most`` keys of them are used, first by hash, with texts of at most ``most_bytes``."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", most: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES, most_lines: int = TRAIN_LINES) -> Model:
+    """``labels``: the rows to learn from. At most ``most`` keys of them are used, first by hash, with texts of at most ``most_bytes``, as long as
+    those have at most ``most_lines`` lines together. The driver holds 92 bytes a line."""
     chosen = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.min(label).cast("int").alias("label"))
     chosen = chosen.orderBy(md5_key("k"), "k").limit(most)
     texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).where(F.octet_length("text") <= most_bytes)
     rows = texts.join(F.broadcast(chosen), "k").groupBy("k").agg(F.min("label").alias("label"), F.min("text").alias("text"))  # at most ``most`` keys
+    so_far = F.sum(F.regexp_count("text", F.lit("\n")) + 1).over(Window.orderBy(md5_key("k"), "k"))
+    rows = rows.withColumn("lines", so_far).where(F.col("lines") <= most_lines).drop("lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2, BATCH_BYTES):
@@ -246,7 +369,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     got = sorted((r.id, r.label, bytes(r.features), bytes(r.length)) for r in rows.mapInArrow(run, "id string, label int, features binary, length binary").collect())
     if not got:
         return Model(None, None)
-    features = np.concatenate([np.frombuffer(r[2], np.float32).reshape(-1, N_FEATURES) for r in got]).astype(np.float64)
+    features = np.concatenate([np.frombuffer(r[2], np.float32).reshape(-1, N_FEATURES) for r in got])
     lengths = [np.frombuffer(r[3], np.int64) for r in got]
     first = np.concatenate([[0], np.cumsum([len(x) for x in lengths])])
     return train(features, np.concatenate(lengths), first, np.array([r[1] for r in got]))
@@ -274,12 +397,15 @@ def label_lines(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, len(kept), BATCH_BYTES):
-            features, length, first = line_features(batch.column(len(kept)))
-            good = np.full(len(length), model.share) if model.w is None else model.marginals(features, first)
-            sizes = np.diff(first)
-            row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            line = np.arange(len(length)) - np.repeat(first[:-1], sizes)
-            yield pa.RecordBatch.from_arrays([*[c.take(row) for c in batch.columns[:-1]], pa.array(line), pa.array(length), pa.array(good)], names=schema.names)
+            start = 0
+            for good, length, first in model.lines(batch.column(len(kept))):
+                sizes = np.diff(first)
+                row = np.repeat(np.arange(len(sizes)), sizes) + start
+                line = np.arange(len(length)) - np.repeat(first[:-1], sizes)
+                start += len(sizes)
+                for k in range(0, len(length), SLICE_LINES):
+                    cut = slice(k, k + SLICE_LINES)
+                    yield pa.RecordBatch.from_arrays([*[c.take(pa.array(row[cut])) for c in batch.columns[:-1]], pa.array(line[cut], pa.int64()), pa.array(length[cut], pa.int64()), pa.array(good[cut])], names=schema.names)
 
     return rows.mapInArrow(run, schema).withColumn("good", F.col("p_good") >= 0.5)
 
