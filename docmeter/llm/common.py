@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that part words.
@@ -90,12 +90,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet into the shared folder and read again: cuts lineage, outlives executors."""
+def written(df: DataFrame, name: str, *sums: Column) -> DataFrame:
+    """The rows written as Parquet into the shared folder and read again: cuts lineage, outlives executors.
+
+    The write counts the rows as they pass, and any ``sums`` (named aggregates), for :func:`facts`: no job of its own.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *sums).write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    # an empty plan may be cut short before anything is counted
+    out._docmeter_facts = seen.get or out.agg(F.count(F.lit(1)).alias("rows"), *sums).first().asDict()
+    return out
+
+
+def facts(df: DataFrame) -> dict:
+    """What was counted while a table from :func:`written` was written."""
+    return df._docmeter_facts
 
 
 #: Rows of narrow keys that may be broadcast; more go through a shuffle join.
@@ -103,8 +115,9 @@ BROADCAST_ROWS = 1_000_000
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The (written) rows with a broadcast hint if a count finds at most ``most``, else without."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """The rows, from :func:`written`, with a broadcast hint if there are at most ``most``, else without."""
+    known = getattr(df, "_docmeter_facts", None)
+    return F.broadcast(df) if known and known["rows"] <= most else df
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import written
+from docmeter.llm.common import facts, written
 
 MOST_ROUNDS = 50
 #: Edges up to which one task does it, in bounded memory and without rounds.
@@ -34,9 +34,12 @@ class Forest:
         return x != y
 
 
-def _state(edges: DataFrame) -> tuple:
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written, with a state that changes as they do."""
     h = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftright(h, 16))).first())
+    out = written(edges, "edges", F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 16)).alias("s"))
+    found = facts(out)
+    return out, (found["rows"], found["x"], found["s"])
 
 
 def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,8 +64,7 @@ def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> Da
     and AQE splits hubs in the joins.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a > b").distinct()
-    edges = written(edges, "edges")
-    state = _state(edges)
+    edges, state = _kept(edges)
     if state[0] <= local_edges:
         return written(edges.coalesce(1).mapInArrow(_in_one_task, "node long, component long"), "components")
     for _ in range(MOST_ROUNDS):
@@ -71,8 +73,8 @@ def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> Da
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).where("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("_m"))
         small = large.join(least, "a").select(F.when(F.col("b") == F.col("_m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("_m").alias("b"))
-        edges = written(small.where("a > b").distinct(), "edges")
-        state, before = _state(edges), state
+        before = state
+        edges, state = _kept(small.where("a > b").distinct())
         if state == before:
             break
     else:

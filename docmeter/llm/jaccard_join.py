@@ -1,7 +1,7 @@
 """Exact Jaccard join of word shingles with set-relation skipping.
 
 Sets are distinct 64-bit hashes of five-word shingles; equal sets (by 128 bits) are one
-class. Prefix filter: under one order of all shingles, sets with Jaccard >= t share one
+class. Links are exact on those hashes: a wrong one needs shingles that collide by chance. Prefix filter: under one order of all shingles, sets with Jaccard >= t share one
 of the first n - ceil(t n) + 1 of each. The order is by hash, frequent shingles
 last: they are counted over all documents first, in the part of each set that
 prefixes come from; at most ``MOST_FREQUENT`` of them (a few MB) go to the tasks.
@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmeter.llm.arrays import mix64
-from docmeter.llm.common import sliced, small, table, written
+from docmeter.llm.common import facts, sliced, small, table, written
 from docmeter.llm.components import Forest, connected_components
 from docmeter.llm.shingles import Blocks, Lately, Names, Sketches, begins, digests, meeting, overlaps, possible, prefix_length, shingle_sets, size_step, sketch
 
@@ -534,7 +534,7 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     """One row a row of ``df``: row and row2 (two hashes of id and text), id, n_shingles, part (a name of its component; null for empty sets)."""
     row, row2 = row_hashes(key, text)
     docs = df.select(row.alias("row"), row2.alias("row2"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    first = written(set_sizes(docs, percent, name_bits), "set-sizes")
+    first = written(set_sizes(docs, percent, name_bits), "set-sizes", F.sum("n").alias("shingles"))
     rows = first.where("bucket is null")
     # sets of unlike second digests under one first digest: about n^2 / 2^65 of n sets
     shared = [r[0] for r in rows.groupBy("d1").agg(F.min("d2").alias("lo"), F.max("d2").alias("hi")).where("lo <> hi").select("d1").collect()]
@@ -542,19 +542,19 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     rows = rows.withColumn("name", F.when(F.col("d1").isin(shared), F.col("d2")).otherwise(F.col("d1")) if shared else F.col("d1"))
     # a row a class, so that copies of a text, however many, meet nothing later
     classes = written(rows.where("n > 0").groupBy("name").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "set-classes")
-    shingles = rows.agg(F.sum("n")).first()[0] or 0
+    shingles = facts(first)["shingles"] or 0
     frequent, counts = frequent_shingles(first.where("bucket is not null"), min(COUNT_BUCKETS, int(shingles // 4_000_000) + 4), above=long)
     sublists = Sublists(frequent, counts, list_most)
     buckets = int(shingles * (1 - percent / 100) / POSTINGS_A_BUCKET) + 1
-    found = written(candidate_lists(index_postings(docs, frequent, sublists, names, buckets, percent), sublists, buckets, percent, long), "candidates")
+    found = written(candidate_lists(index_postings(docs, frequent, sublists, names, buckets, percent), sublists, buckets, percent, long), "candidates", F.count_if(~F.col("anchor")).alias("mixed"))
     pairs = found.where("a is not null").select("a", "b")
     if len(sublists.tokens):
         pairs = pairs.unionByName(anchor_pairs(opened(found.where("anchor")), percent))
     parts = connected_components(verified(docs, classes, written(pairs.distinct(), "pairs"), names, percent))
     lists = found.where("not anchor")
-    if not lists.isEmpty():
+    if facts(found)["mixed"]:
         members = written(mixed_families(lists, classes, parts, percent), "families")
-        if not members.isEmpty():
+        if facts(members)["rows"]:
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
             parts = connected_components(stars.unionByName(family_links(docs, members, names, percent)))
     parts = small(parts)
