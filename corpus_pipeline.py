@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmeter.llm import jaccard_join, language_id, mixing, packing, quality_rules
-from docmeter.llm.common import bucket_crc, scratch_path, small, table, unused, written
+from docmeter.llm.common import bucket_crc, facts, scratch_path, small, table, unused, written
 from docmeter.llm.tokens import tokenizer_path
 
 
@@ -47,14 +47,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = written(jaccard_join.jaccard_classes(docs).where("part is not null").select("row", "row2", "id", "part"), "classes")
     best = named.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "row2")).alias("best"), F.count(F.lit(1)).alias("n"))
     gone = named.join(small(written(best.where("n > 1"), "best")), "part").where("row <> best.row or row2 <> best.row2").select("row", "row2").distinct()
-    twice = written(named.groupBy("row", "row2").count().where("count > 1").select("row", "row2"), "repeated")
     row, row2, whole = unused(docs, "row", "row2", "whole")
+    twice = named.groupBy(F.col("row").alias(row), F.col("row2").alias(row2)).count().where("count > 1").select(row, row2)
+    twice = written(twice, "repeated")
     keys = jaccard_join.row_hashes()
     stay = docs.select("*", keys[0].alias(row), keys[1].alias(row2))
     stay = stay.join(small(written(gone.toDF(row, row2), "near-copies")), [row, row2], "left_anti")
-    if twice.isEmpty():
+    if not facts(twice)["rows"]:
         return stay.select(*docs.columns)
-    twice = small(twice.toDF(row, row2))
+    twice = small(twice)
     once = stay.join(twice, [row, row2], "left_semi").groupBy(row, row2).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(whole))
     return stay.join(twice, [row, row2], "left_anti").select(*docs.columns).unionByName(once.select(f"{whole}.*"))
 
