@@ -26,7 +26,19 @@ BLANKS = f"[{SPACE}]+"
 _dropped_at_exit: set[str] = set()
 
 
+#: Bytes of an Arrow batch where the session sets none: texts' lengths differ too much for a number of rows to bound one.
+ARROW_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that go to Python hold about ``ARROW_BYTES``, unless the session says how much."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, ARROW_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
