@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmeter.llm import jaccard_join, language_id, mixing, packing, quality_rules
-from docmeter.llm.common import bucket_crc, facts, scratch_path, small, table, unused, written
+from docmeter.llm.common import bounded_batches, bucket_crc, facts, scratch_path, small, table, unused, written
 from docmeter.llm.tokens import tokenizer_path
 
 
@@ -27,6 +27,7 @@ def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters (null and empty texts too), or whose language the calibrated model doubts, go. Repeated rows fare alike."""
+    bounded_batches(spark)
     held = F.coalesce(bucket_crc("doc_id", language_id.HELD_OUT[0]) == language_id.HELD_OUT[1], F.lit(False))
     model = language_id.fit(docs, ~held)
     rows, back = set_aside(docs, "lang_pred", "score", "rejected")
@@ -35,6 +36,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base (null and short texts too) or that the voting rules hold for bad go. Repeated rows fare alike."""
+    bounded_batches(spark)
     return quality_rules.keep_good(docs)
 
 
@@ -44,6 +46,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows with that id the one with the smallest hash of id and text stays, of exact repeats of it one, by a hash of
     all columns. Texts without words link with nothing and stay. Rows of one id whose texts don't link all stay.
     """
+    bounded_batches(spark)
     named = written(jaccard_join.jaccard_classes(docs).where("part is not null").select("row", "row2", "id", "part"), "classes")
     best = named.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "row2")).alias("best"), F.count(F.lit(1)).alias("n"))
     gone = named.join(small(written(best.where("n > 1"), "best")), "part").where("row <> best.row or row2 <> best.row2").select("row", "row2").distinct()
@@ -65,6 +68,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Equal rows are alike to the mix; all others have an order of their own, so reruns agree.
     """
+    bounded_batches(spark)
     rows, back = set_aside(docs, "size", "source_size", "target", "taken")
     [row] = unused(rows, "row")
     rows = rows.withColumn(row, F.xxhash64(*rows.columns))
@@ -74,6 +78,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents (null text: the end token alone) in sequences of at most 2048 tokens, with their ids' checksum."""
+    bounded_batches(spark)
     return packing.pieces_digest(packing.pack(docs.select("doc_id", "text"), tokenizer_path()))
 
 
