@@ -139,6 +139,10 @@ class Model:
         return names, score
 
 
+#: Largest norm of a language's weights and size of an embedding's entry: with classes that overlap steps would grow without end.
+MOST_NORM = 3.0
+
+
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed: int = 7) -> Model:
     """rows: language, buckets, shares; the order of rows doesn't matter."""
     languages = sorted({r[0] for r in rows})
@@ -167,7 +171,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
             rate = 8.0 / (1 + steps / 400)
             back = p @ w.T
             w -= rate * h.T @ p / len(batch)
+            w *= min(1.0, MOST_NORM / np.sqrt((w * w).sum(axis=0).max()))
             np.add.at(e, ids, (-rate) * share[:, None] * back[doc])
+            e[ids] = np.clip(e[ids], -MOST_NORM, MOST_NORM)
             steps += 1
     scores = np.vstack([e @ w, np.zeros(len(languages))]).astype(np.float32)
     model = Model(scores, languages, threshold=LEAST_PROBABILITY)
@@ -223,4 +229,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(bucket_crc("doc_id", HELD_OUT[0]) == HELD_OUT[1], F.lit(False))
     model = fit(docs, ~held)
-    return identify(docs.select("doc_id", held.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(docs.select("doc_id", held.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")

@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docmeter.llm.common import WORD, md5_key, table, text_of, unused, written
+from docmeter.llm.common import WORD, facts, md5_key, table, text_of, unused, written
+from docmeter.llm.sharding import hex_digits
 
 #: By rank of the source's name, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -87,7 +88,7 @@ def mix(df: DataFrame, size: Column, key: list[str], source: str = "source", wei
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract digest: the mix over the whole ``documents`` table. Texts are read and their words counted once."""
     docs = written(table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size")), "word-counts")
-    return mix(docs, F.col("size"), ["doc_id", "size"]).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs, F.col("size"), ["doc_id", "size"], digits=hex_digits(facts(docs)["rows"])).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def taken_documents(mixed: DataFrame, text: str = "text") -> DataFrame:

@@ -63,6 +63,18 @@ def assign_shards(df: DataFrame, key: str, shards: int, grown: int | None = None
     return out.withColumn("grown_shard", jump_shard(F.col(key), grown)) if grown else out
 
 
+#: Rows of one range of hashes, about; a window holds a range.
+RANGE_ROWS = 50_000
+
+
+def hex_digits(rows: int) -> int:
+    """Hex digits of a hash that cut so many rows, all of one key, into ranges of about ``RANGE_ROWS``; 2 at least."""
+    digits = 2
+    while rows > RANGE_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def number_slots(df: DataFrame, identity: list[str], digits: int) -> DataFrame:
     """Adds ``slot``: gapless from 0 in each shard, in the order of md5(identity), identity.
 
@@ -85,7 +97,9 @@ def number_slots(df: DataFrame, identity: list[str], digits: int) -> DataFrame:
 
 def op4_jump_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
     """Contract digest of the whole ``documents`` table under the law ``key``."""
-    docs = assign_shards(table(spark, sf_dir, "documents"), "doc_id", shards, shards + 1)
+    docs = table(spark, sf_dir, "documents")
+    digits = hex_digits(docs.count())  # Parquet's own count
+    docs = assign_shards(docs, "doc_id", shards, shards + 1)
     narrow = docs.select(
         "doc_id",
         (F.octet_length(text_of()) + 1).cast("long").alias("size"),
@@ -94,4 +108,4 @@ def op4_jump_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataF
         "shard",
         "grown_shard",
     )
-    return number_slots(narrow, ["doc_id", "size", "text_crc32"], digits=2).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return number_slots(narrow, ["doc_id", "size", "text_crc32"], digits).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -95,7 +95,7 @@ def test_estimate_matches_enumeration():
 def test_language_on_held_out_rows(spark):
     small = "/root/testdata/sf0.01"
     out = language_id.op9_language_id(spark, small)
-    assert out.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert out.columns == ["doc_id", "held_out", "lang_pred", "score", "rejected"]
     docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = out.collect()
     assert len(got) == len(docs)
@@ -105,6 +105,27 @@ def test_language_on_held_out_rows(spark):
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.97 * len(held)
 
 
+def test_rejected_rows_are_wrong_more_often(spark):
+    """Texts that mix both languages word by word, more of one or of the other: the nearer to half, the surer to be rejected, and the more often wrong."""
+    rng = np.random.default_rng(8)
+    words = {"en": "the and of thing which with from".split(), "de": "der und ist nicht auch eine von".split()}
+
+    def text(lang: str, share: float, n: int) -> str:
+        other = "de" if lang == "en" else "en"
+        return " ".join(rng.choice(words[lang if rng.random() < share else other]) for _ in range(n))
+
+    learn = [(i, text(lang := "en" if i % 2 else "de", rng.uniform(0.5, 1), 6), lang) for i in range(1500)]
+    asked = [(i, text(lang := "en" if i % 2 else "de", rng.uniform(0.5, 1), 6), lang) for i in range(2000, 4000)]
+    schema = "doc_id long, text string, lang string"
+    model = language_id.fit(spark.createDataFrame(learn, schema), F.lit(True))
+    model.threshold = 0.8
+    got = language_id.identify(spark.createDataFrame(asked, schema), model).collect()
+    wrong = lambda rows: sum(r.lang != r.lang_pred for r in rows) / len(rows)
+    kept, rejected = [r for r in got if not r.rejected], [r for r in got if r.rejected]
+    assert len(kept) > 300 and len(rejected) > 300 and wrong(rejected) > 2 * wrong(kept)
+    assert abs(sum(r.score for r in got) / len(got) - (1 - wrong(got))) < 0.06  # probabilities are calibrated
+
+
 def test_language_edge_cases(spark):
     rows = [(i, ("the and of thing " if i % 2 else "der und ist nicht ") * 8, "en" if i % 2 else "de", 1.0) for i in range(80)]
     odd = [(904, "½ ² ① Ⅷ", "en", 0.0), (900, None, None, 0.0), (901, "", None, 0.0), (902, "123 !!", "en", 0.0), (903, "the and thing " * 50_000, None, 0.0), (None, "der und ist", None, 0.0), (None, "der und ist", None, 0.0)]

@@ -104,3 +104,7 @@ def test_taken_documents_cut_and_repeat(spark):
     df = spark.createDataFrame(data, "doc_id long, text string, source string, size long, taken long")
     got = sorted((r.doc_id, r.text) for r in mixing.taken_documents(df).collect())
     assert got == [(1, "a"), (1, "a b c"), (1, "a b c"), (2, "d e"), (4, "g h")]
+
+
+def test_ranges_grow_in_number_with_the_rows():
+    assert [sharding.hex_digits(n) for n in (0, 50_000 * 256, 50_000 * 256 + 1, 10**10)] == [2, 2, 3, 5]
