@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmeter.llm import jaccard_join, language_id, mixing, packing, quality_rules
+from docmeter.llm import jaccard_join, language_id, mixing, packing, quality_rules, sharding
 from docmeter.llm.common import bounded_batches, bucket_crc, facts, scratch_path, small, table, unused, written
 from docmeter.llm.tokens import tokenizer_path
 
@@ -72,7 +72,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows, back = set_aside(docs, "size", "source_size", "target", "taken")
     [row] = unused(rows, "row")
     rows = rows.withColumn(row, F.xxhash64(*rows.columns))
-    mixed = mixing.mix(rows, mixing.word_count(), ["doc_id", row])
+    mixed = mixing.mix(rows, mixing.word_count(), ["doc_id", row], digits=sharding.hex_digits(docs.count()))
     return mixing.taken_documents(mixed).select(*back)
 
 
