@@ -189,14 +189,19 @@ def reading_order(boxes: DataFrame, gap: float = 5.0, density: float = 0.9, cros
         return where if best >= gap else None
 
     def ordered(b: pd.DataFrame, horizontal_first: bool) -> list[int]:
-        if len(b) <= 1:
-            return b.index.tolist()
-        for axis in ("h", "v") if horizontal_first else ("v", "h"):
-            at = cut(b, "top", "bottom", -1) if axis == "h" else cut(b, "left", "right", 1)
-            if at is not None:
-                first = (-b["bottom"] <= at) if axis == "h" else (b["right"] <= at)
-                return ordered(b[first], horizontal_first) + ordered(b[~first], horizontal_first)
-        return b.sort_values(["top", "left", "idx"], ascending=[False, True, True]).index.tolist()
+        out: list[int] = []
+        waiting = [b]
+        while waiting:
+            part = waiting.pop()
+            for axis in ("h", "v") if horizontal_first else ("v", "h"):
+                at = None if len(part) <= 1 else cut(part, "top", "bottom", -1) if axis == "h" else cut(part, "left", "right", 1)
+                if at is not None:
+                    first = (-part["bottom"] <= at) if axis == "h" else (part["right"] <= at)
+                    waiting += [part[~first], part[first]]
+                    break
+            else:
+                out += part.sort_values(["top", "left", "idx"], ascending=[False, True, True]).index.tolist()
+        return out
 
     def page(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.reset_index(drop=True)

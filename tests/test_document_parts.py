@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docmeter.operators import matching, spans, tree
+from docmeter.operators import matching, spans, structure, tree
 from docmeter.plans.document_queries import _tree
 
 
@@ -123,3 +123,10 @@ def test_rules_on_content(spark):
     for depth, images in ((F.col("seq"), [1, 1]), (F.lit(1), [0, 0])):
         found = tree.figures_with_images(nodes.withColumn("depth", depth.cast("int")), contents, rendered)
         assert [r.images for r in found.where("doc_id = 1").orderBy("seq").collect()] == images
+
+
+def test_reading_order_of_a_long_column(spark):
+    rows = [(1, 1, k, 0.0, -10.0 * k, 50.0, -10.0 * k + 4) for k in range(2000)] + [(1, 2, 0, 0.0, 0.0, 1.0, 1.0)]
+    boxes = spark.createDataFrame(rows, "doc_id long, page int, idx int, left double, bottom double, right double, top double")
+    got = {(r.page, r.idx): r.place for r in structure.reading_order(boxes).collect()}
+    assert got == {(1, k): k for k in range(2000)} | {(2, 0): 0}
