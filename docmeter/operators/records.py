@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docmeter.scratch import kept
+
 
 def with_status(df: DataFrame, statuses: Sequence[str], column: str = "status") -> DataFrame:
     """Rows with one of the statuses; none for an empty list."""
@@ -73,8 +75,8 @@ def page_of(df: DataFrame, order: Sequence[Column], offset: int, limit: int) ->
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "ordinal") -> DataFrame:
-    """Gapless global numbers from 0 under ``order``, without a task that sees all rows. Ranges are cut once and kept: sizes and rows must come from the same cut."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).persist()
+    """Gapless global numbers from 0 under ``order``, without a task that sees all rows. Ranges are cut once and written: sizes and rows must come from the same cut, whatever executors are lost."""
+    ranged = kept(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "ranges")
     ranged = ranged.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
