@@ -6,7 +6,8 @@ makes each part file a WARC file. Files aren't compressed unless asked for, so o
 and length in the index are bytes to be read from the file as it stands (compressed as
 a whole, they count its uncompressed bytes). Of records with equal payloads of at
 least ``least_bytes`` the one with the largest id is a response, the others are
-revisits of it without payload. Only digests that repeat meet the rows again.
+revisits of it without payload. Rows meet the leaders of repeated digests, by a
+broadcast where those are few, else through a shuffle of the payloads.
 
 Index: each archive is read back and parsed by its Content-Length fields; its
 captures, sorted by URL key, time and id, are one run. Passes merge up to ``FAN_IN`` runs
