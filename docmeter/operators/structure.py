@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
+from math import isnan
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,48 +177,114 @@ def backtracking(nodes: DataFrame, key: str = "doc_id") -> DataFrame:
     return seen.groupBy(key).agg(F.min("seq").alias("seq"))
 
 
+def _runs(part: list[int], lo: list[float], hi: list[float], gap: float) -> tuple[list[list[int]], list[float]]:
+    """Boxes along an axis, parted at every gap of at least ``gap``, and those gaps."""
+    order = sorted(part, key=lo.__getitem__)
+    runs, gaps, reach = [[order[0]]], [], hi[order[0]]
+    for i in order[1:]:
+        free = lo[i] - reach
+        if free > 0 and free >= gap:
+            runs.append([])
+            gaps.append(free)
+        runs[-1].append(i)
+        reach = max(reach, hi[i])
+    return runs, gaps
+
+
+def _cut_order(boxes: list[int], axes: list[tuple[list[float], list[float]]], gap: float) -> list[int]:
+    """Order of boxes by XY cuts at the widest gap, along the first axis where that has one; within what isn't cut, that of their numbers.
+
+    Parts keep the gaps of the first axis that they are cut along, so all of those are cut at once. A cut along the second
+    can open gaps of the first; where columns can't, having none themselves and none from each to the next, they part at once too.
+    """
+    (lo, hi), second = axes
+    out: list[int] = []
+    waiting = [boxes] if boxes else []
+    while waiting:
+        part = waiting.pop()
+        if len(part) == 1:
+            out += part
+            continue
+        rows, _ = _runs(part, lo, hi, gap)
+        if len(rows) > 1:
+            waiting += reversed(rows)
+            continue
+        columns, gaps = _runs(part, *second, gap)
+        if len(columns) == 1:
+            out += sorted(part)
+            continue
+        ends = [(min(lo[i] for i in c), max(hi[i] for i in c)) for c in columns]
+        free = [max(b[0] - a[1], a[0] - b[1]) for a, b in pairwise(ends)]
+        if all(f <= 0 or f < gap for f in free) and all(len(c) == 1 or len(_runs(c, lo, hi, gap)[0]) == 1 for c in columns):
+            for c in columns:
+                out += sorted(c)
+        else:
+            k = gaps.index(max(gaps)) + 1
+            waiting += [[i for c in side for i in c] for side in (columns[k:], columns[:k])]
+    return out
+
+
+def _page_order(left: list[float], bottom: list[float], right: list[float], top: list[float], gap: float, density: float, cross: float) -> list[int]:
+    """Reading order of a page's boxes, which come from the top, equally high ones from the left; those without coordinates come last."""
+    known = [i for i, c in enumerate(zip(left, bottom, right, top, strict=True)) if None not in c and not any(map(isnan, c))]
+    none = sorted(set(range(len(top))).difference(known))
+    widest = max((right[i] - left[i] for i in known), default=0.0)
+    wide = [i for i in known if len(known) >= 3 and right[i] - left[i] >= cross * widest]
+    main = sorted(set(known).difference(wide)) if wide else known
+    area = sum((right[i] - left[i]) * (top[i] - bottom[i]) for i in main)
+    region = (max(right[i] for i in main) - min(left[i] for i in main)) * (max(top[i] for i in main) - min(bottom[i] for i in main)) if main else 0.0
+    across = [-1.0] * len(top), [-1.0] * len(top)
+    down = [-1.0] * len(top), [-1.0] * len(top)
+    for i in main:
+        across[0][i], across[1][i] = sorted((left[i], right[i]))
+        down[0][i], down[1][i] = sorted((-top[i], -bottom[i]))
+    order = _cut_order(main, [down, across] if (min(1.0, area / region) if region > 0 else 1.0) > density else [across, down], gap)
+    if wide:  # each goes before the first box that lies below its top
+        out, at = [], 0
+        for i in wide:
+            while at < len(order) and top[order[at]] >= top[i]:
+                out.append(order[at])
+                at += 1
+            out.append(i)
+        order = out + order[at:]
+    return order + none
+
+
 def reading_order(boxes: DataFrame, gap: float = 5.0, density: float = 0.9, cross: float = 2.0) -> DataFrame:
-    """Adds place, the reading order of boxes (left, bottom, right, top; y grows upward) on a page by recursive XY cuts."""
-
-    def cut(b: pd.DataFrame, lo: str, hi: str, sign: int) -> float | None:
-        """Middle of the widest gap along an axis, at least ``gap`` wide."""
-        spans = sorted((min(sign * x, sign * y), max(sign * x, sign * y)) for x, y in zip(b[lo], b[hi], strict=True))
-        reach, best, where = spans[0][1], 0.0, None
-        for s, e in spans[1:]:
-            if s - reach > best:
-                best, where = s - reach, (s + reach) / 2
-            reach = max(reach, e)
-        return where if best >= gap else None
-
-    def ordered(b: pd.DataFrame, horizontal_first: bool) -> list[int]:
-        out: list[int] = []
-        waiting = [b]
-        while waiting:
-            part = waiting.pop()
-            for axis in ("h", "v") if horizontal_first else ("v", "h"):
-                at = None if len(part) <= 1 else cut(part, "top", "bottom", -1) if axis == "h" else cut(part, "left", "right", 1)
-                if at is not None:
-                    first = (-part["bottom"] <= at) if axis == "h" else (part["right"] <= at)
-                    waiting += [part[~first], part[first]]
-                    break
-            else:
-                out += part.sort_values(["top", "left", "idx"], ascending=[False, True, True]).index.tolist()
-        return out
-
-    def page(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.reset_index(drop=True)
-        width = frame["right"] - frame["left"]
-        wide = (width >= cross * width.max()) & (len(frame) >= 3)
-        main = frame[~wide]
-        area = float(((main["right"] - main["left"]) * (main["top"] - main["bottom"])).sum())
-        region = float((main["right"].max() - main["left"].min()) * (main["top"].max() - main["bottom"].min())) if len(main) else 0.0
-        full = min(1.0, area / region) if region > 0 else 1.0
-        order = ordered(main, full > density)
-        for i in frame[wide].sort_values("top", ascending=False).index:
-            at = next((k for k, j in enumerate(order) if frame.at[j, "top"] < frame.at[i, "top"]), len(order))
-            order.insert(at, i)
-        frame["place"] = 0
-        frame.loc[order, "place"] = range(len(order))
-        return frame
-
-    return boxes.groupBy("doc_id", "page").applyInPandas(page, T.StructType([*boxes.schema.fields, T.StructField("place", T.LongType())]))
+    """Adds place, the reading order of boxes (left, bottom, right, top; y grows upward) on a page by recursive XY cuts.
+
+    Pages come sorted, a task walks them one after another and holds an Arrow batch and one page.
+    """
+    sides, columns = ["left", "bottom", "right", "top"], boxes.columns
+    schema = T.StructType([*boxes.schema.fields, T.StructField("place", T.LongType())])
+
+    def placed(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts)
+        coordinates = [table[f"_{c}"].to_pylist() for c in sides]
+        starts = np.flatnonzero(table["_n"].to_numpy() == 1).tolist()
+        place = np.empty(len(table), np.int64)
+        for a, b in pairwise([*starts, len(table)]):
+            order = _page_order(*[c[a:b] for c in coordinates], gap, density, cross)
+            for k, i in enumerate(order):
+                place[a + i] = k
+        out = table.select(columns).append_column("place", pa.array(place))
+        yield from out.to_batches()
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []  # of the page that isn't over yet
+        for batch in batches:
+            starts = np.flatnonzero(batch.column("_n").to_numpy() == 1)
+            if len(starts):
+                last = int(starts[-1])
+                whole = [p for p in [*waiting, batch.slice(0, last)] if len(p)]
+                if whole:
+                    yield from placed(whole)
+                waiting = []
+                batch = batch.slice(last)
+            waiting.append(batch)
+        if waiting:
+            yield from placed(waiting)
+
+    by = Window.partitionBy("doc_id", "page").orderBy(F.desc_nulls_last("top"), F.asc_nulls_last("left"), F.asc_nulls_last("idx"))
+    rows = boxes.withColumns({"_n": F.row_number().over(by), **{f"_{c}": F.col(c).cast("double") for c in sides}})
+    return rows.mapInArrow(pages, schema)

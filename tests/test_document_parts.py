@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
-from collections import Counter
+import time
+from collections import Counter, defaultdict
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -130,3 +132,40 @@ def test_reading_order_of_a_long_column(spark):
     boxes = spark.createDataFrame(rows, "doc_id long, page int, idx int, left double, bottom double, right double, top double")
     got = {(r.page, r.idx): r.place for r in structure.reading_order(boxes).collect()}
     assert got == {(1, k): k for k in range(2000)} | {(2, 0): 0}
+
+
+def _cut_by_hand(boxes: list[tuple], gap: float, axes: str) -> list[tuple]:
+    for axis in axes if len(boxes) > 1 else "":
+        spans = sorted((-b[4], -b[2], b) if axis == "h" else (b[1], b[3], b) for b in boxes)
+        reach, cuts = spans[0][1], []
+        for k, (low, high, _) in enumerate(spans):
+            cuts.append((low - reach, -k))
+            reach = max(reach, high)
+        free, k = max(cuts)
+        if free >= gap:
+            return _cut_by_hand([b for *_, b in spans[:-k]], gap, axes) + _cut_by_hand([b for *_, b in spans[-k:]], gap, axes)
+    return sorted(boxes, key=lambda b: (-b[4], b[1], b[0]))
+
+
+def test_reading_order_of_many_and_of_wide_pages(spark):
+    rnd = random.Random(3)
+    pages = {p: [(k, x := rnd.randrange(40) * 5.0, y := rnd.randrange(40) * 5.0, x + rnd.randrange(1, 60), y + rnd.randrange(1, 30)) for k in range(rnd.choice([1, 4, 12]))] for p in range(12000)}
+    pages[-1] = [(k, 20.0 * k, 0.0, 20.0 * k + 8, 10.0) for k in range(5000)]  # a row
+    pages[-2] = [(k, 20.0 * k, 3.0 * (5000 - k), 20.0 * k + 8, 3.0 * (5000 - k) + 5) for k in range(5000)]  # steps
+    schema = "doc_id long, page int, idx int, left double, bottom double, right double, top double"
+    boxes = spark.createDataFrame([(p, 1, *b) for p, bs in pages.items() for b in bs], schema).cache()
+    boxes.count()
+    for density, axes in ((1.0, "vh"), (0.0, "hv")):
+        began, got = time.time(), defaultdict(list)
+        for r in structure.reading_order(boxes, density=density).select("doc_id", "place", "idx").collect():
+            got[r.doc_id].append((r.place, r.idx))
+        assert time.time() - began < 30
+        for p, bs in pages.items():
+            want = [b[0] for b in _cut_by_hand(bs, 5.0, axes)] if p >= 0 else list(range(5000))
+            assert [k for _, k in sorted(got[p])] == want
+    boxes.unpersist()
+
+
+def test_boxes_without_coordinates_are_read_last(spark):
+    boxes = spark.createDataFrame([(1, None, 0, None, 0.0, 1.0, 1.0), (1, None, 1, 0.0, 0.0, 9.0, 9.0), (1, None, 2, 0.0, 30.0, 9.0, float("nan")), (1, None, 3, 0.0, 30.0, 9.0, 39.0)], "doc_id long, page int, idx int, left double, bottom double, right double, top double")
+    assert [r.idx for r in structure.reading_order(boxes).orderBy("place").collect()][:2] == [3, 1]
