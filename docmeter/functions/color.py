@@ -72,7 +72,7 @@ def hue_weights(r: Column, g: Column, b: Column) -> tuple[Column, list[Column]]:
     """Saturation of a colour (channels 0 to 1, hue, lightness, saturation model), and how far each channel is on the way from the least to the greatest; both stay as lightness changes."""
     high, low = F.greatest(r, g, b), F.least(r, g, b)
     span, total = high - low, high + low
-    saturation = F.when(span == 0, 0.0).when(total <= 1, span / total).otherwise(span / (2.0 - total))
+    saturation = F.when(span == 0, 0.0).when(total <= 1, span / total).otherwise(span / (2.0 - high - low))  # 2 - total rounds: full saturation would come out beside 1
     far = [(high - c) / span for c in (r, g, b)]
     turn = F.when(r == high, far[2] - far[1]).when(g == high, 2.0 + far[0] - far[2]).otherwise(4.0 + far[1] - far[0]) / 6.0
 

@@ -45,6 +45,16 @@ def test_nearest_colours_keep_their_hue(spark, rows, least, away):
         assert all(abs(got - 255 * w) <= 1 for got, w in zip(row.n, want, strict=True)), (row, want)
 
 
+def test_full_saturation_leaves_the_least_channel_at_zero(spark):
+    sizes = range(1, 51)
+    df = spark.createDataFrame([(k * 37 % 256, z * 5, k * 11 % 256, k * 3 % 256, z * 4, k % 256) for k in (10323, 16211) for z in sizes], "r int, g int, b int, x int, y int, z int")
+    for row in df.select("*", color.nearest_passing(*[F.col(c) for c in "rgbxyz"], away=True).alias("n")).collect():
+        fg, bg = (tuple(v / 255 for v in row[i : i + 3]) for i in (0, 3))
+        light = max(nearest(fg, bg, 4.5, True)) + min(nearest(fg, bg, 4.5, True))
+        if row.r == 255 and ratio(fg, bg) < 4.5 and light <= 1.0 and luminance(bg) <= 0.5:
+            assert row.n[min(range(3), key=lambda i: row[i])] == 0, row
+
+
 def test_model_families(spark):
     names = {"openai/GPT-X:latest": "gpt-x", " a/b/Name-cloud ": "name", "name_cloud:7b": "name", "x-cloud_cloud": "x-cloud", "x_cloud-cloud": "x", "": "", None: "", "cloud": "cloud"}
     got = {r.n: r.f for r in spark.createDataFrame([(n,) for n in names], "n string").select("n", experiments.model_family(F.col("n")).alias("f")).collect()}
