@@ -66,12 +66,21 @@ def header_key(text: Column) -> Column:
 
 
 def common_prefix(names: Column, least: int = 4) -> Column:
-    """The longest beginning that all names of an array share; empty below ``least`` characters."""
-    first = F.coalesce(F.get(names, F.lit(0)), F.lit(""))
-    n = F.aggregate(names, F.length(first), lambda n, x: F.least(n, F.length(x)))
-    cuts = F.sequence(n, F.lit(0), F.lit(-1))
-    found = F.get(F.filter(cuts, lambda k: F.forall(names, lambda x: F.substr(x, F.lit(1), k) == F.substr(first, F.lit(1), k))), F.lit(0))
-    return F.when(found >= least, F.substr(first, F.lit(1), found)).otherwise("")
+    """The longest beginning that all names of an array share, which is that of the least and the greatest; empty below ``least`` characters."""
+    return shared_beginning(F.array_min(names), F.array_max(names), least)
+
+
+def shared_beginning(a: Column, b: Column, least: int = 4) -> Column:
+    """The longest beginning of two texts; empty below ``least`` characters or where one is null."""
+    cuts = F.sequence(F.least(F.length(a), F.length(b)), F.lit(0), F.lit(-1))
+    found = F.get(F.filter(cuts, lambda k: F.substr(a, F.lit(1), k) == F.substr(b, F.lit(1), k)), F.lit(0))
+    return F.when(found >= least, F.substr(a, F.lit(1), found)).otherwise("")
+
+
+def common_prefixes(rows: DataFrame, by: str, name: str, least: int = 4) -> DataFrame:
+    """by, prefix: the longest beginning that a group's names share; groups shrink to two names before they meet."""
+    ends = rows.groupBy(by).agg(F.min(name).alias("lo"), F.max(name).alias("hi"))
+    return ends.select(by, shared_beginning(F.col("lo"), F.col("hi"), least).alias("prefix"))
 
 
 def announced(line: Column) -> Column:

@@ -404,8 +404,7 @@ def header_keys(spark, sf):
 @query("""with n as (select p_brand, list(p_name order by p_partkey) l from part group by 1), k as (select p_brand, l, unnest(range(0, list_min(list_transform(l, lambda x: length(x))) + 1)) k from n),
 b as (select p_brand, max(k) k, any_value(l[1]) f from k where len(list_distinct(list_transform(l, lambda x: substr(x, 1, k)))) = 1 group by 1) select p_brand, case when k >= 4 then substr(f, 1, k) else '' end prefix from b""")
 def common_prefixes(spark, sf):
-    n = table(spark, sf, "part").groupBy("p_brand").agg(F.sort_array(F.collect_list(F.struct("p_partkey", "p_name"))).alias("l"))
-    return n.select("p_brand", reading.common_prefix(F.col("l.p_name")).alias("prefix"))
+    return reading.common_prefixes(table(spark, sf, "part"), "p_brand", "p_name")
 
 
 @query("""with p as (select p_partkey, p_size * 3 n from part), b as (select p_partkey, n, case when n > 50 then 2 else least(n, 10) end k from p)
