@@ -205,8 +205,12 @@ def gold_against_bad(results: DataFrame) -> DataFrame:
 
 
 def diverse_examples(df: DataFrame, kind: str, signature: str, order: Sequence[Column], k: int) -> DataFrame:
-    """k rows: the first of each kind, then the first of each new (kind, signature)."""
-    per_kind = Window.partitionBy(kind).orderBy(*order)
-    per_both = Window.partitionBy(kind, signature).orderBy(*order)
-    rows = df.withColumn("_k", F.row_number().over(per_kind)).withColumn("_s", F.row_number().over(per_both)).where("_s = 1")
-    return rows.orderBy((F.col("_k") > 1), *order).limit(k).drop("_k", "_s")
+    """k rows: the first of each kind, then the first of each new (kind, signature). Map tasks pass on one row a (kind, signature)."""
+    first = lambda df, *by: df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_r = 1").drop("_r")
+    own = first(df, kind, signature)
+    heads = first(own, kind).orderBy(*order).limit(k).withColumn("_late", F.lit(False))
+    # of twice k rows at least k are no heads, unless heads alone are enough
+    rest = own.orderBy(*order).limit(2 * k).withColumn("_late", F.lit(True))
+    once = Window.partitionBy(kind, signature).orderBy("_late")
+    rows = heads.unionByName(rest).withColumn("_r", F.row_number().over(once)).where("_r = 1")
+    return rows.orderBy("_late", *order).limit(k).drop("_late", "_r")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from docmeter.operators import reading
+import pytest
+from pyspark.sql import functions as F
+
+from docmeter.operators import evaluation, reading
 from docmeter.plans.registry import QUERIES
 
 
@@ -14,3 +17,17 @@ def test_prefixes_are_of_two_names_a_group(spark, small):
     rows = spark.createDataFrame([("a", "Report one"), ("a", "Report two"), ("a", None), ("b", "Été à"), ("b", "Été au"), ("c", "abc"), ("c", "abd"), ("d", None)], "k string, n string")
     assert {r.k: r.prefix for r in reading.common_prefixes(rows, "k", "n").collect()} == {"a": "Report ", "b": "Été à"[:4], "c": "", "d": ""}
     assert "collect_list" not in plan(QUERIES["common_prefixes"](spark, small))
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 9])
+def test_examples_leave_the_map_tasks_as_one_a_kind_and_signature(spark, k):
+    rows = [(n, "abcab"[n % 5], n * 7 % 4) for n in range(60)] + [(3, "d", 1), (3, "d", 1), (90, None, None)]
+    df = spark.createDataFrame(rows, "k int, kind string, sig int")
+    seen, late, kinds = set(), [], {}
+    for row in sorted(rows, key=lambda r: r[0]):
+        if row[1:] not in seen:
+            (late.append(row) if row[1] in kinds else kinds.setdefault(row[1], row))
+        seen.add(row[1:])
+    out = evaluation.diverse_examples(df, "kind", "sig", [F.col("k")], k)
+    assert [r.k for r in out.collect()] == [r[0] for r in [*kinds.values(), *late][:k]]
+    assert "WindowGroupLimit [kind" in plan(out)
