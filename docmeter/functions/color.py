@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -129,5 +129,18 @@ def nearest_passing(r: Column, g: Column, b: Column, bg_r: Column, bg_g: Column,
     return F.when(passes, named(r=r.cast("int"), g=g.cast("int"), b=b.cast("int"))).otherwise(new)
 
 
+def with_nearest_passing(rows: DataFrame, name: str, pair: list[Column], least: float = 4.5, away: bool = False) -> DataFrame:
+    """Adds ``name``, the nearest passing colour of a pair of colours (channels r, g, b of the text, then of what lies behind); null where one is null.
+
+    Each pair is looked for once, however many rows have it, and the pairs are dealt over tasks: few bytes are much work here.
+    """
+    keys = [f"_{name}_{k}" for k in range(6)]
+    rows = rows.withColumns(dict(zip(keys, pair, strict=True)))
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    pairs = rows.select(*keys).distinct().na.drop().repartition(tasks, *keys)
+    found = pairs.withColumn(name, nearest_passing(*map(F.col, keys), least=least, away=away))
+    return rows.join(found, keys, "left").drop(*keys)
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)

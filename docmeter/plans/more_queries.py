@@ -553,8 +553,8 @@ select p_partkey, r::int r, g::int g, b::int b from w where fine union all selec
 def _nearest(spark, sf, away: bool):
     k, z = F.col("p_partkey"), F.col("p_size")
     red = k * 37 % 256
-    found = color.nearest_passing(red, z * 5 % 256, F.when(k % 4 == 0, red).otherwise(k * 11 % 256), k * 3 % 256, z * 4 % 256, k % 256, away=away)
-    return table(spark, sf, "part").select("p_partkey", found.alias("c")).select("p_partkey", "c.r", "c.g", "c.b")
+    pair = [red, z * 5 % 256, F.when(k % 4 == 0, red).otherwise(k * 11 % 256), k * 3 % 256, z * 4 % 256, k % 256]
+    return color.with_nearest_passing(table(spark, sf, "part"), "c", pair, away=away).select("p_partkey", "c.r", "c.g", "c.b")
 
 
 @query(_nearest_sql("ok <> (bl > 0.5)"))

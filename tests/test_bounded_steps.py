@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from docmeter.functions import color
 from docmeter.operators import evaluation, reading
 from docmeter.plans.registry import QUERIES
 
@@ -19,6 +20,15 @@ def test_prefixes_are_of_two_names_a_group(spark, small):
     assert "collect_list" not in plan(QUERIES["common_prefixes"](spark, small))
 
 
+def test_each_pair_of_colours_is_looked_for_once(spark, small):
+    rows = spark.createDataFrame([(k, 119 if k % 2 else 255, 255 if k < 9 else None) for k in range(10)], "k int, v int, w int")
+    found = color.with_nearest_passing(rows, "c", [F.col("v")] * 3 + [F.col("w")] * 3).orderBy("k").collect()
+    assert [tuple(r.c) if r.c else None for r in found] == [(118,) * 3] * 9 + [None]
+    for name in ("nearest_passing_colour", "nearest_passing_colour_away"):
+        text = plan(QUERIES[name](spark, small))
+        assert "REPARTITION_BY_NUM" in text and "HashAggregate" in text
+
+
 @pytest.mark.parametrize("k", [1, 2, 3, 5, 9])
 def test_examples_leave_the_map_tasks_as_one_a_kind_and_signature(spark, k):
     rows = [(n, "abcab"[n % 5], n * 7 % 4) for n in range(60)] + [(3, "d", 1), (3, "d", 1), (90, None, None)]
