@@ -41,3 +41,10 @@ def test_examples_leave_the_map_tasks_as_one_a_kind_and_signature(spark, k):
     out = evaluation.diverse_examples(df, "kind", "sig", [F.col("k")], k)
     assert [r.k for r in out.collect()] == [r[0] for r in [*kinds.values(), *late][:k]]
     assert "WindowGroupLimit [kind" in plan(out)
+
+
+@pytest.mark.parametrize("name", ["readability_score"])
+def test_aggregates_of_lines_are_dealt_once_and_not_merged(spark, small, name):
+    text = plan(QUERIES[name](spark, small))
+    assert "REPARTITION_BY_NUM" in text and "_linenumber" in text
+    assert not any(c in line for line in text.splitlines() if "ENSURE_REQUIREMENTS" in line for c in ("seq#", "row#", "table#"))
