@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docmeter.scratch import dealt
+
 #: Pages up to which a document needs no bookmarks.
 LONG_DOCUMENT = 20
 
@@ -47,9 +49,9 @@ def repeated_links(links: DataFrame, most: int = 1) -> DataFrame:
 def irregular_tables(cells: DataFrame, most_span: int = 1000) -> DataFrame:
     """cells(doc_id, table, row, col_span, row_span): tables whose rows cover different numbers of columns, row spans carried down; absurd spans count as 1."""
     span = lambda c: F.when(F.col(c).between(1, most_span), F.col(c)).otherwise(1)
-    rows = cells.select("doc_id", "table", "row", span("col_span").alias("w"), span("row_span").alias("h"))
-    last = rows.groupBy("doc_id", "table").agg(F.max("row").alias("last"))
-    covered = rows.join(last, ["doc_id", "table"]).withColumn("row", F.explode(F.sequence(F.col("row"), F.least(F.col("row") + F.col("h") - 1, F.col("last")))))
+    rows = dealt(cells.select("doc_id", "table", "row", span("col_span").alias("w"), span("row_span").alias("h")).where("doc_id is not null and table is not null"), "doc_id")
+    last = F.max("row").over(Window.partitionBy("doc_id", "table"))
+    covered = rows.withColumn("last", last).withColumn("row", F.explode(F.sequence(F.col("row"), F.least(F.col("row") + F.col("h") - 1, F.col("last")))))
     widths = covered.groupBy("doc_id", "table", "row").agg(F.sum("w").alias("width"))
     return widths.groupBy("doc_id", "table").agg(F.min("width").alias("narrowest"), F.max("width").alias("widest")).where("narrowest <> widest")
 

@@ -43,7 +43,7 @@ def test_examples_leave_the_map_tasks_as_one_a_kind_and_signature(spark, k):
     assert "WindowGroupLimit [kind" in plan(out)
 
 
-@pytest.mark.parametrize("name", ["readability_score"])
+@pytest.mark.parametrize("name", ["readability_score", "table_regularity"])
 def test_aggregates_of_lines_are_dealt_once_and_not_merged(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     assert "REPARTITION_BY_NUM" in text and "_linenumber" in text
