@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docmeter.functions import color
-from docmeter.operators import evaluation, reading
+from docmeter.operators import evaluation, matching, reading
 from docmeter.plans.registry import QUERIES
 
 
@@ -48,3 +49,19 @@ def test_aggregates_of_lines_are_dealt_once_and_not_merged(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     assert "REPARTITION_BY_NUM" in text and "_linenumber" in text
     assert not any(c in line for line in text.splitlines() if "ENSURE_REQUIREMENTS" in line for c in ("seq#", "row#", "table#"))
+
+
+def test_header_pairs_are_dealt_over_tasks_and_matched_once(spark, monkeypatch):
+    texts = ["annual sales", "sales by year", "total"]
+    headers = spark.createDataFrame([(t, h.upper()) for t in range(4) for h in texts for _ in range(2)], "table_id int, header string")
+    offered = spark.createDataFrame([(t, k, h) for t in range(4) for k, h in enumerate(["annual sale", "year of sales"])], "table_id int, idx int, header string")
+    pairs = matching.header_ratios(headers, offered)
+    assert "REPARTITION_BY_NUM" in plan(pairs)
+    rows = pairs.collect()
+    assert len(rows) == len({(r.table_id, r.a, r.b) for r in rows}) == 4 * len({(r.a, r.b) for r in rows})
+    assert all(r.ratio == matching.block_ratio(r.a, r.b, 0.6) for r in rows)
+    asked = []
+    monkeypatch.setattr(matching, "block_ratio", lambda a, b, *rest: asked.append((a, b)) or 0.7)
+    batch = pa.RecordBatch.from_pylist([{"table_id": t, "a": a, "b": "annual sale", "idx": 0} for a in texts for t in range(4)])
+    assert [r for out in matching._ratios(0.6)(iter([batch, batch.slice(8)])) for r in out.column(4).to_pylist()] == [0.7] * 16
+    assert asked == [(a, "annual sale") for a in texts]
