@@ -22,7 +22,7 @@ def backgrounds(spans: DataFrame, rectangles: DataFrame) -> DataFrame:
     """Adds ``bg_r, bg_g, bg_b`` to spans: the colour of the topmost rectangle that holds the span's centre; null where none does.
 
     spans: doc_id, page, span, x0, y0, x1, y1 and others; rectangles: doc_id, page, paint (a later one lies on top), x0, y0, x1, y1, r, g, b.
-    Points meet rectangles by tile: a rectangle is in four tiles of one size at most, a point in one tile of each size, so
+    Points meet rectangles by tile: a rectangle is in four tiles of one size at most, a point in one tile of each size that the page has, so
     a page of any number of rectangles only compares those about as large as their distance. Of rectangles in one place only the topmost meets spans.
     Rectangles without area, or larger than the largest tile, hold nothing.
     """
@@ -35,8 +35,10 @@ def backgrounds(spans: DataFrame, rectangles: DataFrame) -> DataFrame:
     across = sized.withColumn("tx", F.explode(F.sequence(_tile(F.col("x0"), F.col("tile")), _tile(F.col("x1"), F.col("tile")))))
     tiled = across.withColumn("ty", F.explode(F.sequence(_tile(F.col("y0"), F.col("tile")), _tile(F.col("y1"), F.col("tile")))))
     tiled = tiled.select("doc_id", "page", "tile", "tx", "ty", *[F.col(c).alias(f"r_{c}") for c in ("x0", "y0", "x1", "y1")], "top")
-    at = spans.select("doc_id", "page", "span", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
-    at = at.withColumn("tile", F.explode(F.array(*map(F.lit, TILES)))).withColumns({"tx": _tile(F.col("cx"), F.col("tile")), "ty": _tile(F.col("cy"), F.col("tile"))})
+    # a page's points only go to tiles of the sizes that its rectangles have
+    used = sized.groupBy("doc_id", "page").agg(F.collect_set("tile").alias("tiles"))
+    at = spans.join(used, ["doc_id", "page"]).select("doc_id", "page", "span", "tiles", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
+    at = at.select("*", F.explode("tiles").alias("tile")).drop("tiles").withColumns({"tx": _tile(F.col("cx"), F.col("tile")), "ty": _tile(F.col("cy"), F.col("tile"))})
     under = at.join(tiled, ["doc_id", "page", "tile", "tx", "ty"]).where("cx >= r_x0 and cx <= r_x1 and cy >= r_y0 and cy <= r_y1")
     top = under.groupBy("doc_id", "page", "span").agg(F.max("top").alias("top"))
     out = spans.drop("bg_r", "bg_g", "bg_b").join(top, ["doc_id", "page", "span"], "left")

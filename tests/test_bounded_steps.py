@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmeter.functions import color
-from docmeter.operators import evaluation, matching, reading
+from docmeter.operators import evaluation, matching, reading, spans
 from docmeter.plans.registry import QUERIES
 
 
@@ -65,3 +65,11 @@ def test_header_pairs_are_dealt_over_tasks_and_matched_once(spark, monkeypatch):
     batch = pa.RecordBatch.from_pylist([{"table_id": t, "a": a, "b": "annual sale", "idx": 0} for a in texts for t in range(4)])
     assert [r for out in matching._ratios(0.6)(iter([batch, batch.slice(8)])) for r in out.column(4).to_pylist()] == [0.7] * 16
     assert asked == [(a, "annual sale") for a in texts]
+
+
+def test_points_go_to_tiles_of_the_sizes_that_a_page_has(spark):
+    texts = spark.createDataFrame([(1, p, k, 10 * k, 10, 10 * k + 4, 14) for p in range(3) for k in range(4)], "doc_id int, page int, span int, x0 int, y0 int, x1 int, y1 int")
+    boxes = spark.createDataFrame([(1, 0, 1, 0, 0, 20, 20, 1, 2, 3), (1, 0, 2, 0, 0, 300, 300, 4, 5, 6), (1, 1, 1, 25, 0, 36, 20, 7, 8, 9)], "doc_id int, page int, paint int, x0 int, y0 int, x1 int, y1 int, r int, g int, b int")
+    out = spans.backgrounds(texts, boxes)
+    assert {(r.page, r.span): r.bg_r for r in out.collect()} == {(0, k): 4 for k in range(4)} | {(1, 0): None, (1, 1): None, (1, 2): None, (1, 3): 7} | {(2, k): None for k in range(4)}
+    assert "explode(tiles" in plan(out) and "32768]" not in plan(out)
