@@ -180,6 +180,51 @@ def test_jaccard_hot_shingle_and_large_family(spark, monkeypatch):
     assert got == sorted(want) and links > 10_000 and len({c for *_, c in want}) > 20
 
 
+def test_jaccard_postings_are_small_and_come_back():
+    """Under 18 bytes a posting however many buckets there are (24 before); names, sizes and places come back with shared keys for shared shingles only."""
+    rng = np.random.default_rng(4)
+    tokens = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    sublists = jaccard_join.Sublists(np.sort(tokens[:3]), np.array([50, 5, 90]), 20)
+    sets = [(np.concatenate([tokens[:3], rng.choice(tokens[3:], 90, replace=False)]), int(rng.integers(-1 << 62, 1 << 62)), int(n)) for n in rng.integers(300, 60_000, 200)] + [(tokens[3:1000], 7, 1_000_000)]
+    want = sorted((name, size, k, int(t)) for head, name, size in sets for k, t in enumerate(head))
+    for buckets in (7, 900):
+        batch = jaccard_join.pack_postings(sets, sublists, buckets)
+        if buckets == 900:
+            assert sum(len(x) for r in batch.to_pylist() for x in r.values() if isinstance(x, bytes)) < 18 * len(want)
+        rows = [row for r in batch.to_pylist() for row in zip(*jaccard_join.unpack_postings(*r.values()), strict=True)]
+        of = {(name, k): t for name, _, k, t in want}
+        key = {of[int(i), int(p)]: int(x) for x, i, _, p in rows}
+        assert sorted((int(i), int(n), int(p), of[int(i), int(p)]) for _, i, n, p in rows) == want
+        assert all(key[of[int(i), int(p)]] == x for x, i, _, p in rows) and len(set(key.values())) == len(key)
+        assert sum(x >= 1 << 63 for x in key.values()) == 2
+
+
+@pytest.mark.parametrize("key_bits", [0, 2])
+def test_jaccard_shingles_of_one_key(spark, key_bits):
+    """Lists that hold many shingles, a set several times in one."""
+    rng = np.random.default_rng(key_bits)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(120):
+        words = rows[int(rng.integers(len(rows)))][1].split() if rows and rng.random() < 0.6 else list(rng.choice(vocabulary, int(rng.integers(6, 40))))
+        words[int(rng.integers(len(words)))] = str(rng.choice(vocabulary))
+        rows.append((k, " ".join(words)))
+    want, links = linked(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, long=6, key_bits=key_bits).collect())
+    assert got == sorted(want) and links > 5
+
+
+def test_jaccard_tiles_of_lists_alike_are_dealt_together(spark):
+    """Ten lists of the same 90 classes: a pair of tiles has one deal in all of them."""
+    rows = [(t, i, 40, i, 7) for t in range(10) for i in range(90)]
+    members = spark.createDataFrame(rows, "family long, id long, size int, part long, least long")
+    placed, meet = jaccard_join.tiles_of(members, 75, 30, like="least")
+    assert placed.count() == len(rows)
+    found = [(r.deal, r.n) for r in meet.groupBy("deal").count().withColumnRenamed("count", "n").collect()]
+    assert found and all(n == 10 for _, n in found)
+
+
 def test_jaccard_null_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a b c d e f g h"), (4, "a b c d e f g h"), (None, None), (None, "z")], "doc_id long, text string")
     got = sorted(((r.id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df).collect()), key=str)
